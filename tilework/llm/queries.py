@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, pii
-from .common import table
+from . import minhash, packing, pii
+from .common import table, vocabulary
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_pii": op8_pii, "op10_minhash": op10_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
 ORACLES: dict[str, str] = {}
