@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, packing, pii
+from . import linededup, minhash, packing, pii
 from .common import table, vocabulary
 
 
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -22,5 +26,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_linededup": op3_linededup, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
 ORACLES: dict[str, str] = {}
