@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, minhash, packing, pii
+from . import linededup, minhash, packing, pii, toxicity
 from .common import table, vocabulary
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -26,5 +30,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_linededup": op3_linededup, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op3_linededup": op3_linededup, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
 ORACLES: dict[str, str] = {}
