@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, minhash, packing, pii, toxicity
+from . import ann, linededup, minhash, packing, pii, topk, toxicity
 from .common import table, vocabulary
 
 
@@ -14,6 +14,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -30,5 +38,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op3_linededup": op3_linededup, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op5_topk": op5_topk, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
+ORACLES: dict[str, str] = {"op5_topk": topk.SQL}
