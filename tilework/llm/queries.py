@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, linededup, mainhtml, minhash, packing, pii, topk, toxicity
+from . import ann, chat, linededup, mainhtml, minhash, packing, pii, topk, toxicity
 from .common import table, vocabulary
 
 
@@ -18,6 +18,10 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations")), vocabulary("byte_bpe_50k.json"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -42,5 +46,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op5_topk": op5_topk, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
 ORACLES: dict[str, str] = {"op5_topk": topk.SQL}
