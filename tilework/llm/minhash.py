@@ -1,7 +1,7 @@
 """MinHash near-duplicate detection with min-max hashing.
 
-Each permutation keeps both its minimum and its maximum, so 96 hash evaluations per shingle give a
-signature of 192 values.  Bands of six values make candidate buckets; links are confirmed on full
+Each permutation keeps both its minimum and its maximum, so 72 hash evaluations per shingle give a
+signature of 144 values.  Bands of six values make candidate buckets; links are confirmed on full
 shingle sets, so the signature decides only what is compared.
 
 Work that grows with a group's size is kept linear: equal shingle sets collapse to one
@@ -16,7 +16,7 @@ component and kept; rows that share a doc_id are one document, linked with whate
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,10 +27,10 @@ from .common import min_label_components, only_ids, written
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 85, 100
-BANDS, ROWS = 32, 6
+BANDS, ROWS = 24, 6
 PERMUTATIONS = BANDS * ROWS // 2
 #: Share of equal signature bytes at which a pair is compared on full sets; at similarity 0.85 the share's
-#: standard deviation is 0.026, so a link is lost below 5 of them.
+#: standard deviation is 0.03, so a link is lost only beyond four of them.
 ESTIMATE = 0.72
 #: Members per side of a block comparison.
 BLOCK = 256
@@ -138,6 +138,13 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"]).astype({"doc_id": "Int64"})
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    if not len(x) or not len(y) or DENOMINATOR * min(len(x), len(y)) < NUMERATOR * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
+
+
 def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     kept: OrderedDict[str, np.ndarray] = OrderedDict()
 
@@ -154,8 +161,7 @@ def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lo in range(0, len(batch), 64):
             part = batch.iloc[lo : lo + 64]
             for x, y in zip(sets(part["ta"].fillna("")), sets(part["tb"].fillna("")), strict=True):
-                both = len(np.intersect1d(x, y, assume_unique=True)) if DENOMINATOR * min(len(x), len(y)) >= NUMERATOR * max(len(x), len(y)) else 0
-                hit.append(both > 0 and DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+                hit.append(_similar(x, y))
         yield batch.loc[hit, ["a", "b"]]
 
 
@@ -168,36 +174,70 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return written(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(_confirmed, "a long, b long").distinct())
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Compares each block pair of a bucket; rows come sorted by (key, i, j), a block pair may span batches."""
-
-    def pairs(g: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), -1)
-        doc, comp, side = g["doc"].to_numpy(), g["comp"].to_numpy(), g["side"].to_numpy()
-        i, j = g["i"].iloc[0], g["j"].iloc[0]
-        left = np.flatnonzero(side == i)
-        right = np.flatnonzero(side == j)
-        out = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((doc[right] > doc[x]) if i == j else True)]
-            if len(y):
-                y = y[(sig[y] == sig[x]).mean(axis=1) >= ESTIMATE]
-                out += [(min(doc[x], d), max(doc[x], d)) for d in doc[y]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
+def _by_tile(batches: Iterator[pd.DataFrame], handle: Callable[[pd.DataFrame], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """handle's result for each block pair; rows come sorted by (key, i, j), a block pair may span batches."""
     rest = None
     for batch in batches:
         batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         if not len(batch):
             continue
-        tile = batch[["key", "i", "j"]].ne(batch[["key", "i", "j"]].shift()).any(axis=1).to_numpy()
-        starts = np.flatnonzero(tile)
-        found = [pairs(batch.iloc[lo:hi]) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
+        of = batch[["key", "i", "j"]].to_numpy()
+        starts = np.concatenate(([0], 1 + np.flatnonzero((of[1:] != of[:-1]).any(axis=1))))
+        found = [handle(batch.iloc[lo:hi]) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
         rest = batch.iloc[starts[-1] :]
-        if found:
+        if found := [x for x in found if len(x)]:
             yield pd.concat(found, ignore_index=True)
     if rest is not None and len(rest):
-        yield pairs(rest)
+        yield handle(rest)
+
+
+def _likely(g: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Per row of a block pair the rows of other components that its signature is close to, each pair in its first common bucket only."""
+    sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), -1)
+    bands = np.stack(g["bands"].to_numpy())
+    doc, comp, side = g["doc"].to_numpy(), g["comp"].to_numpy(), g["side"].to_numpy()
+    key, i, j = g["key"].iloc[0], g["i"].iloc[0], g["j"].iloc[0]
+    right = np.flatnonzero(side == j)
+    for x in np.flatnonzero(side == i):
+        y = right[(comp[right] != comp[x]) & ((doc[right] > doc[x]) if i == j else True)]
+        if len(y):
+            y = y[(sig[y] == sig[x]).mean(axis=1) >= ESTIMATE]
+        if len(y):
+            y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == key]
+        if len(y):
+            yield x, y
+
+
+def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(g: pd.DataFrame) -> pd.DataFrame:
+        hit = sorted({k for x, y in _likely(g) for k in (x, *y)})
+        return g.iloc[hit]
+
+    return _by_tile(batches, rows)
+
+
+def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of each block pair, without those that links found before already imply."""
+
+    def links(g: pd.DataFrame) -> pd.DataFrame:
+        sets = list(shingle_sets(g["text"].fillna("").tolist()))
+        doc, root, out = g["doc"].tolist(), {c: c for c in g["comp"]}, []
+        comp = g["comp"].tolist()
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        for x, many in _likely(g):
+            for y in many:
+                a, b = top(comp[x]), top(comp[y])
+                if a != b and _similar(sets[x], sets[y]):
+                    root[max(a, b)] = min(a, b)
+                    out.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return _by_tile(batches, links)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     keyed = reps.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = written(keyed.join(written(sizes), "key"))
+    met = written(keyed.join(written(sizes).hint("merge"), "key"))  # both sides grow with the rows
     often = written(met.groupBy("doc").agg(F.sum("n").alias("met")))
     leaders = written(met.join(often, "doc").groupBy("key").agg(F.max_by("doc", F.struct("met", -F.col("doc"))).alias("leader")))
     star = met.join(leaders, "key").filter("doc <> leader").select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
@@ -225,10 +265,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = labelled.drop("n").join(written(still.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))), "key")
     split = split.withColumn("side", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     split = written(split.select("doc", "comp", "key", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
-    signs = written(only_ids(reps.select(F.col("doc_id").alias("doc"), "sig"), "doc", written(split.select("doc").distinct())))
-    tiles = split.join(signs.dropDuplicates(["doc"]), "doc").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc", "comp", "side", "sig")
-    more = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(_blocks, "a long, b long").distinct()
-    links = links.union(confirmed(more.join(star, ["a", "b"], "left_anti"), docs))
+    ids = written(split.select("doc").distinct())
+    signs = written(only_ids(reps.select(F.col("doc_id").alias("doc"), "sig", "bands"), "doc", ids).dropDuplicates(["doc"]))
+    tiles = split.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc", "comp", "side").join(signs, "doc")
+    tiles = tiles.select("key", "i", "j", "doc", "comp", "side", "sig", "bands")
+    close = written(tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(_close, tiles.schema))
+    texts = written(only_ids(docs.toDF("doc", "text"), "doc", written(close.select("doc").distinct())))
+    more = close.join(texts, "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(_compared, "a long, b long")
+    links = links.union(written(more.distinct()))
     repeated = members.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.count("*").alias("n")).filter("n > 1")
     links = links.union(members.join(written(repeated.select("doc_id")), "doc_id", "left_semi").filter("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
 
