@@ -48,11 +48,10 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of df whose key is in ids (one column, distinct, already written); broadcast only below BROADCAST_IDS."""
-    n = ids.count()
+def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of df whose key is (left_anti: is not) in ids (one column, distinct, already written); broadcast only up to BROADCAST_IDS."""
     right = ids.toDF(key)
-    return df.join(F.broadcast(right) if n <= BROADCAST_IDS else right, key, "left_semi")
+    return df.join(F.broadcast(right) if ids.count() <= BROADCAST_IDS else right, key, how)
 
 
 def min_label_components(edges: DataFrame) -> DataFrame:

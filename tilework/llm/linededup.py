@@ -134,6 +134,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return cut.select(*(F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), "_cut.removed_lines", "_cut.removed_chunks")
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs after dedup_lines, n_chars counted anew; documents of which nothing is left go, those empty before stay."""
+    cut = dedup_lines(docs).filter((F.col("removed_chunks") == 0) | (F.trim("text") != ""))
+    return cut.withColumn("n_chars", F.when(F.col("removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
 def _nameless(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []

@@ -158,33 +158,54 @@ class _Words(dict):
         return found
 
 
+class Scorer:
+    """A text's score and its offending sentences under a model."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.words = model, _Words(model.weights)
+        self.bare = float(np.log1p(-1 / (1 + np.exp(-model.bias))))
+        self.none = float(np.log1p(-min(model.leak, 1 - 1e-12)))
+
+    def __call__(self, text: str | None) -> tuple[float, list[dict]]:
+        clean, found = self.none, []
+        for start, end, words in sentences(text or ""):
+            bag = set().union(*filter(None, map(self.words.__getitem__, words)))
+            if not bag:
+                clean += self.bare
+                continue
+            z = self.model.bias + sum(map(self.model.weights.__getitem__, bag))
+            p = 1 / (1 + np.exp(-min(max(z, -40.0), 27.0)))
+            clean += float(np.log1p(-p))
+            if p >= OFFENDING:
+                found.append({"start": start, "end": end, "score": float(p)})
+        return float(-np.expm1(clean)), found
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, predicted, sentences): sentences are those whose own probability reaches OFFENDING."""
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words_of = _Words(model.weights)
-        bare = np.log1p(-1 / (1 + np.exp(-model.bias)))
+        scorer = Scorer(model)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                clean, found = float(np.log1p(-min(model.leak, 1 - 1e-12))), []
-                for start, end, words in sentences(text or ""):
-                    bag = set().union(*filter(None, map(words_of.__getitem__, words)))
-                    if not bag:
-                        clean += bare
-                        continue
-                    z = model.bias + sum(map(model.weights.__getitem__, bag))
-                    p = 1 / (1 + np.exp(-min(max(z, -40.0), 27.0)))
-                    clean += np.log1p(-p)
-                    if p >= OFFENDING:
-                        found.append({"start": start, "end": end, "score": float(p)})
-                value = float(-np.expm1(clean))
-                rows.append((doc, value, int(value >= 0.5), found))
+            rows = [(doc, value, int(value >= 0.5), found) for doc, (value, found) in zip(batch["doc_id"], map(scorer, batch["text"]), strict=True)]
             yield pd.DataFrame(rows, columns=["doc_id", "score", "predicted", "sentences"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(scored, SCORED)
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without those that a model fitted on docs and labels scores 0.5 or more."""
+    model = fit(docs, labels)
+
+    @F.pandas_udf("double")
+    def value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(model)
+        for texts in batches:
+            yield pd.Series([scorer(t)[0] for t in texts], dtype="float64")
+
+    return docs.filter(value("text") < 0.5)
+
+
 def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = score(docs, fit(docs, labels))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "sentences")
