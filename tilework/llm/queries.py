@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, linededup, mainhtml, minhash, packing, pii, topk, toxicity
+from . import ann, chat, linededup, mainhtml, minhash, packing, pii, sampling, topk, toxicity
 from .common import table, vocabulary
 
 
@@ -30,6 +30,10 @@ def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sample(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), ids=False)
+
+
 def op7_mainhtml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.extract(table(spark, sf_dir, "pages"))
 
@@ -46,5 +50,5 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op6_sampling": op6_sampling, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
 ORACLES: dict[str, str] = {"op5_topk": topk.SQL}
