@@ -1 +1,200 @@
-"""Queries."""
+"""Queries on catalogs, files and text properties."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+from .registry import query
+from .views import boxes, points, table
+
+
+@query("select p_partkey as id, trim(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') as slug, trim(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', ' ', 'g')) as folded from part")
+def text_normalisers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B11"""
+    text = F.concat_ws(" ", "p_name", "p_brand")
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), S.slug(text).alias("slug"), S.folded(text).alias("folded"))
+
+
+@query("""select p_partkey as id, case when p_partkey % 3 = 0 then cast(p_size as double) + 0.5 else null end as first_number,
+  case when p_partkey % 3 = 0 then least(greatest(p_size + 0.5, 1.5), 30.0) when p_size % 9 between 1 and 7 then case cast(p_size % 9 as integer) when 1 then 10.0 when 2 then 8.0 when 3 then 7.0 when 4 then 6.0 when 5 then 5.0 when 6 then 2.5 else 1.5 end else 4.0 end::double as width,
+  case when p_partkey % 3 = 0 then 'source' when p_size % 9 between 1 and 7 then 'importance' else 'default' end as method from part""")
+def road_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Width from a property text with decimal comma, else by importance."""
+    props = F.create_map(F.lit("Largeur"), F.when(F.col("p_partkey") % 3 == 0, F.concat(F.col("p_size").cast("string"), F.lit(",5 m"))).otherwise(F.lit("true")))
+    value = S.numeric_property(props, ["largeur_de_chaussee", "largeur"])
+    width, method = S.road_width(value, F.col("p_size") % 9)
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), value.alias("first_number"), width.alias("width"), method.alias("method"))
+
+
+@query("""select page_id, coalesce(cast(nullif(regexp_extract(lower(n), 'epsg(?::|::|/)([0-9]+)', 1), '') as integer), case when page_id % 2 = 0 then 4326 else 2154 end) as epsg
+from (select page_id, case when page_id % 3 = 0 then 'urn:ogc:def:crs:EPSG::' || (2154 + page_id % 5) else url end as n from pages)""")
+def crs_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 B2"""
+    name = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("urn:ogc:def:crs:EPSG::"), (2154 + F.col("page_id") % 5).cast("string"))).otherwise(F.col("url"))
+    x = F.when(F.col("page_id") % 2 == 0, F.lit(2.5)).otherwise(F.lit(700_000.0))
+    y = F.when(F.col("page_id") % 2 == 0, F.lit(46.0)).otherwise(F.lit(6_600_000.0))
+    return table(spark, sf_dir, "pages").select("page_id", S.inferred_epsg(S.declared_epsg(name), x, y).alias("epsg"))
+
+
+@query("select page_id, case when regexp_matches(p, '^([A-Za-z]:)?[/\\\\]') then 'absolute' when regexp_matches(p, '(^|/)[.][.](/|$)') then 'parent' when regexp_matches(p, '[\\\\:?#]') then 'character' when length(p) = 0 then 'empty' end as reason from (select page_id, case page_id % 4 when 0 then url when 1 then '/srv/' || page_id when 2 then '../x' else 'tiles/' || page_id || '.json' end as p from pages)")
+def path_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B20"""
+    k = F.col("page_id")
+    path = F.when(k % 4 == 0, F.col("url")).when(k % 4 == 1, F.concat(F.lit("/srv/"), k.cast("string"))).when(k % 4 == 2, "../x").otherwise(F.concat(F.lit("tiles/"), k.cast("string"), F.lit(".json")))
+    return table(spark, sf_dir, "pages").select(k, S.unsafe_path(path).alias("reason"))
+
+
+@query("select id, 'tree_' || substr(sha256(id || '|' || category), 1, 24) as stable_id, cast(('0x' || substr(sha256(id || '|' || category), 1, 16))::ubigint % 7 as bigint) as pick from boxes", "boxes")
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B19"""
+    parts = F.col("id").cast("string"), F.col("category")
+    return boxes(spark, sf_dir).select("id", S.stable_id("tree", *parts).alias("stable_id"), (S.seed64(*parts) % 7).cast("long").alias("pick"))
+
+
+@query("select category, count(*) as n, count(distinct brand) as brands, string_agg(cast(id as varchar), ',' order by id) as pool from boxes group by category", "boxes")
+def catalog_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D19"""
+    return boxes(spark, sf_dir).groupBy("category").agg(F.count("*").alias("n"), F.count_distinct("brand").alias("brands"), F.array_join(F.array_sort(F.collect_list("id")), ",").alias("pool"))
+
+
+TAGS = {"metal": ["ring", "gear", "bolt"], "toy": ["gizmo", "widget"], "colour": ["red", "blue", "green"], "warm": ["hot", "red"]}
+
+
+@query("select id, coalesce(string_agg(distinct tag, ',' order by tag), '') as tags from boxes left join (values " + ", ".join(f"('{t}', '{f}')" for t, fs in TAGS.items() for f in fs) + ") v(tag, fragment) on contains(name, fragment) group by id", "boxes")
+def semantic_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags whose fragments occur, tested inside the row (a fixed list, no join)."""
+    hit = [F.when(F.exists(F.array(*map(F.lit, fragments)), lambda f: F.col("name").contains(f)), F.lit(tag)) for tag, fragments in sorted(TAGS.items())]
+    return boxes(spark, sf_dir).select("id", F.array_join(F.array_compact(F.array(*hit)), ",").alias("tags"))
+
+
+@query("select id, case when starts_with(name, 'small') then 'seedling' when category = 'PROMO' then 'sign' when category in ('ECONOMY', 'SMALL') then 'shrub' when contains(name, 'gear') then 'machine' else 'infrastructure' end as kind from boxes", "boxes")
+def category_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B13"""
+    name, category = F.col("name"), F.col("category")
+    kind = F.when(name.startswith("small"), "seedling").when(category == "PROMO", "sign").when(category.isin("ECONOMY", "SMALL"), "shrub").when(name.contains("gear"), "machine").otherwise("infrastructure")
+    return boxes(spark, sf_dir).select("id", kind.alias("kind"))
+
+
+def best_assets(wanted: DataFrame, assets: DataFrame) -> DataFrame:
+    """For each wanted row (id, category, terms) the best asset (asset, category, asset_terms): most shared
+    terms, ties by a hash seed over the number of ties in asset order.
+
+    Terms meet by an equi-join of the exploded terms, so no wanted row meets assets it shares nothing with.
+    """
+    hits = wanted.select("id", "category", F.explode("terms").alias("term")).join(assets.select("asset", "category", F.explode("asset_terms").alias("term")), ["category", "term"])
+    scored = hits.groupBy("id", "asset").agg(F.count("*").alias("score"))
+    best = scored.groupBy("id").agg(F.max("score").alias("top"))
+    ties = scored.join(best, "id").filter("score = top")
+    ranked = ties.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("asset")) - 1).withColumn("n", F.count("*").over(Window.partitionBy("id")))
+    return ranked.filter(F.col("rank") == (S.seed64(F.col("id").cast("string"), F.col("top").cast("string")) % F.col("n"))).select("id", "asset", F.col("top").alias("score"))
+
+
+@query("""with w as (select o_orderkey as id, p_type as category, string_split(p_name, ' ') as terms from orders join part on p_partkey = o_custkey),
+a as (select p_partkey as asset, p_type as category, string_split(p_name, ' ') as asset_terms from part where p_partkey % 10 = 0),
+s as (select id, asset, len(list_intersect(terms, asset_terms)) as score from w join a using (category)),
+b as (select *, max(score) over (partition by id) as top from s where score > 0),
+r as (select *, row_number() over (partition by id order by asset) - 1 as rank, count(*) over (partition by id) as n from b where score = top)
+select id, asset, score from r where rank = ('0x' || substr(sha256(id || '|' || top), 1, 16))::ubigint % n""")
+def asset_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13"""
+    part = table(spark, sf_dir, "part")
+    words = F.split("p_name", " ")
+    wanted = table(spark, sf_dir, "orders").join(part, F.col("p_partkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("id"), F.col("p_type").alias("category"), words.alias("terms"))
+    assets = part.filter("p_partkey % 10 = 0").select(F.col("p_partkey").alias("asset"), F.col("p_type").alias("category"), words.alias("asset_terms"))
+    return best_assets(wanted, assets)
+
+
+@query("""with t as (select * from boxes where id % 4 = 1), d as (select * from boxes where id % 40 = 0),
+s as (select t.id, d.id as donor, 100 * cast(t.name = d.name as integer) + 10 * cast(t.brand = d.brand as integer) as score from t join d on t.category = d.category)
+select id, arg_min(donor, lpad(cast(1000 - score as varchar), 4, '0') || sha256(id || '|' || donor)) as donor, max(score) as score from s group by id""", "boxes")
+def fallback_donors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: the donor of the category with the best score, ties by a hash."""
+    rows = boxes(spark, sf_dir)
+    donors = rows.filter("id % 40 = 0").select(F.col("id").alias("donor"), "category", F.col("name").alias("dn"), F.col("brand").alias("db"))
+    score = 100 * (F.col("name") == F.col("dn")).cast("int") + 10 * (F.col("brand") == F.col("db")).cast("int")
+    met = rows.filter("id % 4 = 1").join(donors, "category").select("id", "donor", score.alias("score"))
+    order = F.struct(-F.col("score"), F.sha2(F.concat_ws("|", "id", "donor"), 256))
+    return met.groupBy("id").agg(F.min_by("donor", order).alias("donor"), F.max("score").alias("score"))
+
+
+@query("""with u as (select p_partkey % 500 as asset, p_size % 4 as tier, p_partkey as source from part), r as (select *, row_number() over (partition by asset order by tier desc, source) as k, count(*) over (partition by asset, tier) as same from u)
+select asset, tier, source, same > 1 as conflict from r where k = 1""")
+def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest tier of each asset; two sources of one tier are a conflict."""
+    rows = table(spark, sf_dir, "part").select((F.col("p_partkey") % 500).alias("asset"), (F.col("p_size") % 4).alias("tier"), F.col("p_partkey").alias("source"))
+    by_tier = rows.groupBy("asset", "tier").agg(F.min("source").alias("source"), F.count("*").alias("n"))
+    return by_tier.groupBy("asset").agg(F.max(F.struct("tier", "source", "n")).alias("b")).select("asset", "b.tier", "b.source", (F.col("b.n") > 1).alias("conflict"))
+
+
+@query("""select r.id, coalesce(c.id, v.id, r.id % 7) as chosen, case when c.id is not null then 'candidate' when v.id is not null then 'reviewed' else 'fallback' end as origin
+from boxes r left join (select id from boxes where id % 2 = 0) c on c.id = r.id left join (select id from boxes where id % 3 = 0) v on v.id = r.id""", "boxes")
+def library_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C16"""
+    rows = boxes(spark, sf_dir).select("id")
+    c, v = rows.filter("id % 2 = 0").withColumn("c", F.col("id")), rows.filter("id % 3 = 0").withColumn("v", F.col("id"))
+    joined = rows.join(c, "id", "left").join(v, "id", "left")
+    origin = F.when(F.col("c").isNotNull(), "candidate").when(F.col("v").isNotNull(), "reviewed").otherwise("fallback")
+    return joined.select("id", F.coalesce("c", "v", F.col("id") % 7).alias("chosen"), origin.alias("origin"))
+
+
+@query("""with l as (select url as path, length(html) as bytes from pages where page_id % 10 <> 3), r as (select url as path, length(html) + case when page_id % 17 = 0 then 1 else 0 end as bytes from pages where page_id % 10 <> 5),
+la as (select path, max(bytes) as bytes from l group by 1), ra as (select path, max(bytes) as bytes from r group by 1)
+select case when la.path is null then 'unexpected' when ra.path is null then 'missing' when la.bytes <> ra.bytes then 'size' else 'same' end as status, count(*) as files, cast(sum(coalesce(la.bytes, 0)) as bigint) as bytes
+from la full join ra on la.path = ra.path group by 1""")
+def listing_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two listings by path."""
+    pages = table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.length("html").cast("long").alias("bytes"), "page_id")
+    left = pages.filter("page_id % 10 <> 3").groupBy("path").agg(F.max("bytes").alias("l"))
+    right = pages.filter("page_id % 10 <> 5").groupBy("path").agg(F.max(F.col("bytes") + F.when(F.col("page_id") % 17 == 0, 1).otherwise(0)).alias("r"))
+    status = F.when(F.col("l").isNull(), "unexpected").when(F.col("r").isNull(), "missing").when(F.col("l") != F.col("r"), "size").otherwise("same")
+    return left.join(right, "path", "full").groupBy(status.alias("status")).agg(F.count("*").alias("files"), F.sum(F.coalesce("l", F.lit(0))).cast("long").alias("bytes"))
+
+
+@query("""with f as (select page_id, sha256(html) as h, strlen(html) as bytes, case when contains(url, 'blog') then 'blog' when contains(url, 'www') then 'www' else 'other' end as part from pages)
+select part, count(*) as files, cast(sum(bytes) as bigint) as bytes, sum(bytes) > 100000 as over_budget, min(h) as first_hash from f group by part""")
+def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by path class with bytes against a budget."""
+    part = F.when(F.col("url").contains("blog"), "blog").when(F.col("url").contains("www"), "www").otherwise("other")
+    rows = table(spark, sf_dir, "pages").select(part.alias("part"), F.octet_length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("h"))
+    return rows.groupBy("part").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), (F.sum("bytes") > 100_000).alias("over_budget"), F.min("h").alias("first_hash"))
+
+
+@query("""with refs as (select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as ref from pages), known as (select distinct '/' || p as ref from (select unnest(string_split(text, ' ')) as p from documents))
+select page_id, ref, count(*) as n from refs anti join known using (ref) group by 1, 2""")
+def unresolved_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References that no known path answers."""
+    refs = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("ref"))
+    known = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("p")).distinct().select(F.concat(F.lit("/"), "p").alias("ref"))
+    return refs.join(known, "ref", "left_anti").groupBy("page_id", "ref").agg(F.count("*").alias("n"))
+
+
+@query("""with b as (select id, id % 5 as variant, category from boxes where id % 50 = 0), s as (select * from (values ('forest', 1), ('village', 2), ('coast', 4), ('field', 3)) v(scene, bit))
+select scene, id as asset, row_number() over (partition by scene order by sha256(scene || '|' || id)) as place from b cross join s where id % 7 = 0 or (id // 50 % 8) & bit > 0""", "boxes")
+def slot_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets that fit a slot (universal or sharing a context), in hash order; the four slots are a fixed array in the row."""
+    assets = boxes(spark, sf_dir).filter("id % 50 = 0").select(F.col("id").alias("asset"))
+    slots = F.array(*(F.struct(F.lit(n).alias("scene"), F.lit(b).alias("bit")) for n, b in (("forest", 1), ("village", 2), ("coast", 4), ("field", 3))))
+    fits = assets.withColumn("s", F.explode(slots)).filter((F.col("asset") % 7 == 0) | (F.expr("asset div 50 % 8").bitwiseAND(F.col("s.bit")) > 0))
+    order = Window.partitionBy("s.scene").orderBy(F.sha2(F.concat_ws("|", "s.scene", F.col("asset").cast("string")), 256))
+    return fits.select("s.scene", "asset", F.row_number().over(order).alias("place"))
+
+
+@query("select n, day, slot, seconds, label from (select o_orderkey as n, o_orderkey // 10 + 1 as day, o_orderkey % 10 + 1 as slot, o_orderkey * 8640 as seconds, 'day_' || lpad(cast(o_orderkey // 10 + 1 as varchar), 5, '0') as label from orders)")
+def incident_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar of a state index, and the day read back from an id."""
+    day, slot, seconds = S.incident_calendar(F.col("o_orderkey") + 1, 10)
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n"), day.alias("day"), slot.alias("slot"), seconds.alias("seconds"))
+    named = rows.withColumn("capture", F.format_string("day_%05d_state_%03d", "day", "slot"))
+    return named.select("n", F.regexp_extract("capture", r"day_([0-9]+)_state", 1).cast("long").alias("day"), "slot", "seconds", F.regexp_extract("capture", "^(day_[0-9]+)", 1).alias("label"))
+
+
+@query("""with p as (select id, 1.5 + (id % 60) / 10.0 as lon, 44.0 + (id % 50) / 10.0 as lat from points),
+k as (select *, radians(lat) as f, 0.0818191910428158 as e, 0.7256077650532670 as n, 11754255.426096 as c from p),
+r as (select *, c * pow(tan(pi() / 4 - f / 2) / pow((1 - e * sin(f)) / (1 + e * sin(f)), e / 2), n) as rho, n * radians(lon - 3) as g from k)
+select id, round(700000 + rho * sin(g), 2) as east, round(12655612.049876 - rho * cos(g), 2) as north from r""", "points")
+def projected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3"""
+    east, north = S.lambert93(F.lit(1.5) + F.col("id") % 60 / 10.0, F.lit(44.0) + F.col("id") % 50 / 10.0)
+    return points(spark, sf_dir).select("id", F.round(east, 2).alias("east"), F.round(north, 2).alias("north"))
