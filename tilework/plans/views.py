@@ -57,7 +57,7 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dataset, event_id, valid_from, valid_to (seconds)."""
-    at = F.unix_seconds("ts")
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("dataset"), "event_id", at.alias("valid_from"), (at + F.floor(F.col("value") * 60)).alias("valid_to"))
 
 
