@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import written
+
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes, sha256 of every file below path."""
@@ -76,7 +78,7 @@ def capture_metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_tiles(df: DataFrame, path: str, tile: list[str], mode: str = "errorifexists") -> None:
-    """Rows partitioned by tile, sorted in each file; a tile's rows come from one task at most per salted half."""
+    """Rows partitioned by tile, sorted in each file; a tile's rows come from one task."""
     df.repartition(*tile).sortWithinPartitions(*df.columns).write.mode(mode).partitionBy(*tile).parquet(path)
 
 
@@ -103,9 +105,8 @@ def append_captures(df: DataFrame, path: str, key: str = "capture_id", layout: t
         stored = df.select(key).limit(0)
     repeated = df.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key)
     bad = stored.union(repeated).distinct()
-    refused = df.join(bad, key, "left_semi")
-    refused = refused.cache()
-    refused.count()
+    bad = written(bad)
+    refused = written(df.join(bad, key, "left_semi"))
     df.join(bad, key, "left_anti").write.mode("append").partitionBy(*layout).parquet(path)
     return refused
 
