@@ -92,13 +92,13 @@ def exact_top_k(vectors: DataFrame, every: int = 50) -> DataFrame:
 #: The same in SQL: all products, then the first K by score and id.
 SQL = f"""
 with v as (
-  select vec_id, list_transform(embedding, x -> cast(floor({SCALE} * cast(x as double)) as bigint)) as e
+  select vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) as e
   from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id,
-         cast(list_sum(list_transform(range(1, len(c.e) + 1), i -> q.e[i] * c.e[i])) as bigint) as score
+         cast(list_sum(list_transform(range(1, len(c.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) as score
   from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
   where q.vec_id % 50 = 0
 ), r as (
