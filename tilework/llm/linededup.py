@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_IDS, written
+from .common import written
 
 LONG_WORDS = 50
 LEAST_WORDS = 10
@@ -111,10 +111,9 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 
 def _per_document(rows: DataFrame, out: str) -> DataFrame:
-    """(doc_id, out: array of (line, h)), broadcast where its size allows."""
-    lists = written(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("line", "h")).alias(out)))
-    size = lists.agg(F.coalesce(F.sum(F.size(out) + 1), F.lit(0)).alias("n")).first()["n"]
-    return F.broadcast(lists) if size <= BROADCAST_IDS else lists
+    """(doc_id, out: array of (line, h)); it grows with the rows, so its joins shuffle at every size."""
+    lists = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("line", "h")).alias(out))
+    return written(lists).hint("merge")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
