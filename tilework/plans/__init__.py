@@ -1,4 +1,4 @@
 """Registered queries: importing the package fills the registry."""
 
 from . import registry  # noqa: F401
-from . import catalog, grids, quality, spatial, streams, timelines  # noqa: F401  isort: skip
+from . import catalog, grids, quality, scenes, spatial, streams, timelines  # noqa: F401  isort: skip
