@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 WINDOW = 3
 #: Elements without running text, elements whose content is raw, elements that end a line, void elements.
 SKIPPED = frozenset("nav header footer aside form menu dialog button select option label fieldset head noscript object audio video canvas map figcaption".split())
@@ -56,7 +58,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append((line, max(0, len(line) - linked), article > 0))
+                out.append((line, max(0, len(line) - line.count(" ") - linked), article > 0))
             text.clear()
         linked = 0
 
@@ -132,4 +134,4 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page."""
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
+    return text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
