@@ -42,7 +42,8 @@ def grid_quality(cells: DataFrame) -> DataFrame:
 
 
 def nearest_rank(value: str, p: float) -> Column:
-    return F.expr(f"percentile_disc({p}) within group (order by {value})")
+    """The value of rank ceil(p * n), of whole numbers."""
+    return F.expr(f"cast(percentile_disc({p}) within group (order by {value}) as bigint)")
 
 
 def degraded(cells: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .grids import nearest_rank
+
 
 def violations(df: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:
     """key and fault, one row per broken rule; a rule that is null is broken."""
@@ -30,7 +32,7 @@ def run_comparison(rows: DataFrame, left: str, right: str) -> DataFrame:
     tall = F.when(both, F.abs(F.col("l.height") - F.col("r.height")))
     return firsts.withColumn("dx", delta).withColumn("dh", tall).groupBy("tile").agg(
         F.count_if(both).alias("matched"), F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"),
-        F.expr("percentile_disc(0.5) within group (order by dx)").alias("dx_p50"), F.expr("percentile_disc(0.95) within group (order by dx)").alias("dx_p95"), F.max("dx").alias("dx_max"), F.max("dh").alias("dh_max"),
+        nearest_rank("dx", 0.5).alias("dx_p50"), nearest_rank("dx", 0.95).alias("dx_p95"), F.max("dx").alias("dx_max"), F.max("dh").alias("dh_max"),
     )
 
 
