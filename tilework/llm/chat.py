@@ -20,13 +20,12 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import held, text_batches, written
 
 #: The template's control strings.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -51,8 +50,11 @@ def framed(role: str, text: str) -> tuple[str, str, str]:
     return f"<s>[INST]{escape(role).replace('\n', '\\\n')}\n", escape(text), _TAIL
 
 
-@cache
 def _tokenizer(path: str):
+    return held(("chat", path), lambda: _loaded(path))
+
+
+def _loaded(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -170,7 +172,7 @@ def _read_back(tokenizer: str):
 
 def formatted(turns: DataFrame, tokenizer: str) -> DataFrame:
     """Digest of each conversation, read back from the tree."""
-    conversations = written(chains(turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")))
+    conversations = written(chains(text_batches(turns).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")))
     nodes = written(tree(conversations, tokenizer))
     count = F.octet_length("chain") / _STEP
     steps = conversations.select("conv_id", F.explode(F.transform(F.sequence(F.lit(0), count.cast("int") - 1), lambda k: F.struct(k.alias("depth"), F.substring(F.col("chain"), k * _STEP + 1, F.lit(_STEP)).alias("node")))).alias("s"))

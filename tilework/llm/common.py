@@ -1,13 +1,15 @@
-"""Helpers shared by the corpus operators: shared-folder tables, stable hashing, size-checked broadcasts."""
+"""Helpers shared by the corpus operators: tables, vocabularies, worker caches, size-checked broadcasts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoints import written
+from ..operators.graphs import components as min_label_components
+
 #: Ids that a broadcast may hold (8 bytes each, under 10 MB as a hash relation of longs per million
 #: halves of it); beyond it the join shuffles.
 BROADCAST_IDS = 200_000
@@ -17,35 +19,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary(name: str) -> str:
-    """The place of a public vocabulary file."""
-    import public_tokenizers
+#: Rows of an Arrow batch where rows are whole texts; the default of 10,000 lets a batch of long texts fill a worker.
+TEXT_ROWS = 1_000
 
-    return public_tokenizers.path(name)
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches held to TEXT_ROWS rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
+    return df
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; set here only where the session names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = current.get() if current.isDefined() else None
-    if not where:
-        where = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
+_held: dict = {}
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: df as a Parquet table in the shared folder, read back.
+def held(key, make: Callable):
+    """make(), kept in this Python worker under key.  A worker keeps one key at a time, so that the caches of
+    operators that ran before in it don't add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
 
-    Survives the loss of executors and keeps later joins' exchanges plain, so that
-    adaptive execution can split skewed partitions of either side.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tilework-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -54,20 +54,4 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") ->
     return df.join(F.broadcast(right) if ids.count() <= BROADCAST_IDS else right, key, how)
 
 
-def min_label_components(edges: DataFrame) -> DataFrame:
-    """Connected components of the undirected edges (a, b): one row (node, component), component the least node.
-
-    Minimum-label rounds with pointer jumping; every round is a written table, and the
-    loop ends when a round changes no label.  Isolated nodes are not in the result.
-    """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).toDF("node", "component"))
-    while True:
-        seen = both.join(labels.toDF("b", "seen"), "b").groupBy("a").agg(F.min("seen").alias("seen"))
-        step = labels.join(seen.withColumnRenamed("a", "node"), "node").select("node", F.least("component", "seen").alias("near"), F.col("component").alias("was"))
-        jump = labels.toDF("near", "far")
-        new = written(step.join(jump, "near").select("node", F.least("near", "far").alias("component"), "was"))
-        changed = new.filter("component <> was").limit(1).count()
-        labels = new.select("node", "component")
-        if not changed:
-            return labels
+__all__ = ["BROADCAST_IDS", "held", "min_label_components", "only_ids", "table", "text_batches", "vocabulary", "written"]

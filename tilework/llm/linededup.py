@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import held, text_batches, written
 
 LONG_WORDS = 50
 LEAST_WORDS = 10
@@ -66,6 +66,7 @@ def _hash(text: str) -> int:
 
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held("linededup", dict)
     for batch in batches:
         rows = []
         for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -118,7 +119,7 @@ def _per_document(rows: DataFrame, out: str) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with repeated chunks cut from text, and removed_lines, removed_chunks; all rows stay."""
-    hashed = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_hashed, "doc_id long, line int, h long"))
+    hashed = written(text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_hashed, "doc_id long, line int, h long"))
     often = written(hashed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     seen = hashed.join(often, "h", "left_semi")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import min_label_components, only_ids, written
+from .common import held, min_label_components, only_ids, text_batches, written
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 85, 100
@@ -122,6 +122,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held("minhash", dict)
     salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for batch in batches:
         rows = []
@@ -242,7 +243,7 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs; see the module's text."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = text_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = written(docs.mapInPandas(_signed, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary"))
     known = signed.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "h1", "h2"]

@@ -16,14 +16,13 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, written
+from .common import BROADCAST_IDS, held, text_batches, written
 
 CAPACITY = 2048
 WIDTH = 8
@@ -35,8 +34,11 @@ KEPT_WORDS = 1_500_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@cache
-def _encoder(path: str):
+def _encoder(path: str) -> WordIds:
+    return held(("packing", path), lambda: _loaded(path))
+
+
+def _loaded(path: str) -> WordIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -106,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
                 rows += [(doc, lo, min(CAPACITY, len(ids) - lo), zlib.crc32(ids[lo : lo + CAPACITY].tobytes()), len(ids)) for lo in range(0, len(ids), CAPACITY)]
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
 
 
 def _best_pattern(values: np.ndarray, units: int) -> np.ndarray:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import held, text_batches, written
 
 TRAIN_TOXIC, TRAIN_CLEAN = 4_000, 8_000
 FEATURES = 4_096
@@ -88,7 +88,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = _training_rows(docs, labels)
+    rows = _training_rows(text_batches(docs), labels)
     totals = {int(r["toxic"]): r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
@@ -185,12 +185,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, predicted, sentences): sentences are those whose own probability reaches OFFENDING."""
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("toxicity", dict)
         scorer = Scorer(model)
         for batch in batches:
             rows = [(doc, value, int(value >= 0.5), found) for doc, (value, found) in zip(batch["doc_id"], map(scorer, batch["text"]), strict=True)]
             yield pd.DataFrame(rows, columns=["doc_id", "score", "predicted", "sentences"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(scored, SCORED)
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(scored, SCORED)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -199,6 +200,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def value(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held("toxicity", dict)
         scorer = Scorer(model)
         for texts in batches:
             yield pd.Series([scorer(t)[0] for t in texts], dtype="float64")
