@@ -56,7 +56,7 @@ def degraded_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.degraded(cells(spark, sf_dir))
 
 
-@query("select tile, r // 2 as r, c // 2 as c, (sum(mnt_mm) * 2 + count(*)) // (2 * count(*)) as mnt_mm, (sum(mnt_mm) * 2 + count(*)) // (2 * count(*)) + greatest(max(mns_mm - mnt_mm), 0) as mns_mm, count(*) filter (mns_mm < mnt_mm) as negative from cells group by 1, 2, 3", "cells")
+@query("select tile, r // 2 as r, c // 2 as c, cast((sum(mnt_mm) * 2 + count(*)) // (2 * count(*)) as bigint) as mnt_mm, cast((sum(mnt_mm) * 2 + count(*)) // (2 * count(*)) as bigint) + greatest(max(mns_mm - mnt_mm), 0) as mns_mm, count(*) filter (mns_mm < mnt_mm) as negative from cells group by 1, 2, 3", "cells")
 def block_reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1"""
     return G.reduced_2x2(cells(spark, sf_dir))
@@ -225,7 +225,7 @@ def block_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with t as (select tile, count(*) filter (hag >= 200) as trees, count(*) filter (hag < 200) as low from (select *, {HAG} as hag from cells) group by tile)
-select tile, trees, low, 0 as is_zone from t union all select null, sum(trees), sum(low), 1 from t""", "cells")
+select tile, trees, low, 0 as is_zone from t union all select null, cast(sum(trees) as bigint), cast(sum(low) as bigint), 1 from t""", "cells")
 def zone_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile counts and the zone's totals in one rollup."""
     found = hag(spark, sf_dir).rollup("tile").agg(F.count_if(F.col("hag") >= 200).alias("trees"), F.count_if(F.col("hag") < 200).alias("low"), F.grouping("tile").cast("int").alias("is_zone"))
