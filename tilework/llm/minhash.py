@@ -280,3 +280,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = min_label_components(links)
     found = members.join(labels.toDF("rep", "component"), "rep", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+#: The same in SQL: all shingles joined, all links, the least document that each reaches.
+SQL = r"""
+with w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') as words
+  from documents
+), s as (
+  select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as shingles
+  from w
+), e as (select doc_id, unnest(shingles) as x from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+l as (select p.a, p.b from p join s x on x.doc_id = p.a join s y on y.doc_id = p.b where 100 * k >= 85 * (len(x.shingles) + len(y.shingles) - k)),
+u as (select a, b from l union select b, a from l),
+reached as (with recursive r as (select doc_id as node, doc_id as seen from documents union select r.node, u.b from r join u on u.a = r.seen) select node, min(seen) as component_id from r group by node)
+select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id, doc_id = component_id as kept from s join reached on node = doc_id
+"""

@@ -51,4 +51,4 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op6_sampling": op6_sampling, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
-ORACLES: dict[str, str] = {"op5_topk": topk.SQL}
+ORACLES: dict[str, str] = {"op5_topk": topk.SQL, "op10_minhash": minhash.SQL}
