@@ -215,3 +215,27 @@ def test_sink_may_see_a_batch_again(spark, tmp_path):
     for batch, epoch in ((a, 0), (b, 1), (b, 1)):
         sink(batch, epoch)
     assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "s")).collect()) == [1, 2, 3]
+
+
+def test_every_outline_corner_is_entered_as_often_as_left(spark):
+    from tilework.operators import inventory
+
+    members = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (1, 1, 1), (1, 2, 2)], "tile long, r int, c int")
+    sides = [tuple(r) for r in inventory.outlines(members).select("r0", "c0", "r1", "c1").collect()]
+    assert sorted(s[:2] for s in sides) == sorted(s[2:] for s in sides)
+    assert sum(a * d - c * b for a, b, c, d in sides) in (8, -8)
+
+
+def test_inventory_profiles_and_bad_grids(spark):
+    from tilework.operators import inventory
+
+    flat = plane(spark, 20).withColumn("vegetation", F.lit(True)).withColumn("footprint", F.lit(None).cast("long"))
+    inside = F.col("r").between(5, 10) & F.col("c").between(5, 10)
+    roof = flat.withColumn("mns_mm", F.when(inside, F.col("mnt_mm") + 7345).otherwise(F.col("mns_mm"))).withColumn("footprint", F.when(inside, F.lit(7)).cast("long")).withColumn("vegetation", ~inside)
+    for profile in ("v1", "v2"):
+        got = inventory.placement_inventory(roof, profile).filter("family = 'building'").collect()
+        assert [(r["status"], r["area"]) for r in got] == [("valid", 36)] and got[0]["height_cm"] in range(730, 740)
+    bad = roof.withColumn("mns_mm", F.when(F.col("r") == 0, F.col("mnt_mm") - 5000).otherwise(F.col("mns_mm")))
+    assert inventory.placement_inventory(bad, "v2").count() == 0
+    with pytest.raises(Exception, match="misaligned"):
+        inventory.placement_inventory(bad, "v2", "fail").collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graphs
 from ..operators import grids as G
+from ..operators import inventory as I
 from .registry import query
 from .views import cells, table
 
@@ -250,3 +251,34 @@ def refined_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     three = F.sequence(F.lit(0), F.lit(2))
     fine = members.withColumn("a", F.explode(three)).withColumn("b", F.explode(three))
     return fine.groupBy("tile").agg(F.count("*").alias("kept"))
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cells with a vegetation mask and square footprints on some blocks."""
+    block = F.expr("r div 8") * 4 + F.expr("c div 8")
+    footprint = F.when((F.col("tile") + block) % 5 == 0, F.col("tile") * 100 + block)
+    return cells(spark, sf_dir).withColumn("vegetation", (F.col("r") * 7 + F.col("c")) % 4 != 0).withColumn("footprint", footprint)
+
+
+@query(f"""with s as (select tile, {HAG} as hag, case when (tile + r // 8 * 4 + c // 8) % 5 = 0 then tile * 100 + r // 8 * 4 + c // 8 end as footprint from cells),
+g as (select tile, footprint as id, count(*) as area, quantile_disc(hag, 0.95) as height_cm from s where footprint is not null group by 1, 2)
+select tile, id, area, height_cm, case when height_cm < 200 then 'ambiguous' else 'valid' end as status from g""", "cells")
+def inventory_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I10 v2, the buildings: one candidate per footprint."""
+    return I.placement_inventory(sites(spark, sf_dir), "v2").filter("family = 'building'").select("tile", "id", "area", "height_cm", "status")
+
+
+@query()
+def inventory_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I9 I10 v1 B29 B30: candidates by tile, family and status."""
+    return I.placement_inventory(sites(spark, sf_dir), "v1").groupBy("tile", "family", "status").agg(F.count("*").alias("candidates"), F.sum("area").alias("area"), F.max("height_cm").alias("top"))
+
+
+@query(f"""with m as (select tile, r, c from (select *, {HAG} as hag from cells) where hag >= 1000), s as (select * from (values (-1, 0), (1, 0), (0, -1), (0, 1)) v(dr, dc)),
+b as (select m.tile, m.r, m.c, dr, dc from m cross join s anti join (select tile, r as nr, c as nc from m) x on x.tile = m.tile and x.nr = m.r + dr and x.nc = m.c + dc),
+d as (select tile, r + cast(dr = 1 or dc = -1 as integer) as r0, c + cast(dr = 1 or dc = 1 as integer) as c0 from b)
+select tile, count(*) as sides, count(distinct r0 * 1000 + c0) as corners from d group by tile""", "cells")
+def outline_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H8: directed sides of the outlines and the corners they start at."""
+    sides = I.outlines(hag(spark, sf_dir).filter("hag >= 1000"))
+    return sides.groupBy("tile").agg(F.count("*").alias("sides"), F.count_distinct(F.col("r0") * 1000 + F.col("c0")).alias("corners"))
