@@ -27,6 +27,8 @@ from .common import BROADCAST_IDS, held, text_batches, written
 CAPACITY = 2048
 WIDTH = 8
 END_ID = 1
+#: How far prices are drawn to the best bound's, and the share above the bound at which the program counts as solved.
+SMOOTHING, GAP = 0.8, 0.0005
 #: Pieces of one salt of one class at about this many.
 RANKED = 500_000
 #: Words whose ids a worker keeps.
@@ -137,12 +139,23 @@ def patterns(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
     basis = np.diag([float(units // (i + 1)) for i in live])
     inverse = np.diag(1 / np.diag(basis))
     amount = inverse @ demand[live]
-    for _ in range(20 * units):
-        price = np.ones(len(live)) @ inverse
+    centre, bound = np.zeros(len(live)), 0.0
+
+    def priced(price: np.ndarray) -> np.ndarray:
         values = np.full(units, -1.0)
         values[live] = price
-        column = _best_pattern(values, units)[live]
+        return _best_pattern(values, units)[live]
+
+    for _ in range(20 * units):
+        price = np.ones(len(live)) @ inverse
+        smooth = SMOOTHING * centre + (1 - SMOOTHING) * price  # prices swing less around the best bound's
+        column = priced(smooth)
+        below = np.maximum(smooth, 0) @ demand[live] / max(1.0, smooth @ column)
+        if below > bound:
+            centre, bound = np.maximum(smooth, 0) / max(1.0, smooth @ column), below
         if price @ column <= 1 + 1e-7:
+            column = priced(price)
+        if price @ column <= 1 + 1e-7 or amount.sum() <= bound * (1 + GAP):
             break
         step = inverse @ column
         ratio = np.full(len(live), np.inf)
