@@ -81,14 +81,18 @@ def best_assets(wanted: DataFrame, assets: DataFrame) -> DataFrame:
     """For each wanted row (id, category, terms) the best asset (asset, category, asset_terms): most shared
     terms, ties by a hash seed over the number of ties in asset order.
 
-    Terms meet by an equi-join of the exploded terms, so no wanted row meets assets it shares nothing with.
+    Wanted rows of equal category and terms share one scoring; terms meet by an equi-join, so a profile meets no asset it
+    shares nothing with.
     """
-    hits = wanted.select("id", "category", F.explode("terms").alias("term")).join(assets.select("asset", "category", F.explode("asset_terms").alias("term")), ["category", "term"])
-    scored = hits.groupBy("id", "asset").agg(F.count("*").alias("score"))
-    best = scored.groupBy("id").agg(F.max("score").alias("top"))
-    ties = scored.join(best, "id").filter("score = top")
-    ranked = ties.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("asset")) - 1).withColumn("n", F.count("*").over(Window.partitionBy("id")))
-    return ranked.filter(F.col("rank") == (S.seed64(F.col("id").cast("string"), F.col("top").cast("string")) % F.col("n"))).select("id", "asset", F.col("top").alias("score"))
+    key = ["category", "terms"]
+    profiles = wanted.select(*key).distinct().withColumn("term", F.explode(F.array_distinct("terms")))
+    scored = profiles.join(assets.select("asset", "category", F.explode(F.array_distinct("asset_terms")).alias("term")), ["category", "term"]).groupBy(*key, "asset").agg(F.count("*").alias("score"))
+    every = Window.partitionBy(*key)
+    ties = scored.withColumn("top", F.max("score").over(every)).filter("score = top")
+    ranked = ties.withColumn("rank", F.row_number().over(every.orderBy("asset")) - 1)
+    sizes = ties.groupBy(*key).agg(F.count("*").alias("n"), F.max("top").alias("score"))
+    asked = wanted.select("id", *key).join(sizes, key).withColumn("rank", (S.seed64(F.col("id").cast("string"), F.col("score").cast("string")) % F.col("n")).cast("int"))
+    return asked.join(ranked.select(*key, "rank", "asset"), [*key, "rank"]).select("id", "asset", "score")
 
 
 @query("""with w as (select o_orderkey as id, p_type as category, string_split(p_name, ' ') as terms from orders join part on p_partkey = o_custkey),
