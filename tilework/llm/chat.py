@@ -33,6 +33,8 @@ _ESCAPED = re.compile("|".join(map(re.escape, ("\\", *CONTROL))))
 _HEAD = re.compile(r"<s>\[INST\]((?:[^\\\n]|\\.)*)\n", re.S)
 _TAIL = "[/INST]</s>"
 TRAINED = "assistant"
+#: Pieces encoded at once: an encoding holds far more than its ids.
+SLICE = 256
 NODE = "array<struct<node:binary,local:long,size:long>>"
 TREE = f"part int, leaf long, place long, node binary, depth int, root binary, n_tokens long, local long, position long, head array<int>, body array<int>, tail array<int>, loss boolean, path {NODE}"
 _STEP = 16
@@ -91,7 +93,7 @@ def _emitted(tokenizer: str):
                 work += [(leaf, chain, d, turns[d]) for d in range(shared // _STEP, len(chain) // _STEP)]
                 before, leaf = chain, leaf + 1
             pieces = [p for _, _, _, turn in work for p in framed(turn["role"], turn["text"])]
-            ids = [e.ids for e in encoder.encode_batch(pieces, add_special_tokens=False)]
+            ids = [e.ids for k in range(0, len(pieces), SLICE) for e in encoder.encode_batch_fast(pieces[k : k + SLICE], add_special_tokens=False)]
             rows = []
             for k, (of, chain, depth, turn) in enumerate(work):
                 head, body, tail = ids[3 * k : 3 * k + 3]
