@@ -132,6 +132,48 @@ def test_boundaries_resist_shifts():
     assert "\n".join("\n".join("\n".join(lines).split("\n")[lo:hi]) for lo, hi, _ in linededup.chunks("\n".join(lines))) == "\n".join(lines)
 
 
+def test_repeated_runs_of_lines_go_whole(spark):
+    rng = random.Random(11)
+    texts = []
+    for n, size in ((2, 30), (3, 20), (6, 10), (12, 8), (4, 15), (40, 2)):
+        passage = [words(rng, size) for _ in range(n)]
+        passage.insert(n // 2, "")
+        texts += ["\n".join([words(rng, 12) for _ in range(rng.randint(0, 4))] + passage + [words(rng, 12) for _ in range(rng.randint(0, 4))]) for _ in range(3)]
+    short = "\n".join(words(rng, 5) for _ in range(4))
+    texts += [words(rng, 12) + "\n" + short + "\n" + words(rng, 12) for _ in range(2)]
+    split = [t.split("\n") for t in texts]
+    gone = [set() for _ in texts]
+    for b in range(len(texts)):
+        for a in range(b):
+            for i in range(len(split[a])):
+                for j in range(len(split[b])):
+                    k = 0
+                    while i + k < len(split[a]) and j + k < len(split[b]) and split[a][i + k] == split[b][j + k]:
+                        k += 1
+                    while k and not split[b][j + k - 1]:
+                        k -= 1
+                    if k and split[b][j] and sum(len(x.split()) for x in split[b][j : j + k]) > 50:
+                        gone[b].update(range(j, j + k))
+    seen = set()
+    for b, t in enumerate(texts):
+        for lo, hi, n in linededup.chunks(t):
+            part = "\n".join(split[b][lo:hi])
+            if linededup._eligible(lo, hi, n) and part in seen:
+                gone[b].update(range(lo, hi))
+            seen.add(part)
+    want = [(b, "\n".join(x for k, x in enumerate(split[b]) if k not in gone[b]), len(gone[b])) for b in range(len(texts))]
+    assert sum(n for _, _, n in want) > 120
+    got = linededup.dedup_lines(docs(spark, enumerate(texts)), runs=True).collect()
+    assert sorted((r["doc_id"], r["text"], r["removed_lines"]) for r in got) == want
+    assert all((r["removed_chunks"] > 0) == (r["removed_lines"] > 0) for r in got)
+
+
+def test_runs_that_overlap_their_own_repeat_keep_one_copy(spark):
+    lines = ["one two three four five six seven eight nine ten eleven"] * 40
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs(spark, [(1, "\n".join(lines)), (2, "\n".join(lines))]), runs=True).collect()}
+    assert got[2] == "" and 0 < len(got[1].split("\n")) <= 5
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

@@ -1,15 +1,19 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by content-defined chunks of lines and by runs of lines.
 
 A rolling hash over the hashes of neighbouring lines chooses the chunk boundaries, so an insertion
 moves only the boundaries next to it.  A line of over 50 words is a chunk of its own (the boundaries
 on both its sides depend on that line alone).  Chunks of two or more lines with at least ten words,
-and those long lines, are compared over all documents: hashes find what repeats, the texts of the
-repeated ones are then grouped byte by byte, and every occurrence after the first (by doc_id, then
-place) goes.
+and those long lines, are compared over all documents.  So are, from every line on and up to every
+line, the shortest runs of lines that hold over 50 words: any repeated passage of over 50 words is
+covered by such runs that repeat, wherever the chunk boundaries fall.  Runs begin and end at lines with text.
+
+Hashes find what repeats, the texts of the repeated ones are then grouped byte by byte, and the lines of
+every occurrence after the first (by doc_id, then place) go; lines that the first occurrence holds itself
+(runs that overlap their own repeat) stay.
 
 Null and empty texts have no chunks and stay as they are.  Rows with a null doc_id keep all lines but
 count as earlier occurrences.  Rows that share a doc_id are one document's: equal chunks at the same
-place of both stay.
+place of both stay.  removed_chunks counts the chunks that lost lines.
 """
 
 from __future__ import annotations
@@ -61,93 +65,144 @@ def _eligible(first: int, after: int, words: int) -> bool:
     return words > LONG_WORDS or after - first >= 2 and words >= LEAST_WORDS
 
 
+def _runs(sizes: list[int]) -> set[tuple[int, int]]:
+    """(first line, line after the last) of the shortest runs of over LONG_WORDS words from each line on and up to each line."""
+    full, n = [k for k, size in enumerate(sizes) if size], 0
+    out, hi = set(), 0
+    for lo in range(len(full)):
+        while hi < len(full) and n <= LONG_WORDS:
+            n, hi = n + sizes[full[hi]], hi + 1
+        if n <= LONG_WORDS:
+            break
+        out.add((full[lo], full[hi - 1] + 1))
+        n -= sizes[full[lo]]
+    n, lo = 0, len(full)
+    for hi in range(len(full), 0, -1):
+        while lo > 0 and n <= LONG_WORDS:
+            lo -= 1
+            n += sizes[full[lo]]
+        if n <= LONG_WORDS:
+            break
+        out.add((full[lo], full[hi - 1] + 1))
+        n -= sizes[full[hi - 1]]
+    return out
+
+
+def spans(text: str, runs: bool) -> list[tuple[int, int]]:
+    """(first line, line after the last) of what is compared: eligible chunks and, if runs, the runs, each once."""
+    own = {(lo, hi) for lo, hi, words in chunks(text) if _eligible(lo, hi, words)}
+    if not runs:
+        return sorted(own)
+    return sorted(own | _runs([line.count(" ") + 1 if line else 0 for line in text.split("\n")]))
+
+
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held("linededup", dict)
-    for batch in batches:
-        rows = []
-        for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-            if text:
-                lines = text.split("\n")
-                rows += [(doc, lo, _hash("\n".join(lines[lo:hi]))) for lo, hi, words in chunks(text) if _eligible(lo, hi, words)]
-        yield pd.DataFrame(rows, columns=["doc_id", "line", "h"]).astype({"doc_id": "Int64"})
-
-
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The texts of the chunks named in seen, of one row's text."""
-    for batch in batches:
-        rows = []
-        for doc, text, seen in zip(batch["doc_id"], batch["text"], batch["seen"], strict=True):
-            if text:
-                lines, asked = text.split("\n"), {(x["line"], x["h"]) for x in seen}
-                for lo, hi, words in chunks(text):
-                    if _eligible(lo, hi, words):
-                        part = "\n".join(lines[lo:hi])
-                        if (lo, _hash(part)) in asked:
-                            rows.append((doc, lo, _hash(part), part))
-        yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+def _hashed(runs: bool):
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held("linededup", dict)
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                if text:
+                    lines = text.split("\n")
+                    rows += [(doc, lo, _hash("\n".join(lines[lo:hi]))) for lo, hi in spans(text, runs)]
+            yield pd.DataFrame(rows, columns=["doc_id", "line", "h"]).astype({"doc_id": "Int64"})
+
+    return hashed
+
+
+def _texts(runs: bool):
+    """The texts of the spans named in seen, of one row's text."""
+
+    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, text, seen in zip(batch["doc_id"], batch["text"], batch["seen"], strict=True):
+                if text:
+                    lines, asked = text.split("\n"), {(x["line"], x["h"]) for x in seen}
+                    starts = {line for line, _ in asked}
+                    for lo, hi in spans(text, runs):
+                        if lo in starts:
+                            part = "\n".join(lines[lo:hi])
+                            if (lo, _hash(part)) in asked:
+                                rows.append((doc, lo, _hash(part), part))
+            yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+
+    return texts
 
 
 _CUT = T.StructType().add("text", "string").add("removed_lines", "integer").add("removed_chunks", "integer")
 
 
 @F.pandas_udf(_CUT)
-def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+def _without(texts: pd.Series, gone: pd.Series, with_runs: pd.Series) -> pd.DataFrame:
     out = []
-    for text, marks in zip(texts, gone, strict=True):
+    for text, marks, runs in zip(texts, gone, with_runs, strict=True):
         if text is None or marks is None or not len(marks):
             out.append((text, 0, 0))
             continue
-        lines, asked, kept, n, spans = text.split("\n"), {(x["line"], x["h"]) for x in marks}, [], 0, 0
-        for lo, hi, words in chunks(text):
-            if _eligible(lo, hi, words) and (lo, _hash("\n".join(lines[lo:hi]))) in asked:
-                n, spans = n + hi - lo, spans + 1
-            else:
-                kept += lines[lo:hi]
-        out.append(("\n".join(kept), n, spans))
+        lines, asked = text.split("\n"), {(x["line"], x["h"]): x["own"] for x in marks}
+        starts = {line for line, _ in asked}
+        cut = set()
+        for lo, hi in spans(text, runs):
+            if lo not in starts:
+                continue
+            h = _hash("\n".join(lines[lo:hi]))
+            own = asked.get((lo, h), lo)
+            if own == lo:
+                continue
+            after = own + hi - lo
+            if own < 0 or after <= lo or _hash("\n".join(lines[own:after])) != h:  # the last: another row of the document holds it
+                after = lo
+            cut.update(range(after, hi))
+        kept = [line for k, line in enumerate(lines) if k not in cut]
+        out.append(("\n".join(kept) if cut else text, len(cut), sum(any(k in cut for k in range(lo, hi)) for lo, hi, _ in chunks(text)) if cut else 0))
     return pd.DataFrame(out, columns=["text", "removed_lines", "removed_chunks"])
 
 
 def _per_document(rows: DataFrame, out: str) -> DataFrame:
-    """(doc_id, out: array of (line, h)); it grows with the rows, so its joins shuffle at every size."""
-    lists = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("line", "h")).alias(out))
+    """(doc_id, out: array of the other columns); it grows with the rows, so its joins shuffle at every size."""
+    lists = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct([c for c in rows.columns if c != "doc_id"])).alias(out))
     return written(lists).hint("merge")
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs with repeated chunks cut from text, and removed_lines, removed_chunks; all rows stay."""
-    hashed = written(text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_hashed, "doc_id long, line int, h long"))
+def dedup_lines(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """docs with repeated chunks (runs: and repeated runs of lines) cut from text, and removed_lines, removed_chunks; all rows stay."""
+    hashed = written(text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_hashed(runs), "doc_id long, line int, h long"))
     often = written(hashed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     seen = hashed.join(often, "h", "left_semi")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     asked = own.join(_per_document(seen, "seen"), "doc_id")
-    parts = asked.mapInPandas(_texts, "doc_id long, line int, h long, part string")
-    nameless = own.filter("doc_id is null").withColumn("line", F.lit(0)).mapInPandas(_nameless, "doc_id long, line int, h long, part string")
+    parts = asked.mapInPandas(_texts(runs), "doc_id long, line int, h long, part string")
+    nameless = own.filter("doc_id is null").withColumn("line", F.lit(0)).mapInPandas(_nameless(runs), "doc_id long, line int, h long, part string")
     parts = written(parts.union(nameless))
     first = written(parts.groupBy("h", "part").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).filter("n > 1"))
-    later = parts.join(first, ["h", "part"]).filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line", "h")
+    later = parts.join(first, ["h", "part"]).filter(F.struct("doc_id", "line") != F.col("first"))
+    later = later.select("doc_id", "line", "h", F.when(F.col("first.doc_id") == F.col("doc_id"), F.col("first.line")).otherwise(-1).alias("own"))
     gone = _per_document(later, "gone")
-    cut = docs.join(gone.toDF("_doc", "_gone"), F.col("doc_id").cast("long") == F.col("_doc"), "left").withColumn("_cut", _without("text", "_gone"))
+    cut = docs.join(gone.toDF("_doc", "_gone"), F.col("doc_id").cast("long") == F.col("_doc"), "left").withColumn("_cut", _without("text", "_gone", F.lit(runs)))
     return cut.select(*(F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), "_cut.removed_lines", "_cut.removed_chunks")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs after dedup_lines, n_chars counted anew; documents of which nothing is left go, those empty before stay."""
-    cut = dedup_lines(docs).filter((F.col("removed_chunks") == 0) | (F.trim("text") != ""))
+    cut = dedup_lines(docs, runs=True).filter((F.col("removed_chunks") == 0) | (F.trim("text") != ""))
     return cut.withColumn("n_chars", F.when(F.col("removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
-def _nameless(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            if text:
-                lines = text.split("\n")
-                for lo, hi, words in chunks(text):
-                    if _eligible(lo, hi, words):
+def _nameless(runs: bool):
+    def nameless(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                if text:
+                    lines = text.split("\n")
+                    for lo, hi in spans(text, runs):
                         part = "\n".join(lines[lo:hi])
                         rows.append((None, lo, _hash(part), part))
-        yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+
+    return nameless

@@ -27,7 +27,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
 
 
 def op6_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
