@@ -8,12 +8,13 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tilework.llm import ann, chat, linededup, mainhtml, minhash, packing, pii, sampling, topk, toxicity
+from tilework.llm import ann, chat, linededup, mainhtml, minhash, packing, pii, queries, sampling, topk, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -407,6 +408,16 @@ def test_encoding_decodes_and_does_not_depend_on_partitions(spark, awkward):
     assert sampling.sample(docs(spark, []), PIECES).count() == 0
 
 
+def test_sampling_query_returns_the_ids_and_runs_its_decode(spark, sf_dir, monkeypatch):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    lat, got = sampling.lattices(PIECES), queries.op6_sampling(spark, sf_dir).collect()
+    assert len(got) > len(texts) and all(r["decoded"] and len(r["ids"]) == r["n_pieces"] for r in got)
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in got)
+    assert all(lat.model.decode(r["ids"]) == sampling.shown(lat.model.normalize(texts[r["doc_id"]] or "")) for r in got[:200])
+    monkeypatch.setattr(sampling.Lattices, "decode", lambda self, ids: "other")
+    assert not any(next(sampling._encoded(PIECES, 2, True)(iter([pd.DataFrame({"doc_id": [1], "text": ["some text"]})])))["decoded"])
+
+
 PAGE = '<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><div class="ad">Buy</div><article><h1>Big &amp; small</h1><p>One  <b>two</b>\n three<br>four<p>Five</article><div id="comments"><p>Nice</p></div><form><p>f</p></form><footer>&copy; me</footer>'
 
 

@@ -31,7 +31,7 @@ def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), ids=False)
+    return sampling.sample(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op7_mainhtml(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,12 @@ def _doubled(a: np.ndarray, need: int) -> np.ndarray:
     return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, 2 * len(a)) - len(a), a.dtype)))
 
 
+def shown(normalized: str) -> str:
+    """normalized with spaces for the space marks, the leading one taken off."""
+    text = normalized.replace(_SPACE, " ")
+    return text[1:] if text.startswith(" ") else text
+
+
 class Lattices:
     """The lattices of units seen so far, as flat arrays of nodes and edges."""
 
@@ -238,8 +244,7 @@ class Lattices:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the pieces, the leading space of the encoding taken off."""
-        text = self.spelt(ids).decode("utf-8", "surrogatepass").replace(_SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return shown(self.spelt(ids).decode("utf-8", "surrogatepass"))
 
     def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """From each node to the end of its unit: (edges, their nodes) of all walks in order, and each walk's length."""
@@ -371,11 +376,11 @@ def _encoded(model: str, samples: int, ids: bool):
                 keys = np.array([0 if pd.isna(d) else int(d) & (1 << 64) - 1 for d in docs[lo:at]], np.uint64) * _C[0]
                 rows = []
                 for doc, text, (paths, next_bound) in zip(docs[lo:at], plain, sample_paths(lat, starts, keys, samples), strict=True):
-                    wanted = text.encode("utf-8", "surrogatepass")
+                    wanted = shown(text)
                     for rank, path in enumerate(paths, 1):
                         found = lat.piece[path.edges].astype("<u4")
                         value = float(lat.share[path.edges].sum())
-                        row = (doc, rank, len(found), zlib.crc32(found.tobytes()), value, -float(path.bound), float(-np.expm1(-np.exp(value + next_bound))) if next_bound < 700 - value else 1.0, lat.spelt(found) == wanted)
+                        row = (doc, rank, len(found), zlib.crc32(found.tobytes()), value, -float(path.bound), float(-np.expm1(-np.exp(value + next_bound))) if next_bound < 700 - value else 1.0, lat.decode(found) == wanted)
                         rows.append((*row, found.astype(np.int32)) if ids else row)
                 names = [x.split()[0] for x in SAMPLE.split(", ")]
                 yield pd.DataFrame(rows, columns=[*names, "ids"] if ids else names).astype({"doc_id": "Int64"})
@@ -384,7 +389,7 @@ def _encoded(model: str, samples: int, ids: bool):
 
 
 def sample(docs: DataFrame, model: str, samples: int = SAMPLES, ids: bool = True) -> DataFrame:
-    """One row per text and sample, best first; ids: also the piece ids."""
+    """One row per text and sample, best first; ids: also the piece ids.  decoded: whether decode gives the normalised text back."""
     own = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return own.mapInPandas(_encoded(model, samples, ids), SAMPLE + (", ids array<int>" if ids else ""))
 
