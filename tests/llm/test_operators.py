@@ -435,6 +435,32 @@ def test_main_text_leaves_link_blocks_outside():
     assert mainhtml.main_text(page) == "\n".join((("word " * 30).strip(), "Short.", ("more " * 20).strip()))
 
 
+@pytest.mark.parametrize("name", ["post hentry tag-news", "no-sidebar", "layout-with-sidebar", "entry no-comments", "side-by-side", "legal-analysis", "social-policy"])
+def test_main_text_keeps_elements_whose_class_only_contains_a_noise_word(name):
+    assert mainhtml.main_text(f'<div class="{name}"><p>A line of text</p></div>') == "A line of text"
+    assert mainhtml.main_text(f'<body class="{name} sidebar"><article class="tags {name}"><p>A line of text</p></article></body>') == "A line of text"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "x cookie-banner", "site-footer", "nav", "comments-area", "comment-list", "share_buttons"])
+def test_main_text_drops_whole_noise_classes(name):
+    assert mainhtml.main_text(f'<div class="{name}"><p>Noise of some length</p></div><p>A line of text</p>') == "A line of text"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<p title=" the hidden cost of">A line</p>', "A line"), ("<p hidden>no</p><p>A line</p>", "A line"), ('<p aria-hidden="true">no</p><p style="display: none">no</p><p>A line</p>', "A line"),
+    ("<article><h1><a href=1>Head</a></h1><p><a href=2>By one</a></p><p>A line</p><p><a href=3>Last</a></p></article>", "Head\nBy one\nA line\nLast"),
+    ("<select><option>a<option>b</select><p class=ad>Buy<p>A line", "A line"), ("<ul><li class=ad>Buy<li>A line</ul>", "A line"), ("<table><tr><td class=ad>Buy<td>A line</table>", "A line"),
+])
+def test_main_text_keeps_what_markup_only_seemed_to_drop(page, text):
+    assert mainhtml.main_text(page) == text
+
+
+def test_main_text_keeps_every_substantial_stretch():
+    links = "".join(f"<p><a href=/{k}>link {k}</a></p>" for k in range(5))
+    one, two = ("word " * 60).strip(), ("more " * 40).strip()
+    assert mainhtml.main_text(f"<div><p>{one}</p>{links}<p>{two}</p>{links}<p>x</p></div>") == f"{one}\n{two}"
+
+
 def test_pages_query_shape(spark):
     rows = spark.createDataFrame([(1, "u", PAGE), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     got = {r["page_id"]: r["n_chars"] for r in mainhtml.extract(rows).collect()}

@@ -1,13 +1,14 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped to lines, one per block element.  Lines of navigation, adverts, notices, forms, reader
-comments and the like are dropped by their element or its class, id or role; text of links weighs nothing.
+comments and the like are dropped by their element or a whole class, id or role of it; text of links weighs
+nothing, but for the headline of an article.
 The sums of line weights over sliding windows of three lines show where the text surges and where it
 dives; the lines between stay.  Inside an article or main element that is everything from the first
 surge to the last dive; elsewhere it is the surge-to-dive stretch that holds the most text.
 
 Null and empty pages, and pages without text, give an empty text.  Unclosed elements are closed by the
-end tag of an element around them or by the page's end; an unclosed comment, script or style runs to
+end tag of an element around them, by a start tag that implies it (p, li, cells, options) or by the page's end; an unclosed comment, script or style runs to
 the end.
 """
 
@@ -29,19 +30,39 @@ SKIPPED = frozenset("nav header footer aside form menu dialog button select opti
 RAW = frozenset("script style textarea title template iframe svg math xmp noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEADLINE = "h1"
+#: Weight from which a stretch outside article and main counts whatever the others weigh, and the share of the heaviest from which it counts in any case.
+SUBSTANTIAL, SHARE = 140, 0.25
+#: Elements that a start tag closes (the first found), and the elements that are looked through for them.
+_BLOCKS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+_THROUGH = INLINE | {"address", "div", "p"}
+_CELLS = INLINE | _BLOCKS - {"table"} | frozenset("li dd dt td th option".split())
+_ENDS = {"li": (("li",), _THROUGH), "dd": (("dd", "dt"), _THROUGH), "dt": (("dd", "dt"), _THROUGH), "option": (("option",), INLINE), "optgroup": (("optgroup",), INLINE | {"option"}),
+         "td": (("td", "th"), _CELLS), "th": (("td", "th"), _CELLS), "tr": (("tr",), _CELLS)}
+#: A class, id or role names noise if each of its parts is such a word or says where or what kind of block it is.
 _NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|widget|nav\w*|menu\w*|breadcrumbs?|footer|foot|header|masthead|cookie\w*|consent|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend\w*|comments?|comment-\w+|replies|respond|disqus\w*|discussion|pagination|pager|tags?|copyright|legal|hidden)(?=$|[\s_-])",
+    r"(?=.*?(?:^|[_-])(?=\w)(?!(?:site|main|global|primary|secondary|top|bottom|left|right|box|block|list|area|container|wrapper|bar|links|buttons|form|posts)(?:[_-]|$)))"
+    r"(?:(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|widget|nav|navbar|navigation|menu\w*|breadcrumbs?|footer|foot|header|masthead|cookie\w*|consent|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommend\w*|comments?|replies|respond|disqus\w*|discussion|pagination|pager|tags?|copyright|legal|hidden"
+    r"|site|main|global|primary|secondary|top|bottom|left|right|box|block|list|area|container|wrapper|bar|links|buttons|form|posts)(?:[_-]+|$))+|comment-\w+|disqus\w*",
     re.I,
 )
+#: Elements that hold the text or the page: their class names speak of the layout or the subject.
+_HOLDERS = frozenset("html body main article".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 
-def _noisy(attributes: str) -> bool:
+def _noisy(name: str, attributes: str) -> bool:
     if not attributes or attributes.isspace():
         return False
-    return bool(_HIDDEN.search(attributes)) or any(_NOISE.search(a or b or c) for a, b, c in _NAMES.findall(attributes))
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), a or b or c
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSHOWN.search(value):
+            return True
+        if key in ("class", "id", "role") and name not in _HOLDERS and any(_NOISE.fullmatch(x) for x in value.split()):
+            return True
+    return False
 
 
 def lines(page: str) -> list[tuple[str, int, bool]]:
@@ -50,7 +71,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     text: list[str] = []
     linked = 0
     open_: list[tuple[str, bool, bool]] = []  # name, skipped, article
-    skip = article = link = 0
+    skip = article = link = headline = 0
     at, end = 0, len(page)
 
     def close() -> None:
@@ -67,9 +88,25 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if piece and not skip:
             piece = html.unescape(piece)
             text.append(piece)
-            if link:
+            if link and not (headline and article):
                 linked += len("".join(piece.split()))
 
+    def end_from(where: int) -> None:
+        nonlocal skip, article, link, headline
+        for gone, skipped, own in open_[where:]:
+            skip -= skipped
+            article -= own
+            link -= gone == "a"
+            headline -= gone == HEADLINE
+        del open_[where:]
+
+    def imply(names: tuple[str, ...], through: frozenset[str]) -> None:
+        for k in range(len(open_) - 1, -1, -1):
+            if open_[k][0] in names:
+                return end_from(k)
+            if open_[k][0] not in through:
+                return None
+
     while at < end:
         m = _TOKEN.search(page, at)
         if not m:
@@ -85,18 +122,20 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if m[1]:
             where = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), -1)
             if where >= 0 and (name not in INLINE or all(x[0] in INLINE for x in open_[where:])):
-                for gone, skipped, own in open_[where:]:
-                    skip -= skipped
-                    article -= own
-                    link -= gone == "a"
-                del open_[where:]
-        elif name in RAW:
+                end_from(where)
+            continue
+        if name in _BLOCKS:
+            imply(("p",), INLINE)
+        elif name in _ENDS:
+            imply(*_ENDS[name])
+        if name in RAW:
             tail = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = tail.end() if tail else end
         elif name not in VOID and not m[3].endswith("/"):
-            skipped = name in SKIPPED or _noisy(m[3])
+            skipped = name in SKIPPED or _noisy(name, m[3])
             own = not skipped and name in ("article", "main")
             skip, article, link = skip + skipped, article + own, link + (name == "a")
+            headline += name == HEADLINE
             open_.append((name, skipped, own))
     close()
     return out
@@ -115,15 +154,15 @@ def main_text(page: str | None) -> str:
         elif not total and start is not None:
             runs.append((start, k))
             start = None
-    # a surge reaches one line before the text, the dive one line past it: the window's own edges
-    runs = [(lo + next((i for i, x in enumerate(kept[lo:hi]) if x[1]), 0), hi - next((i for i, x in enumerate(reversed(kept[lo:hi])) if x[1]), 0)) for lo, hi in runs]
     if not runs:
         return ""
     if inside:
-        lo, hi = runs[0][0], runs[-1][1]
-    else:
-        lo, hi = max(runs, key=lambda r: (sum(x[1] for x in kept[r[0] : r[1]]), -r[0]))
-    return "\n".join(x[0] for x in kept[lo:hi])
+        return "\n".join(x[0] for x in kept[runs[0][0] : runs[-1][1]])
+    # a surge reaches one line before the text, the dive one line past it: the window's own edges
+    runs = [(lo + next((i for i, x in enumerate(kept[lo:hi]) if x[1]), 0), hi - next((i for i, x in enumerate(reversed(kept[lo:hi])) if x[1]), 0)) for lo, hi in runs]
+    heavy = [sum(x[1] for x in kept[lo:hi]) for lo, hi in runs]
+    least = min(SUBSTANTIAL, SHARE * max(heavy))
+    return "\n".join(x[0] for (lo, hi), weight in zip(runs, heavy, strict=True) if weight >= least for x in kept[lo:hi])
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
