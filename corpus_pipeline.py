@@ -24,7 +24,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    copies = minhash.near_duplicates(docs, at=minhash.STAGE).filter(~F.col("kept")).select("doc_id").distinct()
     return only_ids(docs, "doc_id", written(copies), "left_anti").select(docs.columns)
 
 

@@ -87,6 +87,24 @@ def test_a_chain_of_copies_links_through_blocks(spark, monkeypatch):
     assert got == dict(enumerate(label))
 
 
+def test_the_stage_links_at_four_fifths(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        base = words(rng, 300).split()
+        other = list(base)
+        for at in range(6):
+            other[10 + 40 * at : 10 + 40 * at + k % 6] = [f"v{k}x{at}x{c}" for c in range(k % 6)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    sets = {i: shingles(t) for i, t in rows}
+    near = {b for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    between = {b for b in near if 100 * len(sets[b - 1] & sets[b]) < 85 * len(sets[b - 1] | sets[b])}
+    assert between and len(near) < 12
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r["doc_id"] for r in stage(spark, docs(spark, rows), "").collect()} == set(sets) - near
+    assert {r["doc_id"] for r in minhash.near_duplicates(docs(spark, rows)).filter("kept").collect()} == set(sets) - (near - between)
+
+
 def test_min_and_max_estimate_similarity():
     rng = np.random.default_rng(4)
     common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (900, 50, 50))

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,22 @@ PERMUTATIONS = BANDS * ROWS // 2
 #: Share of equal signature bytes at which a pair is compared on full sets; at similarity 0.85 the share's
 #: standard deviation is 0.03, so a link is lost only beyond four of them.
 ESTIMATE = 0.72
+
+
+class Setting(NamedTuple):
+    """A similarity (numerator / denominator) at which documents are linked, and the candidate search for it."""
+
+    numerator: int
+    denominator: int
+    bands: int
+    rows: int
+    estimate: float
+
+
+#: The contract of op10, and 0.8 for the stage on word shingles: a pair at exactly 0.8 shares none of the 30 bands of 5
+#: with probability 7e-6, and its share of equal bytes has a standard deviation of 0.033, of which 0.63 is five below.
+CONTRACT = Setting(NUMERATOR, DENOMINATOR, BANDS, ROWS, ESTIMATE)
+STAGE = Setting(80, 100, 30, 5, 0.63)
 #: Members per side of a block comparison.
 BLOCK = 256
 #: Bytes hashed at once.
@@ -110,43 +128,52 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Minimum and maximum of each permutation: 2 * PERMUTATIONS values."""
-    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(PERMUTATIONS, np.uint64)
+@cache
+def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n == PERMUTATIONS:
+        return _A, _B
+    rng = np.random.Generator(np.random.PCG64(20240229))
+    return rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, n, dtype=np.uint64)
+
+
+def signature(shingles: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
+    """Minimum and maximum of each permutation: 2 * permutations values."""
+    factor, shift = _permutations(permutations)
+    low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(permutations, np.uint64)
     for k in range(0, len(shingles), 2048):
-        v = shingles[k : k + 2048, None] * _A + _B
+        v = shingles[k : k + 2048, None] * factor + shift
         np.minimum(low, v.min(axis=0), out=low)
         np.maximum(high, v.max(axis=0), out=high)
     return np.concatenate((low, high))
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
     held("minhash", dict)
-    salt = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+    salt = _mix(np.arange(1, at.bands + 1, dtype=np.uint64))
     for batch in batches:
         rows = []
         for doc, s in zip(batch["doc_id"], shingle_sets(batch["text"].tolist()), strict=True):
             if not len(s):
                 rows.append((doc, 0, 0, 0, None, None))
                 continue
-            v = signature(s)
-            by = v.reshape(ROWS, BANDS)
+            v = signature(s, at.bands * at.rows // 2)
+            by = v.reshape(at.rows, at.bands)
             key = salt.copy()
-            for r in range(ROWS):
+            for r in range(at.rows):
                 key = _mix(key * _STEP + by[r])
             rows.append((doc, len(s), np.sum(_mix(s)).astype(np.int64), np.sum(_mix(s * _STEP + _BASE)).astype(np.int64), key.view(np.int64), (_mix(v) >> np.uint64(56)).astype(np.uint8).tobytes()))
         yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"]).astype({"doc_id": "Int64"})
 
 
-def _similar(x: np.ndarray, y: np.ndarray) -> bool:
-    if not len(x) or not len(y) or DENOMINATOR * min(len(x), len(y)) < NUMERATOR * max(len(x), len(y)):
+def _similar(x: np.ndarray, y: np.ndarray, at: Setting) -> bool:
+    if not len(x) or not len(y) or at.denominator * min(len(x), len(y)) < at.numerator * max(len(x), len(y)):
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
+    return at.denominator * both >= at.numerator * (len(x) + len(y) - both)
 
 
-def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirmed(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
     kept: OrderedDict[str, np.ndarray] = OrderedDict()
 
     def sets(texts: pd.Series) -> list[np.ndarray]:
@@ -162,17 +189,17 @@ def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lo in range(0, len(batch), 64):
             part = batch.iloc[lo : lo + 64]
             for x, y in zip(sets(part["ta"].fillna("")), sets(part["tb"].fillna("")), strict=True):
-                hit.append(_similar(x, y))
+                hit.append(_similar(x, y, at))
         yield batch.loc[hit, ["a", "b"]]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, at: Setting = CONTRACT) -> DataFrame:
     """Those of the pairs (a, b) whose full shingle sets are similar enough."""
     pairs = written(pairs)
     ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     texts = written(only_ids(docs, "doc_id", ids))
     left, right = texts.toDF("a", "ta"), texts.toDF("b", "tb")
-    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(_confirmed, "a long, b long").distinct())
+    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(lambda batches: _confirmed(batches, at), "a long, b long").distinct())
 
 
 def _by_tile(batches: Iterator[pd.DataFrame], handle: Callable[[pd.DataFrame], pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +219,7 @@ def _by_tile(batches: Iterator[pd.DataFrame], handle: Callable[[pd.DataFrame], p
         yield handle(rest)
 
 
-def _likely(g: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+def _likely(g: pd.DataFrame, at: Setting) -> Iterator[tuple[int, np.ndarray]]:
     """Per row of a block pair the rows of other components that its signature is close to, each pair in its first common bucket only."""
     sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), -1)
     bands = np.stack(g["bands"].to_numpy())
@@ -202,22 +229,22 @@ def _likely(g: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     for x in np.flatnonzero(side == i):
         y = right[(comp[right] != comp[x]) & ((doc[right] > doc[x]) if i == j else True)]
         if len(y):
-            y = y[(sig[y] == sig[x]).mean(axis=1) >= ESTIMATE]
+            y = y[(sig[y] == sig[x]).mean(axis=1) >= at.estimate]
         if len(y):
             y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == key]
         if len(y):
             yield x, y
 
 
-def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _close(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
     def rows(g: pd.DataFrame) -> pd.DataFrame:
-        hit = sorted({k for x, y in _likely(g) for k in (x, *y)})
+        hit = sorted({k for x, y in _likely(g, at) for k in (x, *y)})
         return g.iloc[hit]
 
     return _by_tile(batches, rows)
 
 
-def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _compared(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
     """Links of each block pair, without those that links found before already imply."""
 
     def links(g: pd.DataFrame) -> pd.DataFrame:
@@ -230,10 +257,10 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 c = root[c]
             return c
 
-        for x, many in _likely(g):
+        for x, many in _likely(g, at):
             for y in many:
                 a, b = top(comp[x]), top(comp[y])
-                if a != b and _similar(sets[x], sets[y]):
+                if a != b and _similar(sets[x], sets[y], at):
                     root[max(a, b)] = min(a, b)
                     out.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -241,10 +268,10 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     return _by_tile(batches, links)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs; see the module's text."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at: Setting = CONTRACT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of docs, linked at the similarity of at; see the module's text."""
     docs = text_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(docs.mapInPandas(_signed, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary"))
+    signed = written(docs.mapInPandas(lambda batches: _signed(batches, at), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary"))
     known = signed.filter("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "h1", "h2"]
     groups = written(known.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"))
@@ -258,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = written(met.join(often, "doc").groupBy("key").agg(F.max_by("doc", F.struct("met", -F.col("doc"))).alias("leader")))
     star = met.join(leaders, "key").filter("doc <> leader").select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
     star = written(star)
-    links = confirmed(star, docs)
+    links = confirmed(star, docs, at)
 
     labels = min_label_components(links)
     labelled = written(met.join(labels.toDF("doc", "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc")))
@@ -270,9 +297,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signs = written(only_ids(reps.select(F.col("doc_id").alias("doc"), "sig", "bands"), "doc", ids).dropDuplicates(["doc"]))
     tiles = split.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc", "comp", "side").join(signs, "doc")
     tiles = tiles.select("key", "i", "j", "doc", "comp", "side", "sig", "bands")
-    close = written(tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(_close, tiles.schema))
+    close = written(tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lambda batches: _close(batches, at), tiles.schema))
     texts = written(only_ids(docs.toDF("doc", "text"), "doc", written(close.select("doc").distinct())))
-    more = close.join(texts, "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(_compared, "a long, b long")
+    more = close.join(texts, "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lambda batches: _compared(batches, at), "a long, b long")
     links = links.union(written(more.distinct()))
     repeated = members.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.count("*").alias("n")).filter("n > 1")
     links = links.union(members.join(written(repeated.select("doc_id")), "doc_id", "left_semi").filter("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
