@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilework.functions import scalars as S
-from tilework.operators import graphs, quality
+from tilework.operators import contracts, graphs, inventory, quality, scenes
 from tilework.operators import grids as G
 from tilework.operators import spatial as P
 from tilework.operators import timelines as T
@@ -72,7 +72,7 @@ def test_components_of_a_long_path_and_no_edges(spark):
 def test_crowns_follow_steepest_ascent(spark):
     heights = [3, 5, 4, 2, 6, 9, 7]
     df = spark.createDataFrame([(1, 0, c, h) for c, h in enumerate(heights)], "tile long, r int, c int, h long")
-    got = {r["c"]: r["crown"] % 1000 for r in G.steepest_crowns(df, "h").collect()}
+    got = {r["c"]: int(r["crown"].split(":")[2]) for r in G.steepest_crowns(df, "h").collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 5, 4: 5, 5: 5, 6: 5}
 
 
@@ -112,8 +112,11 @@ def test_as_of_never_carries_forward(spark):
     assert got == {5: 1, 15: None, 25: 3, 31: None}
 
 
-@pytest.mark.parametrize(("elapsed", "area", "rate", "want"), [(1, 625, 0.0, "incipient"), (600, 5000, 0.0, "stalled"), (900, 10000, 0.06, "slowed"), (900, 10000, 0.16, "established")])
-def test_fire_regime(spark, elapsed, area, rate, want):
+@pytest.mark.parametrize("elapsed,area,rate,want", [
+    (60, 90_000, 0.3, "incipient"), (61, 90_000, 0.3, "established"), (7_200, 1_000, 0.05, "incipient"), (7_200, 1_001, 0.05, "slowed"),
+    (61, 1_001, 0.01, "stalled"), (61, 1_001, 0.011, "slowed"), (3_000, 44_000, 0.079, "slowed"), (3_000, 44_000, 0.08, "established"),
+])
+def test_fire_regime_on_both_sides_of_its_limits(spark, elapsed, area, rate, want):
     assert one(spark.range(1), S.fire_regime(F.lit(elapsed), F.lit(area), F.lit(rate))) == want
 
 
@@ -239,3 +242,100 @@ def test_inventory_profiles_and_bad_grids(spark):
     assert inventory.placement_inventory(bad, "v2").count() == 0
     with pytest.raises(Exception, match="misaligned"):
         inventory.placement_inventory(bad, "v2", "fail").collect()
+
+
+def test_scanned_rasters_of_any_name_and_width_reach_the_inventory(spark, tmp_path):
+    wide = 1040
+    for name, west in (("tile_650000_6860000", 0), ("tile_650500_6860000", 7)):
+        ground = np.full((40, wide), 100.0)
+        surface = ground.copy()
+        surface[5:15, 1005 - west : 1020 - west] += 8.0
+        surface[6, 5] += 3.0
+        np.savez(tmp_path / f"{name}.npz", mnt=ground, mns=surface)
+    raw = files.raster_cells(spark, str(tmp_path)).withColumns({"mnt_mm": G.quantised_mm(F.col("mnt")).cast("long"), "mns_mm": G.quantised_mm(F.col("mns")).cast("long")})
+    grid = raw.withColumn("hag", G.height_cm(F.col("mnt_mm"), F.col("mns_mm")))
+    found = {r["component"]: r["n"] for r in G.labelled_components(grid.filter("hag >= 200").select("tile", "r", "c"), G.FOUR).groupBy("component").agg(F.count("*").alias("n")).collect()}
+    assert found == {f"tile_650000_6860000:{at}": n for at, n in (("5:1005", 150), ("6:5", 1))} | {f"tile_650500_6860000:{at}": n for at, n in (("5:998", 150), ("6:5", 1))}
+    sites = grid.select("tile", "r", "c", "mnt_mm", "mns_mm", F.lit(False).alias("vegetation"), F.lit(None).cast("long").alias("footprint"))
+    rows = inventory.placement_inventory(sites, "v1").collect()
+    assert {r["status"] for r in rows if r["family"] == "building" and r["area"] == 150} == {"ambiguous"} and len({r["tile"] for r in rows}) == 2
+
+
+def test_components_equal_a_flood_fill(spark):
+    rng = np.random.default_rng(3)
+    mask = rng.random((30, 25)) < 0.55
+    cells = [("a", int(r), int(c)) for r, c in zip(*np.nonzero(mask), strict=True)]
+    got = {(x["r"], x["c"]): x["component"] for x in G.labelled_components(spark.createDataFrame(cells, "tile string, r int, c int"), G.FOUR).collect()}
+    seen = {}
+    for _, r, c in sorted(cells):
+        if (r, c) not in seen:
+            todo = [(r, c)]
+            while todo:
+                at = todo.pop()
+                if at not in seen and at in got:
+                    seen[at] = f"a:{r}:{c}"
+                    todo += [(at[0] + a, at[1] + b) for a, b in G.FOUR]
+    assert got == seen
+
+
+def test_diverse_picks_are_greedy_over_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(scenes, "ROUND", 7)
+    rng = np.random.default_rng(4)
+    rows = [(k, int(x), int(y), int(s)) for k, (x, y, s) in enumerate(zip(rng.integers(0, 1000, 200), rng.integers(0, 1000, 200), rng.integers(0, 40, 200), strict=True))]
+    want = []
+    for k, x, y, s in sorted(rows, key=lambda r: (-r[3], r[0])):
+        if len(want) < 9 and all((x - a) ** 2 + (y - b) ** 2 >= 250**2 for _, a, b, _ in want):
+            want.append((k, x, y, s))
+    got = scenes.diverse_picks(spark.createDataFrame(rows, "id long, x long, y long, score long"), 9, 250).orderBy("place").collect()
+    assert [r["id"] for r in got] == [k for k, *_ in want]
+
+
+def test_hash_ranks_are_one_to_n_in_hash_order(spark):
+    import hashlib
+
+    df = spark.range(3000).withColumn("g", F.col("id") % 2)
+    got = {(r["g"], r["place"]): r["id"] for r in T.hash_ranked(df, ["g"], "place", F.col("id").cast("string")).collect()}
+    for g in (0, 1):
+        order = sorted((k for k in range(3000) if k % 2 == g), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest())
+        assert [got[g, i + 1] for i in range(1500)] == order
+
+
+def test_contracts_name_each_broken_rule(spark):
+    rows = spark.createDataFrame([("z", "A", 1), ("z", "A", 1), ("z", "B", 5)], "zone string, layer string, id long")
+    good = rows.filter("layer = 'B'").groupBy("zone", "layer").agg(F.count("*").alias("n"), contracts.checksum(F.col("id")).alias("sum"))
+    told = good.union(spark.createDataFrame([("z", "A", 2, 0)], "zone string, layer string, n long, sum long"))
+    assert {(r["layer"], r["fault"]) for r in contracts.zone_context(rows, told, ["A", "B", "C"]).collect()} == {("A", "id_repeated"), ("A", "count_differs"), ("A", "hash_differs"), ("C", "layer_missing")}
+    at = spark.createDataFrame([(1, 499, 0, 0, 0, 0.0), (2, 500, 0, 0, 0, 6.2), (3, 7, 7, 1, 0, 6.3), (3, 7, 7, 0, 0, -0.1)], "id long, x long, y long, west long, south long, yaw double")
+    assert {(r["id"], r["fault"]) for r in contracts.placements(at, 500).collect()} == {(2, "outside_owner"), (3, "owner_off_grid"), (3, "yaw"), (3, "id_repeated")}
+    a, b = spark.createDataFrame([("k", 1), ("k", 1), ("k", 2)], "d string, v int"), spark.createDataFrame([("k", 1), ("k", 3)], "d string, v int")
+    assert contracts.package_differences(a, b, "d").first().asDict() == {"d": "k", "rows": 2, "missing": 1, "unexpected": 2}
+
+
+def test_an_own_loader_takes_the_place_of_the_archive(spark, tmp_path):
+    (tmp_path / "t1.raw").write_bytes(bytes([1, 2, 3, 4]))
+    load = lambda content: (np.frombuffer(content, np.uint8).reshape(2, 2), np.frombuffer(content, np.uint8).reshape(2, 2) + 1)
+    assert [(r["tile"], r["r"], r["c"], r["mns"]) for r in files.raster_cells(spark, str(tmp_path), load, "*.raw").orderBy("r", "c").collect()] == [("t1", 0, 0, 2.0), ("t1", 0, 1, 3.0), ("t1", 1, 0, 4.0), ("t1", 1, 1, 5.0)]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    from types import SimpleNamespace as N
+
+    from tilework import checkpoints
+
+    unset = N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False)))
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoints.shared_dir(N(conf=N(get=lambda *_: None), sparkContext=N(_jsc=unset, master="spark://host:7077")))
+
+
+def test_temporary_tables_go_and_the_kept_ones_stay(spark):
+    from pathlib import Path
+
+    from tilework import checkpoints
+
+    where = Path(checkpoints.shared_dir(spark).removeprefix("file:"))
+    before = set(where.glob("tilework-*"))
+    with checkpoints.temporary(spark) as stay:
+        checkpoints.written(spark.range(3))
+        checkpoints.bucketed(spark.range(30), "id")
+        kept = stay(spark.range(5))
+    assert kept.count() == 5 and len(set(where.glob("tilework-*")) - before) == 1

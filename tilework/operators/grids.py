@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..checkpoints import written
-from .graphs import components
+from . import tiles
 
 #: Height limits of the grid gate in mm and cm, and the share of outliers it bears.
 HARD_BELOW_MM, BELOW_MM, MAX_CM, MAX_OUTLIERS, MAX_SHARE = -1000, -500, 65_534, 32, 0.000125
@@ -65,17 +65,8 @@ def reduced_2x2(cells: DataFrame) -> DataFrame:
 
 
 def box_window(cells: DataFrame, value: str, radius: int, how: str, out: str) -> DataFrame:
-    """max, min or sum of value over the square of the radius, and the number of cells in it (out_n).
-
-    Separable: a cell's value goes to the columns it reaches, rows are aggregated there, then a
-    range frame runs along each column; missing cells take no part.
-    """
-    f = getattr(F, how)
-    spread = cells.select("tile", "r", F.explode(F.sequence(F.col("c") - radius, F.col("c") + radius)).alias("c"), F.col(value).alias("_v"))
-    rows = spread.groupBy("tile", "r", "c").agg(f("_v").alias("_v"), F.count("*").alias("_n"))
-    across = Window.partitionBy("tile", "c").orderBy("r").rangeBetween(-radius, radius)
-    summed = rows.select("tile", "r", "c", f("_v").over(across).alias(out), F.sum("_n").over(across).alias(f"{out}_n"))
-    return cells.join(summed, ["tile", "r", "c"])
+    """max, min or sum of value over the square of the radius, and the number of cells in it (out_n)."""
+    return tiles.windows(cells, value, radius, {out: how})
 
 
 def neighbours(cells: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
@@ -100,34 +91,22 @@ def boundary_edges(members: DataFrame) -> DataFrame:
     return near.join(members.select("tile", F.col("r").alias("nr"), F.col("c").alias("nc")), ["tile", "nr", "nc"], "left_anti").select("tile", "r", "c", "dr", "dc")
 
 
-def cell_key(r: str = "r", c: str = "c") -> Column:
-    """One long per tile and cell, in reading order."""
-    return (F.col("tile") * 1_000_000 + F.col(r) * 1_000 + F.col(c)).cast("long")
+def cell_id(r: str = "r", c: str = "c") -> Column:
+    """tile:r:c, for tiles of any type and grids of any width."""
+    return F.concat_ws(":", F.col("tile").cast("string"), F.col(r).cast("string"), F.col(c).cast("string"))
 
 
 def labelled_components(members: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
-    """members with component: the least key of the connected cells."""
-    edges = adjacent(members, steps).select(cell_key().alias("a"), cell_key("nr", "nc").alias("b"))
-    labels = components(edges).withColumnRenamed("node", "_key")
-    return members.withColumn("_key", cell_key()).join(labels, "_key", "left").withColumn("component", F.coalesce("component", "_key")).drop("_key")
+    """members with component: the id of the first of the connected cells in reading order."""
+    return tiles.components(members, steps)
 
 
 def steepest_crowns(cells: DataFrame, height: str) -> DataFrame:
-    """cells with crown: the key of the peak that steepest ascent over eight neighbours reaches.
+    """cells with crown: the id of the peak that steepest ascent over eight neighbours reaches.
 
-    Ties go to the higher cell, then the smaller c, then the smaller r; pointers double, so the rounds
-    are logarithmic in the longest ascent.
+    Ties go to the higher cell, then the smaller c, then the smaller r.
     """
-    high = cells.select("tile", "r", "c", F.col(height).alias("_h"))
-    near = neighbours(high.drop("_h"), [(0, 0), *EIGHT]).join(high.toDF("tile", "nr", "nc", "_h"), ["tile", "nr", "nc"])
-    up = near.groupBy("tile", "r", "c").agg(F.max_by(cell_key("nr", "nc"), F.struct("_h", -F.col("nc"), -F.col("nr"))).alias("to"))
-    pointers = written(up.select(cell_key().alias("node"), "to"))
-    while True:
-        step = pointers.join(pointers.toDF("to", "far"), "to").select("node", "far", (F.col("far") != F.col("to")).alias("moved"))
-        step = written(step)
-        pointers = step.select("node", F.col("far").alias("to"))
-        if not step.filter("moved").limit(1).count():
-            return cells.withColumn("node", cell_key()).join(pointers.withColumnRenamed("to", "crown"), "node").drop("node")
+    return tiles.crowns(cells, height, EIGHT)
 
 
 def least_cost_arrival(cells: DataFrame, sources: DataFrame, cost: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import grids as G
+from . import tiles
 
 #: Heights in cm and shape limits of a roof-like component.
 TALL_CM, WOODY_CM = 200, 100
@@ -15,7 +16,7 @@ CANDIDATE = ["tile", "family", "id", "status", "area", "height_cm", "reasons"]
 
 def _shapes(members: DataFrame) -> DataFrame:
     """Per component: area, height percentiles, planar share, rectangularity, compactness, vegetation share."""
-    flat = G.box_window(G.box_window(members, "hag", 1, "max", "_top"), "hag", 1, "min", "_low")
+    flat = tiles.windows(members, "hag", 1, {"_top": "max", "_low": "min"})
     sides = G.boundary_edges(members).groupBy("tile", "r", "c").agg(F.count("*").alias("_sides"))
     rows = flat.join(sides, ["tile", "r", "c"], "left")
     box = (F.max("r") - F.min("r") + 1) * (F.max("c") - F.min("c") + 1)
@@ -55,7 +56,7 @@ def buildings_from_footprints(cells: DataFrame) -> DataFrame:
     """One candidate per footprint: its 95th percentile height; low ones are ambiguous."""
     found = cells.filter("footprint is not null").groupBy("tile", F.col("footprint").alias("id")).agg(F.count("*").alias("area"), G.nearest_rank("hag", 0.95).alias("height_cm"))
     reasons = _reasons({"low": F.col("height_cm") >= TALL_CM})
-    return found.select("tile", F.lit("building").alias("family"), "id", F.when(F.col("height_cm") < TALL_CM, "ambiguous").otherwise("valid").alias("status"), "area", "height_cm", reasons.alias("reasons"))
+    return found.select("tile", F.lit("building").alias("family"), F.col("id").cast("string").alias("id"), F.when(F.col("height_cm") < TALL_CM, "ambiguous").otherwise("valid").alias("status"), "area", "height_cm", reasons.alias("reasons"))
 
 
 def trees(cells: DataFrame) -> DataFrame:

@@ -27,16 +27,16 @@ def snorm16(gx: Column, gy: Column, run: int = 4000) -> tuple[Column, Column, Co
     return step(-gx), step(-gy), step(F.lit(run))
 
 
-def merged_pairs(boxes: DataFrame, group: str, order: str, same: Column) -> DataFrame:
+def merged_pairs(boxes: DataFrame, group: list[str], order: str, same: Column) -> DataFrame:
     """boxes with pair: greedy from the left, a row and the next merge where same (over both, the next's columns in struct nxt) holds.
 
     Runs of rows that could merge with their next fall into twos by their parity in the run.
     """
-    w = Window.partitionBy(group).orderBy(order)
+    w = Window.partitionBy(*group).orderBy(order)
     flagged = boxes.withColumn("nxt", F.lead(F.struct(*boxes.columns)).over(w)).withColumn("_joins", F.coalesce(same, F.lit(False)))
     start = F.when(~F.coalesce(F.lag("_joins").over(w), F.lit(False)), 1).otherwise(0)
     runs = flagged.withColumn("_run", F.sum(start).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    place = F.row_number().over(Window.partitionBy(group, "_run").orderBy(order)) - 1
+    place = F.row_number().over(Window.partitionBy(*group, "_run").orderBy(order)) - 1
     return runs.withColumn("pair", F.concat_ws(":", F.col("_run").cast("string"), F.floor(place / 2).cast("string"))).drop("nxt", "_joins", "_run")
 
 
@@ -54,14 +54,16 @@ def burn_states(arrival: DataFrame, moments: DataFrame, cell_m: int) -> DataFram
 
 
 def offset_points(vertices: DataFrame, offset: Column, limit: float = 2.0) -> DataFrame:
-    """Each vertex moved sideways: by its segment's normal at the ends, by the mean normal inside, the mitre held to limit offsets; null where the line turns straight back."""
+    """Each vertex moved sideways: by its segment's normal at the ends, by the mean normal inside, the mitre held to limit offsets; by
+    the following segment's normal where the line turns straight back."""
     w = Window.partitionBy("line").orderBy("seq")
     rows = vertices.withColumns({"px": F.lag("x").over(w), "py": F.lag("y").over(w), "qx": F.lead("x").over(w), "qy": F.lead("y").over(w)})
     unit = lambda dx, dy: F.struct((-dy / F.nullif(F.sqrt(dx * dx + dy * dy), F.lit(0.0))).alias("x"), (dx / F.nullif(F.sqrt(dx * dx + dy * dy), F.lit(0.0))).alias("y"))
     rows = rows.withColumn("_a", unit(F.col("x") - F.col("px"), F.col("y") - F.col("py"))).withColumn("_b", unit(F.col("qx") - F.col("x"), F.col("qy") - F.col("y")))
     mx, my = F.coalesce("_a.x", "_b.x") + F.coalesce("_b.x", "_a.x"), F.coalesce("_a.y", "_b.y") + F.coalesce("_b.y", "_a.y")
-    n = F.when(mx * mx + my * my > 1e-6, F.sqrt(mx * mx + my * my))
-    rows = rows.withColumn("_mx", mx / n).withColumn("_my", my / n)
+    turns = mx * mx + my * my > 1e-6
+    n = F.when(turns, F.sqrt(mx * mx + my * my))
+    rows = rows.withColumn("_mx", F.when(turns, mx / n).otherwise(F.coalesce("_b.x", "_a.x"))).withColumn("_my", F.when(turns, my / n).otherwise(F.coalesce("_b.y", "_a.y")))
     dot = F.col("_mx") * F.coalesce("_b.x", "_a.x") + F.col("_my") * F.coalesce("_b.y", "_a.y")
     reach = F.least(F.abs(offset) * limit, F.abs(offset) / F.greatest(F.abs(dot), F.lit(1e-9))) * F.signum(offset)
     return rows.select("line", "seq", (F.col("x") + F.col("_mx") * reach).alias("ox"), (F.col("y") + F.col("_my") * reach).alias("oy"))
@@ -74,19 +76,28 @@ def peaks(cells: DataFrame, component: str, lattice: int, split_at: int) -> Data
     return sized.filter(small | ((F.col("_n") >= split_at) & (F.col("c") % lattice == 0) & (F.col("r") % lattice == 0))).drop("_n", "_first")
 
 
+#: Candidates that a round of diverse_picks brings to the driver at most.
+ROUND = 2_000
+
+
 def diverse_picks(candidates: DataFrame, wanted: int, spacing: int) -> DataFrame:
     """Greedy by score: the best candidate (id, x, y, score), then the best at least spacing away from all picked, up to wanted.
 
-    Order-dependent by definition: wanted rounds, a number of the plan and not of the data, each one top-1 over the
-    scored table; only the picked rows come to the driver.
+    Order-dependent by definition: each round brings the ROUND best of those left to the driver, which picks among
+    them; only where they don't suffice does another round scan what is below them and away from the picks.
     """
-    left, picked = candidates, []
-    for _ in range(wanted):
-        best = left.orderBy(F.desc("score"), "id").limit(1).collect()
-        if not best:
+    left, picked = candidates.select("id", "x", "y", "score"), []
+    far = lambda a, b: (a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2 >= spacing * spacing
+    while len(picked) < wanted:
+        found = left.orderBy(F.desc("score"), "id").limit(ROUND).collect()
+        for row in found:
+            if len(picked) < wanted and all(far(row, p) for p in picked):
+                picked.append(row)
+        if len(found) < ROUND:
             break
-        picked.append(best[0])
-        d2 = (F.col("x") - best[0]["x"]) * (F.col("x") - best[0]["x"]) + (F.col("y") - best[0]["y"]) * (F.col("y") - best[0]["y"])
-        left = left.filter(d2 >= spacing * spacing)
+        away = [(F.col("x") - p["x"]) * (F.col("x") - p["x"]) + (F.col("y") - p["y"]) * (F.col("y") - p["y"]) >= spacing * spacing for p in picked]
+        left = candidates.select("id", "x", "y", "score").filter((F.col("score") < found[-1]["score"]) | ((F.col("score") == found[-1]["score"]) & (F.col("id") > found[-1]["id"])))
+        for near in away:
+            left = left.filter(near)
     ids = [(k, r["id"]) for k, r in enumerate(picked, 1)]
     return candidates.join(F.broadcast(candidates.sparkSession.createDataFrame(ids, "place int, id long")), "id")

@@ -25,6 +25,17 @@ def hash_sample(df: DataFrame, group: list[str], quota: int, *parts: Column) ->
     return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= quota)
 
 
+def hash_ranked(df: DataFrame, group: list[str], out: str, *parts: Column) -> DataFrame:
+    """df with out: the rank from 1 of each row in its group by the hash of parts, equal hashes in any order.
+
+    In two levels, the hash's first two digits and the rest, so that no group is ranked in one task."""
+    marked = df.withColumn("_h", F.sha2(F.concat_ws("|", *parts), 256)).withColumn("_b", F.substring("_h", 1, 2))
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    skips = marked.groupBy(*group, "_b").agg(F.count("*").alias("_n")).withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    ranked = marked.withColumn("_k", F.row_number().over(Window.partitionBy(*group, "_b").orderBy("_h"))).join(skips, [*group, "_b"])
+    return ranked.withColumn(out, F.col("_k") + F.col("_skip")).select(*df.columns, out)
+
+
 def segments(vertices: DataFrame) -> DataFrame:
     """line, seq, x, y, x2, y2 of consecutive vertices."""
     w = Window.partitionBy("line").orderBy("seq")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import timelines as T
 from .registry import query
 from .views import boxes, points, table
 
@@ -53,10 +54,13 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes(spark, sf_dir).select("id", S.stable_id("tree", *parts).alias("stable_id"), (S.seed64(*parts) % 7).cast("long").alias("pick"))
 
 
-@query("select category, count(*) as n, count(distinct brand) as brands, string_agg(cast(id as varchar), ',' order by id) as pool from boxes group by category", "boxes")
+@query("""with n as (select category, count(*) as n, count(distinct brand) as brands from boxes group by category)
+select category, n, brands, row_number() over (partition by category order by sha256(cast(id as varchar))) as place, id from boxes join n using (category)""", "boxes")
 def catalog_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D19"""
-    return boxes(spark, sf_dir).groupBy("category").agg(F.count("*").alias("n"), F.count_distinct("brand").alias("brands"), F.array_join(F.array_sort(F.collect_list("id")), ",").alias("pool"))
+    """Each category's counts and its pool as numbered rows, in hash order."""
+    rows = boxes(spark, sf_dir).select("id", "category", "brand")
+    counts = rows.groupBy("category").agg(F.count("*").alias("n"), F.count_distinct("brand").alias("brands"))
+    return T.hash_ranked(rows, ["category"], "place", F.col("id").cast("string")).join(counts, "category").select("category", "n", "brands", "place", "id")
 
 
 TAGS = {"metal": ["ring", "gear", "bolt"], "toy": ["gizmo", "widget"], "colour": ["red", "blue", "green"], "warm": ["hot", "red"]}
@@ -79,48 +83,68 @@ def category_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_assets(wanted: DataFrame, assets: DataFrame) -> DataFrame:
     """For each wanted row (id, category, terms) the best asset (asset, category, asset_terms): most shared
-    terms, ties by a hash seed over the number of ties in asset order.
+    terms, ties by a hash seed over the number of ties, in order of their terms, then of their hash.
 
-    Wanted rows of equal category and terms share one scoring; terms meet by an equi-join, so a profile meets no asset it
-    shares nothing with.
+    Both sides are compared as distinct (category, terms) profiles; a profile's tied assets are a range of ranks, in
+    which the seed picks, so rows never meet rows.
     """
-    key = ["category", "terms"]
+    key, kind = ["category", "terms"], ["category", "asset_terms"]
     profiles = wanted.select(*key).distinct().withColumn("term", F.explode(F.array_distinct("terms")))
-    scored = profiles.join(assets.select("asset", "category", F.explode(F.array_distinct("asset_terms")).alias("term")), ["category", "term"]).groupBy(*key, "asset").agg(F.count("*").alias("score"))
-    every = Window.partitionBy(*key)
-    ties = scored.withColumn("top", F.max("score").over(every)).filter("score = top")
-    ranked = ties.withColumn("rank", F.row_number().over(every.orderBy("asset")) - 1)
-    sizes = ties.groupBy(*key).agg(F.count("*").alias("n"), F.max("top").alias("score"))
-    asked = wanted.select("id", *key).join(sizes, key).withColumn("rank", (S.seed64(F.col("id").cast("string"), F.col("score").cast("string")) % F.col("n")).cast("int"))
-    return asked.join(ranked.select(*key, "rank", "asset"), [*key, "rank"]).select("id", "asset", "score")
+    kinds = assets.groupBy(*kind).agg(F.count("*").alias("n"))
+    met = profiles.join(kinds.withColumn("term", F.explode(F.array_distinct("asset_terms"))), ["category", "term"])
+    scored = met.groupBy(*key, "asset_terms").agg(F.count("*").alias("score"), F.first("n").alias("n"))
+    ties = scored.withColumn("top", F.max("score").over(Window.partitionBy(*key))).filter("score = top")
+    upto = F.sum("n").over(Window.partitionBy(*key).orderBy("asset_terms"))
+    ties = ties.select(*key, "asset_terms", "score", "n", (upto - F.col("n")).alias("skip"), F.sum("n").over(Window.partitionBy(*key)).alias("all"))
+    seed = (S.seed64(F.col("id").cast("string"), F.col("score").cast("string")) % F.col("all")).cast("long")
+    asked = wanted.select("id", *key).join(ties, key).withColumn("place", seed - F.col("skip") + 1).filter("place between 1 and n")
+    return asked.join(T.hash_ranked(assets, kind, "place", F.col("asset").cast("string")), [*kind, "place"]).select("id", "asset", "score")
 
 
 @query("""with w as (select o_orderkey as id, p_type as category, string_split(p_name, ' ') as terms from orders join part on p_partkey = o_custkey),
-a as (select p_partkey as asset, p_type as category, string_split(p_name, ' ') as asset_terms from part where p_partkey % 10 = 0),
-s as (select id, asset, len(list_intersect(terms, asset_terms)) as score from w join a using (category)),
+a as (select p_partkey as asset, p_type as category, string_split(p_name, ' ') as asset_terms from part),
+s as (select id, asset, asset_terms, len(list_intersect(terms, asset_terms)) as score from w join a using (category)),
 b as (select *, max(score) over (partition by id) as top from s where score > 0),
-r as (select *, row_number() over (partition by id order by asset) - 1 as rank, count(*) over (partition by id) as n from b where score = top)
+r as (select *, row_number() over (partition by id order by asset_terms, sha256(cast(asset as varchar))) - 1 as rank, count(*) over (partition by id) as n from b where score = top)
 select id, asset, score from r where rank = ('0x' || substr(sha256(id || '|' || top), 1, 16))::ubigint % n""")
 def asset_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C13"""
     part = table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
     wanted = table(spark, sf_dir, "orders").join(part, F.col("p_partkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("id"), F.col("p_type").alias("category"), words.alias("terms"))
-    assets = part.filter("p_partkey % 10 = 0").select(F.col("p_partkey").alias("asset"), F.col("p_type").alias("category"), words.alias("asset_terms"))
-    return best_assets(wanted, assets)
-
-
-@query("""with t as (select * from boxes where id % 4 = 1), d as (select * from boxes where id % 40 = 0),
-s as (select t.id, d.id as donor, 100 * cast(t.name = d.name as integer) + 10 * cast(t.brand = d.brand as integer) as score from t join d on t.category = d.category)
-select id, arg_min(donor, lpad(cast(1000 - score as varchar), 4, '0') || sha256(id || '|' || donor)) as donor, max(score) as score from s group by id""", "boxes")
+    return best_assets(wanted, part.select(F.col("p_partkey").alias("asset"), F.col("p_type").alias("category"), words.alias("asset_terms")))
+
+
+def donors_for(targets: DataFrame, donors: DataFrame) -> DataFrame:
+    """C14: for each target (id, category, name, brand) a donor of its category: one of equal name and brand (score 110), else of
+    equal name (100), else of equal brand (10), else any (0); among these the hash seed picks.
+
+    Levels are equi-joins on counts by key; only the picked rank is joined with donors."""
+    levels = ((110, ["category", "name", "brand"]), (100, ["category", "name"]), (10, ["category", "brand"]), (0, ["category"]))
+    asked = targets
+    for score, key in levels:
+        asked = asked.join(donors.groupBy(*key).agg(F.count("*").alias(f"n{score}")), key, "left")
+    score = F.coalesce(*(F.when(F.col(f"n{score}").isNotNull(), score) for score, _ in levels))
+    n = F.coalesce(*(F.col(f"n{score}") for score, _ in levels))
+    asked = asked.withColumn("score", score).filter("score is not null").withColumn("place", (S.seed64(F.col("id").cast("string"), F.col("score").cast("string")) % n + 1).cast("long"))
+    found = None
+    for score, key in levels:
+        ranked = T.hash_ranked(donors.select(*key, F.col("id").alias("donor")), key, "place", F.col("donor").cast("string"))
+        part = asked.filter(F.col("score") == score).join(ranked, [*key, "place"]).select("id", "donor", "score")
+        found = part if found is None else found.union(part)
+    return found
+
+
+@query("""with t as (select * from boxes where x1 - x0 < 25000), d as (select *, sha256(cast(id as varchar)) as h from boxes where x1 - x0 >= 25000),
+s as (select t.id, d.id as donor, h, 100 * cast(t.name = d.name as integer) + 10 * cast(t.brand = d.brand as integer) as score from t join d on t.category = d.category),
+b as (select *, max(score) over (partition by id) as top from s),
+r as (select *, row_number() over (partition by id order by h) - 1 as k, count(*) over (partition by id) as n from b where score = top)
+select id, donor, score from r where k = ('0x' || substr(sha256(id || '|' || score), 1, 16))::ubigint % n""", "boxes")
 def fallback_donors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C14: the donor of the category with the best score, ties by a hash."""
+    """C14: small boxes take from large ones."""
     rows = boxes(spark, sf_dir)
-    donors = rows.filter("id % 40 = 0").select(F.col("id").alias("donor"), "category", F.col("name").alias("dn"), F.col("brand").alias("db"))
-    score = 100 * (F.col("name") == F.col("dn")).cast("int") + 10 * (F.col("brand") == F.col("db")).cast("int")
-    met = rows.filter("id % 4 = 1").join(donors, "category").select("id", "donor", score.alias("score"))
-    order = F.struct(-F.col("score"), F.sha2(F.concat_ws("|", "id", "donor"), 256))
-    return met.groupBy("id").agg(F.min_by("donor", order).alias("donor"), F.max("score").alias("score"))
+    large = F.col("x1") - F.col("x0") >= 25_000
+    return donors_for(rows.filter(~large).select("id", "category", "name", "brand"), rows.filter(large).select("id", "category", "name", "brand"))
 
 
 @query("""with u as (select p_partkey % 500 as asset, p_size % 4 as tier, p_partkey as source from part), r as (select *, row_number() over (partition by asset order by tier desc, source) as k, count(*) over (partition by asset, tier) as same from u)
@@ -132,26 +156,28 @@ def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_tier.groupBy("asset").agg(F.max(F.struct("tier", "source", "n")).alias("b")).select("asset", "b.tier", "b.source", (F.col("b.n") > 1).alias("conflict"))
 
 
-@query("""select r.id, coalesce(c.id, v.id, r.id % 7) as chosen, case when c.id is not null then 'candidate' when v.id is not null then 'reviewed' else 'fallback' end as origin
-from boxes r left join (select id from boxes where id % 2 = 0) c on c.id = r.id left join (select id from boxes where id % 3 = 0) v on v.id = r.id""", "boxes")
+@query("""with c as (select l_partkey as id, count(*) as uses, sha256(string_agg(distinct cast(l_suppkey as varchar), ',' order by cast(l_suppkey as varchar))) as revision from lineitem where l_returnflag = 'A' group by 1),
+v as (select distinct l_partkey as id from lineitem where l_returnflag = 'R')
+select r.id, coalesce(c.id, v.id, r.id) as chosen, case when c.id is not null then 'candidate' when v.id is not null then 'reviewed' else 'fallback' end as origin, coalesce(uses, 0) as uses, revision
+from boxes r left join c on c.id = r.id left join v on v.id = r.id""", "boxes")
 def library_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C16"""
-    rows = boxes(spark, sf_dir).select("id")
-    c, v = rows.filter("id % 2 = 0").withColumn("c", F.col("id")), rows.filter("id % 3 = 0").withColumn("v", F.col("id"))
-    joined = rows.join(c, "id", "left").join(v, "id", "left")
+    """Reference rows with their candidate (accepted uses, and a hash of its sources), else their review, else themselves."""
+    used = table(spark, sf_dir, "lineitem")
+    c = used.filter("l_returnflag = 'A'").groupBy(F.col("l_partkey").alias("id"), "l_suppkey").agg(F.count("*").alias("n"))
+    c = c.groupBy("id").agg(F.sum("n").alias("uses"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("l_suppkey").cast("string"))), ","), 256).alias("revision")).withColumn("c", F.col("id"))
+    v = used.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("id")).distinct().withColumn("v", F.col("id"))
+    joined = boxes(spark, sf_dir).select("id").join(c, "id", "left").join(v, "id", "left")
     origin = F.when(F.col("c").isNotNull(), "candidate").when(F.col("v").isNotNull(), "reviewed").otherwise("fallback")
-    return joined.select("id", F.coalesce("c", "v", F.col("id") % 7).alias("chosen"), origin.alias("origin"))
+    return joined.select("id", F.coalesce("c", "v", "id").alias("chosen"), origin.alias("origin"), F.coalesce("uses", F.lit(0)).alias("uses"), "revision")
 
 
-@query("""with l as (select url as path, length(html) as bytes from pages where page_id % 10 <> 3), r as (select url as path, length(html) + case when page_id % 17 = 0 then 1 else 0 end as bytes from pages where page_id % 10 <> 5),
-la as (select path, max(bytes) as bytes from l group by 1), ra as (select path, max(bytes) as bytes from r group by 1)
-select case when la.path is null then 'unexpected' when ra.path is null then 'missing' when la.bytes <> ra.bytes then 'size' else 'same' end as status, count(*) as files, cast(sum(coalesce(la.bytes, 0)) as bigint) as bytes
-from la full join ra on la.path = ra.path group by 1""")
+@query("""with l as (select o_orderkey as path, o_custkey % 7 + 1 as bytes from orders), r as (select l_orderkey as path, cast(max(l_linenumber) as bigint) as bytes from lineitem group by 1)
+select case when l.path is null then 'unexpected' when r.path is null then 'missing' when l.bytes <> r.bytes then 'size' else 'same' end as status, count(*) as files, cast(sum(coalesce(l.bytes, 0)) as bigint) as bytes
+from l full join r on l.path = r.path group by 1""")
 def listing_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two listings by path."""
-    pages = table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.length("html").cast("long").alias("bytes"), "page_id")
-    left = pages.filter("page_id % 10 <> 3").groupBy("path").agg(F.max("bytes").alias("l"))
-    right = pages.filter("page_id % 10 <> 5").groupBy("path").agg(F.max(F.col("bytes") + F.when(F.col("page_id") % 17 == 0, 1).otherwise(0)).alias("r"))
+    """Two listings by path, of different tables."""
+    left = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("path"), (F.col("o_custkey") % 7 + 1).alias("l"))
+    right = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("path")).agg(F.max("l_linenumber").cast("long").alias("r"))
     status = F.when(F.col("l").isNull(), "unexpected").when(F.col("r").isNull(), "missing").when(F.col("l") != F.col("r"), "size").otherwise("same")
     return left.join(right, "path", "full").groupBy(status.alias("status")).agg(F.count("*").alias("files"), F.sum(F.coalesce("l", F.lit(0))).cast("long").alias("bytes"))
 
@@ -174,15 +200,14 @@ def unresolved_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refs.join(known, "ref", "left_anti").groupBy("page_id", "ref").agg(F.count("*").alias("n"))
 
 
-@query("""with b as (select id, id % 5 as variant, category from boxes where id % 50 = 0), s as (select * from (values ('forest', 1), ('village', 2), ('coast', 4), ('field', 3)) v(scene, bit))
-select scene, id as asset, row_number() over (partition by scene order by sha256(scene || '|' || id)) as place from b cross join s where id % 7 = 0 or (id // 50 % 8) & bit > 0""", "boxes")
+@query("""with s as (select * from (values ('forest', 1), ('village', 2), ('coast', 4), ('field', 3)) v(scene, bit))
+select scene, id as asset, row_number() over (partition by scene order by sha256(scene || '|' || id)) as place from boxes cross join s where category = 'PROMO' or (cast((x1 - x0) // 1000 as bigint) & bit) > 0""", "boxes")
 def slot_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assets that fit a slot (universal or sharing a context), in hash order; the four slots are a fixed array in the row."""
-    assets = boxes(spark, sf_dir).filter("id % 50 = 0").select(F.col("id").alias("asset"))
+    """Assets that fit a slot (universal or sharing a context), numbered in hash order; the four slots are a fixed array in the row."""
+    assets = boxes(spark, sf_dir).select(F.col("id").alias("asset"), "category", F.expr("(x1 - x0) div 1000").alias("contexts"))
     slots = F.array(*(F.struct(F.lit(n).alias("scene"), F.lit(b).alias("bit")) for n, b in (("forest", 1), ("village", 2), ("coast", 4), ("field", 3))))
-    fits = assets.withColumn("s", F.explode(slots)).filter((F.col("asset") % 7 == 0) | (F.expr("asset div 50 % 8").bitwiseAND(F.col("s.bit")) > 0))
-    order = Window.partitionBy("s.scene").orderBy(F.sha2(F.concat_ws("|", "s.scene", F.col("asset").cast("string")), 256))
-    return fits.select("s.scene", "asset", F.row_number().over(order).alias("place"))
+    fits = assets.withColumn("s", F.explode(slots)).filter((F.col("category") == "PROMO") | (F.col("contexts").bitwiseAND(F.col("s.bit")) > 0)).select("s.scene", "asset")
+    return T.hash_ranked(fits, ["scene"], "place", F.col("scene"), F.col("asset").cast("string"))
 
 
 @query("select n, day, slot, seconds, label from (select o_orderkey as n, o_orderkey // 10 + 1 as day, o_orderkey % 10 + 1 as slot, o_orderkey * 8640 as seconds, 'day_' || lpad(cast(o_orderkey // 10 + 1 as varchar), 5, '0') as label from orders)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import graphs
 from ..operators import grids as G
 from ..operators import inventory as I
+from ..operators import tiles
 from .registry import query
 from .views import cells, table
 
@@ -79,7 +80,7 @@ from h a join h b on a.tile = b.tile and b.r between a.r - 1 and a.r + 1 and b.c
 def local_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5"""
     grid = hag(spark, sf_dir).select("tile", "r", "c", "hag")
-    both = G.box_window(G.box_window(grid, "hag", 1, "max", "top"), "hag", 1, "min", "low")
+    both = tiles.windows(grid, "hag", 1, {"top": "max", "low": "min"})
     return both.select("tile", "r", "c", "hag", "top", (F.col("top") - F.col("low")).alias("local_range"), ((F.col("top") == F.col("hag")) & (F.col("hag") >= 200)).alias("is_peak"))
 
 
@@ -129,10 +130,14 @@ def centred_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.dropna().join(cells(spark, sf_dir).select("tile", "r", "c"), ["tile", "r", "c"]).select("tile", "r", "c", (F.col("e") - F.col("w")).alias("gx"), (F.col("s") - F.col("n")).alias("gy"))
 
 
-@query(f"""with m as (select tile, r, c, tile * 1000000 + r * 1000 + c as k from (select *, {HAG} as hag from cells) where hag >= 1000),
+#: The high cells with their component, by walking from every cell.
+LABELLED = f"""m as (select tile, r, c, hag, tile * 1000000 + r * 1000 + c as k from (select *, {HAG} as hag from cells) where hag >= 1000),
 e as (select a.k as a, b.k as b from m a join m b on a.tile = b.tile and abs(a.r - b.r) + abs(a.c - b.c) = 1),
-walk as (with recursive w as (select k as node, k as seen from m union select w.node, e.b from w join e on e.a = w.seen) select * from w)
-select m.tile, m.r, m.c, cast(min(seen) as bigint) as component from m join walk on walk.node = m.k group by 1, 2, 3""", "cells")
+walk as (with recursive w as (select k as node, k as seen from m union select w.node, e.b from w join e on e.a = w.seen) select * from w),
+labelled as (select m.*, f // 1000000 || ':' || f // 1000 % 1000 || ':' || f % 1000 as component from m join (select node, min(seen) as f from walk group by 1) on node = k)"""
+
+
+@query(f"with {LABELLED} select tile, r, c, component from labelled", "cells")
 def cell_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: 4-connected components of the high cells of every tile at once."""
     members = hag(spark, sf_dir).filter("hag >= 1000").select("tile", "r", "c")
@@ -146,7 +151,13 @@ def component_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.boundary_edges(hag(spark, sf_dir).filter("hag >= 1000"))
 
 
-@query()
+@query(f"""with {LABELLED}, d as (select * from (values (-1, 0), (1, 0), (0, -1), (0, 1)) v(dr, dc)),
+s as (select l.tile, l.r, l.c, count(*) as sides from labelled l cross join d anti join (select tile, r as nr, c as nc from m) x on x.tile = l.tile and x.nr = l.r + dr and x.nc = l.c + dc group by 1, 2, 3),
+n as (select l.*, coalesce(sides, 0) as sides, avg(l.r) over w as ar, avg(l.c) over w as ac from labelled l left join s using (tile, r, c) window w as (partition by component)),
+o as (select *, row_number() over (partition by component order by round((r - ar) ** 2 + (c - ac) ** 2, 9), c, r) as place from n)
+select tile, component, count(*) as area, cast(sum(sides) as bigint) as perimeter, quantile_disc(hag, 0.5) as p50, quantile_disc(hag, 0.95) as p95,
+  round(count(*) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)), 6) as rectangularity, cast(max(case when place = 1 then r end) as integer) as anchor_r, cast(max(case when place = 1 then c end) as integer) as anchor_c,
+  round(4 * pi() * count(*) / (sum(sides) * sum(sides)), 6) as compactness from o group by 1, 2""", "cells")
 def component_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area, percentiles, perimeter and anchor of each component of high cells."""
     high = hag(spark, sf_dir).filter("hag >= 1000").select("tile", "r", "c", "hag")
@@ -160,10 +171,15 @@ def component_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("area"), F.coalesce(F.sum("sides"), F.lit(0)).alias("perimeter"), G.nearest_rank("hag", 0.5).alias("p50"), G.nearest_rank("hag", 0.95).alias("p95"),
         F.round(F.count("*") / size, 6).alias("rectangularity"), F.min_by(F.struct("r", "c"), F.struct(F.round(d2, 9), "c", "r")).alias("anchor"),
     )
-    return shapes.withColumn("compactness", F.round(4 * F.pi() * F.col("area") / (F.col("perimeter") * F.col("perimeter")), 6))
+    compact = F.round(4 * F.pi() * F.col("area") / (F.col("perimeter") * F.col("perimeter")), 6)
+    return shapes.select("tile", "component", "area", "perimeter", "p50", "p95", "rectangularity", F.col("anchor.r").alias("anchor_r"), F.col("anchor.c").alias("anchor_c"), compact.alias("compactness"))
 
 
-@query()
+@query(f"""with m as (select tile, r, c, {HAG} as hag from cells), h as (select * from m where hag >= 200),
+up as (select a.tile, a.r, a.c, a.hag, arg_max(b.r * 1000 + b.c, b.hag * 1000000 + (999 - b.c) * 1000 + 999 - b.r) as u from h a join h b on a.tile = b.tile and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by 1, 2, 3, 4),
+walk as (with recursive w as (select tile, r, c, hag, u, 0 as step from up union all select w.tile, w.r, w.c, w.hag, up.u, step + 1 from w join up on up.tile = w.tile and up.r = w.u // 1000 and up.c = w.u % 1000 where up.u <> w.u) select * from w),
+t as (select tile, r, c, hag, arg_max(u, step) as u from walk group by 1, 2, 3, 4)
+select tile, tile || ':' || u // 1000 || ':' || u % 1000 as crown, count(*) as cells, max(hag) as top, min(r) as r0, max(r) as r1, min(c) as c0, max(c) as c1 from t group by 1, 2""", "cells")
 def crowns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crown of each cell of 200 cm or more by steepest ascent, then size, height and box per crown."""
     found = G.steepest_crowns(hag(spark, sf_dir).filter("hag >= 200").select("tile", "r", "c", "hag"), "hag")
@@ -189,18 +205,22 @@ def nearest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.nearest_valid_fill(hag(spark, sf_dir).select("tile", "r", "c", "hag"), "hag", F.col("hag") % 11 != 0, 64)
 
 
-@query()
+@query("""with t as (select tile, concat_ws(',', r, c, mnt_mm, mns_mm) as x from cells), p as (select tile, substr(sha256(x), 1, 2) as part, sha256(string_agg(x, ';' order by x)) as h from t group by 1, 2)
+select tile, sha256(string_agg(lpad(cast(cast('0x' || part as integer) as varchar), 3, '0') || ':' || h, ';' order by part)) as sha256 from p group by tile""", "cells")
 def tile_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal cells, equal hash."""
     return G.fingerprint(cells(spark, sf_dir), "tile", ["r", "c", "mnt_mm", "mns_mm"])
 
 
-@query()
+@query(f"""with h as (select tile, r, c, tile || ':' || r || ':' || c as id, 'x:' || (tile + case when c = 31 then 1 else 0 end) || ':y:' || r as key, hag % 5 = 0 as lattice from (select *, {HAG} as hag from cells) where hag >= 1000 and (c = 0 or c = 31)),
+k as (select key, min(id) as a from h group by key having count(distinct tile) >= 2 and not bool_and(lattice)), e as (select a, id as b from h join k using (key) where id <> a union select id, a from h join k using (key) where id <> a),
+walk as (with recursive w as (select id as node, id as seen from h union select w.node, e.b from w join e on e.a = w.seen) select * from w)
+select node as id, min(seen) as identity from walk group by 1""", "cells")
 def seam_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3 H4: high cells on the shared border of neighbouring tiles are evidence of one object."""
     rows = hag(spark, sf_dir).filter("hag >= 1000 and (c = 0 or c = 31)")
     key = F.concat_ws(":", F.lit("x"), (F.col("tile") + F.when(F.col("c") == 31, 1).otherwise(0)).cast("string"), F.lit("y"), F.col("r").cast("string"))
-    found = rows.select(G.cell_key().alias("id"), "tile", key.alias("key"), (F.col("hag") % 5 == 0).alias("lattice"), F.lit(1).alias("tiles"))
+    found = rows.select(G.cell_id().alias("id"), "tile", key.alias("key"), (F.col("hag") % 5 == 0).alias("lattice"), F.lit(1).alias("tiles"))
     return graphs.merged_identities(found)
 
 
@@ -262,7 +282,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with s as (select tile, {HAG} as hag, case when (tile + r // 8 * 4 + c // 8) % 5 = 0 then tile * 100 + r // 8 * 4 + c // 8 end as footprint from cells),
 g as (select tile, footprint as id, count(*) as area, quantile_disc(hag, 0.95) as height_cm from s where footprint is not null group by 1, 2)
-select tile, id, area, height_cm, case when height_cm < 200 then 'ambiguous' else 'valid' end as status from g""", "cells")
+select tile, cast(id as varchar) as id, area, height_cm, case when height_cm < 200 then 'ambiguous' else 'valid' end as status from g""", "cells")
 def inventory_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I10 v2, the buildings: one candidate per footprint."""
     return I.placement_inventory(sites(spark, sf_dir), "v2").filter("family = 'building'").select("tile", "id", "area", "height_cm", "status")

@@ -22,7 +22,7 @@ def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.run_comparison(rows, "F", "O")
 
 
-@query("select tile, run, count(*) filter (status = 'valid') as valid, count(*) filter (status = 'ambiguous') as ambiguous, count(*) filter (status = 'rejected') as rejected, count(*) as source, true as balanced from candidates group by 1, 2", "candidates")
+@query("select tile, run, count(*) filter (status = 'valid') as valid, count(*) filter (status = 'ambiguous') as ambiguous, count(*) filter (status = 'rejected') as rejected, count(*) as source, count(*) = count(*) filter (status in ('valid', 'ambiguous', 'rejected')) as balanced from candidates group by 1, 2", "candidates")
 def status_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 D9"""
     return Q.status_totals(candidates(spark, sf_dir), ["tile", "run"])
@@ -50,10 +50,10 @@ def keyed_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.keyed_conflicts(candidates(spark, sf_dir).filter("status <> 'rejected'"), ["tile", "id"], F.sha2(F.col("x_mm").cast("string"), 256))
 
 
-@query("select id, tile, run, status, n, x_mm from candidates where tile % 10 = 0", "candidates")
+@query("select id, tile, run, status, n, x_mm from candidates", "candidates")
 def canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the owned tiles; sinks sort inside their partitions."""
-    return candidates(spark, sf_dir).filter("tile % 10 = 0").select("id", "tile", "run", "status", "n", "x_mm").sortWithinPartitions("id", "tile", "x_mm")
+    """rows in the order of their sink; sinks sort inside their partitions."""
+    return candidates(spark, sf_dir).select("id", "tile", "run", "status", "n", "x_mm").sortWithinPartitions("id", "tile", "x_mm")
 
 
 @query("""with e as (select capture_id, unnest([case when zoom = 3 and distance_m > 2500 then 'too_far' end, case when pixels = 0 then 'empty_mask' end, case when kind = 'error' then 'write_failed' end, case when elapsed_s < 5 then 'too_early' end]) as fault from captures)
@@ -72,15 +72,6 @@ def failure_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.violations(captures(spark, sf_dir), ["capture_id"], rules).groupBy("fault").agg(F.count("*").alias("n"), (F.count("*") > 200).alias("truncated"))
 
 
-@query("""with e as (select id, unnest([case when x0 % 500000 > 480000 then 'escapes_tile' end, case when x1 - x0 > 45000 then 'too_wide' end, case when count(*) over (partition by x0, y0) > 1 then 'repeated' end]) as fault from boxes) select * from e where fault is not null""", "boxes")
-def placement_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules over placements, uniqueness by a window on the place."""
-    from pyspark.sql import Window
-
-    rows = boxes(spark, sf_dir).withColumn("same", F.count("*").over(Window.partitionBy("x0", "y0")))
-    return Q.violations(rows, ["id"], {"escapes_tile": F.col("x0") % 500_000 <= 480_000, "too_wide": F.col("x1") - F.col("x0") <= 45_000, "repeated": F.col("same") == 1})
-
-
 @query("""select id, len(list_filter(map_keys(m), lambda k: k not in ('category', 'name', 'brand'))) as unknown, not list_contains(map_keys(m), 'brand') as no_brand from (select id, case when id % 5 = 0 then map {'category': category, 'name': name, 'extra': brand} else map {'category': category, 'name': name, 'brand': brand} end as m from boxes)""", "boxes")
 def key_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys beyond the allowed ones, and missing ones."""
@@ -115,14 +106,14 @@ def merged_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.merged_counters(one("F"), one("O"), "k", ["files", "bytes"])
 
 
-@query("""with s as (select state, camera, min(distance_m) as d from captures where zoom = 1 group by 1, 2), c as (select camera, min(distance_m) as pool from captures group by 1)
-select state, camera, d <> pool as moved from s join c using (camera)""", "captures")
+@query("""with s as (select state, camera, zoom, min(distance_m) as d from captures group by 1, 2, 3), c as (select camera, min(distance_m) as pool from captures group by 1)
+select state, camera, zoom, d <> pool as moved from s join c using (camera)""", "captures")
 def schedule_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each scheduled view against its camera's row."""
     rows = captures(spark, sf_dir)
     pool = rows.groupBy("camera").agg(F.min("distance_m").alias("pool"))
-    views = rows.filter("zoom = 1").groupBy("state", "camera").agg(F.min("distance_m").alias("d"))
-    return views.join(pool, "camera").select("state", "camera", (F.col("d") != F.col("pool")).alias("moved"))
+    views = rows.groupBy("state", "camera", "zoom").agg(F.min("distance_m").alias("d"))
+    return views.join(pool, "camera").select("state", "camera", "zoom", (F.col("d") != F.col("pool")).alias("moved"))
 
 
 @query("""select capture_id, (case when pixels > 2000 then 2126 else 722 end) + pixels % 7 as lum, pixels % 3 = 0 and distance_m >= 1500 as near_white from captures""", "captures")

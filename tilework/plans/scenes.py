@@ -62,18 +62,23 @@ def burn_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.burn_states(arrival, moments, 25)
 
 
-@query("""with f as (select id, brand, x1 - x0 as w, coalesce(abs((x1 - x0) - lead(x1 - x0) over (partition by brand order by id)) <= 20000, false) as joins from boxes),
-s as (select *, cast(sum(case when before then 0 else 1 end) over (partition by brand order by id) as bigint) as run from (select *, coalesce(lag(joins) over (partition by brand order by id), false) as before from f)),
-p as (select *, (row_number() over (partition by brand, run order by id) - 1) // 2 as half from s)
-select brand, run || ':' || half as pair, min(id) as first, count(*) as parts, min(w) as low, max(w) as high from p group by 1, 2""", "boxes")
+@query("""with f as (select id, brand, x0, x0 // 500000 as area, x1 - x0 as w, coalesce(abs((x1 - x0) - lead(x1 - x0) over (partition by brand, x0 // 500000 order by id)) <= 20000, false) as joins from boxes),
+s as (select *, cast(sum(case when before then 0 else 1 end) over (partition by brand, x0 // 500000 order by id) as bigint) as run from (select *, coalesce(lag(joins) over (partition by brand, x0 // 500000 order by id), false) as before from f)),
+p as (select *, (row_number() over (partition by brand, area, run order by id) - 1) // 2 as half from s)
+select brand, area, run || ':' || half as pair, min(id) as first, count(*) as parts, min(w) as low, max(w) as high from p group by 1, 2, 3""", "boxes")
 def merged_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbours of near equal width merge in twos."""
-    rows = boxes(spark, sf_dir).select("id", "brand", (F.col("x1") - F.col("x0")).alias("w"))
-    paired = C.merged_pairs(rows, "brand", "id", F.abs(F.col("w") - F.col("nxt.w")) <= 20_000)
-    return paired.groupBy("brand", "pair").agg(F.min("id").alias("first"), F.count("*").alias("parts"), F.min("w").alias("low"), F.max("w").alias("high"))
-
-
-@query()
+    """Neighbours of one tile and near equal width merge in twos."""
+    rows = boxes(spark, sf_dir).select("id", "brand", F.expr("x0 div 500000").alias("area"), (F.col("x1") - F.col("x0")).alias("w"))
+    paired = C.merged_pairs(rows, ["brand", "area"], "id", F.abs(F.col("w") - F.col("nxt.w")) <= 20_000)
+    return paired.groupBy("brand", "area", "pair").agg(F.min("id").alias("first"), F.count("*").alias("parts"), F.min("w").alias("low"), F.max("w").alias("high"))
+
+
+@query(f"""with m as (select tile, r, c, hag, tile * 1000000 + r * 1000 + c as k from (select *, {HAG} as hag from cells) where hag >= 1000),
+e as (select a.k as a, b.k as b from m a join m b on a.tile = b.tile and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 and a.k <> b.k),
+walk as (with recursive w as (select k as node, k as seen from m union select w.node, e.b from w join e on e.a = w.seen) select * from w),
+l as (select m.*, f // 1000000 || ':' || f // 1000 % 1000 || ':' || f % 1000 as component from m join (select node, min(seen) as f from walk group by 1) on node = k),
+n as (select *, count(*) over p as n, min(c * 1000 + r) over p as first from l window p as (partition by component))
+select tile, r, c, component, hag from n where (n < 32 and c * 1000 + r = first) or (n >= 32 and r % 4 = 0 and c % 4 = 0)""", "cells")
 def plateau_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One peak per 8-connected plateau of high cells, the lattice on large ones."""
     high = hag(spark, sf_dir).filter("hag >= 1000").select("tile", "r", "c", "hag")
@@ -84,11 +89,11 @@ def plateau_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 n as (select *, sqrt(cast((x - px) ** 2 + (y - py) ** 2 as double)) as la, sqrt(cast((qx - x) ** 2 + (qy - y) ** 2 as double)) as lb from w),
 u as (select *, -(y - py) / nullif(la, 0) as a1, (x - px) / nullif(la, 0) as a2, -(qy - y) / nullif(lb, 0) as b1, (qx - x) / nullif(lb, 0) as b2 from n),
 m as (select *, coalesce(a1, b1) + coalesce(b1, a1) as sx, coalesce(a2, b2) + coalesce(b2, a2) as sy from u),
-k as (select *, sx / nullif(sqrt(sx * sx + sy * sy), 0) as mx, sy / nullif(sqrt(sx * sx + sy * sy), 0) as my from m),
+k as (select *, case when sx * sx + sy * sy > 1e-6 then sx / sqrt(sx * sx + sy * sy) else coalesce(b1, a1) end as mx, case when sx * sx + sy * sy > 1e-6 then sy / sqrt(sx * sx + sy * sy) else coalesce(b2, a2) end as my from m),
 r as (select *, least(6.0, 3.0 / greatest(abs(mx * coalesce(b1, a1) + my * coalesce(b2, a2)), 1e-9)) as reach from k)
-select line, seq, round(x + mx * reach, 3) as ox, round(y + my * reach, 3) as oy from r where sx * sx + sy * sy > 1e-6""", "vertices")
+select line, seq, round(x + mx * reach, 3) as ox, round(y + my * reach, 3) as oy from r where mx is not null""", "vertices")
 def offset_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One side of a corridor of half width three, mitres held to twice that; turns straight back have none."""
+    """One side of a corridor of half width three, mitres held to twice that."""
     found = C.offset_points(vertices(spark, sf_dir), F.lit(3.0))
     return found.filter("ox is not null").select("line", "seq", F.round("ox", 3).alias("ox"), F.round("oy", 3).alias("oy"))
 
@@ -117,11 +122,11 @@ def retargeted_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).select("id", F.round(cx + dx * F.cos(a) - dy * F.sin(a), 4).alias("x"), F.round(cy + dx * F.sin(a) + dy * F.cos(a), 4).alias("y"), (k % 3).alias("profile"))
 
 
-@query("""with q as (select o_orderkey as site, o_custkey % 32 as r, o_orderkey % 32 as c, o_custkey % 100 as tile from orders where o_orderkey % 4 = 0), ring as (select site, tile, r + dr as r, c + dc as c from q cross join (values (-3, 0), (3, 0), (0, -3), (0, 3)) v(dr, dc))
+@query("""with q as (select o_orderkey as site, o_custkey % 32 as r, o_orderkey % 32 as c, o_custkey % 100 as tile from orders), ring as (select site, tile, r + dr as r, c + dc as c from q cross join (values (-3, 0), (3, 0), (0, -3), (0, 3)) v(dr, dc))
 select site, count(*) as samples, max(mns_mm) + 25000 as altitude from ring join cells using (tile, r, c) group by site""", "cells")
 def aerial_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the altitude that clears every sample of a ring by 25 m."""
-    sites = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("site"), (F.col("o_custkey") % 100).alias("tile"), (F.col("o_custkey") % 32).alias("r"), (F.col("o_orderkey") % 32).alias("c"))
+    sites = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("site"), (F.col("o_custkey") % 100).alias("tile"), (F.col("o_custkey") % 32).alias("r"), (F.col("o_orderkey") % 32).alias("c"))
     ring = G.neighbours(sites, [(-3, 0), (3, 0), (0, -3), (0, 3)]).select("site", "tile", F.col("nr").alias("r"), F.col("nc").alias("c"))
     return ring.join(cells(spark, sf_dir).select("tile", "r", "c", "mns_mm"), ["tile", "r", "c"]).groupBy("site").agg(F.count("*").alias("samples"), (F.max("mns_mm") + 25_000).alias("altitude"))
 
@@ -133,9 +138,11 @@ def camera_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.diverse_picks(rows, 12, 100_000)
 
 
-@query("""with e as (select category, count(*) as expected from boxes group by 1), g as (select category, count(*) filter (id % 97 <> 0) as got, count(*) filter (name = 'small ring') as placeholders from boxes group by 1)
-select category, expected, got, placeholders, expected = got and placeholders = 0 as covered from e join g using (category)""", "boxes")
+@query("""with e as (select p_partkey as part, p_size as expected, p_type as category from part), g as (select l_partkey as part, count(*) as got, count(*) filter (l_quantity < 2) as placeholders from lineitem group by 1)
+select category, cast(sum(expected) as bigint) as expected, cast(sum(coalesce(got, 0)) as bigint) as got, cast(sum(coalesce(placeholders, 0)) as bigint) as placeholders, count(*) filter (coalesce(got, 0) <> expected or placeholders > 0) as uncovered from e left join g using (part) group by 1""")
 def coverage_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J10 J2"""
-    found = boxes(spark, sf_dir).groupBy("category").agg(F.count("*").alias("expected"), F.count_if(F.col("id") % 97 != 0).alias("got"), F.count_if(F.col("name") == "small ring").alias("placeholders"))
-    return found.withColumn("covered", (F.col("expected") == F.col("got")) & (F.col("placeholders") == 0))
+    """Places expected of a part (its size) against those made of it in another table, without placeholders."""
+    expected = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.col("p_size").alias("expected"), F.col("p_type").alias("category"))
+    got = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.count("*").alias("got"), F.count_if(F.col("l_quantity") < 2).alias("placeholders"))
+    both = expected.join(got, "part", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    return both.groupBy("category").agg(F.sum("expected").alias("expected"), F.sum("got").alias("got"), F.sum(F.coalesce("placeholders", F.lit(0))).alias("placeholders"), F.count_if((F.col("got") != F.col("expected")) | (F.col("placeholders") > 0)).alias("uncovered"))

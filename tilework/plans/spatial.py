@@ -62,44 +62,44 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.nearest_within(rows, rows, STEP, 4)
 
 
-@query("""with d as (select a.id, min((a.x_mm - b.x_mm) ** 2 + (a.y_mm - b.y_mm) ** 2) as d2 from points a join points b on b.id % 10 = 0 and a.id <> b.id and abs(a.x_mm - b.x_mm) <= 50000 and abs(a.y_mm - b.y_mm) <= 50000 group by a.id)
-select p.id, case when d.d2 <= 2500000000 then cast(d.d2 as bigint) end as d2, coalesce(d.d2 <= 2500000000, false) as within_guard from points p left join d using (id)""", "points")
+@query("""with t as (select x0 as x, y0 as y from boxes), d as (select a.id, min((a.x_mm - t.x) ** 2 + (a.y_mm - t.y) ** 2) as d2 from points a join t on abs(a.x_mm - t.x) <= 50000 and abs(a.y_mm - t.y) <= 50000 group by a.id)
+select p.id, case when d.d2 <= 2500000000 then cast(d.d2 as bigint) end as d2, coalesce(d.d2 <= 2500000000, false) as within_guard from points p left join d using (id)""", "points boxes")
 def guarded_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest of a subset, null with a flag beyond the guard."""
+    """Each point's nearest box corner, null with a flag beyond the guard."""
     rows = points(spark, sf_dir)
-    near = P.nearest_within(rows, rows.filter("id % 10 = 0"), STEP, 1).select("id", "d2")
+    corners = boxes(spark, sf_dir).select((-F.col("id") - 1).alias("id"), F.col("x0").alias("x_mm"), F.col("y0").alias("y_mm"))
+    near = P.nearest_within(rows, corners, STEP, 1).select("id", "d2")
     return rows.select("id").join(near, "id", "left").withColumn("within_guard", F.col("d2").isNotNull())
 
 
-@query("""with s as (select l_suppkey as tile, l_orderkey * 10 + l_linenumber as id, max(l_partkey % 300) as u, max(l_orderkey % 300) as v from lineitem where l_orderkey % 5 = 0 group by 1, 2),
+@query("""with s as (select l_suppkey as tile, l_orderkey * 10 + l_linenumber as id, max(l_partkey % 300) as u, max(l_orderkey % 300) as v from lineitem group by 1, 2),
 k as (select tile, id, v // 10 + a as r, u // 10 + b as c, (case when a = 1 then v % 10 else 10 - v % 10 end) * (case when b = 1 then u % 10 else 10 - u % 10 end) as w from s cross join (values (0), (1)) x(a) cross join (values (0), (1)) y(b))
 select k.tile, id, cast(sum(w * mnt_mm) as bigint) as weighted, cast(sum(w) as bigint) as weights from k join cells on cells.tile = k.tile and cells.r = k.r and cells.c = k.c where w > 0 group by 1, 2""", "cells")
 def bilinear_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C10 L4"""
-    rows = table(spark, sf_dir, "lineitem").filter("l_orderkey % 5 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     samples = rows.groupBy(F.col("l_suppkey").alias("tile"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")).agg(F.max(F.col("l_partkey") % 300).alias("u"), F.max(F.col("l_orderkey") % 300).alias("v"))
     return P.bilinear(samples, cells(spark, sf_dir), "mnt_mm", 10)
 
 
-SEGMENTS = "select line, seq, x, y, lead(x) over (partition by line order by seq) as x2, lead(y) over (partition by line order by seq) as y2 from vertices"
-
-
-@query(f"""with s as (select * from ({SEGMENTS}) where x2 is not null and abs(x2 - x) + abs(y2 - y) <= 1500), a as (select * from s where line % 2 = 0), b as (select * from s where line % 2 = 1)
-select a.line, a.seq, b.line as other, b.seq as other_seq from a join b
-on least(a.x, a.x2) <= greatest(b.x, b.x2) and least(b.x, b.x2) <= greatest(a.x, a.x2) and least(a.y, a.y2) <= greatest(b.y, b.y2) and least(b.y, b.y2) <= greatest(a.y, a.y2)
-where sign((a.x2 - a.x) * (b.y - a.y) - (a.y2 - a.y) * (b.x - a.x)) * sign((a.x2 - a.x) * (b.y2 - a.y) - (a.y2 - a.y) * (b.x2 - a.x)) < 0
+@query("""with p as (select line, seq, line // 50 as area, line * 7919 % 1500 + x // 20 as x, line * 104729 % 1500 + y // 20 as y from vertices),
+s as (select * from (select *, lead(x) over w as x2, lead(y) over w as y2 from p window w as (partition by line order by seq)) where x2 is not null)
+select a.line, a.seq, b.line as other, b.seq as other_seq from s a join s b on a.area = b.area and a.line < b.line
+where least(a.x, a.x2) <= greatest(b.x, b.x2) and least(b.x, b.x2) <= greatest(a.x, a.x2) and least(a.y, a.y2) <= greatest(b.y, b.y2) and least(b.y, b.y2) <= greatest(a.y, a.y2)
+  and sign((a.x2 - a.x) * (b.y - a.y) - (a.y2 - a.y) * (b.x - a.x)) * sign((a.x2 - a.x) * (b.y2 - a.y) - (a.y2 - a.y) * (b.x2 - a.x)) < 0
   and sign((b.x2 - b.x) * (a.y - b.y) - (b.y2 - b.y) * (a.x - b.x)) * sign((b.x2 - b.x) * (a.y2 - b.y) - (b.y2 - b.y) * (a.x2 - b.x)) < 0""", "vertices")
 def line_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short segments of even lines crossing those of odd lines."""
-    s = T.segments(vertices(spark, sf_dir)).filter("abs(x2 - x) + abs(y2 - y) <= 1500")
-    return P.crossing_segments(s.filter("line % 2 = 0"), s.filter("line % 2 = 1"), 500)
+    """Proper crossings of different lines; lines lie within their area of 50 lines, areas side by side."""
+    local = vertices(spark, sf_dir).select("line", "seq", F.expr("line div 50 * 2000 + line * 7919 % 1500 + x div 20").alias("x"), F.expr("line * 104729 % 1500 + y div 20").alias("y"))
+    s = T.segments(local)
+    return P.crossing_segments(s, s, 500).filter("line < other")
 
 
-@query("""with q as (select o_orderkey as zone, o_custkey * 137 as cx, o_orderkey * 311 as cy, 500 + o_custkey % 4 * 500 as side from orders where o_orderkey % 10 = 0)
+@query("""with q as (select o_orderkey as zone, o_custkey * 137 as cx, o_orderkey * 311 as cy, 500 + o_custkey % 4 * 500 as side from orders)
 select zone, unnest(range(cast(floor((cx - side / 2) / 500) as bigint), cast(ceil((cx + side / 2) / 500) as bigint))) * 500 as x, y from (select *, unnest(range(cast(floor((cy - side / 2) / 500) as bigint), cast(ceil((cy + side / 2) / 500) as bigint))) * 500 as y from q)""")
 def tile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I1"""
-    requests = table(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("zone"), (F.col("o_custkey") * 137).alias("cx"), (F.col("o_orderkey") * 311).alias("cy"), (500 + F.col("o_custkey") % 4 * 500).alias("side"))
+    requests = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("zone"), (F.col("o_custkey") * 137).alias("cx"), (F.col("o_orderkey") * 311).alias("cy"), (500 + F.col("o_custkey") % 4 * 500).alias("side"))
     return P.square_plan(requests, 500)
 
 

@@ -23,15 +23,15 @@ def stream_job_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.job_fraction(P.drained(P.tile_progress(event_stream(spark, sf_dir), "user_id", "event_type", "value"), "update"), 500)
 
 
-@query("select sha256(props) as request, count(*) >= 1 as seen from events group by 1")
+@query("select distinct sha256(props) as request, cast(1 as bigint) as emitted from events")
 def stream_unique_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 as a stream: each request once"""
     rows = event_stream(spark, sf_dir).select(F.sha2("props", 256).alias("request"), "ts")
-    return P.drained(P.unique_requests(rows, "request", "ts", "60 days"), "append").groupBy("request").agg((F.count("*") == 1).alias("seen"))
+    return P.drained(P.unique_requests(rows, "request", "ts"), "append").groupBy("request").agg(F.count("*").alias("emitted"))
 
 
 @query("select count(*) as observations, count(distinct user_id) as datasets from (select distinct user_id, ts from events)")
 def stream_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 as a stream"""
     rows = event_stream(spark, sf_dir).select("user_id", "ts")
-    return P.drained(P.unique_observations(rows, "user_id", "ts", "60 days"), "append").agg(F.count("*").alias("observations"), F.count_distinct("user_id").alias("datasets"))
+    return P.drained(P.unique_observations(rows, "user_id", "ts"), "append").agg(F.count("*").alias("observations"), F.count_distinct("user_id").alias("datasets"))

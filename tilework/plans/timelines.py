@@ -185,10 +185,10 @@ def priority_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(k % 97 == 0, k % 7).otherwise(1000).alias("priority"), F.expr("o_orderkey div 64").alias("batch"))
 
 
-@query("select spec, cast(unnest(case when contains(spec, '-') then range(lo, hi + 1) else [lo] end) as bigint) as item from (select o_orderkey % 50 || '-' || (o_orderkey % 50 + o_custkey % 5) as spec, o_orderkey % 50 as lo, o_orderkey % 50 + o_custkey % 5 as hi from orders where o_orderkey % 3 = 0)")
+@query("select spec, cast(unnest(case when contains(spec, '-') then range(lo, hi + 1) else [lo] end) as bigint) as item from (select o_orderkey % 50 || '-' || (o_orderkey % 50 + o_custkey % 5) as spec, o_orderkey % 50 as lo, o_orderkey % 50 + o_custkey % 5 as hi from orders)")
 def range_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B26"""
     k = F.col("o_orderkey") % 50
-    rows = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select(F.concat_ws("-", k.cast("string"), (k + F.col("o_custkey") % 5).cast("string")).alias("spec"))
+    rows = table(spark, sf_dir, "orders").select(F.concat_ws("-", k.cast("string"), (k + F.col("o_custkey") % 5).cast("string")).alias("spec"))
     ends = F.split("spec", "-")
     return rows.select("spec", F.explode(F.sequence(ends[0].cast("long"), F.element_at(ends, -1).cast("long"))).alias("item"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,20 +19,24 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def raster_cells(spark: SparkSession, path: str) -> DataFrame:
-    """tile (file name), r, c, mnt, mns of NPZ files that hold the two arrays; rows run north to south."""
+def npz_pair(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    with np.load(io.BytesIO(content), allow_pickle=False) as arrays:
+        return arrays["mnt"], arrays["mns"]
+
+
+def raster_cells(spark: SparkSession, path: str, load: Callable[[bytes], tuple[np.ndarray, np.ndarray]] = npz_pair, pattern: str = "*.npz") -> DataFrame:
+    """tile (file name), r, c, mnt, mns of files from whose bytes load gets the two arrays; rows run north to south."""
 
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for where, content in zip(batch["path"], batch["content"], strict=True):
-                with np.load(io.BytesIO(content), allow_pickle=False) as arrays:
-                    mnt, mns = arrays["mnt"], arrays["mns"]
+                mnt, mns = load(content)
                 if mnt.shape != mns.shape:
                     raise ValueError(f"{where}: arrays of different shapes")
                 r, c = np.divmod(np.arange(mnt.size), mnt.shape[1])
-                yield pd.DataFrame({"tile": where.rsplit("/", 1)[-1].removesuffix(".npz"), "r": r.astype(np.int32), "c": c.astype(np.int32), "mnt": mnt.ravel().astype(float), "mns": mns.ravel().astype(float)})
+                yield pd.DataFrame({"tile": where.rsplit("/", 1)[-1].rsplit(".", 1)[0], "r": r.astype(np.int32), "c": c.astype(np.int32), "mnt": mnt.ravel().astype(float), "mns": mns.ravel().astype(float)})
 
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path)
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return raw.select("path", "content").mapInPandas(decoded, "tile string, r int, c int, mnt double, mns double")
 
 
@@ -79,7 +83,13 @@ def capture_metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def write_tiles(df: DataFrame, path: str, tile: list[str], mode: str = "errorifexists") -> None:
     """Rows partitioned by tile, sorted in each file; a tile's rows come from one task."""
-    df.repartition(*tile).sortWithinPartitions(*df.columns).write.mode(mode).partitionBy(*tile).parquet(path)
+    df.repartition(*tile).sortWithinPartitions(*tile, *(c for c in df.columns if c not in tile)).write.mode(mode).partitionBy(*tile).parquet(path)
+
+
+def write_canonical_json(df: DataFrame, path: str, tile: str) -> None:
+    """One file a tile: a JSON object a row, its fields in the order of their names, lines in order."""
+    line = F.to_json(F.struct(*sorted(c for c in df.columns if c != tile)))
+    df.select(tile, line.alias("value")).repartition(tile).sortWithinPartitions(tile, "value").write.partitionBy(tile).text(path)
 
 
 def write_heights(cells: DataFrame, path: str) -> None:

@@ -26,14 +26,19 @@ def inactive_sessions(events: DataFrame, key: str, at: str, gap: str, lateness:
     return events.withWatermark(at, lateness).groupBy(F.session_window(at, gap).alias("s"), F.col(key)).agg(F.count("*").alias("events")).select(key, F.col("s.start").alias("began"), F.col("s.end").alias("stalled_at"), "events")
 
 
-def unique_requests(requests: DataFrame, request: str, at: str, lateness: str) -> DataFrame:
-    """The first row of each request within the watermark; state is dropped behind it."""
+def unique_requests(requests: DataFrame, request: str, at: str, lateness: str | None = None) -> DataFrame:
+    """The first row of each request.  With a lateness, within the watermark: state is dropped behind it, and a request that
+    comes again later than that counts anew; without, the state holds every request ever seen."""
+    if lateness is None:
+        return requests.dropDuplicates([request])
     return requests.withWatermark(at, lateness).dropDuplicatesWithinWatermark([request])
 
 
-def unique_observations(observations: DataFrame, dataset: str, at: str, lateness: str) -> DataFrame:
-    """One observation per dataset and time; a later one never changes an earlier one."""
-    return observations.withWatermark(at, lateness).dropDuplicates([dataset, at])
+def unique_observations(observations: DataFrame, dataset: str, at: str, lateness: str | None = None) -> DataFrame:
+    """One observation per dataset and time; a later one never changes an earlier one.  With a lateness, rows behind the
+    watermark are dropped and so is the state behind it."""
+    rows = observations if lateness is None else observations.withWatermark(at, lateness)
+    return rows.dropDuplicates([dataset, at])
 
 
 def throttled(events: DataFrame, job: str, at: str, every: str, lateness: str) -> DataFrame:
