@@ -11,9 +11,10 @@ Hashes find what repeats, the texts of the repeated ones are then grouped byte b
 every occurrence after the first (by doc_id, then place) go; lines that the first occurrence holds itself
 (runs that overlap their own repeat) stay.
 
-Null and empty texts have no chunks and stay as they are.  Rows with a null doc_id keep all lines but
-count as earlier occurrences.  Rows that share a doc_id are one document's: equal chunks at the same
-place of both stay.  removed_chunks counts the chunks that lost lines.
+Null and empty texts have no chunks and stay as they are.  Every row has a number of its own, so rows with
+a null doc_id (they come first) and rows that share a doc_id (by a hash of the text, then the number) are
+compared like any others, and what a task keeps of a row is bounded by that row.  removed_chunks counts
+the chunks that lost lines.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, text_batches, written
+from ..checkpoints import bucketed
+from .common import free, lean, text_batches, written
 
 LONG_WORDS = 50
 LEAST_WORDS = 10
@@ -102,16 +104,14 @@ def _hash(text: str) -> int:
 
 def _hashed(runs: bool):
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held("linededup", dict)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                if text:
-                    lines = text.split("\n")
-                    rows += [(doc, lo, _hash("\n".join(lines[lo:hi]))) for lo, hi in spans(text, runs)]
-            yield pd.DataFrame(rows, columns=["doc_id", "line", "h"]).astype({"doc_id": "Int64"})
+            for row, text in zip(batch["row"], batch["text"], strict=True):
+                lines = text.split("\n")
+                rows += [(row, lo, _hash("\n".join(lines[lo:hi]))) for lo, hi in spans(text, runs)]
+            yield pd.DataFrame(rows, columns=["row", "line", "h"])
 
-    return hashed
+    return lean(hashed)
 
 
 def _texts(runs: bool):
@@ -120,25 +120,23 @@ def _texts(runs: bool):
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, text, seen in zip(batch["doc_id"], batch["text"], batch["seen"], strict=True):
-                if text:
-                    lines, asked = text.split("\n"), {(x["line"], x["h"]) for x in seen}
-                    starts = {line for line, _ in asked}
-                    for lo, hi in spans(text, runs):
-                        if lo in starts:
-                            part = "\n".join(lines[lo:hi])
-                            if (lo, _hash(part)) in asked:
-                                rows.append((doc, lo, _hash(part), part))
-            yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+            for row, doc, order, text, seen in zip(batch["row"], batch["doc_id"], batch["th"], batch["text"], batch["seen"], strict=True):
+                lines, asked = text.split("\n"), {(x["line"], x["h"]) for x in seen}
+                starts = {line for line, _ in asked}
+                for lo, hi in spans(text, runs):
+                    if lo in starts:
+                        part = "\n".join(lines[lo:hi])
+                        if (lo, _hash(part)) in asked:
+                            rows.append((doc, order, row, lo, _hash(part), part))
+            yield pd.DataFrame(rows, columns=["doc_id", "th", "row", "line", "h", "part"]).astype({"doc_id": "Int64"})
 
-    return texts
+    return lean(texts)
 
 
 _CUT = T.StructType().add("text", "string").add("removed_lines", "integer").add("removed_chunks", "integer")
 
 
-@F.pandas_udf(_CUT)
-def _without(texts: pd.Series, gone: pd.Series, with_runs: pd.Series) -> pd.DataFrame:
+def _cut(texts: pd.Series, gone: pd.Series, with_runs: pd.Series) -> pd.DataFrame:
     out = []
     for text, marks, runs in zip(texts, gone, with_runs, strict=True):
         if text is None or marks is None or not len(marks):
@@ -155,7 +153,7 @@ def _without(texts: pd.Series, gone: pd.Series, with_runs: pd.Series) -> pd.Data
             if own == lo:
                 continue
             after = own + hi - lo
-            if own < 0 or after <= lo or _hash("\n".join(lines[own:after])) != h:  # the last: another row of the document holds it
+            if own < 0 or after <= lo:
                 after = lo
             cut.update(range(after, hi))
         kept = [line for k, line in enumerate(lines) if k not in cut]
@@ -163,46 +161,38 @@ def _without(texts: pd.Series, gone: pd.Series, with_runs: pd.Series) -> pd.Data
     return pd.DataFrame(out, columns=["text", "removed_lines", "removed_chunks"])
 
 
-def _per_document(rows: DataFrame, out: str) -> DataFrame:
-    """(doc_id, out: array of the other columns); it grows with the rows, so its joins shuffle at every size."""
-    lists = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct([c for c in rows.columns if c != "doc_id"])).alias(out))
-    return written(lists).hint("merge")
+@F.pandas_udf(_CUT)
+def _without(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    yield from lean(lambda rest: (_cut(*x) for x in rest))(batches)
+
+
+def _per_row(rows: DataFrame, out: str) -> DataFrame:
+    """(row, out: array of the other columns); it grows with the rows, so its joins shuffle at every size."""
+    return written(rows.groupBy("row").agg(F.collect_set(F.struct([c for c in rows.columns if c != "row"])).alias(out))).hint("merge")
 
 
 def dedup_lines(docs: DataFrame, runs: bool = False) -> DataFrame:
     """docs with repeated chunks (runs: and repeated runs of lines) cut from text, and removed_lines, removed_chunks; all rows stay."""
-    hashed = written(text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_hashed(runs), "doc_id long, line int, h long"))
+    row, gone, cut = (free(x, docs) for x in ("row", "gone", "cut"))
+    numbered = bucketed(text_batches(docs).withColumn(row, F.monotonically_increasing_id()), row)  # both joins of the texts are on it
+    texts = numbered.filter("text <> ''").select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    hashed = written(texts.select("row", "text").mapInPandas(_hashed(runs), "row long, line int, h long"))
     often = written(hashed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     seen = hashed.join(often, "h", "left_semi")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    asked = own.join(_per_document(seen, "seen"), "doc_id")
-    parts = asked.mapInPandas(_texts(runs), "doc_id long, line int, h long, part string")
-    nameless = own.filter("doc_id is null").withColumn("line", F.lit(0)).mapInPandas(_nameless(runs), "doc_id long, line int, h long, part string")
-    parts = written(parts.union(nameless))
-    first = written(parts.groupBy("h", "part").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).filter("n > 1"))
-    later = parts.join(first, ["h", "part"]).filter(F.struct("doc_id", "line") != F.col("first"))
-    later = later.select("doc_id", "line", "h", F.when(F.col("first.doc_id") == F.col("doc_id"), F.col("first.line")).otherwise(-1).alias("own"))
-    gone = _per_document(later, "gone")
-    cut = docs.join(gone.toDF("_doc", "_gone"), F.col("doc_id").cast("long") == F.col("_doc"), "left").withColumn("_cut", _without("text", "_gone", F.lit(runs)))
-    return cut.select(*(F.col("_cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), "_cut.removed_lines", "_cut.removed_chunks")
+    parts = written(texts.join(_per_row(seen, "seen"), "row").mapInPandas(_texts(runs), "doc_id long, th long, row long, line int, h long, part string"))
+    place = F.struct("doc_id", "th", "row", "line")
+    first = written(parts.groupBy("h", "part").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    later = parts.join(first, ["h", "part"]).filter(~place.eqNullSafe(F.col("first")))
+    marks = later.select("row", "line", "h", F.when(F.col("first.row") == F.col("row"), F.col("first.line")).otherwise(-1).alias("own"))
+    found = numbered.join(_per_row(marks, gone).withColumnRenamed("row", row), row, "left").withColumn(cut, _without("text", gone, F.lit(runs)))
+    return found.select(*(F.col(f"{cut}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), f"{cut}.removed_lines", f"{cut}.removed_chunks")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """docs after dedup_lines, n_chars counted anew; documents of which nothing is left go, those empty before stay."""
-    cut = dedup_lines(docs, runs=True).filter((F.col("removed_chunks") == 0) | (F.trim("text") != ""))
-    return cut.withColumn("n_chars", F.when(F.col("removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
-
-
-def _nameless(runs: bool):
-    def nameless(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                if text:
-                    lines = text.split("\n")
-                    for lo, hi in spans(text, runs):
-                        part = "\n".join(lines[lo:hi])
-                        rows.append((None, lo, _hash(part), part))
-            yield pd.DataFrame(rows, columns=["doc_id", "line", "h", "part"]).astype({"doc_id": "Int64"})
+    """docs after dedup_lines, n_chars counted anew; documents of which nothing is left go, those empty before stay.
 
-    return nameless
+    A null text stays null; columns named removed_lines or removed_chunks pass through as they are."""
+    aside = {c: free(f"own_{c}", docs) for c in docs.columns if c.lower() in ("removed_lines", "removed_chunks")}
+    cut = dedup_lines(docs.withColumnsRenamed(aside), runs=True)
+    cut = cut.filter((F.col("removed_chunks") == 0) | (F.trim("text") != "")).withColumn("n_chars", F.when(F.col("removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.drop("removed_lines", "removed_chunks").withColumnsRenamed({new: old for old, new in aside.items()}).select([F.col(f"`{c}`") for c in docs.columns])

@@ -1,11 +1,11 @@
 """MinHash near-duplicate detection with min-max hashing.
 
-Each permutation keeps both its minimum and its maximum, so 72 hash evaluations per shingle give a
-signature of 144 values.  Bands of six values make candidate buckets; links are confirmed on full
-shingle sets, so the signature decides only what is compared.
+Each permutation keeps both its minimum and its maximum, so 96 hash evaluations per shingle give a
+signature of 192 values.  Bands of six values make candidate buckets; links are confirmed on full
+shingle sets, word by word, so the signature decides only what is compared.
 
-Work that grows with a group's size is kept linear: equal shingle sets collapse to one
-representative before banding; within a bucket each member is first compared with one leader (the
+Work that grows with a group's size is kept linear: documents of equal words (by a
+128-bit cryptographic digest of the words in order) collapse to one representative before banding; within a bucket each member is first compared with one leader (the
 member met most often over all its buckets, which is the centre of a family of copies).  Only buckets
 that still hold several components after that are compared in full, in blocks, inside tasks.
 
@@ -15,9 +15,10 @@ component and kept; rows that share a doc_id are one document, linked with whate
 
 from __future__ import annotations
 
+import hashlib
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, partial
 from typing import NamedTuple
 
 import numpy as np
@@ -25,15 +26,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, min_label_components, only_ids, text_batches, written
+from .common import lean, min_label_components, only_ids, text_batches, written
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 85, 100
-BANDS, ROWS = 24, 6
+BANDS, ROWS = 32, 6
 PERMUTATIONS = BANDS * ROWS // 2
 #: Share of equal signature bytes at which a pair is compared on full sets; at similarity 0.85 the share's
-#: standard deviation is 0.03, so a link is lost only beyond four of them.
-ESTIMATE = 0.72
+#: standard deviation is 0.026, so a link is lost only beyond five of them, and shares no band with probability 3e-7.
+ESTIMATE = 0.715
 
 
 class Setting(NamedTuple):
@@ -52,8 +53,8 @@ CONTRACT = Setting(NUMERATOR, DENOMINATOR, BANDS, ROWS, ESTIMATE)
 STAGE = Setting(80, 100, 30, 5, 0.63)
 #: Members per side of a block comparison.
 BLOCK = 256
-#: Bytes hashed at once.
-CHUNK = 1 << 20
+#: Bytes hashed at once; a longer text is hashed in pieces.
+CHUNK = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _A = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -74,15 +75,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for n bytes."""
-    if len(_POWERS[0]) < n:
-        size = max(n, CHUNK + 4096)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for k, base in enumerate((_BASE, inverse)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+    """Powers of the base and of its inverse modulo 2^64, for n bytes; those for two chunks are kept."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    size, found = max(n, 2 * CHUNK + 4096), []
+    for base in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        found.append(np.multiply.accumulate(steps))
+    if n <= 2 * CHUNK + 4096:
+        _POWERS[:] = found
+    return found[0], found[1]
 
 
 def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -99,33 +102,62 @@ def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _mix((total[last - 1] - before) * down[first] + (last - first).astype(np.uint64) * _STEP), first
 
 
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """raw in pieces of about CHUNK bytes that end at white space."""
+    lo = 0
+    while lo < len(raw):
+        hi = lo + CHUNK
+        while hi < len(raw) and not _SPACE[raw[hi]]:
+            hi += 1
+        yield raw[lo:hi]
+        lo = hi
+
+
+def _shingled(words: np.ndarray) -> np.ndarray:
+    """The hash of each run of WORDS words."""
+    rolled = words[: max(0, len(words) - WORDS + 1)].copy()
+    for k in range(1, WORDS):
+        rolled = rolled * _STEP + words[k : len(rolled) + k]
+    return _mix(rolled)
+
+
+def _distinct(words: np.ndarray, rolled: np.ndarray) -> np.ndarray:
+    if len(words) >= WORDS:
+        return np.unique(rolled)
+    if not len(words):
+        return words
+    short = np.array([len(words)], np.uint64)
+    for x in words:
+        short = _mix(short * _STEP + x + np.uint64(1))
+    return short
+
+
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's word shingles."""
     at = 0
+    raw = (texts[0] or "").encode("utf-8", "surrogatepass") if len(texts) else b""
     while at < len(texts):
         raws, size = [], 0
-        while at < len(texts) and (not raws or size < CHUNK):
-            raws.append((texts[at] or "").encode("utf-8", "surrogatepass"))
-            size += len(raws[-1]) + 1
+        while at < len(texts) and (not raws or size + len(raw) < CHUNK):
+            raws.append(raw)
+            size += len(raw) + 1
             at += 1
+            raw = (texts[at] or "").encode("utf-8", "surrogatepass") if at < len(texts) else b""
+        if len(raws) == 1:
+            words = np.concatenate([np.zeros(0, np.uint64), *(_word_hashes(x)[0] for x in _pieces(raws[0]))])
+            yield _distinct(words, _shingled(words))
+            continue
         words, first = _word_hashes(b"\n".join(raws))
-        ends = np.cumsum([len(x) + 1 for x in raws])
-        cuts = np.searchsorted(first, np.concatenate(([0], ends)))
-        if len(words) >= WORDS:
-            rolled = words[: len(words) - WORDS + 1].copy()
-            for k in range(1, WORDS):
-                rolled = rolled * _STEP + words[k : len(words) - WORDS + 1 + k]
-            rolled = _mix(rolled)
+        cuts = np.searchsorted(first, np.concatenate(([0], np.cumsum([len(x) + 1 for x in raws]))))
+        rolled = _shingled(words)
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if hi - lo >= WORDS:
-                yield np.unique(rolled[lo : hi - WORDS + 1])
-            elif hi > lo:
-                short = np.array([hi - lo], np.uint64)
-                for x in words[lo:hi]:
-                    short = _mix(short * _STEP + x + np.uint64(1))
-                yield short
-            else:
-                yield np.zeros(0, np.uint64)
+            yield _distinct(words[lo:hi], rolled[lo : max(lo, hi - WORDS + 1)])
+
+
+def word_shingles(text: str | None) -> set[tuple[bytes, ...]]:
+    """The shingles themselves, as words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return {tuple(words)} - {()} if len(words) < WORDS else set(zip(*(words[k:] for k in range(WORDS)), strict=False))
 
 
 @cache
@@ -149,47 +181,80 @@ def signature(shingles: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndar
 
 
 def _signed(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
-    held("minhash", dict)
     salt = _mix(np.arange(1, at.bands + 1, dtype=np.uint64))
     for batch in batches:
         rows = []
-        for doc, s in zip(batch["doc_id"], shingle_sets(batch["text"].tolist()), strict=True):
+        for doc, text, s in zip(batch["doc_id"], batch["text"], shingle_sets(batch["text"].tolist()), strict=True):
             if not len(s):
-                rows.append((doc, 0, 0, 0, None, None))
+                rows.append((doc, 0, None, None, None))
                 continue
+            words = hashlib.blake2b(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()), digest_size=16).digest()
             v = signature(s, at.bands * at.rows // 2)
             by = v.reshape(at.rows, at.bands)
             key = salt.copy()
             for r in range(at.rows):
                 key = _mix(key * _STEP + by[r])
-            rows.append((doc, len(s), np.sum(_mix(s)).astype(np.int64), np.sum(_mix(s * _STEP + _BASE)).astype(np.int64), key.view(np.int64), (_mix(v) >> np.uint64(56)).astype(np.uint8).tobytes()))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "h2", "bands", "sig"]).astype({"doc_id": "Int64"})
+            rows.append((doc, len(s), words, key.view(np.int64), (_mix(v) >> np.uint64(56)).astype(np.uint8).tobytes()))
+        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "words", "bands", "sig"]).astype({"doc_id": "Int64"})
+
+
+#: Pairs whose hashed sets come this near to the threshold are decided on the words.
+SLACK = 0.02
+
+
+def _linked(x: set, y: set, at: Setting) -> bool:
+    both = len(x & y)
+    return both > 0 and at.denominator * both >= at.numerator * (len(x) + len(y) - both)
 
 
 def _similar(x: np.ndarray, y: np.ndarray, at: Setting) -> bool:
-    if not len(x) or not len(y) or at.denominator * min(len(x), len(y)) < at.numerator * max(len(x), len(y)):
+    """Whether the hashed sets come near the threshold, so that the words have to decide."""
+    least = at.numerator / at.denominator - SLACK
+    if not len(x) or not len(y) or min(len(x), len(y)) < least * max(len(x), len(y)):
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return at.denominator * both >= at.numerator * (len(x) + len(y) - both)
+    return both >= least * (len(x) + len(y) - both)
 
 
-def _confirmed(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
-    kept: OrderedDict[str, np.ndarray] = OrderedDict()
-
-    def sets(texts: pd.Series) -> list[np.ndarray]:
-        new = list({t for t in texts if t not in kept})
-        kept.update(zip(new, shingle_sets(new), strict=True))
-        out = [kept[t] for t in texts]
-        while len(kept) > 256:
-            kept.popitem(last=False)
+class _Kept:
+    """The hashed sets of the texts met last, and their words where they were asked for, up to KEPT bytes of text."""
+
+    KEPT = 4 << 20
+
+    def __init__(self) -> None:
+        self.size, self.sets, self.words = 0, OrderedDict(), {}
+
+    def hashed(self, texts: list[str]) -> list[np.ndarray]:
+        new = list(dict.fromkeys(t for t in texts if t not in self.sets))
+        self.sets.update(zip(new, shingle_sets(new), strict=True))
+        self.size += sum(map(len, new))
+        out = [self.sets[t] for t in texts]
+        while self.size > self.KEPT and len(self.sets) > 1:
+            old, _ = self.sets.popitem(last=False)
+            self.words.pop(old, None)
+            self.size -= len(old)
         return out
 
+    def linked(self, a: str, b: str, x: np.ndarray, y: np.ndarray, at: Setting) -> bool:
+        if not _similar(x, y, at):
+            return False
+        if len(self.words) > 64:
+            self.words.clear()
+        for t in (a, b):
+            if t not in self.words:
+                self.words[t] = word_shingles(t)
+        return _linked(self.words[a], self.words[b], at)
+
+
+def _confirmed(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataFrame]:
+    kept = _Kept()
     for batch in batches:
         hit = []
         for lo in range(0, len(batch), 64):
             part = batch.iloc[lo : lo + 64]
-            for x, y in zip(sets(part["ta"].fillna("")), sets(part["tb"].fillna("")), strict=True):
-                hit.append(_similar(x, y, at))
+            left, right = part["ta"].fillna("").tolist(), part["tb"].fillna("").tolist()
+            for a, b, x, y in zip(left, right, kept.hashed(left), kept.hashed(right), strict=True):
+                hit.append(kept.linked(a, b, x, y, at))
         yield batch.loc[hit, ["a", "b"]]
 
 
@@ -199,7 +264,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, at: Setting = CONTRACT) -> Data
     ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     texts = written(only_ids(docs, "doc_id", ids))
     left, right = texts.toDF("a", "ta"), texts.toDF("b", "tb")
-    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(lambda batches: _confirmed(batches, at), "a long, b long").distinct())
+    return written(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(lean(partial(_confirmed, at=at)), "a long, b long").distinct())
 
 
 def _by_tile(batches: Iterator[pd.DataFrame], handle: Callable[[pd.DataFrame], pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,7 +313,8 @@ def _compared(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataF
     """Links of each block pair, without those that links found before already imply."""
 
     def links(g: pd.DataFrame) -> pd.DataFrame:
-        sets = list(shingle_sets(g["text"].fillna("").tolist()))
+        texts = g["text"].fillna("").tolist()
+        sets, kept = list(shingle_sets(texts)), _Kept()
         doc, root, out = g["doc"].tolist(), {c: c for c in g["comp"]}, []
         comp = g["comp"].tolist()
 
@@ -260,7 +326,7 @@ def _compared(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataF
         for x, many in _likely(g, at):
             for y in many:
                 a, b = top(comp[x]), top(comp[y])
-                if a != b and _similar(sets[x], sets[y], at):
+                if a != b and kept.linked(texts[x], texts[y], sets[x], sets[y], at):
                     root[max(a, b)] = min(a, b)
                     out.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -271,11 +337,10 @@ def _compared(batches: Iterator[pd.DataFrame], at: Setting) -> Iterator[pd.DataF
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", at: Setting = CONTRACT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs, linked at the similarity of at; see the module's text."""
     docs = text_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(docs.mapInPandas(lambda batches: _signed(batches, at), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary"))
+    signed = written(docs.mapInPandas(lean(partial(_signed, at=at)), "doc_id long, n_shingles long, words binary, bands array<long>, sig binary"))
     known = signed.filter("doc_id is not null and n_shingles > 0")
-    same = ["n_shingles", "h1", "h2"]
-    groups = written(known.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    members = written(signed.join(groups, same, "left").withColumn("rep", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("rep")), "doc_id")).drop("h1", "h2"))
+    groups = written(known.groupBy("words").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    members = written(signed.join(groups, "words", "left").withColumn("rep", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("rep")), "doc_id")).drop("words"))
     reps = members.filter("rep = doc_id and n_shingles > 0")
 
     keyed = reps.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
@@ -294,12 +359,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = split.withColumn("side", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     split = written(split.select("doc", "comp", "key", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
     ids = written(split.select("doc").distinct())
-    signs = written(only_ids(reps.select(F.col("doc_id").alias("doc"), "sig", "bands"), "doc", ids).dropDuplicates(["doc"]))
+    signs = written(only_ids(reps.select(F.col("doc_id").alias("doc"), "sig", "bands"), "doc", ids).dropDuplicates(["doc", "sig"]))
     tiles = split.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc", "comp", "side").join(signs, "doc")
     tiles = tiles.select("key", "i", "j", "doc", "comp", "side", "sig", "bands")
-    close = written(tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lambda batches: _close(batches, at), tiles.schema))
+    close = written(tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lean(partial(_close, at=at)), tiles.schema))
     texts = written(only_ids(docs.toDF("doc", "text"), "doc", written(close.select("doc").distinct())))
-    more = close.join(texts, "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lambda batches: _compared(batches, at), "a long, b long")
+    more = close.join(texts, "doc").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(lean(partial(_compared, at=at)), "a long, b long")
     links = links.union(written(more.distinct()))
     repeated = members.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("lo"), F.count("*").alias("n")).filter("n > 1")
     links = links.union(members.join(written(repeated.select("doc_id")), "doc_id", "left_semi").filter("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))

@@ -16,13 +16,14 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, held, text_batches, written
+from .common import BROADCAST_IDS, held, lean, text_batches, written
 
 CAPACITY = 2048
 WIDTH = 8
@@ -31,8 +32,8 @@ END_ID = 1
 SMOOTHING, GAP = 0.8, 0.0005
 #: Pieces of one salt of one class at about this many.
 RANKED = 500_000
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 1_500_000
+#: Words whose ids a worker keeps: about 60 MB.
+KEPT_WORDS = 300_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -47,55 +48,115 @@ def _loaded(path: str) -> WordIds:
     return WordIds(Tokenizer.from_file(path))
 
 
+#: Texts that show how a tokenizer treats words: white space of all kinds, marks at a letter, capitals, joined letters.
+_SHOWN = ("It was,  late\tin May.\nNo\r\none; SPOKE", " a b ", "été, naïve. Straße. ﬁn. ÉTÉ", "x1, y2. 3.4, z.", "one\x0btwo\x0cthree", "A. b, C., d.,", "unforeseeable wordsmiths qzx")
+#: Words that are encoded as one text.
+_JOINED = 512
+
+
 class WordIds:
-    """Ids of white-space separated words; the tokenizer never joins ids over white space, so a word's ids are the same in any text."""
+    """Ids of texts by a tokenizer that never joins ids over ASCII white space: a word's ids are the same in any text.
+
+    How it treats words is tried on a few texts when the tokenizer is loaded; one that doesn't keep words apart encodes
+    whole texts, and so does a text that holds an added token's string in any case (these are matched before
+    the text is normalised).  New words are learnt a batch at a time, many as one text where each is known to end at a
+    token that ends a word.
+    """
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
+        self.added = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        plain = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
+        self.by_word, self.by_case, self.by_mark = True, False, False
+        self.ends = np.zeros(1 + max(tokenizer.get_vocab().values(), default=0), bool)
+        self.clear()
+        same = lambda: all(plain(x) == self.encode(x).tolist() for x in _SHOWN)
+        self.by_word = same()
+        self.by_case = self.by_word and all(plain(x) == plain(x.encode().lower().decode()) for x in _SHOWN)
+        self.by_mark = self.by_word and all(plain(w[:-1]) + plain(w[-1:]) == plain(w) for x in _SHOWN for w in x.split() if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() and w[-2].isascii())
+        for token, k in tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-        self.count = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        k = len(self.index)
-        if k == len(self.first):
-            self.first, self.count = np.resize(self.first, 2 * k), np.resize(self.count, 2 * k)
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.used + len(ids)))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.first[k], self.count[k] = self.used, len(ids)
-        self.used += len(ids)
-        self.index[word] = k
+        self.flat = np.zeros(0, np.uint32)
+        self.first = self.count = self.hits = np.zeros(0, np.int64)
+
+    def _add(self, words: list[bytes], n: np.ndarray, ids: np.ndarray) -> None:
+        """Words with the number of their ids, and these ids one after the other."""
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words)), strict=True))
+        self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(n) - n))
+        self.flat = np.concatenate((self.flat, ids.astype(np.uint32)))
+        self.count, self.hits = np.concatenate((self.count, n)), np.concatenate((self.hits, np.zeros(len(n), np.int64)))
+
+    def _at(self, places: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one after the other."""
+        n = self.count[places]
+        ends = np.cumsum(n)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[places] - (ends - n), n)]
+
+    def _forget(self) -> None:
+        """Drops the words that were met least since the last time."""
+        keep = np.flatnonzero(self.hits > max(1, np.median(self.hits)))
+        words, n, ids, hits = list(self.index), self.count[keep], self._at(keep), self.hits[keep] // 2
+        self.clear()
+        self._add([words[k] for k in keep], n, ids)
+        self.hits = hits
+
+    def _each(self, words: list[bytes], texts: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(words, n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())))
 
     def _learn(self, words: list[bytes]) -> None:
-        """A letter followed by one mark at the end is split there by the tokenizer too, so both parts' ids are kept words' ids."""
-        cut = {w: (w[:-1], w[-1:]) for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        """Words of letters have one end token each.  A letter followed by one mark at the end is split there by the tokenizer
+        too, so both parts' ids are kept words' ids."""
+        cut = {w: (w[:-1], w[-1:]) for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalpha()} if self.by_mark else {}
         plain = list(dict.fromkeys(x for w in words for x in cut.get(w, (w,)) if x not in self.index))
-        found = self.tokenizer.encode_batch([x.decode("utf-8", "surrogatepass") for x in plain], add_special_tokens=False)
-        for x, e in zip(plain, found, strict=True):
-            self._add(x, e.ids)
-        for w, parts in cut.items():
-            if w not in self.index:
-                at = [self.index[x] for x in parts]
-                self._add(w, [int(i) for k in at for i in self.flat[self.first[k] : self.first[k] + self.count[k]]])
+        texts = b" ".join(plain).decode("utf-8", "surrogatepass").split(" ") if plain else []
+        letters, others, sizes, known = [], [], [], []
+        for k, x in enumerate(texts):
+            (letters if x.isalpha() else others).append(k)
+        for lo, e in zip(range(0, len(letters), _JOINED), self.tokenizer.encode_batch_fast([" ".join(texts[k] for k in letters[lo : lo + _JOINED]) for lo in range(0, len(letters), _JOINED)], add_special_tokens=False), strict=True):
+            ids, some = np.array(e.ids, np.int64), letters[lo : lo + _JOINED]
+            last = np.flatnonzero(self.ends[ids]) if len(ids) else ids
+            if len(last) == len(some) and last[-1] == len(ids) - 1:
+                known += some
+                sizes.append((np.diff(last, prepend=-1), ids))
+            else:
+                others += some
+        if known:
+            self._add([plain[k] for k in known], *map(np.concatenate, zip(*sizes, strict=True)))
+        self._each([plain[k] for k in others], [texts[k] for k in others])
+        joined = [w for w in cut if w not in self.index]
+        if joined:
+            parts = np.fromiter((self.index[x] for w in joined for x in cut[w]), np.int64, 2 * len(joined))
+            self._add(joined, self.count[parts].reshape(-1, 2).sum(1), self._at(parts))
+
+    def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        raws = [x.encode("utf-8", "surrogatepass") for x in texts]
+        low = [x.lower() for x in raws]
+        whole = [not self.by_word or any(x in raw for x in self.added) for raw in low]
+        words = [[] if alone else raw.split() for raw, alone in zip(low if self.by_case else raws, whole, strict=True)]
+        if len(self.index) > KEPT_WORDS:
+            self._forget()
+        if new := set().union(*words).difference(self.index):
+            self._learn(list(new))
+        sizes = [len(x) for x in words]
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, sum(sizes))
+        self.hits += np.bincount(at, minlength=len(self.hits))
+        ids, upto = self._at(at), np.concatenate(([0], np.cumsum(self.count[at])))
+        ends = upto[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]
+        for k, text in enumerate(texts):
+            if whole[k]:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            else:
+                yield ids[ends[k] : ends[k + 1]]
 
     def encode(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        if len(self.index) > KEPT_WORDS:
-            self.clear()
-        at = list(map(self.index.get, words))
-        if None in at:
-            self._learn(list({w for w, k in zip(words, at, strict=True) if k is None}))
-            at = list(map(self.index.__getitem__, words))
-        at = np.array(at, np.int64)
-        n = self.count[at]
-        ends = np.cumsum(n)
-        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[at] - (ends - n), n)]
+        return next(self.encode_many([text]))
 
 
 def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -105,12 +166,12 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
         encoder = _encoder(tokenizer)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(encoder.encode(text or ""), np.uint32(END_ID)).astype("<u4")
+            for doc, found in zip(batch["doc_id"], encoder.encode_many([x or "" for x in batch["text"]]), strict=True):
+                ids = np.append(found, np.uint32(END_ID)).astype("<u4")
                 rows += [(doc, lo, min(CAPACITY, len(ids) - lo), zlib.crc32(ids[lo : lo + CAPACITY].tobytes()), len(ids)) for lo in range(0, len(ids), CAPACITY)]
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
 
-    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, PIECE)
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(lean(cut, ("packing", tokenizer)), PIECE)
 
 
 def _best_pattern(values: np.ndarray, units: int) -> np.ndarray:

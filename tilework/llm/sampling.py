@@ -27,12 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, text_batches
+from .common import held, lean, text_batches
 
 SAMPLES = 2
 #: Units whose lattices a worker keeps, and characters walked at once.
-KEPT_UNITS = 500_000
-CHUNK = 1_000_000
+KEPT_UNITS = 200_000
+CHUNK = 250_000
 #: Below this log-probability of a prefix no branch can matter: the least gap is e^-38, so its bound is above
 #: e^7, while the first places with a choice, whose prefixes are likely, give the kept bounds of about one.
 DEEPEST = -45.0
@@ -51,8 +51,8 @@ def _uniform(key: np.ndarray, *parts) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def _doubled(a: np.ndarray, need: int) -> np.ndarray:
-    return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, 2 * len(a)) - len(a), a.dtype)))
+def _grown(a: np.ndarray, need: int) -> np.ndarray:
+    return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, len(a) + len(a) // 4) - len(a), a.dtype)))
 
 
 def shown(normalized: str) -> str:
@@ -222,11 +222,11 @@ class Lattices:
         total = np.cumsum(odds)
         total -= np.repeat(total[begin] - odds[begin], many)
         total[begin + many - 1] = 2.0
-        self.first, self.many = _doubled(self.first, end), _doubled(self.many, end)
+        self.first, self.many = _grown(self.first, end), _grown(self.many, end)
         self.first[base:end], self.many[base:end] = 0, 0
         self.first[source[begin]], self.many[source[begin]] = self.edges + begin, many
         for name, new in (("total", total), ("share", share), ("to", to), ("piece", piece)):
-            whole = _doubled(getattr(self, name), self.edges + len(new))
+            whole = _grown(getattr(self, name), self.edges + len(new))
             whole[self.edges : self.edges + len(new)] = new
             setattr(self, name, whole)
         self.nodes, self.edges = end, self.edges + len(source)
@@ -307,12 +307,17 @@ def _branches(lat: Lattices, paths: list[tuple[int, _Path, int]], keys: np.ndarr
     row, edge, offset = row[other], edge[other], offset[other]
     gap = -np.log(_uniform(keys[text[row]], np.full(1, 1_000 + sample), place[row], offset)) / np.exp(lat.share[edge])
     bound = np.logaddexp(parent[row], np.log(gap) - before[row])
-    order = np.lexsort((bound, text[row]))
-    of = text[row][order]
-    rank = np.arange(len(of)) - np.searchsorted(of, of)
-    out: dict[int, list] = {}
-    for i in order[rank < keep]:
-        out.setdefault(int(text[row[i]]), []).append((float(bound[i]), sample, int(place[row[i]]), int(edge[i])))
+    of, out = text[row], {}
+    if not len(of):
+        return out
+    begin = np.flatnonzero(np.diff(of, prepend=-1))  # texts come in order
+    many = np.diff(np.append(begin, len(of)))
+    for _ in range(keep):
+        hit = np.flatnonzero((bound == np.repeat(np.minimum.reduceat(bound, begin), many)) & np.isfinite(bound))
+        hit = hit[np.unique(of[hit], return_index=True)[1]]
+        for i in hit.tolist():
+            out.setdefault(int(of[i]), []).append((float(bound[i]), sample, int(place[row[i]]), int(edge[i])))
+        bound[hit] = np.inf
     return out
 
 
@@ -391,7 +396,7 @@ def _encoded(model: str, samples: int, ids: bool):
 def sample(docs: DataFrame, model: str, samples: int = SAMPLES, ids: bool = True) -> DataFrame:
     """One row per text and sample, best first; ids: also the piece ids.  decoded: whether decode gives the normalised text back."""
     own = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return own.mapInPandas(_encoded(model, samples, ids), SAMPLE + (", ids array<int>" if ids else ""))
+    return own.mapInPandas(lean(_encoded(model, samples, ids), ("sampling", model)), SAMPLE + (", ids array<int>" if ids else ""))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
