@@ -1,15 +1,18 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to lines, one per block element.  Lines of navigation, adverts, notices, forms, reader
-comments and the like are dropped by their element or a whole class, id or role of it; text of links weighs
-nothing, but for the headline of an article.
+Markup is stripped to lines, one per block element; a line break inside a block is white space.  Lines of
+navigation, headers (an article's own as well), footers, adverts, notices, forms, reader comments and the
+like are dropped by their element or a whole class, id or role of it; text of links weighs nothing, but for
+links in an article that stand outside lists.
 The sums of line weights over sliding windows of three lines show where the text surges and where it
 dives; the lines between stay.  Inside an article or main element that is everything from the first
-surge to the last dive; elsewhere it is the surge-to-dive stretch that holds the most text.
+surge to the last dive, and all of it where nothing weighs; elsewhere it is every surge-to-dive stretch of substance.
 
 Null and empty pages, and pages without text, give an empty text.  Unclosed elements are closed by the
-end tag of an element around them, by a start tag that implies it (p, li, cells, options) or by the page's end; an unclosed comment, script or style runs to
-the end.
+end tag of an element around them, by a start tag that implies it (p, li, cells, options) or by the page's
+end; an unclosed comment, script or style runs to the end.  A tag without its > is text.  Where a quote in
+a tag is open at the page's end, quotes hide no > from there on.  One pass over the page, in time linear
+in its length: open elements are found by name and by what they may close, not by walking the stack.
 """
 
 from __future__ import annotations
@@ -22,23 +25,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import lean, text_batches
 
 WINDOW = 3
 #: Elements without running text, elements whose content is raw, elements that end a line, void elements.
-SKIPPED = frozenset("nav header footer aside form menu dialog button select option label fieldset head noscript object audio video canvas map figcaption".split())
+SKIPPED = frozenset("nav header footer aside form menu dialog button select option fieldset head noscript object audio video canvas map".split())
 RAW = frozenset("script style textarea title template iframe svg math xmp noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HEADLINE = "h1"
 #: Weight from which a stretch outside article and main counts whatever the others weigh, and the share of the heaviest from which it counts in any case.
 SUBSTANTIAL, SHARE = 140, 0.25
-#: Elements that a start tag closes (the first found), and the elements that are looked through for them.
+#: Elements that a start tag closes (the innermost of them), unless an element other than those named with them stands above it.
 _BLOCKS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
-_THROUGH = INLINE | {"address", "div", "p"}
-_CELLS = INLINE | _BLOCKS - {"table"} | frozenset("li dd dt td th option".split())
-_ENDS = {"li": (("li",), _THROUGH), "dd": (("dd", "dt"), _THROUGH), "dt": (("dd", "dt"), _THROUGH), "option": (("option",), INLINE), "optgroup": (("optgroup",), INLINE | {"option"}),
-         "td": (("td", "th"), _CELLS), "th": (("td", "th"), _CELLS), "tr": (("tr",), _CELLS)}
+_THROUGH = (INLINE, INLINE | {"option"}, INLINE | {"address", "div", "p"}, INLINE | _BLOCKS - {"table"} | frozenset("li dd dt td th option".split()))
+_ENDS = {"li": (("li",), 2), "dd": (("dd", "dt"), 2), "dt": (("dd", "dt"), 2), "option": (("option",), 0), "optgroup": (("optgroup",), 1), "td": (("td", "th"), 3), "th": (("td", "th"), 3), "tr": (("tr",), 3)}
+_ENDS |= {name: (("p",), 0) for name in _BLOCKS}
 #: A class, id or role names noise if each of its parts is such a word or says where or what kind of block it is.
 _NOISE = re.compile(
     r"(?=.*?(?:^|[_-])(?=\w)(?!(?:site|main|global|primary|secondary|top|bottom|left|right|box|block|list|area|container|wrapper|bar|links|buttons|form|posts)(?:[_-]|$)))"
@@ -48,7 +49,8 @@ _NOISE = re.compile(
 )
 #: Elements that hold the text or the page: their class names speak of the layout or the subject.
 _HOLDERS = frozenset("html body main article".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
 
@@ -65,13 +67,75 @@ def _noisy(name: str, attributes: str) -> bool:
     return False
 
 
+class _Scan:
+    """Finds in a page that is read forward once: what was not found before is not looked for again."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.quotes, self.gone = page, True, set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.gone:
+            return -1
+        where = self.page.find(what, at)
+        if where < 0:
+            self.gone.add(what)
+        return where
+
+    def tag_end(self, at: int) -> int:
+        """Place of the > that ends the tag whose name ends at at, or -1."""
+        first, page = self.find(">", at), self.page
+        if first < 0:
+            return -1
+        while self.quotes:
+            at = _UNQUOTED.match(page, at).end()
+            if at < len(page) and page[at] == ">":
+                return at
+            close = self.find(page[at], at + 1) if at < len(page) else -1
+            if close < 0:
+                self.quotes = False
+            at = close + 1
+        return first
+
+
+class _Open:
+    """The open elements, with the places of each name and of what bars a start tag from closing what is below."""
+
+    def __init__(self) -> None:
+        self.elements: list[tuple[str, bool, bool]] = []  # name, skipped, article
+        self.places: dict[str, list[int]] = {}
+        self.bars: list[list[int]] = [[] for _ in _THROUGH]
+
+    def push(self, name: str, skipped: bool, own: bool) -> None:
+        for bars, through in zip(self.bars, _THROUGH, strict=True):
+            if name not in through:
+                bars.append(len(self.elements))
+        self.places.setdefault(name, []).append(len(self.elements))
+        self.elements.append((name, skipped, own))
+
+    def innermost(self, names: tuple[str, ...], through: int) -> int:
+        """Place of the innermost element of the names, -1 where there is none or another bars it."""
+        place = max((self.places[x][-1] for x in names if self.places.get(x)), default=-1)
+        bars = self.bars[through]
+        return place if place >= 0 and (not bars or bars[-1] <= place) else -1
+
+    def cut(self, place: int) -> list[tuple[str, bool, bool]]:
+        gone = self.elements[place:]
+        del self.elements[place:]
+        for name, _, _ in gone:
+            self.places[name].pop()
+        for bars in self.bars:
+            while bars and bars[-1] >= place:
+                bars.pop()
+        return gone
+
+
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, weight, inside an article or main element) of each line; weight leaves link text out."""
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
     linked = 0
-    open_: list[tuple[str, bool, bool]] = []  # name, skipped, article
-    skip = article = link = headline = 0
+    opened, scan = _Open(), _Scan(page)
+    skip = article = link = item = 0
     at, end = 0, len(page)
 
     def close() -> None:
@@ -88,55 +152,62 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if piece and not skip:
             piece = html.unescape(piece)
             text.append(piece)
-            if link and not (headline and article):
+            if link and (item or not article):
                 linked += len("".join(piece.split()))
 
     def end_from(where: int) -> None:
-        nonlocal skip, article, link, headline
-        for gone, skipped, own in open_[where:]:
+        nonlocal skip, article, link, item
+        for gone, skipped, own in opened.cut(where):
             skip -= skipped
             article -= own
             link -= gone == "a"
-            headline -= gone == HEADLINE
-        del open_[where:]
-
-    def imply(names: tuple[str, ...], through: frozenset[str]) -> None:
-        for k in range(len(open_) - 1, -1, -1):
-            if open_[k][0] in names:
-                return end_from(k)
-            if open_[k][0] not in through:
-                return None
+            item -= gone == "li"
 
     while at < end:
-        m = _TOKEN.search(page, at)
-        if not m:
+        start = scan.find("<", at)
+        if start < 0:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if not name:
+        say(page[at:start])
+        m = _NAME.match(page, start + 1)
+        if not m:
+            if page.startswith("<!--", start):
+                tail = scan.find("-->", start + 4)
+                at = tail + 3 if tail >= 0 else end
+            elif page[start + 1 : start + 2] in ("!", "?") and (tail := scan.find(">", start)) >= 0:
+                at = tail + 1
+            else:
+                say("<")
+                at = start + 1
+            continue
+        tail = scan.tag_end(m.end())
+        if tail < 0:
+            say("<")
+            at = start + 1
             continue
+        name, attributes, at = m[2].lower(), page[m.end() : tail], tail + 1
+        if name == "br":
+            say(" ")
         if name not in INLINE:
             close()
         if m[1]:
-            where = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), -1)
-            if where >= 0 and (name not in INLINE or all(x[0] in INLINE for x in open_[where:])):
+            if name in INLINE:
+                where = opened.innermost((name,), 0)
+            else:
+                where = opened.places[name][-1] if opened.places.get(name) else -1
+            if where >= 0:
                 end_from(where)
             continue
-        if name in _BLOCKS:
-            imply(("p",), INLINE)
-        elif name in _ENDS:
-            imply(*_ENDS[name])
+        if name in _ENDS and (where := opened.innermost(*_ENDS[name])) >= 0:
+            end_from(where)
         if name in RAW:
-            tail = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = tail.end() if tail else end
-        elif name not in VOID and not m[3].endswith("/"):
-            skipped = name in SKIPPED or _noisy(name, m[3])
+            ends = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            at = ends.end() if ends else end
+        elif name not in VOID and not attributes.endswith("/"):
+            skipped = name in SKIPPED or _noisy(name, attributes)
             own = not skipped and name in ("article", "main")
-            skip, article, link = skip + skipped, article + own, link + (name == "a")
-            headline += name == HEADLINE
-            open_.append((name, skipped, own))
+            skip, article, link, item = skip + skipped, article + own, link + (name == "a"), item + (name == "li")
+            opened.push(name, skipped, own)
     close()
     return out
 
@@ -155,7 +226,7 @@ def main_text(page: str | None) -> str:
             runs.append((start, k))
             start = None
     if not runs:
-        return ""
+        return "\n".join(x[0] for x in inside)
     if inside:
         return "\n".join(x[0] for x in kept[runs[0][0] : runs[-1][1]])
     # a surge reaches one line before the text, the dive one line past it: the window's own edges
@@ -173,4 +244,4 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page."""
-    return text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
+    return text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(lean(_extracted), "page_id long, url string, text string, n_chars long")
