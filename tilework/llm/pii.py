@@ -4,8 +4,12 @@ Only Spark expressions, one pass over the rows, no shuffle.  Spans count code po
 exclusive.  The base kinds (email, ip, card, phone) always stay; iban, short card and national phone
 numbers are added when checksum and context together reach the threshold.
 
-Null and empty texts have no spans.  Every quantifier that could run long is possessive or has a bound,
-and starts are tied to the edge of a run, so that time stays linear in a text's length.
+Texts are cut into pieces of about PIECE characters, after a character that no pattern holds or between a
+space and a small letter, which no match spans; matches, context and masks are made within a piece.
+Every quantifier that could run long is possessive or has a bound, and starts are tied to the edge of a
+run, so that time stays linear in a text's length.
+
+Null and empty texts have no spans; rows that repeat are found each; columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free
+
 #: For each kind the pattern, a cheap sign that a text may hold it, the prior score, and
 #: the context words that raise it.
 KINDS = {
@@ -28,6 +34,11 @@ KINDS = {
 }
 BASE = ("email", "ip", "card", "phone")
 CONTEXT = 40
+PIECE = 4_000
+#: Items of a list that are folded into one: a fold copies what it has at each step, so long lists are folded in two levels.
+GROUP = 64
+#: A piece ends after a character of no pattern, or between a space and a small letter.
+_PIECES = r"""(?s).{%d,}?(?:(?<=[\n\t\r,;:!?"'])|(?<= )(?=[a-z]))|.+""" % PIECE
 RAISE = 0.3
 THRESHOLD = 0.5
 SPAN = "struct<kind:string,start:int,end:int,score:double>"
@@ -67,38 +78,86 @@ def _valid(kind: str, value: Column) -> Column:
     return _mod97(value) if kind == "iban" else F.lit(True)
 
 
-def _found(kind: str, text: Column) -> Column:
-    """All matches of the kind's pattern with their places: the pieces between matches give the starts."""
+_MATCHES = "array<struct<start:int,end:int,value:string>>"
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of value, which is evaluated once."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _scan(items: Column, of: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """(at, out): step(at, item) gives the next at (from 0) and an array of of, which are put together in order."""
+
+    def one(acc: Column, x: Column) -> Column:
+        at, out = step(acc["at"], x)
+        return F.struct(at.alias("at"), F.concat(acc["out"], out).alias("out"))
+
+    def group(acc: Column, some: Column) -> Column:
+        inner = F.aggregate(some, F.struct(acc["at"].alias("at"), F.array().cast(f"array<{of}>").alias("out")), one)
+        return _let(inner, lambda f: F.struct(f["at"].alias("at"), F.concat(acc["out"], F.array(f["out"])).alias("out")))
+
+    def groups(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / GROUP).cast("int")), lambda k: F.slice(v, k * GROUP + 1, F.lit(GROUP)))
+
+    some = _let(items, lambda v: F.when(F.size(v) > 0, groups(v)).otherwise(F.array(v)))
+    return F.aggregate(some, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{of}>>").alias("out")), group, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
+
+
+def _found(kind: str, piece: Column) -> Column:
+    """All matches of the kind's pattern in a piece (text, at, before, after), placed in the piece: what lies between
+    matches gives the starts."""
     pattern, sign, prior, words = KINDS[kind]
+    text = piece["text"]
     may = text.contains(sign) if sign else text.rlike("[0-9]")
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    placed = F.aggregate(
-        F.arrays_zip(F.split(text, pattern, -1).alias("gap"), values.alias("value")),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["value"]), F.lit(0))).alias("at"),
-            F.when(x["value"].isNull(), acc["out"])
-            .otherwise(F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"), x["value"].alias("value")))))
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+
+    def place(at: Column, x: Column) -> tuple[Column, Column]:
+        start, size = at + F.length(x["gap"]), F.length(x["value"])
+        span = F.array(F.struct(start.alias("start"), (start + size).alias("end"), x["value"].alias("value")))
+        return start + F.coalesce(size, F.lit(0)), F.when(size.isNull(), F.array().cast(_MATCHES)).otherwise(span)
+
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"))
+    placed = _scan(pairs, "struct<start:int,end:int,value:string>", place)["out"]
 
     def scored(x: Column) -> Column:
-        before = F.substr(text, F.greatest(x["start"] + 1 - CONTEXT, F.lit(1)), F.least(x["start"], F.lit(CONTEXT)))
-        near = F.lower(F.concat_ws(" ", before, F.substr(text, x["end"] + 1, F.lit(CONTEXT))))
+        before = F.right(F.concat(piece["before"], F.substr(text, F.greatest(x["start"] + 1 - CONTEXT, F.lit(1)), F.least(x["start"], F.lit(CONTEXT)))), F.lit(CONTEXT))
+        near = F.lower(F.concat_ws(" ", before, F.left(F.concat(F.substr(text, x["end"] + 1, F.lit(CONTEXT)), piece["after"]), F.lit(CONTEXT))))
         score = F.lit(prior) + F.when(near.rlike(rf"\b(?:{words})"), RAISE).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
-    spans = F.transform(F.filter(F.when(may, placed).otherwise(none), lambda x: _valid(kind, x["value"])), scored)
+    spans = F.transform(F.filter(F.when(may, placed).otherwise(F.array().cast(_MATCHES)), lambda x: _valid(kind, x["value"])), scored)
     return spans if kind in BASE else F.filter(spans, lambda s: s["score"] >= THRESHOLD)
 
 
+def with_pieces(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """df with out_col: the text's pieces, each with its place (at) and its spans, placed in the piece, by kind as listed in KINDS."""
+    raw, at = free("raw", df), free("at", df)
+    cut = df.withColumn(raw, F.regexp_extract_all(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(_PIECES), F.lit(0)))
+    places = _scan(F.transform(raw, F.length), "int", lambda so_far, n: (so_far + n, F.array(so_far)))["out"]
+    cut = cut.withColumn(at, places)
+    near = lambda k, side: F.coalesce(side(F.get(raw, k), F.lit(CONTEXT)), F.lit(""))
+    pieces = F.transform(raw, lambda x, k: F.struct(x.alias("text"), F.get(at, k).alias("at"), near(k - 1, F.right).alias("before"), near(k + 1, F.left).alias("after")))
+    cut = cut.withColumn(out_col, pieces).drop(raw, at)
+    spans = lambda p: F.concat(*(_found(kind, p) for kind in KINDS)).cast(f"array<{SPAN}>")
+    return cut.withColumn(out_col, F.transform(out_col, lambda p: F.struct(p["text"].alias("text"), p["at"].alias("at"), spans(p).alias("spans"))))
+
+
+def in_order(pieces: Column) -> Column:
+    """The spans of all pieces, placed in the text: by kind as listed in KINDS, then by start."""
+
+    def of(kind: str) -> Column:
+        def placed(p: Column) -> Column:
+            return F.transform(F.filter(p["spans"], _is(kind)), lambda s: F.struct(s["kind"].alias("kind"), (s["start"] + p["at"]).alias("start"), (s["end"] + p["at"]).alias("end"), s["score"].alias("score")))
+
+        return F.flatten(F.transform(pieces, placed))
+
+    return F.concat(*map(of, KINDS)).cast(f"array<{SPAN}>")
+
+
 def with_spans(df: DataFrame, text_col: str = "text", out_col: str = "spans") -> DataFrame:
     """df with out_col: array of (kind, start, end, score), by kind as listed in KINDS, then by start."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.withColumn(out_col, F.concat(*(_found(kind, text) for kind in KINDS)).cast(f"array<{SPAN}>"))
+    pieces = free("pieces", df)
+    return with_pieces(df, text_col, pieces).withColumn(out_col, in_order(F.col(pieces))).drop(pieces)
 
 
 def joined(spans: Column) -> Column:
@@ -106,18 +165,21 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """text with each span, or run of overlapping spans, replaced by the first one's kind in brackets."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    folded = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))
-        ),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)),
-    )
-    return F.when(F.size(spans) > 0, folded).otherwise(text)
+def redacted(pieces: Column) -> Column:
+    """The text of the pieces with each span, or run of overlapping spans, replaced by the first one's kind in brackets."""
+
+    def masked(p: Column) -> Column:
+        text, ordered = p["text"], F.array_sort(F.transform(p["spans"], lambda s: F.struct(s["start"], s["end"], s["kind"])))
+
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            label = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            inside = s["start"] < at
+            return F.greatest(at, s["end"]), F.when(inside, F.array().cast("array<string>")).otherwise(F.array(F.substr(text, at + 1, s["start"] - at), label))
+
+        folded = _let(_scan(ordered, "string", step), lambda f: F.concat(F.array_join(f["out"], ""), F.substr(text, f["at"] + 1)))
+        return F.when(F.size(p["spans"]) > 0, folded).otherwise(text)
+
+    return F.array_join(F.transform(pieces, masked), "")
 
 
 def _is(kind: str) -> Callable[[Column], Column]:
@@ -133,6 +195,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with the found spans masked in text and n_chars counted anew; null texts stay null."""
-    found = with_spans(docs, out_col="_found").withColumn("text", redacted(F.col("text"), F.col("_found")))
-    return found.withColumn("n_chars", F.when(F.size("_found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    """docs with the found spans masked in text and n_chars counted anew where there are any; null texts stay null, and all
+    columns keep their names, whatever they are."""
+    pieces = free("pieces", docs)
+    some = F.exists(pieces, lambda p: F.size(p["spans"]) > 0)
+    found = with_pieces(docs, "text", pieces).withColumn("text", F.when(some, redacted(F.col(pieces))).otherwise(F.col("text")))
+    return found.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select([F.col(f"`{c}`") for c in docs.columns])
