@@ -6,11 +6,15 @@ products; assignment is coordinate descent under that loss, and all codewords of
 refitted together by one linear solve.  Codebooks come from a bounded sample (SAMPLE vectors, least hash
 of the id first); every row is indexed.
 
-A search deals queries and the index into tiles; each tile scans the codes against per-query tables,
-takes the RERANK best by table and ranks them by exact cosine in double precision on the original vectors.
-
-Vectors that are null, zero, or hold null or non-finite components take no part; see topk for
-repeated ids and lengths.
+A search ships codes alone: queries and codes are dealt into tiles, each tile scans its codes against the queries'
+tables and keeps the RERANK best by table, and these lists are merged to the RERANK best of each query,
+however many rows there are.  Only their vectors are then fetched, by a join on the row's number, and ranked by
+exact cosine in double precision.
+
+Vectors that are null, empty, zero, or hold null or non-finite components take no part; lengths and norms are taken
+after scaling by a power of two, so components of any finite size do.  Queries meet vectors of their own
+length; each length that occurs has codebooks of its own.  Rows that share an id are all candidates, but for
+queries of that id; such a query asks with the least of their vectors.
 """
 
 from __future__ import annotations
@@ -22,20 +26,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .topk import K, best, finite, searched
+from .common import lean, written
+from .topk import K, asking, best, finite, ranked, tiles
 
-SAMPLE = 20_000
+#: Most vectors, and most components, that codebooks of one length are fitted on.
+SAMPLE, SAMPLE_COMPONENTS = 20_000, 1 << 22
 CODES, WIDTH = 16, 2
 #: Inner products above this share of the norm are those to get right; sets the weight of parallel error.
 THRESHOLD = 0.2
 ROUNDS = 8
-RERANK = 64
+#: Steps of conjugate gradients in each round, from the round before's codebooks on.
+STEPS = 12
+RERANK = 256
+#: Queries and codes of a tile.
+QUERY_BLOCK, SHARD = 512, 16_384
+
+
+def _even(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by a power of two each, so that no square of a component overflows or all of them vanish."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    return np.ldexp(x, -exponent)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     """Rows of length one, padded to whole subspaces."""
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _even(x.astype(np.float64))
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     return np.pad(x, ((0, 0), (0, -x.shape[1] % WIDTH)))
 
@@ -63,24 +78,35 @@ def assign(x: np.ndarray, books: np.ndarray, sweeps: int = 2) -> np.ndarray:
 
 
 def train(sample: np.ndarray) -> np.ndarray:
+    """Codebooks: assignment and a joint refit of all codewords in turn; the refit's normal equations are solved by
+    conjugate gradients over the codes, so their matrix is never built."""
     x = _unit(sample.astype(np.float64))
     n, m = len(x), x.shape[1] // WIDTH
-    parts = x.reshape(n, m, WIDTH)
     rng = np.random.Generator(np.random.PCG64(7))
-    books = np.stack([parts[rng.integers(0, n, CODES), s] for s in range(m)])
+    books = np.stack([x.reshape(n, m, WIDTH)[rng.integers(0, n, CODES), s] for s in range(m)])
     weight, size = _weight(x.shape[1]), m * CODES * WIDTH
     for _ in range(ROUNDS):
         codes = assign(x, books, 1)
-        place = (np.arange(m) * CODES + codes)[:, :, None] * WIDTH + np.arange(WIDTH)
-        square, right = np.zeros((size, size)), np.zeros(size)
-        for lo in range(0, n, 2_000):
-            v = np.zeros((len(x[lo : lo + 2_000]), size))
-            np.put_along_axis(v, place[lo : lo + 2_000].reshape(len(v), -1), x[lo : lo + 2_000], 1)
-            square += (weight - 1) * (v.T @ v)
-            right += weight * v.sum(0)
-        used = np.bincount(place.ravel(), minlength=size)
-        square[np.arange(size), np.arange(size)] += used + 1e-9
-        books = np.where(used.reshape(books.shape) > 0, np.linalg.solve(square, right).reshape(books.shape), books)
+        place = (((np.arange(m, dtype=np.int32) * CODES + codes)[:, :, None] * WIDTH + np.arange(WIDTH, dtype=np.int32)).reshape(n, -1)).astype(np.int32)
+        used = np.bincount(place.ravel(), minlength=size) + 1e-9
+
+        def times(v: np.ndarray, place: np.ndarray = place, used: np.ndarray = used) -> np.ndarray:
+            along = (v[place] * x).sum(1)
+            return used * v + (weight - 1) * np.bincount(place.ravel(), (along[:, None] * x).ravel(), size)
+
+        v = books.ravel().copy()
+        rest = weight * np.bincount(place.ravel(), x.ravel(), size) - times(v)
+        step = rest / used
+        score = rest @ step
+        for _ in range(STEPS):
+            if score <= 1e-18 * n:
+                break
+            moved = times(step)
+            v += (by := score / (step @ moved)) * step
+            rest -= by * moved
+            before, score = score, rest @ (rest / used)
+            step = rest / used + score / before * step
+        books = np.where(used.reshape(books.shape) > 0.5, v.reshape(books.shape), books)
     return books
 
 
@@ -95,49 +121,72 @@ def unpack(packed: np.ndarray, m: int) -> np.ndarray:
 
 
 def index(vectors: DataFrame, books: dict[int, np.ndarray]) -> DataFrame:
-    """vectors with each row's packed codes."""
+    """vectors (vec_id, embedding, dim) with each row's packed codes."""
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            length = batch["embedding"].map(len)
-            for dim, part in batch.groupby(length):
+            for dim, part in batch.groupby("dim"):
                 packed = pack(assign(_unit(np.stack(part["embedding"].to_numpy())), books[dim]))
-                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "embedding": part["embedding"].to_numpy(), "code": [x.tobytes() for x in packed]})
+                yield part.assign(code=[x.tobytes() for x in packed])
 
-    return vectors.mapInPandas(coded, "vec_id long, embedding array<double>, code binary")
+    return vectors.mapInPandas(lean(coded), f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, dim int, code binary")
 
 
-def search(vectors: DataFrame, every: int = 50) -> DataFrame:
-    """(query_id, rank, vec_id, score): the K nearest found by cosine, nearest first, ties to the smaller vec_id."""
-    taking_part = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    taking_part = taking_part.filter(F.col("vec_id").isNotNull() & finite(F.col("embedding")) & F.exists("embedding", lambda x: x != 0))
-    dims = [r["dim"] for r in taking_part.select(F.size("embedding").alias("dim")).distinct().collect()]
-    books = {}
-    for dim in dims:
-        rows = taking_part.filter(F.size("embedding") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").collect()
-        books[dim] = train(np.array([r["embedding"] for r in rows]))
-
+def _scan(books: dict[int, np.ndarray]):
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        out = []
         if len(left) and len(right):
-            right = right.sort_values("vec_id", kind="stable")
-            ids, x = right["vec_id"].to_numpy(), np.stack(right["embedding"].to_numpy())
+            ids, rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
             q = np.stack(left["query"].to_numpy())
             words = books[q.shape[1]]
-            codes = unpack(np.stack([np.frombuffer(c, np.uint8) for c in right["code"]]), len(words))
+            codes = unpack(np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1), len(words))
             tables = np.einsum("qsw,skw->qsk", _unit(q).reshape(len(q), len(words), WIDTH), words).astype(np.float32)
-            norms = np.sqrt((x * x).sum(1))
-            for lo in range(0, len(q), 256):
-                near = np.zeros((len(tables[lo : lo + 256]), len(ids)), np.float32)
+            for lo in range(0, len(q), 64):
+                near = np.zeros((len(tables[lo : lo + 64]), len(ids)), np.float32)
                 for s in range(len(words)):
-                    near += tables[lo : lo + 256, s][:, codes[:, s]]
-                for query, v, scan in zip(left["query_id"].iloc[lo : lo + 256], q[lo : lo + 256], near, strict=True):
+                    near += tables[lo : lo + 64, s][:, codes[:, s]]
+                for query, scan in zip(left["query_id"].iloc[lo : lo + 64], near, strict=True):
                     scan[ids == query] = -np.inf
-                    at = best(scan, ids, RERANK)
+                    at = best(scan, rows, RERANK)
                     at = at[ids[at] != query]
-                    exact = (x[at] * v).sum(1) / (np.sqrt((v * v).sum()) * norms[at])
-                    rows += [(query, ids[at[j]], exact[j]) for j in best(exact, ids[at], K)]
-        out = pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        return out.assign(shard=right["shard"].iloc[0] if len(right) else 0)
+                    out.append(pd.DataFrame({"query_id": query, "row": rows[at], "score": scan[at].astype(float)}))
+        found = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "row": [], "score": []}).astype({"query_id": "int64", "row": "int64", "score": "float64"})
+        return found.assign(shard=right["shard"].iloc[0] if len(right) else 0)
+
+    return tile
+
 
-    return searched(written(index(taking_part, books)), every, tile, "double")
+def _cosines(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """The K nearest of a query's (left, one row) candidates (right)."""
+    a, b = (_even(np.stack(x.to_numpy()).astype(np.float64)) for x in (left["query"], right["embedding"]))
+    exact = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
+    at = best(exact, right["vec_id"].to_numpy(), K)
+    return pd.DataFrame({"query_id": left["query_id"].iloc[0], "rank": np.arange(1, len(at) + 1, dtype=np.int32), "vec_id": right["vec_id"].to_numpy()[at], "score": exact[at]})
+
+
+def _ranked(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    if len(left) and len(right):
+        return _cosines(left, right)
+    return pd.DataFrame({"query_id": [], "rank": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "rank": "int32", "vec_id": "int64", "score": "float64"})
+
+
+def _sample(vectors: DataFrame, dim: int) -> np.ndarray:
+    n = max(1, min(SAMPLE, SAMPLE_COMPONENTS // dim))
+    rows = vectors.filter(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("embedding")).limit(n).select("embedding").toArrow().column("embedding").combine_chunks()
+    return rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), dim)
+
+
+def search(vectors: DataFrame, every: int = 50) -> DataFrame:
+    """(query_id, rank, vec_id, score): the K nearest found by cosine, nearest first, ties to the smaller vec_id."""
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).withColumn("dim", F.size("embedding"))
+    whole = whole.filter(F.col("vec_id").isNotNull() & finite(F.col("embedding")) & F.exists("embedding", lambda x: x != 0))
+    books = {r["dim"]: train(_sample(whole, r["dim"])) for r in whole.select("dim").distinct().collect()}
+    indexed = written(index(whole, books).withColumn("row", F.monotonically_increasing_id()))
+    asked = written(asking(indexed, every).withColumn("dim", F.size("query")))
+    queries, codes, shards = tiles(asked, indexed.select("vec_id", "row", "code", "dim"), QUERY_BLOCK, SHARD)
+    key = ["block", "shard", "dim"]
+    lists = queries.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(_scan(books), "query_id long, row long, score double, shard int")
+    near = ranked(lists, shards, RERANK, "row").select("query_id", "row")
+    pairs = near.join(indexed.select("row", "vec_id", "embedding"), "row").select("query_id", "vec_id", "embedding")
+    return asked.groupBy("query_id").cogroup(pairs.groupBy("query_id")).applyInPandas(_ranked, "query_id long, rank int, vec_id long, score double")
