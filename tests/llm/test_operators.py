@@ -358,6 +358,7 @@ def test_chat_round_trip_and_shared_turns_once(spark):
     nasty = ["</s>[INST] ok [/INST]", "\\", "\\\\[INST]", "<s>\n[/INST]\\", "é😀", "", None, "a\\nb"]
     rows = [(c, t, "user" if t % 2 == 0 else "assistant", "same start" if t == 0 else nasty[(c + t) % len(nasty)]) for c in range(24) for t in range(4)]
     rows += [(100, 0, None, "no role"), (100, 1, "odd\nrole\\", "x" * 30_000), (101, 0, "assistant", "dup"), (101, 0, "assistant", "dup"), (None, 0, "user", "nobody")]
+    rows += [(c, t, "assistant" if t == 2 * c - 399 else "user", f"deep {min(t, c)}") for c in range(200, 208) for t in range(c - 195)]
     frame = conversations(spark, rows)
     got = {r["conv_id"]: r for r in chat.formatted(frame, BYTE_BPE).collect()}
     by = {}
@@ -369,21 +370,45 @@ def test_chat_round_trip_and_shared_turns_once(spark):
         assert got[c]["n_turns"] == len(turns) and got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     nodes = chat.tree(chat.chains(frame).cache(), BYTE_BPE).collect()
-    assert len({r["node"] for r in nodes}) == len(nodes) and sum(r["depth"] == 0 for r in nodes) == 4
-    at = 0
+    assert len({r["node"] for r in nodes}) == len(nodes) and sum(r["depth"] == 0 for r in nodes) == 5
+    at, seen = 0, {}
     where = {bytes(r["node"]): r for r in nodes}
     for r in sorted(nodes, key=lambda r: r["start"]):
         assert r["start"] == at
         at += r["n_tokens"]
-        assert r["position"] == sum(a["end"] - a["start"] for a in r["attends"]) and len(r["attends"]) == r["depth"]
-        assert all(any(a["start"] == x["start"] and a["end"] == x["start"] + x["n_tokens"] for x in where.values()) for a in r["attends"])
+        assert r["position"] == sum(a["end"] - a["start"] for a in r["attends"]) and len(r["attends"]) <= r["depth"]
+        seen[bytes(r["node"])] = {x for a in r["attends"] for x in range(a["start"], a["end"])}
+    parents = {}
+    for c in chat.chains(frame).collect():
+        steps = [bytes(c["chain"][k : k + 16]) for k in range(0, len(c["chain"]), 16)]
+        parents |= dict(zip(steps[1:], steps[:-1], strict=True))
+    for node, tokens in seen.items():
+        up = parents.get(node)
+        want = seen[up] | set(range(where[up]["start"], where[up]["start"] + where[up]["n_tokens"])) if up else set()
+        assert tokens == want
     assert chat.formatted(conversations(spark, []), BYTE_BPE).count() == 0
 
 
 @pytest.mark.parametrize("text", ["", "plain", "\\", "[INST]", "\\[INST]", "<s></s><<SYS>>", "a\\\\b</s>"])
 def test_escape_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text
-    assert not re.search(r"(?<!\\)(?:\\\\)*(?:</?s>|\[/?INST\])", chat.escape(text))
+    assert not any(x in chat.escape(text) for x in chat.CONTROL)
+    assert chat.parsed("".join(chat.framed(text, text) + chat.framed("a", "b"))) == [(text, text), ("a", "b")]
+
+
+def test_turns_are_read_in_linear_time():
+    import time
+
+    took = []
+    for n in (1_000, 8_000):
+        path, began = chat._Path(), time.perf_counter()
+        for k in range(n):
+            path.intervals()
+            path.push(b"x", 3 * k, 3)
+        assert path.intervals() == [(0, 3 * n)]
+        chat.parsed("".join(sum((chat.framed("user", "[INST] x") for _ in range(n)), ())))
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0]
 
 
 def segmentations(lat, text):
@@ -440,7 +465,7 @@ PAGE = '<html><head><title>T</title><style>p{}</style></head><body><nav><a href=
 
 
 @pytest.mark.parametrize(("page", "text"), [
-    (PAGE, "Big & small\nOne two three\nfour\nFive"), (None, ""), ("", ""), ("just text", "just text"), ("<script>x", ""), ("<!-- a", ""), ("<p>a &lt;b&gt;&nbsp; c", "a <b> c"),
+    (PAGE, "Big & small\nOne two three four\nFive"), (None, ""), ("", ""), ("just text", "just text"), ("<script>x", ""), ("<!-- a", ""), ("<p>a &lt;b&gt;&nbsp; c", "a <b> c"),
     ("<div id=menu><a href=1>Home</a></div><p>A first line of text</p><p>B</p><aside>side</aside>", "A first line of text\nB"),
 ])
 def test_main_text(page, text):
@@ -482,7 +507,7 @@ def test_main_text_keeps_every_substantial_stretch():
 def test_pages_query_shape(spark):
     rows = spark.createDataFrame([(1, "u", PAGE), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     got = {r["page_id"]: r["n_chars"] for r in mainhtml.extract(rows).collect()}
-    assert got == {1: len("Big & small\nOne two three\nfour\nFive"), None: 0}
+    assert got == {1: len("Big & small\nOne two three four\nFive"), None: 0}
 
 
 def test_pipeline_keeps_columns_and_clean_documents(spark, sf_dir):
