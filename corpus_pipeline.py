@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilework.checkpoints import temporary
 from tilework.llm import linededup, minhash, packing, pii, toxicity
 from tilework.llm.common import only_ids, table, vocabulary, written
 
@@ -49,7 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of documents; each stage's own tables are deleted once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        with temporary(spark) as stay:
+            docs = stay(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
