@@ -7,8 +7,8 @@ refitted together by one linear solve.  Codebooks come from a bounded sample (SA
 of the id first); every row is indexed.
 
 A search ships codes alone: queries and codes are dealt into tiles, each tile scans its codes against the queries'
-tables and keeps the RERANK best by table, and these lists are merged to the RERANK best of each query,
-however many rows there are.  Only their vectors are then fetched, by a join on the row's number, and ranked by
+tables and keeps its share of the RERANK best by table (kept), and these lists are merged to the RERANK best of each
+query, however many rows there are.  Only their vectors are then fetched, by a join on the row's number, and ranked by
 exact cosine in double precision.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part; lengths and norms are taken
@@ -132,7 +132,14 @@ def index(vectors: DataFrame, books: dict[int, np.ndarray]) -> DataFrame:
     return vectors.mapInPandas(lean(coded), f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, dim int, code binary")
 
 
-def _scan(books: dict[int, np.ndarray]):
+def kept(shards: int) -> int:
+    """How many of a query's RERANK best one of so many even shards is to give: rows are dealt by a hash, so a shard that
+    holds six standard deviations more than the mean of them is met less than once in 10^7 lists."""
+    mean = RERANK / shards
+    return min(RERANK, int(np.ceil(mean + 6 * np.sqrt(mean) + 6)))
+
+
+def _scan(books: dict[int, np.ndarray], keep: int):
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
@@ -147,7 +154,7 @@ def _scan(books: dict[int, np.ndarray]):
                     near += tables[lo : lo + 64, s][:, codes[:, s]]
                 for query, scan in zip(left["query_id"].iloc[lo : lo + 64], near, strict=True):
                     scan[ids == query] = -np.inf
-                    at = best(scan, rows, RERANK)
+                    at = best(scan, rows, keep)
                     at = at[ids[at] != query]
                     out.append(pd.DataFrame({"query_id": query, "row": rows[at], "score": scan[at].astype(float)}))
         found = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "row": [], "score": []}).astype({"query_id": "int64", "row": "int64", "score": "float64"})
@@ -186,7 +193,7 @@ def search(vectors: DataFrame, every: int = 50) -> DataFrame:
     asked = written(asking(indexed, every).withColumn("dim", F.size("query")))
     queries, codes, shards = tiles(asked, indexed.select("vec_id", "row", "code", "dim"), QUERY_BLOCK, SHARD)
     key = ["block", "shard", "dim"]
-    lists = queries.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(_scan(books), "query_id long, row long, score double, shard int")
+    lists = queries.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(_scan(books, kept(shards)), "query_id long, row long, score double, shard int")
     near = ranked(lists, shards, RERANK, "row").select("query_id", "row")
     pairs = near.join(indexed.select("row", "vec_id", "embedding"), "row").select("query_id", "vec_id", "embedding")
     return asked.groupBy("query_id").cogroup(pairs.groupBy("query_id")).applyInPandas(_ranked, "query_id long, rank int, vec_id long, score double")
