@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Bounds of an Arrow batch where rows are whole texts: rows, and bytes (a single longer text is a batch of its own).
-TEXT_ROWS, TEXT_BYTES = 1_000, 4 << 20
+TEXT_ROWS, TEXT_BYTES = 1_000, 2 << 20
 
 
 def text_batches(df: DataFrame) -> DataFrame:
