@@ -32,8 +32,8 @@ END_ID = 1
 SMOOTHING, GAP = 0.8, 0.0005
 #: Pieces of one salt of one class at about this many.
 RANKED = 500_000
-#: Words whose ids a worker keeps: about 60 MB.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps: about 40 MB.
+KEPT_WORDS = 200_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
