@@ -84,6 +84,9 @@ def road_width(width: Column, importance: Column) -> tuple[Column, Column]:
     return F.when(good, clamped).otherwise(F.coalesce(by_rank, F.lit(DEFAULT_WIDTH))), F.when(good, "source").when(by_rank.isNotNull(), "importance").otherwise("default")
 
 
+#: Fixed values in the four rules below and in travel_rate: their limits, class names and coefficients.
+
+
 def fire_regime(elapsed_s: Column, area_m2: Column, rate: Column) -> Column:
     return F.when((elapsed_s <= 60) | (area_m2 <= 1000), "incipient").when(rate <= 0.01, "stalled").when(rate < 0.08, "slowed").otherwise("established")
 
