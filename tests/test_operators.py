@@ -339,3 +339,10 @@ def test_temporary_tables_go_and_the_kept_ones_stay(spark):
         checkpoints.bucketed(spark.range(30), "id")
         kept = stay(spark.range(5))
     assert kept.count() == 5 and len(set(where.glob("tilework-*")) - before) == 1
+
+
+def test_a_coordinate_of_no_known_system_is_an_error(spark):
+    at = lambda d, x, y: one(spark.range(1), S.inferred_epsg(F.lit(d).cast("int"), F.lit(x).cast("double"), F.lit(y).cast("double")))
+    assert (at(None, 180.0, 90.0), at(None, 2e6, 5e6), at(3857, 5e7, 5e7), at(None, None, None)) == (4326, 2154, 3857, None)
+    with pytest.raises(Exception, match="no reference system"):
+        at(None, 181.0, 45.0)

@@ -51,8 +51,10 @@ def declared_epsg(name: Column) -> Column:
 
 
 def inferred_epsg(declared: Column, x: Column, y: Column) -> Column:
-    """The declared system, else the one whose ranges hold the first coordinate."""
-    return F.coalesce(declared, F.when(x.between(-180, 180) & y.between(-90, 90), 4326).when(x.between(0, 2e6) & y.between(5e6, 8e6), 2154))
+    """The declared system, else the one whose ranges hold the first coordinate; a coordinate in neither range fails the plan."""
+    known = F.when(x.between(-180, 180) & y.between(-90, 90), 4326).when(x.between(0, 2e6) & y.between(5e6, 8e6), 2154)
+    lost = F.raise_error(F.concat_ws(" ", F.lit("no reference system holds"), x.cast("string"), y.cast("string"))).cast("int")
+    return F.coalesce(declared, known, F.when(x.isNotNull() & y.isNotNull(), lost))
 
 
 def stable_id(kind: str, *parts: Column) -> Column:
