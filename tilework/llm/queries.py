@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, linededup, mainhtml, minhash, packing, pii, sampling, topk, toxicity
+from . import ann, bytebpe, chat, clusters, linededup, mainhtml, merkle, minhash, packing, pii, sampling, topk, toxicity
 from .common import table, vocabulary
 
 
@@ -50,5 +50,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op6_sampling": op6_sampling, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash}
-ORACLES: dict[str, str] = {"op5_topk": topk.SQL, "op10_minhash": minhash.SQL}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bytebpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity, "op2_ann": op2_ann, "op3_linededup": op3_linededup, "op4_chat": op4_chat, "op5_topk": op5_topk, "op6_sampling": op6_sampling, "op7_mainhtml": op7_mainhtml, "op8_pii": op8_pii, "op9_packing": op9_packing, "op10_minhash": op10_minhash, "op11_merkle": op11_merkle, "op12_clusters": op12_clusters, "op13_bytebpe": op13_bytebpe}
+ORACLES: dict[str, str] = {"op5_topk": topk.SQL, "op10_minhash": minhash.SQL, "op11_merkle": merkle.SQL, "op12_clusters": clusters.SQL}
