@@ -25,6 +25,27 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def cycles(links: DataFrame) -> DataFrame:
+    """(node, cycle, place) of nodes that each have one next and are the next of one: the least node of its cycle, and the steps from
+    that one to it.
+
+    List ranking by doubling: a node knows the least node of the window from it on and how far that is; two windows make one
+    of twice the length, and when no window finds a lesser one each covers its cycle.  Rounds are the logarithm of the longest cycle.
+    """
+    state = written(links.select("node", "next", F.col("node").alias("least"), F.lit(0).cast("long").alias("off")))
+    width = 1
+    while True:
+        ahead = state.select(F.col("node").alias("next"), F.col("next").alias("far"), F.col("least").alias("other"), (F.col("off") + width).alias("there"))
+        better = F.col("other") < F.col("least")
+        new = state.join(ahead, "next").select("node", F.col("far").alias("next"), F.least("least", "other").alias("least"), F.when(better, F.col("there")).otherwise(F.col("off")).alias("off"), better.alias("better"))
+        new = written(new)
+        state, width = new.drop("better"), 2 * width
+        if not new.filter("better").limit(1).count():
+            break
+    size = state.groupBy("least").agg(F.count("*").alias("n"))
+    return state.join(size, "least").select("node", F.col("least").alias("cycle"), F.pmod(F.col("n") - F.col("off"), F.col("n")).alias("place"))
+
+
 def merged_identities(evidence: DataFrame) -> DataFrame:
     """(id, identity): ids that share a seam key of at least two tiles, least id first.
 

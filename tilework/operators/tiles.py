@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
+#: Places of a dense tile: 512 MB as whole numbers.
+MAX_PLACES = 1 << 26
+
+
 def by_tile(cells: DataFrame, added: dict[str, str], work: Callable[[pa.Table], dict[str, pa.Array]]) -> DataFrame:
     """cells with the added columns (name: type), which work gives for the rows of each tile."""
     schema = StructType(list(cells.schema.fields))
@@ -93,6 +97,49 @@ def crowns(cells: DataFrame, height: str, steps: list[tuple[int, int]]) -> DataF
     return by_tile(cells, {"crown": "string"}, work)
 
 
+#: East, north, west, south: where the side of a cell that heads so begins, and the neighbour beyond it (r grows to the north).
+_SIDES = [((0, 0), (-1, 0)), ((0, 1), (0, 1)), ((1, 1), (1, 0)), ((1, 0), (0, -1))]
+_STEPS = [(0, 1), (1, 0), (0, -1), (-1, 0)]
+
+
+def rings(members: DataFrame) -> DataFrame:
+    """(tile, component, r0, c0, outer, area2, sides, corners): the closed rings around each component (tile, r, c, component), cells on
+    their left; corners in order from the least (r0, c0), collinear ones left out; area2 is twice the area, below 0 for holes.
+
+    Where four sides meet, a ring turns left, so it stays with its own cells.  Tiles are walked whole, one shuffle by tile.
+    """
+    kind = members.schema["component"].dataType.simpleString()
+
+    def work(rows: pa.Table) -> pa.Table:
+        r, c = (x.tolist() for x in _places(rows))
+        label = dict(zip(zip(r, c, strict=True), rows["component"].to_pylist(), strict=True))
+        leaving: dict[tuple, set[int]] = {}  # headings of the sides that begin at a component's corner
+        for (y, x), own in label.items():
+            for heading, ((a, b), (up, right)) in enumerate(_SIDES):
+                if label.get((y + up, x + right), ()) != own:
+                    leaving.setdefault((own, y + a, x + b), set()).add(heading)
+        out, walked = [], set()
+        for own, y0, x0 in sorted(leaving):
+            for first in sorted(leaving[own, y0, x0]):
+                if (own, y0, x0, first) in walked:
+                    continue
+                y, x, heading, area2, sides, corners = y0, x0, first, 0, 0, [{"r": y0, "c": x0}]
+                while sides == 0 or (y, x, heading) != (y0, x0, first):
+                    walked.add((own, y, x, heading))
+                    up, right = _STEPS[heading]
+                    area2, sides, y, x, last = area2 + x * (y + up) - (x + right) * y, sides + 1, y + up, x + right, heading
+                    heading = next(h for h in ((last + 1) % 4, last, (last + 3) % 4) if h in leaving[own, y, x])
+                    if heading != last and (y, x, heading) != (y0, x0, first):
+                        corners.append({"r": y, "c": x})
+                out.append({"tile": rows["tile"][0].as_py(), "component": own, "r0": y0, "c0": x0, "outer": area2 > 0, "area2": area2, "sides": sides, "corners": corners})
+        corner = pa.struct([("r", pa.int64()), ("c", pa.int64())])
+        schema = pa.schema([rows.schema.field("tile"), rows.schema.field("component"), ("r0", pa.int64()), ("c0", pa.int64()), ("outer", pa.bool_()), ("area2", pa.int64()), ("sides", pa.int64()), ("corners", pa.list_(corner))])
+        return pa.Table.from_pylist(out, schema)
+
+    tile = members.schema["tile"].dataType.simpleString()
+    return members.select("tile", "r", "c", "component").groupBy("tile").applyInArrow(work, f"tile {tile}, component {kind}, r0 long, c0 long, outer boolean, area2 long, sides long, corners array<struct<r:long,c:long>>")
+
+
 _HOW = {"max": np.maximum, "min": np.minimum, "sum": np.add}
 
 
@@ -111,14 +158,21 @@ def _spread(grid: np.ndarray, radius: int, f: np.ufunc) -> np.ndarray:
 
 def windows(cells: DataFrame, value: str, radius: int, how: dict[str, str]) -> DataFrame:
     """cells with, for each (name: max, min or sum) of how, that of value over the square of the radius, and name_n, the
-    cells with a value in it; missing cells and nulls take no part.  Values are whole numbers."""
+    cells with a value in it; missing cells and nulls take no part.  Values are whole numbers; a tile that holds a
+    place twice, or spans over MAX_PLACES places, fails."""
 
     def work(rows: pa.Table) -> dict[str, pa.Array]:
         r, c = _places(rows)
         r, c = r - r.min(), c - c.min()
         known = rows[value].is_valid().to_numpy(zero_copy_only=False)
+        if pa.types.is_floating(rows.schema.field(value).type):
+            raise TypeError(f"{value} holds no whole numbers")
         v = rows[value].fill_null(0).to_numpy().astype(np.int64)
         shape = int(r.max()) + 1, int(c.max()) + 1
+        if shape[0] * shape[1] > MAX_PLACES:
+            raise ValueError(f"tile {rows['tile'][0].as_py()}: its cells span {shape[0]} by {shape[1]} places")
+        if len(np.unique(r * shape[1] + c)) != len(r):
+            raise ValueError(f"tile {rows['tile'][0].as_py()} holds a place twice")
         there = np.zeros(shape, np.int64)
         there[r[known], c[known]] = 1
         n, out = _spread(there, radius, np.add)[r, c], {}
