@@ -1,6 +1,7 @@
 """Corner cases of the corpus operators: direct computations, awkward rows and columns, hot ids, long texts."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -68,14 +69,45 @@ def test_added_tokens_are_encoded_as_the_tokenizer_does_in_any_case():
 def test_word_ids_survive_forgetting_and_odd_words(monkeypatch):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(packing, "KEPT_WORDS", 50)
-    plain, own, rng = Tokenizer.from_file(WORD_BPE), packing._loaded(WORD_BPE), random.Random(2)
+    plain, own, rng = Tokenizer.from_file(WORD_BPE), packing._loaded(WORD_BPE, 50), random.Random(2)
     odd = ["don't", "é́x", "İ", "ß.", "x1.", "3.4,", "日本語", "a‍b", "...", ",", "\x1c", "Ǆ,", "ﬁn", "A.B.", "😀,"]
     for _ in range(30):
         texts = [" ".join(rng.choice(odd) if rng.random() < 0.2 else words(rng, 1) + rng.choice(["", "", ",", "."]) for _ in range(40)) for _ in range(5)]
         assert [x.tolist() for x in own.encode_many(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("tokens", [1, 2, 3, 4, 5, 7, 8])
+def test_short_texts_fill_their_sequences(spark, tokens):
+    """Each word is a token, and the end id is one more."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit(" ".join(["the"] * (tokens - 1))).alias("text"))
+    got = packing.pack(rows, WORD_BPE).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("offset").alias("last")).collect()
+    assert sum(r["n"] for r in got) == 6000 * tokens
+    assert max(r["n"] for r in got) <= 2048 and 6000 * tokens / (2048 * math.ceil(6000 * tokens / 2048)) == 6000 * tokens / (2048 * len(got))
+
+
+def test_items_take_each_rank_once():
+    rng = random.Random(3)
+    histogram = {size: rng.randrange(1, 50) for size in range(1, packing.SHORT + 257) if rng.random() < 0.7 and not packing.SHORT < size <= packing.SHORT + 8}
+    demand, rows = packing._items(histogram)
+    taken = {}
+    for size, lo, hi, per, units, before in rows:
+        taken.setdefault(size, []).append((lo, hi))
+        assert (hi - lo) % per == 0
+        assert per * size <= units * 8 < per * size + 8 if size <= packing.SHORT else per == 1 and units == size - packing.SHORT
+        assert per == 1 or per * size == units * 8
+        assert 0 <= before < demand[units - 1]
+    for size, n in histogram.items():
+        assert [x for lo, hi in sorted(taken[size]) for x in range(lo, hi)] == list(range(n))
+    assert demand.sum() == sum((hi - lo) // per for _, lo, hi, per, _, _ in rows)
+
+
+def test_a_third_of_all_rows_alike_is_packed_in_many_tasks(spark):
+    rows = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("the same words here").alias("text")).union(spark.range(6000).select("id", F.concat(F.lit("row "), F.col("id").cast("string"))))
+    got = packing.pack(rows, WORD_BPE)
+    assert got.count() == 9000 and got.groupBy("sequence_id", "offset").count().filter("count > 1").count() == 0
+    assert got.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
 PAGES = [
     ('<article class="post tag-news"><p>hello world</p></article>', "hello world"),
     ('<body class="has-sidebar"><article><p>abc</p></article></body>', "abc"),

@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TEXT_ROWS, TEXT_BYTES = 1_000, 2 << 20
 
 
-def text_batches(df: DataFrame) -> DataFrame:
-    """df, with the session's Arrow batches held to TEXT_ROWS rows and TEXT_BYTES bytes; these settings are read when a
+def text_batches(df: DataFrame, size: int = TEXT_BYTES) -> DataFrame:
+    """df, with the session's Arrow batches held to TEXT_ROWS rows and so many bytes; these settings are read when a
     plan runs, so they stay set in the session."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return df
 
 

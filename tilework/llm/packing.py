@@ -1,11 +1,11 @@
 """Packing token sequences by cutting stock: column generation over a histogram of piece lengths.
 
 A document's ids are cut every 2048 tokens; the pieces are counted by length class (8 tokens wide,
-rounded up, so a pattern of classes always fits).  A linear program over patterns is solved by
+rounded up, so a pattern of classes always fits; short pieces of one length are first bundled to whole classes).  A linear program over patterns is solved by
 revised simplex, with an unbounded-knapsack dynamic program that prices columns; its input is at most
 256 counts, however many documents there are.  Rounded patterns give each class a list of rank ranges;
-pieces are ranked within their class in two levels (salted row numbers plus offsets of the salts), so
-no class is ever ranked in one task.
+pieces are ranked within their class in two levels (row numbers within a salt of the row's number, plus offsets of the
+salts), so no class is ever ranked in one task, whatever rows repeat.
 
 Null and empty texts are one piece holding the end id alone; rows that share a doc_id are packed each;
 an empty table gives no pieces.
@@ -13,10 +13,11 @@ an empty table gives no pieces.
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -27,31 +28,29 @@ from .common import BROADCAST_IDS, held, lean, text_batches, written
 
 CAPACITY = 2048
 WIDTH = 8
+#: Pieces of so many tokens or fewer are bundled by their exact length.
+SHORT = 64
 END_ID = 1
 #: How far prices are drawn to the best bound's, and the share above the bound at which the program counts as solved.
 SMOOTHING, GAP = 0.8, 0.0005
 #: Pieces of one salt of one class at about this many.
 RANKED = 500_000
-#: Words whose ids a worker keeps: about 60 MB.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps (about 60 MB), and the bytes of a batch of texts: fewer of either take less memory and more time.
+KEPT_WORDS, BATCH = 300_000, 4 << 20
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _encoder(path: str) -> WordIds:
-    return held(("packing", path), lambda: _loaded(path))
-
-
-def _loaded(path: str) -> WordIds:
+def _loaded(path: str, kept: int = KEPT_WORDS) -> WordIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return WordIds(Tokenizer.from_file(path))
+    return WordIds(Tokenizer.from_file(path), kept)
 
 
 #: Texts that show how a tokenizer treats words: white space of all kinds, marks at a letter, capitals, joined letters.
 _SHOWN = ("It was,  late\tin May.\nNo\r\none; SPOKE", " a b ", "été, naïve. Straße. ﬁn. ÉTÉ", "x1, y2. 3.4, z.", "one\x0btwo\x0cthree", "A. b, C., d.,", "unforeseeable wordsmiths qzx")
-#: Words that are encoded as one text.
-_JOINED = 512
+#: Words that are encoded as one text, and words that are encoded at once: what the tokenizer gives takes far more room than the ids.
+_JOINED, _AT_ONCE = 512, 8_192
 
 
 class WordIds:
@@ -63,8 +62,8 @@ class WordIds:
     token that ends a word.
     """
 
-    def __init__(self, tokenizer) -> None:
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, kept: int) -> None:
+        self.tokenizer, self.kept = tokenizer, kept
         self.added = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         plain = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
         self.by_word, self.by_case, self.by_mark = True, False, False
@@ -105,9 +104,16 @@ class WordIds:
         self.hits = hits
 
     def _each(self, words: list[bytes], texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(words, n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())))
+        for lo in range(0, len(words), _AT_ONCE):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo : lo + _AT_ONCE], add_special_tokens=False)]
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            self._add(words[lo : lo + _AT_ONCE], n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())))
+
+    def _joined_ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of texts of _JOINED words each, few texts at a time."""
+        for lo in range(0, len(texts), _AT_ONCE // _JOINED):
+            for e in self.tokenizer.encode_batch_fast(texts[lo : lo + _AT_ONCE // _JOINED], add_special_tokens=False):
+                yield np.array(e.ids, np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
         """Words of letters have one end token each.  A letter followed by one mark at the end is split there by the tokenizer
@@ -118,8 +124,8 @@ class WordIds:
         letters, others, sizes, known = [], [], [], []
         for k, x in enumerate(texts):
             (letters if x.isalpha() else others).append(k)
-        for lo, e in zip(range(0, len(letters), _JOINED), self.tokenizer.encode_batch_fast([" ".join(texts[k] for k in letters[lo : lo + _JOINED]) for lo in range(0, len(letters), _JOINED)], add_special_tokens=False), strict=True):
-            ids, some = np.array(e.ids, np.int64), letters[lo : lo + _JOINED]
+        groups = [letters[lo : lo + _JOINED] for lo in range(0, len(letters), _JOINED)]
+        for some, ids in zip(groups, self._joined_ids([" ".join(texts[k] for k in some) for some in groups]), strict=True):
             last = np.flatnonzero(self.ends[ids]) if len(ids) else ids
             if len(last) == len(some) and last[-1] == len(ids) - 1:
                 known += some
@@ -140,12 +146,14 @@ class WordIds:
         low = [x.lower() for x in raws]
         whole = [not self.by_word or any(x in raw for x in self.added) for raw in low]
         words = [[] if alone else raw.split() for raw, alone in zip(low if self.by_case else raws, whole, strict=True)]
-        if len(self.index) > KEPT_WORDS:
+        if len(self.index) > self.kept:
             self._forget()
-        if new := set().union(*words).difference(self.index):
-            self._learn(list(new))
-        sizes = [len(x) for x in words]
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, sum(sizes))
+        sizes, flat = [len(x) for x in words], list(chain.from_iterable(words))
+        at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
+        if len(new := np.flatnonzero(at < 0)):
+            unknown = [flat[k] for k in new.tolist()]
+            self._learn(list(set(unknown)))
+            at[new] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(unknown))
         self.hits += np.bincount(at, minlength=len(self.hits))
         ids, upto = self._at(at), np.concatenate(([0], np.cumsum(self.count[at])))
         ends = upto[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))]
@@ -159,11 +167,13 @@ class WordIds:
         return next(self.encode_many([text]))
 
 
-def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, words: int = KEPT_WORDS, batch_bytes: int = BATCH) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and the end id, cut every CAPACITY ids."""
 
+    key = ("packing", tokenizer, words)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(tokenizer)
+        encoder = held(key, lambda: _loaded(tokenizer, words))
         for batch in batches:
             rows = []
             for doc, found in zip(batch["doc_id"], encoder.encode_many([x or "" for x in batch["text"]]), strict=True):
@@ -171,7 +181,7 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
                 rows += [(doc, lo, min(CAPACITY, len(ids) - lo), zlib.crc32(ids[lo : lo + CAPACITY].tobytes()), len(ids)) for lo in range(0, len(ids), CAPACITY)]
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
 
-    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(lean(cut, ("packing", tokenizer)), PIECE)
+    return text_batches(docs, batch_bytes).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(lean(cut, key), PIECE)
 
 
 def _best_pattern(values: np.ndarray, units: int) -> np.ndarray:
@@ -251,7 +261,7 @@ def patterns(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
 
 
 def _ranges(spark: SparkSession, found: list[tuple[np.ndarray, int]]) -> DataFrame:
-    """For each class the ranks that each pattern takes: per uses of a sequence, from its first sequence on."""
+    """For each class the items that each pattern takes: per uses of a sequence, from its first sequence on."""
     rows, sequence = [], 0
     rank = np.zeros(CAPACITY // WIDTH + 1, np.int64)
     for counts, n in found:
@@ -260,25 +270,48 @@ def _ranges(spark: SparkSession, found: list[tuple[np.ndarray, int]]) -> DataFra
             rows.append((int(i) + 1, int(rank[i]), int(rank[i]) + per * n, per, sequence))
             rank[i] += per * n
         sequence += n
-    return spark.createDataFrame(rows, "size int, lo long, hi long, per long, base long")
+    return spark.createDataFrame(rows, "units int, lo long, hi long, per long, base long")
+
 
+def _items(histogram: dict[int, int]) -> tuple[np.ndarray, list[tuple]]:
+    """The number of items of each class, and for each size (SHORT and less: a length; above: SHORT + class) the ranks of pieces that
+    make them up: (size, lo, hi, pieces of an item, class, items of the class before).
 
-def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
+    Pieces of SHORT tokens and less are bundled, as many of one length as make whole classes, so that none is rounded up;
+    the few left over are items each.
+    """
+    demand, rows = np.zeros(CAPACITY // WIDTH, np.int64), []
+    for size, n in sorted(histogram.items()):
+        many = WIDTH // math.gcd(size, WIDTH) if size <= SHORT else 1
+        units = many * size // WIDTH if size <= SHORT else size - SHORT
+        full = n - n % many
+        for lo, hi, per, kind in ((0, full, many, units), (full, n, 1, -(-size // WIDTH))):
+            if lo < hi:
+                rows.append((size, lo, hi, per, kind, int(demand[kind - 1])))
+                demand[kind - 1] += (hi - lo) // per
+    return demand, rows
+
+
+def pack(docs: DataFrame, tokenizer: str, words: int = KEPT_WORDS, batch_bytes: int = BATCH) -> DataFrame:
     """The pieces with sequence_id and offset; sequences hold at most CAPACITY tokens, pieces are gapless from 0."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, tokenizer)).withColumn("size", F.ceil(F.col("length") / WIDTH).cast("int"))
-    histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count("*").alias("n")).collect()}
-    demand = np.array([histogram.get(i + 1, 0) for i in range(CAPACITY // WIDTH)], np.float64)
-    salts = max(64, int(demand.max()) // RANKED)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
+    length = F.col("length")
+    size = F.when(length <= SHORT, length).otherwise(SHORT + F.ceil(length / WIDTH)).cast("int")
+    cut = written(pieces(docs, tokenizer, words, batch_bytes).withColumns({"size": size, "row": F.monotonically_increasing_id()}))
+    histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count("*").alias("n")).collect()}  # SHORT + 256 rows at most
+    demand, rows = _items(histogram)
+    salts = max(64, max(histogram.values(), default=0) // RANKED)
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
     before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = salted.groupBy("size", "salt").agg(F.count("*").alias("n")).select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    if salts * len(demand) <= BROADCAST_IDS:
+    if salts * (SHORT + len(demand)) <= BROADCAST_IDS:
         offsets = F.broadcast(offsets)
-    order = Window.partitionBy("size", "salt").orderBy("doc_id", "start", "ids_crc32")
+    order = Window.partitionBy("size", "salt").orderBy("doc_id", "start", "ids_crc32", "row")
     ranked = salted.withColumn("rank", F.row_number().over(order)).join(offsets, ["size", "salt"]).withColumn("rank", F.col("rank") - 1 + F.col("skip"))
-    placed = ranked.join(F.broadcast(_ranges(spark, patterns(demand))), "size").filter("rank >= lo and rank < hi")
-    placed = placed.withColumn("sequence_id", F.col("base") + F.floor((F.col("rank") - F.col("lo")) / F.col("per")))
-    inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "size", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    made = spark.createDataFrame(rows, "size int, from long, upto long, pieces long, units int, skipped long")
+    items = ranked.join(F.broadcast(made), "size").filter("rank >= from and rank < upto").withColumn("item", F.col("skipped") + F.floor((F.col("rank") - F.col("from")) / F.col("pieces")))
+    placed = items.join(F.broadcast(_ranges(spark, patterns(demand.astype(np.float64)))), "units").filter("item >= lo and item < hi")
+    placed = placed.withColumn("sequence_id", F.col("base") + F.floor((F.col("item") - F.col("lo")) / F.col("per")))
+    inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "item", "rank").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset")
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", offset)
