@@ -34,7 +34,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), words=150_000, batch_bytes=1 << 20)  # executors still hold what earlier stages took
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
