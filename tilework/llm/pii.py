@@ -5,8 +5,8 @@ exclusive.  The base kinds (email, ip, card, phone) always stay; iban, short car
 numbers are added when checksum and context together reach the threshold.
 
 Texts are cut into pieces of about PIECE characters, after a character that no pattern holds or between a
-space and a small letter, which no match spans; matches, context and masks are made within a piece.
-Every quantifier that could run long is possessive or has a bound, and starts are tied to the edge of a
+space and a small letter, which no match spans; matches, context and masks are made within a piece.  A piece may be as long as
+the text where it offers no such place, so parts of a piece are taken from slices of it.  Every quantifier that could run long is possessive or has a bound, and starts are tied to the edge of a
 run, so that time stays linear in a text's length.
 
 Null and empty texts have no spans; rows that repeat are found each; columns of any name pass through.
@@ -38,7 +38,9 @@ PIECE = 4_000
 #: Items of a list that are folded into one: a fold copies what it has at each step, so long lists are folded in two levels.
 GROUP = 64
 #: A piece ends after a character of no pattern, or between a space and a small letter.
-_PIECES = r"""(?s).{%d,}?(?:(?<=[\n\t\r,;:!?"'])|(?<= )(?=[a-z]))|.+""" % PIECE
+_PIECES = r"(?s).{%d,}?(?:(?<=[^A-Za-z0-9._%%+@() -])|(?<= )(?=[a-z]))|.+" % PIECE
+#: Characters of a slice: parts of a piece are put together from these, as a place in a list is found at once and one in a string is not.
+SLICE = 64
 RAISE = 0.3
 THRESHOLD = 0.5
 SPAN = "struct<kind:string,start:int,end:int,score:double>"
@@ -78,6 +80,13 @@ def _valid(kind: str, value: Column) -> Column:
     return _mod97(value) if kind == "iban" else F.lit(True)
 
 
+def _part(slices: Column, start: Column, length: Column) -> Column:
+    """So many characters of the text that the slices are of, from start on."""
+    first = F.call_function("div", start, F.lit(SLICE)).cast("int")
+    some = F.slice(slices, first + 1, F.call_function("div", start % SLICE + length, F.lit(SLICE)).cast("int") + 1)
+    return F.substr(F.array_join(some, ""), start % SLICE + 1, length)
+
+
 _MATCHES = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -105,7 +114,7 @@ def _scan(items: Column, of: str, step: Callable[[Column, Column], tuple[Column,
 
 
 def _found(kind: str, piece: Column) -> Column:
-    """All matches of the kind's pattern in a piece (text, at, before, after), placed in the piece: what lies between
+    """All matches of the kind's pattern in a piece (text, slices, at, before, after), placed in the piece: what lies between
     matches gives the starts."""
     pattern, sign, prior, words = KINDS[kind]
     text = piece["text"]
@@ -120,8 +129,8 @@ def _found(kind: str, piece: Column) -> Column:
     placed = _scan(pairs, "struct<start:int,end:int,value:string>", place)["out"]
 
     def scored(x: Column) -> Column:
-        before = F.right(F.concat(piece["before"], F.substr(text, F.greatest(x["start"] + 1 - CONTEXT, F.lit(1)), F.least(x["start"], F.lit(CONTEXT)))), F.lit(CONTEXT))
-        near = F.lower(F.concat_ws(" ", before, F.left(F.concat(F.substr(text, x["end"] + 1, F.lit(CONTEXT)), piece["after"]), F.lit(CONTEXT))))
+        before = F.right(F.concat(piece["before"], _part(piece["slices"], F.greatest(x["start"] - CONTEXT, F.lit(0)), F.least(x["start"], F.lit(CONTEXT)))), F.lit(CONTEXT))
+        near = F.lower(F.concat_ws(" ", before, F.left(F.concat(_part(piece["slices"], x["end"], F.lit(CONTEXT)), piece["after"]), F.lit(CONTEXT))))
         score = F.lit(prior) + F.when(near.rlike(rf"\b(?:{words})"), RAISE).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
@@ -136,10 +145,10 @@ def with_pieces(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     places = _scan(F.transform(raw, F.length), "int", lambda so_far, n: (so_far + n, F.array(so_far)))["out"]
     cut = cut.withColumn(at, places)
     near = lambda k, side: F.coalesce(side(F.get(raw, k), F.lit(CONTEXT)), F.lit(""))
-    pieces = F.transform(raw, lambda x, k: F.struct(x.alias("text"), F.get(at, k).alias("at"), near(k - 1, F.right).alias("before"), near(k + 1, F.left).alias("after")))
+    pieces = F.transform(raw, lambda x, k: F.struct(x.alias("text"), F.regexp_extract_all(x, F.lit(r"(?s).{1,%d}" % SLICE), F.lit(0)).alias("slices"), F.get(at, k).alias("at"), near(k - 1, F.right).alias("before"), near(k + 1, F.left).alias("after")))
     cut = cut.withColumn(out_col, pieces).drop(raw, at)
     spans = lambda p: F.concat(*(_found(kind, p) for kind in KINDS)).cast(f"array<{SPAN}>")
-    return cut.withColumn(out_col, F.transform(out_col, lambda p: F.struct(p["text"].alias("text"), p["at"].alias("at"), spans(p).alias("spans"))))
+    return cut.withColumn(out_col, F.transform(out_col, lambda p: F.struct(p["text"].alias("text"), p["slices"].alias("slices"), p["at"].alias("at"), spans(p).alias("spans"))))
 
 
 def in_order(pieces: Column) -> Column:
@@ -174,7 +183,7 @@ def redacted(pieces: Column) -> Column:
         def step(at: Column, s: Column) -> tuple[Column, Column]:
             label = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
             inside = s["start"] < at
-            return F.greatest(at, s["end"]), F.when(inside, F.array().cast("array<string>")).otherwise(F.array(F.substr(text, at + 1, s["start"] - at), label))
+            return F.greatest(at, s["end"]), F.when(inside, F.array().cast("array<string>")).otherwise(F.array(_part(p["slices"], at, s["start"] - at), label))
 
         folded = _let(_scan(ordered, "string", step), lambda f: F.concat(F.array_join(f["out"], ""), F.substr(text, f["at"] + 1)))
         return F.when(F.size(p["spans"]) > 0, folded).otherwise(text)
