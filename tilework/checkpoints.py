@@ -7,11 +7,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Paths written since each open temporary() began.
-_open: list[list[str]] = []
+#: Paths written since each temporary() began that is open here: threads and tasks have their own.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession) -> str:
     """A new place for a table in the shared folder."""
     path = f"{shared_dir(spark)}/tilework-{uuid.uuid4().hex}"
-    for paths in _open:
+    for paths in _open.get():
         paths.append(path)
     return path
 
@@ -59,7 +60,7 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Gives a function that writes what is to stay; all other tables written inside are deleted at the end."""
-    _open.append(paths := [])
+    outer = _open.set((*_open.get(), paths := []))
     kept: list[str] = []
 
     def stay(df: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]
     try:
         yield stay
     finally:
-        _open.remove(paths)
+        _open.reset(outer)
         for path in set(paths) - set(kept):
             spark.sql(f"drop table if exists {_name(path)}")
             where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -20,9 +20,24 @@ def _parts(df: DataFrame, kinds: tuple[str, str], depths: tuple[str, str]) -> Da
     return df.select("id", "declared", "properties", F.posexplode(parts).alias("part", "coords"))
 
 
+#: The types of GeoJSON that hold no features.
+GEOMETRIES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon", "GeometryCollection")
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(COLLECTION).option("multiLine", True).json(path)
-    rows = raw.select(F.posexplode("features").alias("place", "f"), S.declared_epsg(F.col("crs.properties.name")).alias("declared"))
+    """The features of files that are a collection, one feature or a bare geometry each; a file of any other type fails the plan."""
+    alone = "id string, geometry struct<type:string,coordinates:string>, properties map<string,string>, coordinates string"
+    raw = spark.read.schema(f"{COLLECTION}, {alone}").option("multiLine", True).json(path)
+    one = lambda key, geometry, props: F.array(F.struct(F.lit("Feature").alias("type"), key.alias("id"), geometry.alias("geometry"), props.alias("properties")))
+    bare = F.struct(F.col("type"), F.col("coordinates"))
+    no_id, no_props = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
+    found = (
+        F.when(F.col("type") == "FeatureCollection", F.coalesce("features", F.filter(one(no_id, bare, no_props), lambda _: F.lit(False))))
+        .when(F.col("type") == "Feature", one(F.col("id"), F.col("geometry"), F.col("properties")))
+        .when(F.col("type").isin(*GEOMETRIES), one(no_id, bare, no_props))
+        .otherwise(F.raise_error(F.concat(F.lit("no GeoJSON: type "), F.coalesce(F.to_json(F.struct("type")), F.lit("?")))))
+    )
+    rows = raw.select(F.posexplode(found).alias("place", "f"), S.declared_epsg(F.col("crs.properties.name")).alias("declared"))
     key = F.coalesce("f.id", F.col("f.properties")["id"], F.col("place").cast("string"))
     return rows.select(key.alias("id"), "declared", F.col("f.geometry").alias("geometry"), F.col("f.properties").alias("properties"))
 
