@@ -242,6 +242,40 @@ def test_append_refuses_repeated_captures(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "c")).count() == 3
 
 
+CAPTURE = "capture_id long, kind string, day int, zoom int"
+
+
+def test_an_interrupted_append_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "c")
+    rows = spark.createDataFrame([(k, "k", 1, 1) for k in range(50)], CAPTURE)
+    assert files.append_captures(rows.limit(0), path).count() == 0  # an append of nothing
+    broken = rows.union(spark.createDataFrame([(99, "k", 1, 1)], CAPTURE)).repartition(4)
+    late = F.when(F.col("capture_id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("day")).cast("int")
+    with pytest.raises(Exception, match="lost"):
+        files.append_captures(broken.withColumn("day", late), path)
+    assert spark.read.schema(f"{CAPTURE}, v int").parquet(path).count() == 0
+    assert not [x for x in (tmp_path / "c").iterdir() if x.name.startswith("_staged")]
+    files.append_captures(rows, path)
+    assert spark.read.schema(f"{CAPTURE}, v int").parquet(path).count() == 50
+
+
+def test_two_appends_at_the_same_time_store_a_key_once(spark, tmp_path, monkeypatch):
+    path, real, others = str(tmp_path / "c"), files._committed, []
+    mine, other = (spark.createDataFrame([(k, "k", 1, 1) for k in ids], CAPTURE) for ids in ((1, 2, 3), (3, 4)))
+
+    def slow(session, staged, at):
+        if not others:
+            others.append(True)
+            files.append_captures(other, path)
+        return real(session, staged, at)
+
+    monkeypatch.setattr(files, "_committed", slow)
+    refused = files.append_captures(mine, path)
+    assert [r["capture_id"] for r in refused.collect()] == [3]
+    stored = spark.read.schema(f"{CAPTURE}, v int").parquet(path).collect()
+    assert sorted((r["capture_id"], r["v"]) for r in stored) == [(1, 2), (2, 2), (3, 1), (4, 1)]
+
+
 def test_stalled_sessions_close_behind_the_watermark(spark, tmp_path):
     rows = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:01:00"), ("b", "2024-01-01 02:00:00")], "job string, at string").withColumn("at", F.to_timestamp("at"))
     rows.coalesce(1).write.parquet(str(tmp_path / "e"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,21 +106,52 @@ def read_heights(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter("hag is not null")
 
 
-def append_captures(df: DataFrame, path: str, key: str = "capture_id", layout: tuple[str, ...] = ("kind", "day", "zoom")) -> DataFrame:
-    """Appends the rows whose key is not stored yet and returns those that were refused."""
-    spark = df.sparkSession
+def _versions(spark: SparkSession, path: str) -> int:
+    """The last committed append of a table, 0 for none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in system.listStatus(place)] if system.exists(place) else []
+    return max((int(n.removeprefix("v=")) for n in names if n.startswith("v=")), default=0)
+
+
+def _committed(spark: SparkSession, staged: str, at: str) -> bool:
+    """Moves a written folder to its place, unless another append took that first."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(at)
+    # without the option to overwrite, a rename fails where the target is there
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
-        stored = spark.read.parquet(path).select(key)
-    except Exception as e:  # the first append finds no table
-        if "PATH_NOT_FOUND" not in str(e):
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.toString():
             raise
-        stored = df.select(key).limit(0)
+        return False
+    return True
+
+
+def append_captures(df: DataFrame, path: str, key: str = "capture_id", layout: tuple[str, ...] = ("kind", "day", "zoom")) -> DataFrame:
+    """Appends the rows whose key is not stored yet and returns those that were refused; keys that repeat in df are refused whole.
+
+    An append is written aside (readers don't see folders that begin with an underscore) and committed by one rename to the next
+    version, v=N.  One that is interrupted leaves nothing that is read; of two at the same time the slower one finds its version taken
+    and starts over against what the other stored, so that no key is stored twice.
+    """
+    spark = df.sparkSession
     repeated = df.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key)
-    bad = stored.union(repeated).distinct()
-    bad = written(bad)
-    refused = written(df.join(bad, key, "left_semi"))
-    df.join(bad, key, "left_anti").write.mode("append").partitionBy(*layout).parquet(path)
-    return refused
+    while True:
+        version = _versions(spark, path)
+        kept = spark.read.schema(df.withColumn("v", F.lit(0)).schema).parquet(path).filter(F.col("v") <= version) if version else df.limit(0)
+        stored = kept.select(key)
+        bad = written(stored.union(repeated).distinct())
+        refused = written(df.join(bad, key, "left_semi"))
+        staged = f"{path}/_staged-{uuid.uuid4().hex}"
+        try:
+            df.join(bad, key, "left_anti").write.partitionBy(*layout).parquet(staged)
+            if _committed(spark, staged, f"{path}/v={version + 1}"):
+                return refused
+        finally:
+            place = spark._jvm.org.apache.hadoop.fs.Path(staged)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def compact_attributes(points: DataFrame) -> DataFrame:
