@@ -146,6 +146,23 @@ def nearest_valid_fill(cells: DataFrame, value: str, valid: Column, reach: int)
     return marked.join(filled, ["tile", "r", "c"], "left").withColumn("filled", F.when(F.col("_ok"), F.col(value)).otherwise(F.col("filled"))).withColumn("d2", F.when(F.col("_ok"), F.lit(0).cast("long")).otherwise(F.col("d2"))).drop("_ok")
 
 
+#: Sub-cells of a cell's side, and the occupancy from which one is kept, in ninths (0.42 of the whole and above).
+FINE, KEPT_NINTHS = 3, 4
+
+
+def refined_occupancy(members: DataFrame, rows: int, columns: int) -> DataFrame:
+    """(tile, r, c, ninths) of the sub-cells, three to a cell's side, that stay: occupancy is the bilinear mean of the cells around a
+    sub-cell's centre, 1 where one is a member and 0 elsewhere, also beyond the grid's rows and columns.
+
+    Along one axis a member weighs 1, 2, 3, 2, 1 thirds on the five sub-cells around it, so members are spread and summed.
+    """
+    near = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(3 - abs(d)).alias("w")) for d in range(-2, 3)))
+    spread = members.select("tile", "r", "c").withColumn("y", F.explode(near)).withColumn("x", F.explode(near))
+    at = lambda cell, axis: (F.col(cell) * FINE + 1 + F.col(f"{axis}.d")).alias(cell)
+    fine = spread.select("tile", at("r", "y"), at("c", "x"), (F.col("y.w") * F.col("x.w")).alias("w")).filter(F.col("r").between(0, rows * FINE - 1) & F.col("c").between(0, columns * FINE - 1))
+    return fine.groupBy("tile", "r", "c").agg(F.sum("w").alias("ninths")).filter(F.col("ninths") >= KEPT_NINTHS)
+
+
 def fingerprint(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """(group, sha256): one hash a group over its rows in order, whatever the partitioning; in two levels, so no group is gathered whole."""
     text = F.concat_ws(",", *columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from .grids import nearest_rank
 
 
@@ -50,3 +51,25 @@ def merged_counters(old: DataFrame, new: DataFrame, key: str, values: list[str])
 def sealed(df: DataFrame, columns: list[str], hash_col: str) -> DataFrame:
     """df with intact: whether hash_col is the hash of the other columns."""
     return df.withColumn("intact", F.sha2(F.concat_ws("|", *columns), 256) == F.col(hash_col))
+
+
+def package_faults(listing: DataFrame, manifest: DataFrame, declared: DataFrame) -> DataFrame:
+    """(package, path, fault) of sealed packages, one row a fault; a package without rows is whole.
+
+    listing (package, path, bytes, sha256): the files that are there; manifest: those that were sealed; declared (package, files, bytes): the
+    totals that the seal states.  Faults of a path: missing, unexpected, repeated (in the manifest), size, hash, unsafe; of a package (path
+    null): files, bytes, undeclared (no totals).
+    """
+    there = listing.select("package", "path", F.col("bytes").alias("own_bytes"), F.col("sha256").alias("own_sha"))
+    sealed_once = manifest.groupBy("package", "path").agg(F.min("bytes").alias("bytes"), F.min("sha256").alias("sha256"), F.count("*").alias("times"))
+    both = there.withColumn("found", F.lit(True)).join(sealed_once, ["package", "path"], "full")
+    of_path = {
+        "missing": F.col("found").isNull(), "unexpected": F.col("times").isNull(), "repeated": F.col("times") > 1,
+        "size": F.col("own_bytes") != F.col("bytes"), "hash": F.col("own_sha") != F.col("sha256"), "unsafe": S.unsafe_path(F.col("path")).isNotNull(),
+    }
+    named = lambda faults: F.explode(F.array_compact(F.array(*(F.when(F.coalesce(wrong, F.lit(False)), F.lit(name)) for name, wrong in faults.items())))).alias("fault")
+    paths = both.select("package", "path", named(of_path))
+    totals = listing.groupBy("package").agg(F.count("*").alias("n"), F.sum("bytes").alias("size")).join(declared.withColumnsRenamed({"files": "said_files", "bytes": "said_bytes"}), "package", "full")
+    none = F.lit(0).cast("long")
+    of_package = {"files": F.coalesce("n", none) != F.col("said_files"), "bytes": F.coalesce("size", none) != F.col("said_bytes"), "undeclared": F.col("said_files").isNull() | F.col("said_bytes").isNull()}
+    return paths.unionByName(totals.select("package", F.lit(None).cast("string").alias("path"), named(of_package)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,3 +103,39 @@ def diverse_picks(candidates: DataFrame, wanted: int, spacing: int) -> DataFrame
             left = left.filter(near)
     ids = [(k, r["id"]) for k, r in enumerate(picked, 1)]
     return candidates.join(F.broadcast(candidates.sparkSession.createDataFrame(ids, "place int, id long")), "id")
+
+
+def local_origin(features: DataFrame) -> DataFrame:
+    """(ox, oy, oz) of features (xmin, ymin, xmax, ymax, zmin): the metre nearest to the middle of their bounds, half away from zero, and the
+    floor of their least height; one row."""
+    bound = features.agg(F.min("xmin").alias("a"), F.max("xmax").alias("b"), F.min("ymin").alias("c"), F.max("ymax").alias("d"), F.min("zmin").alias("z"))
+    middle = lambda lo, hi: F.round((F.col(lo) + F.col(hi)) / 2).cast("long")  # noqa: E731  rounds half away from zero
+    return bound.select(middle("a", "b").alias("ox"), middle("c", "d").alias("oy"), F.floor("z").alias("oz"))
+
+
+def viewer_axes(x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:
+    """East, north and up of a model whose axes are (x, y up, z to the viewer)."""
+    return x, -z, y
+
+
+def instances(candidates: DataFrame, prototypes: DataFrame) -> DataFrame:
+    """(id, family, asset, sx, sy, sz, px, py, pz, qw, qx, qy, qz) of placed assets.
+
+    candidates: id, family, asset, x, y, ground_mm, height_cm, width, depth, yaw (metres, radians; of buildings and context), seed
+    (decimal(20,0), of trees), ox, oy (the tile's origin); prototypes: asset, ex, ey, ez (extents, y up).  Buildings are scaled to their measures on
+    each axis, trees by their height alone and turned by their seed, context assets keep their size.  The
+    quaternion first stands the prototype's y axis up, then turns it by the yaw.  An asset without a prototype, a family that
+    is none of the three or a scale that is not above zero fails the plan.
+    """
+    made = candidates.join(prototypes, "asset", "left")
+    tall = F.col("height_cm") / 100.0
+    tree, building, context = (F.col("family") == f for f in ("trees", "buildings", "context_assets"))
+    scale = lambda measure, extent: F.when(building, measure / F.col(extent)).when(tree, tall / F.col("ey")).when(context, F.lit(1.0))
+    turn = F.when(tree, F.col("seed").cast("double") / float(1 << 64) * (2 * math.pi)).otherwise(F.coalesce("yaw", F.when(context, 0.0)))
+    placed = made.withColumns({"sx": scale(F.col("width"), "ex"), "sy": scale(tall, "ey"), "sz": scale(F.col("depth"), "ez"), "turn": turn})
+    fault = F.when(F.col("ex").isNull(), "no prototype").when(~F.coalesce(tree | building | context, F.lit(False)), "unknown family").when(~F.coalesce((F.col("sx") > 0) & (F.col("sy") > 0) & (F.col("sz") > 0), F.lit(False)) | F.col("turn").isNull(), "invalid scale or yaw")
+    checked = F.when(fault.isNotNull(), F.raise_error(F.concat(F.lit("candidate "), F.col("id").cast("string"), F.lit(": "), fault))).otherwise(F.col("turn"))
+    cos, sin = F.cos(F.col("turn") / 2) * math.sqrt(0.5), F.sin(F.col("turn") / 2) * math.sqrt(0.5)
+    return placed.withColumn("turn", checked).select(
+        "id", "family", "asset", "sx", "sy", "sz", (F.col("x") - F.col("ox")).alias("px"), (F.col("y") - F.col("oy")).alias("py"), (F.col("ground_mm") / 1000.0).alias("pz"), cos.alias("qw"), cos.alias("qx"), sin.alias("qy"), sin.alias("qz")
+    )

@@ -10,7 +10,7 @@ from ..operators import grids as G
 from ..operators import inventory as I
 from ..operators import tiles
 from .registry import query
-from .views import cells, table
+from .views import SIDE, cells, table
 
 HAG = "case when (greatest(mns_mm - mnt_mm, 0) + 5) // 10 > 65534 then 0 else (greatest(mns_mm - mnt_mm, 0) + 5) // 10 end"
 GATE = """gate as (
@@ -263,14 +263,15 @@ def refined_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("tile", "pr", "pc", F.col("b.hag").alias("top"), (-F.col("b.c")).cast("long").alias("c"), (-F.col("b.r")).cast("long").alias("r"))
 
 
-@query("""with t as (select tile, r * 3 + d.a as sr, c * 3 + e.b as sc, r + (d.a - 1) / 3.0 as y, c + (e.b - 1) / 3.0 as x from (select tile, r, c from cells where mns_mm - mnt_mm >= 10000) x cross join (values (0), (1), (2)) d(a) cross join (values (0), (1), (2)) e(b))
-select tile, cast(count(*) as bigint) as kept from t group by tile""", "cells")
+@query("""with m as (select tile, r, c from cells where mns_mm - mnt_mm >= 10000), g as (select distinct tile, r + dr as r, c + dc as c from m, (values (-1), (0), (1)) a(dr), (values (-1), (0), (1)) b(dc)),
+s as (select tile, r * 3 + a as sr, c * 3 + b as sc, (r * 3 + a + 0.5) / 3 - 0.5 as y, (c * 3 + b + 0.5) / 3 - 0.5 as x from g, (values (0), (1), (2)) i(a), (values (0), (1), (2)) j(b) where r between 0 and 31 and c between 0 and 31),
+o as (select s.tile, sr, sc, sum((1 - abs(m.r - y)) * (1 - abs(m.c - x))) as share from s join m on m.tile = s.tile and abs(m.r - y) < 1 and abs(m.c - x) < 1 group by all)
+select tile, count(*) as kept, cast(sum(round(share * 9)) as bigint) as ninths, cast(sum(sr * 97 + sc) as bigint) as mark from o where share >= 0.42 group by tile""", "cells")
 def refined_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H7: three by three sub-cells of each member."""
-    members = cells(spark, sf_dir).filter("mns_mm - mnt_mm >= 10000").select("tile", "r", "c")
-    three = F.sequence(F.lit(0), F.lit(2))
-    fine = members.withColumn("a", F.explode(three)).withColumn("b", F.explode(three))
-    return fine.groupBy("tile").agg(F.count("*").alias("kept"))
+    """H7: sub-cells whose bilinear occupancy is 0.42 and above."""
+    members = cells(spark, sf_dir).filter("mns_mm - mnt_mm >= 10000")
+    fine = G.refined_occupancy(members, SIDE, SIDE)
+    return fine.groupBy("tile").agg(F.count("*").alias("kept"), F.sum("ninths").alias("ninths"), F.sum(F.col("r") * 97 + F.col("c")).alias("mark"))
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,3 +141,21 @@ def crown_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     h, r, c = F.floor((F.greatest(F.col("mns_mm") - F.col("mnt_mm"), F.lit(0)) + 5) / 10), F.col("r"), F.col("c")
     status = F.when(h < 100, "rejected").when(((r + c) % 3 == 0) & (h < 300), "ambiguous").otherwise("valid")
     return cells(spark, sf_dir).select("tile", "r", "c", status.alias("status"), F.when((h < 300) & (r * c % 2 == 1), "woody").otherwise("tree").alias("class"))
+
+
+@query("""with f as (select page_id as id, page_id % 7 as package, case when page_id % 50 = 5 then '../' else 'tiles/' end || page_id || '.html' as path, strlen(html) as bytes, sha256(html) as sha from pages),
+l as (select * from f where id % 50 <> 3), m as (select package, path, bytes + case when id % 50 = 1 then 1 else 0 end as said, case when id % 50 = 2 then reverse(sha) else sha end as sealed, id from f where id % 50 <> 4),
+p as (select coalesce(l.package, m.package) as package, coalesce(l.path, m.path) as path, l.id as own, m.id as listed, l.bytes, m.said, l.sha, m.sealed from l full join m on l.package = m.package and l.path = m.path)
+select package, path, 'missing' as fault from p where own is null union all select package, path, 'unexpected' from p where listed is null union all select package, path, 'size' from p where bytes <> said
+union all select package, path, 'hash' from p where sha <> sealed union all select package, path, 'unsafe' from p where path like '../%' union all select package, path, 'repeated' from p where listed % 50 = 6
+union all select package, null, 'files' from (select package, count(*) as n, count(*) filter (id % 50 = 3) as gone from f group by 1) where gone > 0
+union all select package, null, 'bytes' from (select package, sum(case when id % 50 = 3 then bytes end) as gone from f group by 1) where gone > 0 or package = 6""")
+def sealed_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as packages of files; every kind of fault is planted by the page's number, and a total is wrong."""
+    k = F.col("page_id")
+    path = F.concat(F.when(k % 50 == 5, "../").otherwise("tiles/"), k.cast("string"), F.lit(".html"))
+    files = table(spark, sf_dir, "pages").select(k.alias("id"), (k % 7).alias("package"), path.alias("path"), F.octet_length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("sha256"))
+    entries = files.filter("id % 50 <> 4").withColumn("bytes", F.col("bytes") + F.when(F.col("id") % 50 == 1, 1).otherwise(0)).withColumn("sha256", F.when(F.col("id") % 50 == 2, F.reverse("sha256")).otherwise(F.col("sha256")))
+    twice = entries.union(entries.filter("id % 50 = 6"))
+    declared = files.groupBy("package").agg(F.count("*").alias("files"), (F.sum("bytes") + F.when(F.first("package") == 6, 1).otherwise(0)).alias("bytes"))
+    return Q.package_faults(files.filter("id % 50 <> 3").drop("id"), twice.drop("id"), declared)

@@ -146,3 +146,24 @@ def coverage_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.count("*").alias("got"), F.count_if(F.col("l_quantity") < 2).alias("placeholders"))
     both = expected.join(got, "part", "left").withColumn("got", F.coalesce("got", F.lit(0)))
     return both.groupBy("category").agg(F.sum("expected").alias("expected"), F.sum("got").alias("got"), F.sum(F.coalesce("placeholders", F.lit(0))).alias("placeholders"), F.count_if((F.col("got") != F.col("expected")) | (F.col("placeholders") > 0)).alias("uncovered"))
+
+
+@query("""with c as (select id, p_type as asset, case when id % 4 = 0 then 'trees' when id % 4 = 1 then 'context_assets' else 'buildings' end as family, x0, y0, p_size, x1 - x0 as w, y1 - y0 as d, id % 7 - 3 as k
+  from boxes join part on p_partkey = id),
+e as (select p_type as asset, 1 + avg(p_size) / 10 as ex, 2 + count(*) % 9 as ey, 1 + max(p_size) / 20.0 as ez from part group by 1),
+t as (select *, case family when 'trees' then id * 7919 * 1000000007 / 18446744073709551616.0 * 2 * pi() when 'buildings' then k * 0.4 else k * 0.1 end as turn, (500 + id % 900) / 100.0 as tall from c join e using (asset))
+select id, family, asset, round(case family when 'trees' then tall / ey when 'buildings' then w / 1000.0 / ex else 1 end, 6) as sx, round(case family when 'context_assets' then 1 else tall / ey end, 6) as sy,
+  round(case family when 'trees' then tall / ey when 'buildings' then d / 1000.0 / ez else 1 end, 6) as sz, round(x0 % 500000 / 1000.0, 6) as px, round(y0 / 1000.0 - y0 // 500000 * 500, 6) as py, round(p_size * 11 / 1000.0, 6) as pz,
+  round(cos(turn / 2) * sqrt(0.5), 6) as qw, round(cos(turn / 2) * sqrt(0.5), 6) as qx, round(sin(turn / 2) * sqrt(0.5), 6) as qy, round(sin(turn / 2) * sqrt(0.5), 6) as qz from t""", "boxes")
+def placed_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale, place and orientation of buildings, trees and context assets, from a catalog of prototypes."""
+    k, part = F.col("id"), table(spark, sf_dir, "part")
+    prototypes = part.groupBy(F.col("p_type").alias("asset")).agg((1 + F.avg("p_size") / 10).alias("ex"), (2 + F.count("*") % 9).cast("double").alias("ey"), (1 + F.max("p_size") / 20.0).alias("ez"))
+    family = F.when(k % 4 == 0, "trees").when(k % 4 == 1, "context_assets").otherwise("buildings")
+    candidates = boxes(spark, sf_dir).join(part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("asset"), "p_size"), "id").select(
+        "id", family.alias("family"), "asset", (F.col("x0") / 1000.0).alias("x"), (F.col("y0") / 1000.0).alias("y"), (F.col("p_size") * 11).alias("ground_mm"), (500 + k % 900).alias("height_cm"),
+        ((F.col("x1") - F.col("x0")) / 1000.0).alias("width"), ((F.col("y1") - F.col("y0")) / 1000.0).alias("depth"), ((k % 7 - 3) * F.when(family == "buildings", 0.4).otherwise(0.1)).alias("yaw"),
+        (k * 7919 * 1_000_000_007).cast("decimal(20,0)").alias("seed"), (F.expr("x0 div 500000") * 500.0).alias("ox"), (F.expr("y0 div 500000") * 500.0).alias("oy"),
+    )
+    found = C.instances(candidates, prototypes)
+    return found.select("id", "family", "asset", *(F.round(c, 6).alias(c) for c in ("sx", "sy", "sz", "px", "py", "pz", "qw", "qx", "qy", "qz")))
