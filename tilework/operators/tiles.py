@@ -6,6 +6,7 @@ edge evidence) is merged by joins (graphs).  Tiles may be of any type, grids of
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -140,6 +141,39 @@ def rings(members: DataFrame) -> DataFrame:
     return members.select("tile", "r", "c", "component").groupBy("tile").applyInArrow(work, f"tile {tile}, component {kind}, r0 long, c0 long, outer boolean, area2 long, sides long, corners array<struct<r:long,c:long>>")
 
 
+def arrivals(cells: DataFrame, steps: list[tuple[int, int]], costs: list[str], kind: str) -> DataFrame:
+    """cells (tile, r, c, start, held, costs) with arrival, the least of what is held and of the sums of costs from the cells that have a
+    start, and better, whether that is less than what was held.
+
+    costs names, step by step, what it costs to enter the cell by that step; none where it can't be.  Costs are not below 0.
+    One heap a tile, from the starts on; what is held must be settled among itself.
+    """
+
+    def work(rows: pa.Table) -> dict[str, pa.Array]:
+        r, c = (x.tolist() for x in _places(rows))
+        at = {place: k for k, place in enumerate(zip(r, c, strict=True))}
+        enter = [rows[name].to_pylist() for name in costs]
+        best = rows["held"].to_pylist()
+        held = list(best)
+        heap = [(v, k) for k, v in enumerate(rows["start"].to_pylist()) if v is not None and (best[k] is None or v < best[k])]
+        for v, k in heap:
+            best[k] = v
+        heapq.heapify(heap)
+        while heap:
+            v, k = heapq.heappop(heap)
+            if v > best[k]:
+                continue
+            for (a, b), cost in zip(steps, enter, strict=True):
+                j = at.get((r[k] + a, c[k] + b))
+                if j is not None and cost[j] is not None and (best[j] is None or v + cost[j] < best[j]):
+                    best[j] = v + cost[j]
+                    heapq.heappush(heap, (best[j], j))
+        better = [v is not None and (was is None or v < was) for v, was in zip(best, held, strict=True)]
+        return {"arrival": pa.array(best, pa.float64() if kind == "double" else pa.int64()), "better": pa.array(better, pa.bool_())}
+
+    return by_tile(cells, {"arrival": kind, "better": "boolean"}, work)
+
+
 _HOW = {"max": np.maximum, "min": np.minimum, "sum": np.add}
 
 

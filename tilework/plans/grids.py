@@ -186,7 +186,15 @@ def crowns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("tile", "crown").agg(F.count("*").alias("cells"), F.max("hag").alias("top"), F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"))
 
 
-@query()
+#: Cells with their height, and the least sums of costs by widening a table of the best so far.
+_WALK = """g as (select {tile} as tile, {r} as r, {c} as c, max(hag) as hag from (select *, {hag} as hag from cells) group by all),
+s as (select tile, r, c from (select *, row_number() over (partition by tile order by r, c) as n from g) where n = 1),
+w as (with recursive w(tile, r, c, t) using key (tile, r, c) as (select tile, r, c, 0::bigint as t from s union
+  select n.tile, n.r, n.c, min(w.t + case when n.r = w.r or n.c = w.c then 1000 else 1414 end + n.hag)::bigint from w join g n on n.tile = w.tile and n.r between w.r - 1 and w.r + 1 and n.c between w.c - 1 and w.c + 1
+  left join recurring.w o on o.tile = n.tile and o.r = n.r and o.c = n.c where o.t is null or w.t + case when n.r = w.r or n.c = w.c then 1000 else 1414 end + n.hag < o.t group by n.tile, n.r, n.c) select * from w)"""
+
+
+@query(f"with {_WALK.format(tile='tile', r='r', c='c', hag=HAG)} select tile, r, c, t as arrival from w", "cells")
 def travel_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Least-cost arrival from the first cell of each tile; cost grows with height and slope, integer mm."""
     grid = hag(spark, sf_dir).select("tile", "r", "c", "hag")
@@ -195,6 +203,16 @@ def travel_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.least_cost_arrival(grid, first, (length + F.col("hag")).cast("long"))
 
 
+@query(f"with {_WALK.format(tile='0', r='(tile - 1) // 16 * 32 + r', c='(tile - 1) % 16 * 32 + c', hag=HAG).replace('where n = 1', 'where (r * 7 + c) % 31 = 0')} select r, c, t as arrival from w", "cells")
+def travel_times_over_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5 over one grid, its tiles sixteen to a row: from some cells of it to all that are reached, tile by tile."""
+    at = hag(spark, sf_dir).select((F.expr("(tile - 1) div 16") * SIDE + F.col("r")).alias("r"), ((F.col("tile") - 1) % 16 * SIDE + F.col("c")).alias("c"), "hag")
+    grid = at.groupBy("r", "c").agg(F.max("hag").alias("hag"))
+    length = F.when((F.col("dr") == 0) | (F.col("dc") == 0), 1000).otherwise(1414)
+    return G.arrival_over_tiles(grid, grid.filter("(r * 7 + c) % 31 = 0"), (length + F.col("hag")).cast("long"), SIDE)
+
+
+
 @query(f"""with h as (select tile, r, c, {HAG} as hag from cells), bad as (select * from h where hag % 11 = 0), good as (select * from h where hag % 11 <> 0)
 select tile, r, c, hag, hag as filled, cast(0 as bigint) as d2 from good
 union all
