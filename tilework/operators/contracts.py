@@ -119,3 +119,67 @@ def unit_quaternions(documents: DataFrame, key: str, quaternion: str, tolerance:
     """(key, fault) where a quaternion's length is not one within the tolerance."""
     length = F.sqrt(F.aggregate(F.col(quaternion), F.lit(0.0), lambda s, x: s + x * x))
     return violations(documents, [key], {"quaternion": F.abs(length - 1) <= tolerance})
+
+
+#: What a scheduled view repeats of its camera (view column: camera column), in these terms exactly and in those within a
+#: thousandth; the zooms of a view; the views of a state by sample kind and by profile; and the contracts' own words.
+SAME = {
+    "camera_role": "role", "placement_type": "placement_type", "capture_device_profile": "capture_device_profile", "framing_style": "framing_style", "placement_contract": "placement_contract",
+    "access_surface": "access_surface", "access_tile": "access_tile", "host_building": "host_building", "sample_kind": "sample_capability", "expected_fire_visible": "expected_fire_in_frame", "thermal_expected": "thermal_capture",
+    "position_local_m": "position_local_m", "position_l93_ngf_ign69_m": "position_l93_ngf_ign69_m", "look_at_local_m": "target_local_m", "fire_target_local_m": "fire_target_local_m",
+}
+NEAR = ("fire_bearing_offset_degrees", "focal_length_mm", "focal_length_35mm_equivalent_mm", "horizontal_aperture_mm", "vertical_aperture_mm")
+WITHIN = 0.001
+ZOOMS = (0.75, 1.0, 1.25, 1.5, 2.0)
+KINDS = {"positive_fire": 16, "negative_context": 4}
+PROFILES = {"professional": 10, "phone": 8, "aerial": 2}
+THERMAL = ("synthetic_16bit_kelvin_non_radiometric", ("synthetic_thermal_kelvin", "synthetic_thermal_16bit", "thermal_metadata"))
+TURNED = "camera_rotated_away_from_fire_for_context_control"
+STATES_A_DAY, STATE_S = 10, 8640
+
+
+def schedule_view_faults(views: DataFrame, cameras: DataFrame, package: str) -> DataFrame:
+    """(capture_id, fault) of scheduled views against the cameras of the pool, one row a fault; a value that is missing where its camera has
+    one is a fault, two missing ones agree.
+
+    views: capture_id, plan_id, camera_id, state, day_index, state_in_day, observation_elapsed_s, camera_path, the columns of SAME and NEAR,
+    thermal_contract, expected_modalities, negative_reason, line_of_sight_verified, selection_token_sha256 and zooms, an array of
+    (capture_id, zoom_multiplier, focal_length_mm, horizontal_aperture_mm, selection_token_sha256).
+    """
+    held = cameras.select("camera_id", F.struct(*sorted({*SAME.values(), *NEAR})).alias("pool"))
+    both = views.join(held, "camera_id", "left")
+    near = lambda a, b: F.abs(a - b) < WITHIN
+    token = lambda name: F.sha2(F.concat(F.lit(f"{package}|"), name), 256)
+    thermal, words = F.col("thermal_expected"), F.array(*map(F.lit, THERMAL[1]))
+    warm = (F.col("thermal_contract") == THERMAL[0]) & (F.size(F.array_except(words, "expected_modalities")) == 0)
+    cold = F.col("thermal_contract").isNull() & ~F.array_contains("expected_modalities", THERMAL[1][1])
+    zooms, first = F.col("zooms"), F.col("state") - 1
+    rules = {
+        "camera": F.col("pool").isNotNull(),
+        **{mine: F.col(mine).eqNullSafe(F.col(f"pool.{theirs}")) for mine, theirs in SAME.items()},
+        **{c: near(F.col(c), F.col(f"pool.{c}")) for c in NEAR},
+        "plan_id": F.col("plan_id") == F.col("capture_id"),
+        "camera_path": F.col("camera_path") == F.concat(F.lit("/World/Cameras/"), "camera_id"),
+        "day_index": F.col("day_index") == F.floor(first / STATES_A_DAY) + 1,
+        "state_in_day": F.col("state_in_day") == first % STATES_A_DAY + 1,
+        "observation_elapsed_s": F.col("observation_elapsed_s") == first * STATE_S,
+        "thermal_role": thermal == (F.col("pool.role") == "aerial"),
+        "thermal_contract": F.when(thermal, warm).otherwise(cold),
+        "negative_reason": F.col("negative_reason").eqNullSafe(F.when(F.col("sample_kind") == "negative_context", TURNED)),
+        "line_of_sight": F.col("line_of_sight_verified"),
+        "token": F.col("selection_token_sha256") == token(F.col("capture_id")),
+        "zooms": F.transform(zooms, lambda z: z["zoom_multiplier"]) == F.array(*map(F.lit, ZOOMS)),
+        "zoom_ids": F.size(F.array_distinct(F.transform(zooms, lambda z: z["capture_id"]))) == len(ZOOMS),
+        "zoom_focal": F.forall(zooms, lambda z: near(z["focal_length_mm"], F.col("pool.focal_length_mm") * z["zoom_multiplier"])),
+        "zoom_aperture": F.forall(zooms, lambda z: z["horizontal_aperture_mm"] == F.col("pool.horizontal_aperture_mm")),
+        "zoom_token": F.forall(zooms, lambda z: z["selection_token_sha256"] == token(z["capture_id"])),
+    }
+    return violations(both, ["capture_id"], rules)
+
+
+def schedule_state_faults(views: DataFrame) -> DataFrame:
+    """(state, fault) of a schedule's states: views by sample kind and by camera profile (column profile), and repeated cameras."""
+    counts = lambda column, wanted: [F.count_if(F.col(column) == name).alias(name) for name in wanted]
+    found = views.groupBy("state").agg(*counts("sample_kind", KINDS), *counts("profile", PROFILES), F.count("*").alias("views"), F.count_distinct("camera_id").alias("cameras"))
+    rules = {name: F.col(name) == n for name, n in {**KINDS, **PROFILES}.items()} | {"views": F.col("views") == sum(KINDS.values()), "cameras": F.col("cameras") == F.col("views")}
+    return violations(found, ["state"], rules)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -73,3 +73,31 @@ def package_faults(listing: DataFrame, manifest: DataFrame, declared: DataFrame)
     none = F.lit(0).cast("long")
     of_package = {"files": F.coalesce("n", none) != F.col("said_files"), "bytes": F.coalesce("size", none) != F.col("said_bytes"), "undeclared": F.col("said_files").isNull() | F.col("said_bytes").isNull()}
     return paths.unionByName(totals.select("package", F.lit(None).cast("string").alias("path"), named(of_package)))
+
+
+def first_failures(faults: DataFrame, fault: str, order: str, limit: int) -> DataFrame:
+    """(fault, order, place, total, truncated): the first limit rows of each fault in order, its total, and whether rows were left out.
+
+    Only the first limit rows of a fault and task reach the final ranking, so a fault of any size is ranked in pieces.
+    """
+    total = faults.groupBy(fault).agg(F.count("*").alias("total"))
+    place = F.row_number().over(Window.partitionBy(fault).orderBy(order)).cast("long")
+    first = faults.withColumn("place", place).filter(F.col("place") <= limit)  # a limit on a rank is pushed below the shuffle
+    return first.join(total, fault).select(fault, order, "place", "total", (F.col("total") > limit).alias("truncated"))
+
+
+#: From which luminance, and up to which saturation, a pixel is near white.
+BRIGHT, COLOURLESS = 0.90, 0.08
+
+
+def image_statistics(pixels: DataFrame, image: str, limits: dict[str, float]) -> DataFrame:
+    """Per image of its pixels (r, g, b from 0 to 1): their number, mean and population deviation of luminance, mean saturation, share of
+    near-white pixels, and the limits it breaks: pale (mean above), white (share above), flat (deviation below), grey (saturation below)."""
+    light, colour = S.luminance(F.col("r"), F.col("g"), F.col("b")), S.saturation(F.col("r"), F.col("g"), F.col("b"))
+    seen = pixels.select(image, light.alias("light"), colour.alias("colour"))
+    found = seen.groupBy(image).agg(
+        F.count("*").alias("pixels"), F.avg("light").alias("mean"), F.stddev_pop("light").alias("deviation"), F.avg("colour").alias("saturation"),
+        (F.count_if((F.col("light") >= BRIGHT) & (F.col("colour") <= COLOURLESS)) / F.count("*")).alias("white"),
+    )
+    broken = {"pale": F.col("mean") > limits["pale"], "white": F.col("white") > limits["white"], "flat": F.col("deviation") < limits["flat"], "grey": F.col("saturation") < limits["grey"]}
+    return found.withColumn("faults", F.array_compact(F.array(*(F.when(wrong, F.lit(name)) for name, wrong in broken.items()))))

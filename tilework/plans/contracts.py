@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -134,3 +134,49 @@ def produced_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = lambda orders: orders.select(F.col("o_orderkey").alias("zone"), (F.col("o_custkey") * 137).alias("cx"), (F.col("o_orderkey") * 311).alias("cy"), (500 + F.col("o_custkey") % 4 * 500).alias("side"))
     summary = lambda tiles: tiles.groupBy("zone").agg(F.count("*").alias("tiles"), F.min("x").alias("west"), F.max("y").alias("north"))
     return hooks.produced(table(spark, sf_dir, "orders"), context, lambda zones: P.square_plan(zones, 500), summary)
+
+
+#: What is broken in the views whose number leaves that remainder by 97, and the fault that it is.
+_BROKEN = {
+    1: "camera_role", 2: "access_tile", 3: "sample_kind", 4: "position_local_m", 5: "focal_length_mm", 6: "vertical_aperture_mm", 7: "plan_id", 8: "camera_path", 9: "day_index", 10: "state_in_day",
+    11: "observation_elapsed_s", 12: "thermal_contract", 13: "negative_reason", 14: "line_of_sight", 15: "token", 16: "zooms", 17: "zoom_focal", 18: "zoom_aperture", 19: "zoom_token", 20: "camera",
+}
+
+
+@query("select event_id as capture_id, fault from events, (values " + ", ".join(f"({k}, '{fault}')" for k, fault in _BROKEN.items()) + """) b(k, fault) where event_id % 97 = k
+union all select event_id, 'negative_reason' from events where event_id % 97 = 3 union all select event_id, 'zoom_ids' from events where event_id % 97 = 16 union all select event_id, unnest(['camera_path', 'camera_role', 'placement_type', 'capture_device_profile', 'framing_style', 'placement_contract', 'access_surface', 'access_tile', 'sample_kind', 'expected_fire_visible',
+  'thermal_expected', 'position_local_m', 'position_l93_ngf_ign69_m', 'look_at_local_m', 'fire_target_local_m', 'fire_bearing_offset_degrees', 'focal_length_mm', 'focal_length_35mm_equivalent_mm', 'horizontal_aperture_mm', 'vertical_aperture_mm', 'thermal_role', 'zoom_focal', 'zoom_aperture']) from events where event_id % 97 = 20""")
+def schedule_view_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a scheduled view of one of twenty cameras; some break one of the contract's terms each."""
+    k = F.col("event_id")
+    words = {c: F.lit(c) for c in ("placement_type", "framing_style", "placement_contract", "access_surface", "access_tile", "capture_device_profile")}
+    lens = {"fire_bearing_offset_degrees": 2.0, "focal_length_mm": 35.0, "focal_length_35mm_equivalent_mm": 50.0, "horizontal_aperture_mm": 36.0, "vertical_aperture_mm": 24.0}
+
+    def terms(n: Column) -> dict[str, Column]:
+        """Of camera n: two are aerial, the last four look away from the fire."""
+        away, at = n >= 16, F.array(n * 10.0, n * 5.0, F.lit(2.0))
+        told = {"role": F.when(n < 2, "aerial").otherwise("ground"), "sample_capability": F.when(away, "negative_context").otherwise("positive_fire"), "expected_fire_in_frame": ~away, "thermal_capture": n < 2, "host_building": F.lit(None).cast("string")}
+        places = {"position_local_m": at, "position_l93_ngf_ign69_m": F.transform(at, lambda x: x + 1000), "target_local_m": at, "fire_target_local_m": at}
+        return words | told | places | {c: F.lit(v) for c, v in lens.items()}
+
+    cameras = spark.range(20).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("camera_id"), *(v.alias(c) for c, v in terms(F.col("id")).items()))
+    part, camera = k % 97, k % 20
+    token = lambda name: F.sha2(F.concat(F.lit("pack|"), name), 256)
+    name, state, own = k.cast("string"), F.expr("event_id div 100") % 180 + 1, terms(camera)
+    zoom = lambda z, n: F.struct(
+        F.concat(name, F.lit(f"_z{n}")).alias("capture_id"), F.lit(z).alias("zoom_multiplier"), (F.lit(35.0 * z) + F.when(part == 17, 0.5 * n).otherwise(0.0)).alias("focal_length_mm"),
+        (F.lit(36.0) - F.when(part == 18, 1.0 * n).otherwise(0.0)).alias("horizontal_aperture_mm"), F.when((part == 19) & F.lit(n == 2), "x").otherwise(token(F.concat(name, F.lit(f"_z{n}")))).alias("selection_token_sha256"),
+    )
+    zooms = F.array(*(zoom(z, n) for n, z in enumerate(C.ZOOMS)))
+    away = own["sample_capability"] == "negative_context"
+    warm, bad = camera < 2, lambda n, wrong, right: F.when(part == n, wrong).otherwise(right)
+    columns = {mine: own[theirs] for mine, theirs in C.SAME.items()} | {c: own[c] for c in C.NEAR}
+    columns |= {
+        "camera_role": bad(1, F.lit("diver"), own["role"]), "access_tile": bad(2, F.lit(None), own["access_tile"]), "sample_kind": bad(3, F.lit("unknown"), own["sample_capability"]), "position_local_m": bad(4, F.array(F.lit(0.5)), own["position_local_m"]),
+        "focal_length_mm": bad(5, F.lit(35.002), own["focal_length_mm"]), "vertical_aperture_mm": bad(6, F.lit(None), own["vertical_aperture_mm"]), "plan_id": bad(7, F.lit("x"), name), "camera_path": bad(8, F.lit("/"), F.concat(F.lit("/World/Cameras/c"), camera.cast("string"))),
+        "day_index": F.floor((state - 1) / 10) + bad(9, F.lit(2), F.lit(1)), "state_in_day": (state - 1) % 10 + bad(10, F.lit(2), F.lit(1)), "observation_elapsed_s": (state - 1) * 8640 + bad(11, F.lit(1), F.lit(0)),
+        "thermal_contract": F.when(warm != (part == 12), C.THERMAL[0]), "expected_modalities": F.when(warm, F.array(*map(F.lit, C.THERMAL[1]))).otherwise(F.array(F.lit("rgb"))),
+        "negative_reason": F.when((away & (part != 3)) != (part == 13), C.TURNED).otherwise(F.when(part == 3, "why")), "line_of_sight_verified": bad(14, F.lit(None), F.lit(True)), "selection_token_sha256": bad(15, F.lit("x"), token(name)), "zooms": bad(16, F.slice(zooms, 1, 4), zooms),
+    }
+    views = table(spark, sf_dir, "events").select(name.alias("capture_id"), bad(20, F.lit("c99"), F.concat(F.lit("c"), camera.cast("string"))).alias("camera_id"), state.alias("state"), *(v.alias(c) for c, v in columns.items()))
+    return C.schedule_view_faults(views, cameras, "pack").withColumn("capture_id", F.col("capture_id").cast("long"))

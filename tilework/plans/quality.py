@@ -159,3 +159,26 @@ def sealed_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = entries.union(entries.filter("id % 50 = 6"))
     declared = files.groupBy("package").agg(F.count("*").alias("files"), (F.sum("bytes") + F.when(F.first("package") == 6, 1).otherwise(0)).alias("bytes"))
     return Q.package_faults(files.filter("id % 50 <> 3").drop("id"), twice.drop("id"), declared)
+
+
+@query("""with e as (select capture_id, unnest([case when zoom = 3 and distance_m > 2500 then 'too_far' end, case when pixels = 0 then 'empty_mask' end, case when kind = 'error' then 'write_failed' end]) as fault from captures),
+n as (select *, row_number() over (partition by fault order by capture_id) as place, count(*) over (partition by fault) as total from e where fault is not null)
+select fault, capture_id, place, total, total > 200 as truncated from n where place <= 200""", "captures")
+def first_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the first 200 captures of each fault, with its total and whether more were left out."""
+    rules = {"too_far": ~((F.col("zoom") == 3) & (F.col("distance_m") > 2500)), "empty_mask": F.col("pixels") != 0, "write_failed": F.col("kind") != "error"}
+    return Q.first_failures(Q.violations(captures(spark, sf_dir), ["capture_id"], rules), "fault", "capture_id", 200)
+
+
+@query("""with p as (select l_suppkey as image, l_partkey * 7 % 256 / 255.0::double as r, l_orderkey * 13 % 256 / 255.0::double as g, l_linenumber * 37 % 256 / 255.0::double as b from lineitem union all select c_nationkey, 1, 0.99::double, 1 from customer),
+q as (select image, 0.2126::double * r + 0.7152::double * g + 0.0722::double * b as lum, case when greatest(r, g, b) = 0 then 0 else (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b) end as sat from p),
+m as (select image, count(*) as pixels, avg(lum) as mean, stddev_pop(lum) as deviation, avg(sat) as saturation, count(*) filter (lum >= 0.9 and sat <= 0.08) / count(*) as white from q group by 1)
+select image, pixels, round(mean, 6) as mean, round(deviation, 6) as deviation, round(saturation, 6) as saturation, round(white, 6) as white,
+  concat_ws(',', case when mean > 0.55 then 'pale' end, case when white > 0.2 then 'white' end, case when deviation < 0.2 then 'flat' end, case when saturation < 0.6 then 'grey' end) as faults from m""")
+def image_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Luminance, saturation and near-white share of each image's pixels against four thresholds."""
+    level = lambda c, by: (F.col(c) * by % 256 / 255.0)
+    pixels = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("image"), level("l_partkey", 7).alias("r"), level("l_orderkey", 13).alias("g"), level("l_linenumber", 37).alias("b"))
+    white = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("image"), F.lit(1.0).alias("r"), F.lit(0.99).alias("g"), F.lit(1.0).alias("b"))
+    found = Q.image_statistics(pixels.union(white), "image", {"pale": 0.55, "white": 0.2, "flat": 0.2, "grey": 0.6})
+    return found.select("image", "pixels", *(F.round(c, 6).alias(c) for c in ("mean", "deviation", "saturation", "white")), F.array_join("faults", ",").alias("faults"))

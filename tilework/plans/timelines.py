@@ -66,12 +66,13 @@ def densified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("line", "seq", "k", "n", "capped", at("x", "x2").alias("_x"), at("y", "y2").alias("_y")).withColumnsRenamed({"_x": "x", "_y": "y"})
 
 
-@query("""with b as (select *, row_number() over (partition by user_id, cast(floor(value / 10) as bigint) order by value desc, event_id) as k from events)
-select user_id, cast(floor(value / 10) as bigint) as bucket, event_id, value from b where k = 1""")
+@query("""with b as (select *, row_number() over (partition by user_id, cast(round_even(value / 10, 0) as bigint) order by value desc, event_id % 7 desc, event_id) as k from events)
+select user_id, cast(round_even(value / 10, 0) as bigint) as bucket, event_id, value, event_id % 7 as triangles from b where k = 1""")
 def best_per_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest value of each bucket, first on ties, by one aggregation."""
-    rows = table(spark, sf_dir, "events").withColumn("bucket", F.floor(F.col("value") / 10))
-    return rows.groupBy("user_id", "bucket").agg(F.max_by("event_id", F.struct("value", -F.col("event_id"))).alias("event_id"), F.max("value").alias("value"))
+    """The largest of each bucket by two values, the first on ties, by one aggregation; buckets round half to even."""
+    rows = table(spark, sf_dir, "events").withColumns({"bucket": F.bround(F.col("value") / 10).cast("long"), "triangles": F.col("event_id") % 7})
+    best = F.max(F.struct("value", "triangles", (-F.col("event_id")).alias("place"))).alias("b")
+    return rows.groupBy("user_id", "bucket").agg(best).select("user_id", "bucket", (-F.col("b.place")).alias("event_id"), "b.value", "b.triangles")
 
 
 @query("""select dataset, event_id, row_number() over w - 1 as index, valid_from - min(valid_from) over (partition by dataset) as elapsed_s, count(*) over (partition by dataset, valid_from) > 1 as repeated from frames window w as (partition by dataset order by valid_from, valid_to, event_id)""", "frames")
