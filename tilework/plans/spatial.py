@@ -142,10 +142,21 @@ def dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("id").agg(F.count("*").alias("near"), F.count_if(F.col("height_cm") > F.col("theirs")).alias("taller")).withColumn("dominant", F.col("taller") == F.col("near"))
 
 
-@query()
+@query("""with d as (select id, ((x_mm // 500000) * 500000 + 250000) / 1000.0 + 0.001 - x_mm / 1000.0 as dx, 250 - y_mm / 1000.0 as dy, -height_cm / 100.0 as dz from points),
+n as (select id, dx::double as dx, dy::double as dy, dz::double as dz, sqrt(dx::double ** 2 + dy::double ** 2 + dz::double ** 2) as len from d),
+f as (select id, dx / len as f0, dy / len as f1, dz / len as f2, abs(dz / len) > 0.98 as steep from n),
+c as (select *, case when steep then -f2 else f1 end as c0, case when steep then 0 else -f0 end as c1, case when steep then f0 else 0 end as c2 from f),
+r as (select *, c0 / sqrt(c0 ** 2 + c1 ** 2 + c2 ** 2) as r0, c1 / sqrt(c0 ** 2 + c1 ** 2 + c2 ** 2) as r1, c2 / sqrt(c0 ** 2 + c1 ** 2 + c2 ** 2) as r2 from c),
+t as (select *, r1 * f2 - r2 * f1 as t0, r2 * f0 - r0 * f2 as t1, r0 * f1 - r1 * f0 as t2 from r),
+m as (select id, r0 as a, t0 as b, -f0 as c, r1 as d, t1 as e, -f1 as g, r2 as h, t2 as i, -f2 as j from t),
+q as (select id, case when a + e + j > 0 then [sqrt(1 + a + e + j) / 2, (i - g) / (2 * sqrt(1 + a + e + j)), (c - h) / (2 * sqrt(1 + a + e + j)), (d - b) / (2 * sqrt(1 + a + e + j))]
+  when a >= e and a >= j then [(i - g) / (2 * sqrt(1 + a - e - j)), sqrt(1 + a - e - j) / 2, (b + d) / (2 * sqrt(1 + a - e - j)), (c + h) / (2 * sqrt(1 + a - e - j))]
+  when e >= j then [(c - h) / (2 * sqrt(1 + e - a - j)), (b + d) / (2 * sqrt(1 + e - a - j)), sqrt(1 + e - a - j) / 2, (g + i) / (2 * sqrt(1 + e - a - j))]
+  else [(d - b) / (2 * sqrt(1 + j - a - e)), (c + h) / (2 * sqrt(1 + j - a - e)), (g + i) / (2 * sqrt(1 + j - a - e)), sqrt(1 + j - a - e) / 2] end as v from m)
+select id, round(v[1], 6) + 0 as w, round(v[2], 6) + 0 as x, round(v[3], 6) + 0 as y, round(v[4], 6) + 0 as z from q""", "points")
 def view_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Look-at quaternion of each point towards its tile's centre, unit length."""
     x, y, z = F.col("x_mm") / 1000.0, F.col("y_mm") / 1000.0, F.col("height_cm") / 100.0
     cx = (F.floor(F.col("x_mm") / TILE_MM) * TILE_MM + TILE_MM / 2) / 1000.0
     q = S.look_at_quaternion((x, y, z), (cx + 0.001, F.lit(250.0), F.lit(0.0)))
-    return points(spark, sf_dir).select("id", *(F.round(v, 6).alias(n) for v, n in zip(q, "wxyz", strict=True)))
+    return points(spark, sf_dir).select("id", *((F.round(v, 6) + 0.0).alias(n) for v, n in zip(q, "wxyz", strict=True)))  # no negative zeros
