@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -184,25 +186,35 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), F.size(ring) - 1), crosses), F.lit(0), lambda s, v: s + v) % 2 == 1
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of value, which is evaluated once however often f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def look_at_quaternion(position: tuple[Column, ...], target: tuple[Column, ...]) -> tuple[Column, Column, Column, Column]:
     """(w, x, y, z) of the rotation whose -z axis looks from position to target, z up (y up where the view is near vertical)."""
-    d = [t - p for p, t in zip(position, target, strict=True)]
-    unit = lambda v: [x / F.sqrt(sum((y * y for y in v[1:]), v[0] * v[0])) for x in v]
     cross = lambda a, b: [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
-    f = unit(d)
-    steep = F.abs(f[2]) > 0.98
-    up = [F.lit(0.0), F.when(steep, 1.0).otherwise(0.0), F.when(steep, 0.0).otherwise(1.0)]
-    right = unit(cross(f, up))
-    top = cross(right, f)
-    back = [-x for x in f]
-    m = [[right[i], top[i], back[i]] for i in range(3)]
-    trace = m[0][0] + m[1][1] + m[2][2]
-    s0, s1, s2, s3 = (2 * F.sqrt(F.greatest(F.lit(1e-12), x)) for x in (trace + 1, 1 + m[0][0] - m[1][1] - m[2][2], 1 + m[1][1] - m[0][0] - m[2][2], 1 + m[2][2] - m[0][0] - m[1][1]))
-    cases = [trace > 0, (m[0][0] >= m[1][1]) & (m[0][0] >= m[2][2]), m[1][1] >= m[2][2]]
-    pick = lambda a, b, c, e: F.when(cases[0], a).when(cases[1], b).when(cases[2], c).otherwise(e)
-    return (
-        pick(s0 / 4, (m[2][1] - m[1][2]) / s1, (m[0][2] - m[2][0]) / s2, (m[1][0] - m[0][1]) / s3),
-        pick((m[2][1] - m[1][2]) / s0, s1 / 4, (m[0][1] + m[1][0]) / s2, (m[0][2] + m[2][0]) / s3),
-        pick((m[0][2] - m[2][0]) / s0, (m[0][1] + m[1][0]) / s1, s2 / 4, (m[1][2] + m[2][1]) / s3),
-        pick((m[1][0] - m[0][1]) / s0, (m[0][2] + m[2][0]) / s1, (m[1][2] + m[2][1]) / s2, s3 / 4),
-    )
+    unit = lambda v: F.transform(v, lambda x: x / F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2]))
+
+    def turned(m: Column) -> Column:
+        """Of the matrix whose columns are right, top and back, one after the other."""
+        at = lambda i, k: m[3 * k + i]
+        trace = at(0, 0) + at(1, 1) + at(2, 2)
+        s0, s1, s2, s3 = (2 * F.sqrt(F.greatest(F.lit(1e-12), x)) for x in (trace + 1, 1 + at(0, 0) - at(1, 1) - at(2, 2), 1 + at(1, 1) - at(0, 0) - at(2, 2), 1 + at(2, 2) - at(0, 0) - at(1, 1)))
+        a, b, c = at(2, 1) - at(1, 2), at(0, 2) - at(2, 0), at(1, 0) - at(0, 1)
+        d, e, g = at(0, 1) + at(1, 0), at(0, 2) + at(2, 0), at(1, 2) + at(2, 1)
+        by_first, by_second = (at(0, 0) >= at(1, 1)) & (at(0, 0) >= at(2, 2)), at(1, 1) >= at(2, 2)
+        return (
+            F.when(trace > 0, F.array(s0 / 4, a / s0, b / s0, c / s0)).when(by_first, F.array(a / s1, s1 / 4, d / s1, e / s1))
+            .when(by_second, F.array(b / s2, d / s2, s2 / 4, g / s2)).otherwise(F.array(c / s3, e / s3, g / s3, s3 / 4))
+        )
+
+    def seen(f: Column) -> Column:
+        steep = F.abs(f[2]) > 0.98
+        up = [F.lit(0.0), F.when(steep, 1.0).otherwise(0.0), F.when(steep, 0.0).otherwise(1.0)]
+        right = _once(F.array(*cross(f, up)), unit)
+        return _once(right, lambda r: _once(F.concat(r, F.array(*cross(r, f)), F.transform(f, lambda x: -x)), turned))
+
+    ahead = F.array(*(t - p for p, t in zip(position, target, strict=True)))
+    found = _once(_once(ahead, unit), seen)
+    return tuple(found[k] for k in range(4))
