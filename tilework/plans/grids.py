@@ -307,7 +307,28 @@ def inventory_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.placement_inventory(sites(spark, sf_dir), "v2").filter("family = 'building'").select("tile", "id", "area", "height_cm", "status")
 
 
-@query()
+@query(
+    f"""with {GATE}, site as (
+  select tile, r, c, case when verdict <> 'ok' then 0 else {HAG} end as hag, (r * 7 + c) % 4 <> 0 as green,
+         case when verdict = 'ok' and (tile + r // 8 * 4 + c // 8) % 5 = 0 then tile * 100 + r // 8 * 4 + c // 8 end as footprint from cells join verdicts using (tile)),
+tall as (select *, tile * 1000000 + r * 1000 + c as k from site where hag >= 200),
+side as (select a.k as a, b.k as b from tall a join tall b on a.tile = b.tile and abs(a.r - b.r) + abs(a.c - b.c) = 1),
+label as (with recursive w(k, f) using key (k) as (select k, k as f from tall union
+  select side.b, min(w.f) from w join side on side.a = w.k join recurring.w o on o.k = side.b where w.f < o.f group by side.b) select * from w),
+flat as (select a.k, max(b.hag) - min(b.hag) <= 75 as even, 5 - count(distinct case when abs(a.r - b.r) + abs(a.c - b.c) <= 1 then b.k end) as sides from tall a join tall b on a.tile = b.tile and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by 1),
+shape as (select tile, f, count(*) as area, quantile_disc(hag, 0.1) as p10, quantile_disc(hag, 0.9) as p90, quantile_disc(hag, 0.95) as p95, avg(even::integer) as planar, count(*) / ((max(r) - min(r) + 1) * (max(c) - min(c) + 1)) as rectangular,
+  4 * pi() * count(*) / nullif(sum(sides) * sum(sides), 0) as compact, avg(green::integer) as leaf from tall join label using (k) join flat using (k) group by 1, 2),
+under as (select f, count(*) as footprints, max(n) as covered from (select f, footprint, count(*) as n from tall join label using (k) where footprint is not null group by 1, 2) group by 1),
+house as (select tile, 'building' as family, area, p95 as height_cm, case when coalesce(footprints = 1 and covered * 4 >= area and leaf <= 0.25, false) then 'valid' when footprints > 1 then 'ambiguous'
+  when area >= 16 and p90 - p10 <= 100 and planar >= 0.5 and rectangular >= 0.55 and compact >= 0.2 and leaf <= 0.25 then 'ambiguous' else 'rejected' end as status from shape left join under using (f)),
+wood as (select * from site where hag >= 100 and footprint is null),
+up as (select a.tile, a.r, a.c, a.hag, a.green, arg_max(b.r * 1000 + b.c, b.hag * 1000000 + (999 - b.c) * 1000 + 999 - b.r) as u from wood a join wood b on a.tile = b.tile and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by 1, 2, 3, 4, 5),
+walk as (with recursive w as (select tile, r, c, hag, green, u, 0 as step from up union all select w.tile, w.r, w.c, w.hag, w.green, up.u, step + 1 from w join up on up.tile = w.tile and up.r = w.u // 1000 and up.c = w.u % 1000 where up.u <> w.u) select * from w),
+crown as (select tile, u, count(*) as area, max(hag) as height_cm, bool_or(green) as leaf from (select tile, r, c, hag, green, arg_max(u, step) as u from walk group by 1, 2, 3, 4, 5) group by 1, 2),
+tree as (select tile, 'tree' as family, area, height_cm, case when area < case when leaf then case when height_cm >= 200 then 1 else 2 end else 4 end then 'rejected' when not leaf then 'ambiguous' else 'valid' end as status from crown)
+select tile, family, status, count(*) as candidates, cast(sum(area) as bigint) as area, max(height_cm) as top from (select * from house union all select * from tree) group by 1, 2, 3""",
+    "cells",
+)
 def inventory_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I9 I10 v1 B29 B30: candidates by tile, family and status."""
     return I.placement_inventory(sites(spark, sf_dir), "v1").groupBy("tile", "family", "status").agg(F.count("*").alias("candidates"), F.sum("area").alias("area"), F.max("height_cm").alias("top"))
