@@ -107,13 +107,15 @@ def capture_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(refused, "kind", "left").select("kind", "stored", F.coalesce("refused", F.lit(0)).alias("refused"))
 
 
-@query("select cast(dataset as varchar) as dataset, count(*) as rows, cast(0 as bigint) as missing, cast(0 as bigint) as unexpected from frames group by dataset", "frames")
+@query("select cast(dataset as varchar) as dataset, count(*) as rows, count(*) filter (event_id % 37 = 1 or event_id % 41 = 1) as missing, count(*) filter (event_id % 37 <> 1 and event_id % 41 = 1) as unexpected from frames group by dataset", "frames")
 def timeline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timelines as documents, read back and held against the frames made anew from the source."""
+    """Timelines as documents, some frames lost and some changed, read back and held against the frames made anew."""
     rows = frames(spark, sf_dir)
     stamp = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    end = F.col("valid_to") + F.when(F.col("event_id") % 41 == 1, 60).otherwise(0)
+    kept = rows.filter("event_id % 37 <> 1").withColumn("valid_to", end)  # frames that were lost, and frames that were changed
     frame = F.struct(F.col("event_id").cast("string").alias("id"), stamp("valid_from").alias("timestamp"), stamp("valid_from").alias("valid_from"), stamp("valid_to").alias("valid_to"), F.lit("area").alias("affected"))
-    lines = rows.groupBy("dataset").agg(F.array_sort(F.collect_list(frame)).alias("timeline"))
+    lines = kept.groupBy("dataset").agg(F.array_sort(F.collect_list(frame)).alias("timeline"))
     document = F.array_join(F.collect_list(F.to_json(F.struct(F.col("dataset").cast("string").alias("id"), "timeline"))), ",")
     path = documents(lines.groupBy(F.expr("dataset div 100").alias("file")).agg(F.concat(F.lit("["), document, F.lit("]")).alias("value")))
     stored = features.timeline_frames(spark, path).filter(F.size("faults") == 0).select("dataset", "id", F.unix_seconds("valid_from").alias("valid_from"), F.unix_seconds("valid_to").alias("valid_to"))
