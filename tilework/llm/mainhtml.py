@@ -3,10 +3,10 @@
 Markup is stripped to lines, one per block element; a line break inside a block is white space.  Elements of navigation, headers (an
 article's own as well), footers, forms and the like are left out, and so are elements whose whole class, id or role says that
 they hold adverts, reader comments, menus or notices to the reader.  Each line weighs as many characters as it has; text of links weighs
-nothing in lists, and outside articles in anything but paragraphs and headings.
+nothing in lists and outside articles.
 
 Sums of weights over sliding windows of three lines, held against the page's greatest, show where the text surges (a quarter
-of it, or SUBSTANTIAL) and where it dives (half of that): the stretches between stay, with a heading right before.  Where the page has
+of it, or SUBSTANTIAL) and where it dives (half of that): the stretches between stay, with a heading right before and one linked paragraph right behind.  Where the page has
 an article or main element, only its lines take part, and each such element in which the text surges stays whole.  Names that often but not
 always hold such things (side, tags, social, search) only weigh: their lines go where the rest of the text carries the page, and
 count like any other where it doesn't.
@@ -163,6 +163,8 @@ class Line(NamedTuple):
     #: Number of the outermost article or main element that holds it, 0 for none.
     article: int
     heading: bool
+    #: In a paragraph or the like, all of it links.
+    linked: bool
     doubtful: bool
 
 
@@ -180,7 +182,8 @@ def lines(page: str) -> list[Line]:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append(Line(line, max(0, len(line) - line.count(" ") - linked), articles if article else 0, heading > 0, doubt > 0))
+                weight = max(0, len(line) - line.count(" ") - linked)
+                out.append(Line(line, weight, articles if article else 0, heading > 0, running > 0 and not weight, doubt > 0))
             text.clear()
         linked = 0
 
@@ -189,7 +192,7 @@ def lines(page: str) -> list[Line]:
         if piece and not skip:
             piece = html.unescape(piece)
             text.append(piece)
-            if link and (item or not article and not running):
+            if link and (item or not article):
                 linked += len("".join(piece.split()))
 
     def end_from(where: int) -> None:
@@ -293,6 +296,8 @@ def main_text(page: str | None) -> str:
             hi -= 1
         while lo and kept[lo - 1].heading and not (parts and lo - 1 < parts[-1][1]):
             lo -= 1
+        if hi < len(kept) and kept[hi].linked and not any(x.linked for x in kept[hi + 1 : hi + 2]):
+            hi += 1  # one linked paragraph ends a text, several are a list of links
         parts.append((lo, hi))
     return "\n".join(x.text for lo, hi in parts for x in kept[lo:hi])
 
