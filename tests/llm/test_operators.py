@@ -339,6 +339,19 @@ def test_neighbours_reach_recall_and_exact_scores(spark, monkeypatch):
     assert ann.search(vectors(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.05, 0.001])
+def test_neighbours_in_dense_groups_are_found(spark, spread):
+    rng = np.random.default_rng(14)
+    e = (rng.normal(size=(4, 32))[rng.integers(0, 4, 6000)] + spread * rng.normal(size=(6000, 32))).astype(np.float32)
+    e[100:700:2] = e[101]  # more copies than are ranked exactly
+    got = {}
+    for r in sorted(ann.search(vectors(spark, [(k, e[k].tolist(), 0) for k in range(6000)])).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    unit = e / np.linalg.norm(e.astype(np.float64), axis=1, keepdims=True)
+    near = {i: [k for k in np.lexsort((np.arange(6000), -np.round(unit @ unit[i], 14))) if k != i][:5] for i in range(0, 6000, 50)}
+    assert sum(len({*got[i]} & {*near[i]}) for i in near) >= 0.98 * 5 * len(near)
+
+
 def test_codes_pack_and_parallel_error_weighs_more():
     codes = np.arange(30, dtype=np.uint8).reshape(6, 5) % 16
     assert (ann.unpack(ann.pack(codes), 5) == codes).all()

@@ -1,11 +1,16 @@
 """Approximate nearest neighbours with score-aware anisotropic quantisation.
 
-Unit vectors are product-quantised, two components to a four-bit code.  The loss weighs the part of
-the residual that is parallel to the vector more than the rest, since that part moves high inner
+Unit vectors are turned at random and told by the nearest of a few centres, the distance to it, and the direction from it, which is
+product-quantised, two components to a four-bit code; what that leaves is quantised once more in the same way.  The loss
+weighs the part of the residual that is parallel to the direction more than the rest, since that part moves high inner
 products; assignment is coordinate descent under that loss, and all codewords of all subspaces are
-refitted together by one linear solve.  Codebooks come from a bounded sample (SAMPLE vectors, least hash
+refitted together by one linear solve.  Centres and codebooks come from a bounded sample (SAMPLE vectors, least hash
 of the id first); every row is indexed.
 
+A row's table score is minus half its squared distance from the query, with both distances to the centre exact and only the
+product of the two directions by table: its error shrinks with both distances, so rows of a dense group are told apart as
+well as others.  Equal vectors have equal scores, and ties go to the smaller vec_id at every cut.
+
 A search ships codes alone: queries and codes are dealt into tiles, each tile scans its codes against the queries'
 tables and keeps its share of the RERANK best by table (kept), and these lists are merged to the RERANK best of each
 query, however many rows there are.  Only their vectors are then fetched, by a join on the row's number, and ranked by
@@ -38,6 +43,10 @@ ROUNDS = 8
 #: Steps of conjugate gradients in each round, from the round before's codebooks on.
 STEPS = 12
 RERANK = 256
+#: Centres at most, sample rows to a centre at least, and rounds of moving them.
+CENTRES, PER_CENTRE, MOVES = 512, 40, 10
+#: Components that are turned together.
+TURNED = 512
 #: Queries and codes of a tile.
 QUERY_BLOCK, SHARD = 512, 16_384
 
@@ -77,7 +86,7 @@ def assign(x: np.ndarray, books: np.ndarray, sweeps: int = 2) -> np.ndarray:
     return codes.astype(np.uint8)
 
 
-def train(sample: np.ndarray) -> np.ndarray:
+def train(sample: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Codebooks: assignment and a joint refit of all codewords in turn; the refit's normal equations are solved by
     conjugate gradients over the codes, so their matrix is never built."""
     x = _unit(sample.astype(np.float64))
@@ -85,7 +94,7 @@ def train(sample: np.ndarray) -> np.ndarray:
     rng = np.random.Generator(np.random.PCG64(7))
     books = np.stack([x.reshape(n, m, WIDTH)[rng.integers(0, n, CODES), s] for s in range(m)])
     weight, size = _weight(x.shape[1]), m * CODES * WIDTH
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         codes = assign(x, books, 1)
         place = (((np.arange(m, dtype=np.int32) * CODES + codes)[:, :, None] * WIDTH + np.arange(WIDTH, dtype=np.int32)).reshape(n, -1)).astype(np.int32)
         used = np.bincount(place.ravel(), minlength=size) + 1e-9
@@ -120,16 +129,82 @@ def unpack(packed: np.ndarray, m: int) -> np.ndarray:
     return np.stack((packed & 15, packed >> 4), 2).reshape(len(packed), -1)[:, :m]
 
 
-def index(vectors: DataFrame, books: dict[int, np.ndarray]) -> DataFrame:
-    """vectors (vec_id, embedding, dim) with each row's packed codes."""
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Rows in other axes, the same for all of their length, so that no few subspaces carry most of their length."""
+    rng = np.random.Generator(np.random.PCG64(x.shape[1]))
+    x = x[:, rng.permutation(x.shape[1])]
+    return np.concatenate([part @ np.linalg.qr(rng.normal(size=(part.shape[1],) * 2))[0] for part in np.split(x, range(TURNED, x.shape[1], TURNED), 1)], 1)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    bias = (centres**2).sum(1) / 2
+    return np.concatenate([(x[k : k + 4096] @ centres.T - bias).argmax(1) for k in range(0, len(x), 4096)])
+
+
+def _centres(x: np.ndarray) -> np.ndarray:
+    """k-means; each first centre is drawn by its squared distance from those before it, so dense groups apart have one each."""
+    rng = np.random.Generator(np.random.PCG64(11))
+    picks, away = [], np.ones(len(x))
+    while len(picks) < max(1, min(CENTRES, len(x) // PER_CENTRE)) and away.sum() > 1e-12:
+        picks.append(x[rng.choice(len(x), p=away / away.sum())])
+        away = np.minimum(away if len(picks) > 1 else np.inf, ((x - picks[-1]) ** 2).sum(1))
+    centres = np.array(picks)
+    for _ in range(MOVES):
+        at = _nearest(x, centres)
+        order = np.argsort(at, kind="stable")
+        own, first, n = np.unique(at[order], return_index=True, return_counts=True)
+        centres[own] = np.add.reduceat(x[order], first, 0) / n[:, None]
+    return centres
+
+
+def _split(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows as length and direction; a row without length has any."""
+    size = np.sqrt((x**2).sum(1))
+    there = size > 1e-15
+    return np.where(there, size, 0.0), np.where(there[:, None], x / np.where(there, size, 1)[:, None], np.eye(1, x.shape[1]))
+
+
+def _decoded(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    return books[np.arange(len(books)), codes].reshape(len(codes), -1)
+
+
+def fit(sample: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Centres and the codebooks of both stages."""
+    x = _turned(_unit(sample))
+    centres, books = _centres(x), []
+    rest = x - centres[_nearest(x, centres)]
+    for rounds in (ROUNDS, ROUNDS // 2):
+        size, way = _split(rest)
+        books.append(train(way[size > 0] if (size > 0).any() else way, rounds))
+        rest = way - _decoded(assign(way, books[-1]), books[-1])
+    return centres, books
+
+
+def encode(x: np.ndarray, model: tuple[np.ndarray, list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Of unit rows: codes of both stages side by side, the centre, the lengths of both stages, and the share of the score that is
+    the row's alone."""
+    centres, books = model
+    x = _turned(x)
+    cell = _nearest(x, centres)
+    size, way = _split(x - centres[cell])
+    one = assign(way, books[0])
+    first = _decoded(one, books[0])
+    rest, left = _split(way - first)
+    two = assign(left, books[1])
+    along = (centres[cell] * (first + rest[:, None] * _decoded(two, books[1]))).sum(1)
+    return np.concatenate((one, two), 1), cell, size, size * rest, -size * size / 2 - size * along
+
+
+def index(vectors: DataFrame, models: dict[int, tuple[np.ndarray, list[np.ndarray]]]) -> DataFrame:
+    """vectors (vec_id, embedding, dim) with each row's packed codes, centre and lengths."""
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
-                packed = pack(assign(_unit(np.stack(part["embedding"].to_numpy())), books[dim]))
-                yield part.assign(code=[x.tobytes() for x in packed])
+                codes, cell, size, rest, base = encode(_unit(np.stack(part["embedding"].to_numpy())), models[dim])
+                yield part.assign(code=[x.tobytes() for x in pack(codes)], cell=cell.astype(np.int32), size=size, rest=rest, base=base)
 
-    return vectors.mapInPandas(lean(coded), f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, dim int, code binary")
+    return vectors.mapInPandas(lean(coded), f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, dim int, code binary, cell int, size double, rest double, base double")
 
 
 def kept(shards: int) -> int:
@@ -139,25 +214,33 @@ def kept(shards: int) -> int:
     return min(RERANK, int(np.ceil(mean + 6 * np.sqrt(mean) + 6)))
 
 
-def _scan(books: dict[int, np.ndarray], keep: int):
+def _scan(models: dict[int, tuple[np.ndarray, list[np.ndarray]]], keep: int):
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            ids, rows = right["vec_id"].to_numpy(), right["row"].to_numpy()
+            ids, rows, cell = right["vec_id"].to_numpy(), right["row"].to_numpy(), right["cell"].to_numpy()
+            size, rest, base = (right[c].to_numpy() for c in ("size", "rest", "base"))
             q = np.stack(left["query"].to_numpy())
-            words = books[q.shape[1]]
-            codes = unpack(np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1), len(words))
-            tables = np.einsum("qsw,skw->qsk", _unit(q).reshape(len(q), len(words), WIDTH), words).astype(np.float32)
+            centres, books = models[q.shape[1]]
+            m = len(books[0])
+            codes = unpack(np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1), 2 * m)
+            q = _turned(_unit(q))
+            apart = -((q**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * q @ centres.T) / 2
+            tables = [np.einsum("qsw,skw->qsk", q.reshape(len(q), m, WIDTH), words).astype(np.float32) for words in books]
             for lo in range(0, len(q), 64):
-                near = np.zeros((len(tables[lo : lo + 64]), len(ids)), np.float32)
-                for s in range(len(words)):
-                    near += tables[lo : lo + 64, s][:, codes[:, s]]
-                for query, scan in zip(left["query_id"].iloc[lo : lo + 64], near, strict=True):
+                scores = apart[lo : lo + 64, cell] + base
+                for stage, (table, length) in enumerate(zip(tables, (size, rest), strict=True)):
+                    near = np.zeros(scores.shape, np.float32)
+                    for s in range(m):
+                        near += table[lo : lo + 64, s][:, codes[:, stage * m + s]]
+                    scores += length * near
+                for query, scan in zip(left["query_id"].iloc[lo : lo + 64], scores, strict=True):
                     scan[ids == query] = -np.inf
-                    at = best(scan, rows, keep)
+                    at = best(scan, ids, keep)
                     at = at[ids[at] != query]
-                    out.append(pd.DataFrame({"query_id": query, "row": rows[at], "score": scan[at].astype(float)}))
-        found = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "row": [], "score": []}).astype({"query_id": "int64", "row": "int64", "score": "float64"})
+                    out.append(pd.DataFrame({"query_id": query, "row": rows[at], "vec_id": ids[at], "score": scan[at]}))
+        kinds = {"query_id": "int64", "row": "int64", "vec_id": "int64", "score": "float64"}
+        found = pd.concat(out, ignore_index=True) if out else pd.DataFrame({c: [] for c in kinds}).astype(kinds)
         return found.assign(shard=right["shard"].iloc[0] if len(right) else 0)
 
     return tile
@@ -188,12 +271,12 @@ def search(vectors: DataFrame, every: int = 50) -> DataFrame:
     kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
     whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).withColumn("dim", F.size("embedding"))
     whole = whole.filter(F.col("vec_id").isNotNull() & finite(F.col("embedding")) & F.exists("embedding", lambda x: x != 0))
-    books = {r["dim"]: train(_sample(whole, r["dim"])) for r in whole.select("dim").distinct().collect()}
-    indexed = written(index(whole, books).withColumn("row", F.monotonically_increasing_id()))
+    models = {r["dim"]: fit(_sample(whole, r["dim"])) for r in whole.select("dim").distinct().collect()}
+    indexed = written(index(whole, models).withColumn("row", F.monotonically_increasing_id()))
     asked = written(asking(indexed, every).withColumn("dim", F.size("query")))
-    queries, codes, shards = tiles(asked, indexed.select("vec_id", "row", "code", "dim"), QUERY_BLOCK, SHARD)
+    queries, codes, shards = tiles(asked, indexed.drop("embedding"), QUERY_BLOCK, SHARD)
     key = ["block", "shard", "dim"]
-    lists = queries.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(_scan(books, kept(shards)), "query_id long, row long, score double, shard int")
-    near = ranked(lists, shards, RERANK, "row").select("query_id", "row")
+    lists = queries.groupBy(*key).cogroup(codes.groupBy(*key)).applyInPandas(_scan(models, kept(shards)), "query_id long, row long, vec_id long, score double, shard int")
+    near = ranked(lists, shards, RERANK, "vec_id", "row").select("query_id", "row")
     pairs = near.join(indexed.select("row", "vec_id", "embedding"), "row").select("query_id", "vec_id", "embedding")
     return asked.groupBy("query_id").cogroup(pairs.groupBy("query_id")).applyInPandas(_ranked, "query_id long, rank int, vec_id long, score double")
