@@ -122,7 +122,7 @@ def instances(candidates: DataFrame, prototypes: DataFrame) -> DataFrame:
     """(id, family, asset, sx, sy, sz, px, py, pz, qw, qx, qy, qz) of placed assets.
 
     candidates: id, family, asset, x, y, ground_mm, height_cm, width, depth, yaw (metres, radians; of buildings and context), seed
-    (decimal(20,0), of trees), ox, oy (the tile's origin); prototypes: asset, ex, ey, ez (extents, y up).  Buildings are scaled to their measures on
+    (whole, decimal where 64 bits don't hold it; of trees), ox, oy (the tile's origin); prototypes: asset, ex, ey, ez (extents, y up).  Buildings are scaled to their measures on
     each axis, trees by their height alone and turned by their seed, context assets keep their size.  The
     quaternion first stands the prototype's y axis up, then turns it by the yaw.  An asset without a prototype, a family that
     is none of the three or a scale that is not above zero fails the plan.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -163,7 +165,7 @@ def placed_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = boxes(spark, sf_dir).join(part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("asset"), "p_size"), "id").select(
         "id", family.alias("family"), "asset", (F.col("x0") / 1000.0).alias("x"), (F.col("y0") / 1000.0).alias("y"), (F.col("p_size") * 11).alias("ground_mm"), (500 + k % 900).alias("height_cm"),
         ((F.col("x1") - F.col("x0")) / 1000.0).alias("width"), ((F.col("y1") - F.col("y0")) / 1000.0).alias("depth"), ((k % 7 - 3) * F.when(family == "buildings", 0.4).otherwise(0.1)).alias("yaw"),
-        (k * 7919 * 1_000_000_007).cast("decimal(20,0)").alias("seed"), (F.expr("x0 div 500000") * 500.0).alias("ox"), (F.expr("y0 div 500000") * 500.0).alias("oy"),
+        (k.cast("decimal(19,0)") * F.lit(Decimal(7919 * 1_000_000_007))).alias("seed"), (F.expr("x0 div 500000") * 500.0).alias("ox"), (F.expr("y0 div 500000") * 500.0).alias("oy"),
     )
     found = C.instances(candidates, prototypes)
     return found.select("id", "family", "asset", *(F.round(c, 6).alias(c) for c in ("sx", "sy", "sz", "px", "py", "pz", "qw", "qx", "qy", "qz")))
