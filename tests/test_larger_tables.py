@@ -35,3 +35,11 @@ def test_days_of_six_digits_are_labelled_as_in_sql(spark, sf_dir, tmp_path):
     rows = [(k, 1, "O", 1.0, datetime.datetime(2024, 1, 1), "1") for k in (0, 9, 10, 999_979, 999_990, 1_000_000, 8_999_999)]
     at = tables(spark, sf_dir, tmp_path, "orders", ORDERS, rows)
     assert rows_of(registry.QUERIES["incident_days"](spark, at)) == rows_of_sql(registry.ORACLES["incident_days"], at)
+
+
+def test_exploded_footprints_are_not_broadcast(spark):
+    from tilework.operators import polygons as P
+
+    footprints = spark.range(9).selectExpr("id % 3 as tile", "id as r", "id as c", "id as footprint").distinct()
+    members = spark.range(9).selectExpr("id % 3 as tile", "id as r", "id as c", "string(id) as component")
+    assert "Broadcast" not in P.component_matches(footprints, members)._jdf.queryExecution().executedPlan().toString()
