@@ -43,3 +43,11 @@ def test_exploded_footprints_are_not_broadcast(spark):
     footprints = spark.range(9).selectExpr("id % 3 as tile", "id as r", "id as c", "id as footprint").distinct()
     members = spark.range(9).selectExpr("id % 3 as tile", "id as r", "id as c", "string(id) as component")
     assert "Broadcast" not in P.component_matches(footprints, members)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_of_what_is_multiplied_grow_in_number(spark):
+    from tilework.checkpoints import DEALT
+    from tilework.operators import polygons as P
+
+    rows = spark.range(DEALT // 32).coalesce(1).selectExpr("id", "0 as part", "array(array(struct(id as x, 0L as y), struct(id + 9 as x, 0L as y), struct(id as x, 9L as y))) as rings")
+    assert P.edges(rows).rdd.getNumPartitions() == P.CELLS_OF // 32

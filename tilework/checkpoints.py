@@ -57,6 +57,17 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(_name(path))
 
 
+#: Rows of a task where each is multiplied or walked: a compact file of few splits may stand for very many.
+DEALT = 1 << 20
+
+
+def dealt(df: DataFrame, weight: int, *keys: str) -> DataFrame:
+    """df, by the keys if any, in tasks of about DEALT rows, each counted weight times: for what makes weight rows of one, or takes as
+    long.  More rows make more tasks, not larger ones."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * weight // DEALT))
+    return df.repartition(n, *keys)
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Gives a function that writes what is to stay; all other tables written inside are deleted at the end."""

@@ -15,10 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..checkpoints import written
+from ..checkpoints import dealt, written
 from . import graphs, spatial
 
 
+#: Rows that a polygon is reckoned to make where it is cut into sides, rows and cells.
+CELLS_OF = 256
+
+
 def ring_edges(ring: Column) -> Column:
     """(x1, y1, x2, y2) of each side of a ring; a side without length is none."""
     sides = F.transform(ring, lambda p, k: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), ring[(k + 1) % F.size(ring)]["x"].alias("x2"), ring[(k + 1) % F.size(ring)]["y"].alias("y2")))
@@ -28,7 +32,7 @@ def ring_edges(ring: Column) -> Column:
 def edges(polygons: DataFrame) -> DataFrame:
     """One row a side: id, part, x1, y1, x2, y2."""
     one = F.explode(F.flatten(F.transform("rings", ring_edges)))
-    return polygons.select("id", "part", one.alias("e")).select("id", "part", "e.*")
+    return dealt(polygons.select("id", "part", "rings"), CELLS_OF, "id").select("id", "part", one.alias("e")).select("id", "part", "e.*")
 
 
 def _floor_div(a: Column, b: Column) -> Column:
@@ -234,13 +238,17 @@ def _box_of(x: pd.Series, y: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_least_box(h) or (None, None, None) for h in _points(x, y)], columns=["width", "depth", "yaw"], dtype=float)
 
 
+#: Rows that a polygon's hull and box are reckoned for.
+BOX_OF = 32
+
+
 def least_boxes(polygons: DataFrame) -> DataFrame:
     """(id, width, depth, yaw): the minimum-area box of all parts of an id, long side first, yaw from -pi/2 up to below pi/2.
 
     Parts give their hulls, and the hull of these is the whole's, so only hulls are shuffled; points in one line have no box.
     """
     xs, ys = F.transform(F.flatten("rings"), lambda p: p["x"].cast("double")), F.transform(F.flatten("rings"), lambda p: p["y"].cast("double"))
-    parts = polygons.filter(F.size(F.flatten("rings")) > 0).select("id", _hull_of(xs, ys).alias("h"))
+    parts = dealt(polygons.filter(F.size(F.flatten("rings")) > 0).select("id", "rings"), BOX_OF, "id").select("id", _hull_of(xs, ys).alias("h"))
     both = parts.groupBy("id").agg(F.flatten(F.collect_list("h.x")).alias("x"), F.flatten(F.collect_list("h.y")).alias("y"))
     whole = both.select("id", _hull_of("x", "y").alias("h")).select("id", _box_of("h.x", "h.y").alias("b"))
     return whole.select("id", "b.width", "b.depth", "b.yaw")
