@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import dealt
+
 
 def grid_keys(lo: Column, hi: Column, size: int) -> Column:
     """Every grid step that [lo, hi] touches."""
@@ -35,16 +37,24 @@ def overlapping_boxes(boxes: DataFrame, size: int) -> DataFrame:
     return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), (w * h).alias("area"))
 
 
-def nearest_within(queries: DataFrame, targets: DataFrame, reach: int, k: int) -> DataFrame:
-    """For each query (id, x_mm, y_mm) its k nearest targets within reach: id, target, d2, place; ties to the smaller target.
+def pairs_within(queries: DataFrame, targets: DataFrame, reach: int) -> DataFrame:
+    """(id, x_mm, y_mm and what else queries have, target, d2): each query with its targets within reach, in tasks of a bounded number
+    of grid steps.
 
     Grid steps are as wide as the reach, so three by three of them hold every answer.
     """
     around = F.sequence(F.lit(-1), F.lit(1))
-    asked = queries.select("id", "x_mm", "y_mm").withColumn("gx", F.explode(F.transform(around, lambda d: F.floor(F.col("x_mm") / reach) + d))).withColumn("gy", F.explode(F.transform(around, lambda d: F.floor(F.col("y_mm") / reach) + d)))
-    there = targets.select(F.col("id").alias("target"), F.col("x_mm").alias("tx"), F.col("y_mm").alias("ty"), F.floor(F.col("x_mm") / reach).alias("gx"), F.floor(F.col("y_mm") / reach).alias("gy"))
+    step = lambda c, d: F.floor(F.col(c) / reach) + d
+    asked = dealt(queries, 27).withColumn("gx", F.explode(F.transform(around, lambda d: step("x_mm", d)))).withColumn("gy", F.explode(F.transform(around, lambda d: step("y_mm", d))))
+    there = targets.select(F.col("id").alias("target"), F.col("x_mm").alias("tx"), F.col("y_mm").alias("ty"), *(F.col(c).alias(f"target_{c}") for c in targets.columns if c not in ("id", "x_mm", "y_mm")), step("x_mm", 0).alias("gx"), step("y_mm", 0).alias("gy"))
     d2 = (F.col("x_mm") - F.col("tx")) * (F.col("x_mm") - F.col("tx")) + (F.col("y_mm") - F.col("ty")) * (F.col("y_mm") - F.col("ty"))
     met = asked.join(there, ["gx", "gy"]).withColumn("d2", d2).filter((F.col("d2") <= reach * reach) & (F.col("id") != F.col("target")))
+    return met.drop("gx", "gy", "tx", "ty")
+
+
+def nearest_within(queries: DataFrame, targets: DataFrame, reach: int, k: int) -> DataFrame:
+    """For each query (id, x_mm, y_mm) its k nearest targets within reach: id, target, d2, place; ties to the smaller target."""
+    met = pairs_within(queries.select("id", "x_mm", "y_mm"), targets.select("id", "x_mm", "y_mm"), reach)
     place = F.row_number().over(Window.partitionBy("id").orderBy("d2", "target"))
     return met.withColumn("place", place).filter(F.col("place") <= k).select("id", "target", "d2", "place")
 

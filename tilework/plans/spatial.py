@@ -136,10 +136,8 @@ select id, near, taller, taller = near as dominant from r""", "points")
 def dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C9 in plan view: points that no neighbour within reach overtops."""
     rows = points(spark, sf_dir)
-    pairs = P.nearest_within(rows, rows, STEP, 1_000_000)
-    tall = rows.select("id", "height_cm")
-    joined = pairs.join(tall, "id").join(tall.toDF("target", "theirs"), "target")
-    return joined.groupBy("id").agg(F.count("*").alias("near"), F.count_if(F.col("height_cm") > F.col("theirs")).alias("taller")).withColumn("dominant", F.col("taller") == F.col("near"))
+    pairs = P.pairs_within(rows, rows, STEP)
+    return pairs.groupBy("id").agg(F.count("*").alias("near"), F.count_if(F.col("height_cm") > F.col("target_height_cm")).alias("taller")).withColumn("dominant", F.col("taller") == F.col("near"))
 
 
 @query("""with d as (select id, ((x_mm // 500000) * 500000 + 250000) / 1000.0 + 0.001 - x_mm / 1000.0 as dx, 250 - y_mm / 1000.0 as dy, -height_cm / 100.0 as dz from points),
