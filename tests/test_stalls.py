@@ -60,3 +60,27 @@ def test_a_stream_that_is_restarted_equals_its_batch_form(spark, tmp_path):
     assert "silent" in got and "at" in got and "late_end" in got and got["back"] == 0 and "ended" not in got and "clock" not in got
     batch = stalls.stalled_batch(spark.createDataFrame(rows_of(events), SCHEMA), "job", "at", F.col("state") == "done", 480, int(ZERO.timestamp() * 1000) + 1000 * now)
     assert {r["job"]: (r["last_ms"] - int(ZERO.timestamp() * 1000)) // 1000 for r in batch.collect()} == want
+
+
+def test_a_batch_of_a_job_costs_few_calls():
+    import pandas as pd
+
+    from tilework.streaming.stalls import _Stalls
+
+    calls = []
+
+    class State:
+        def exists(self):
+            return False
+
+        def appendList(self, rows):  # noqa: N802
+            calls.append(len(rows))
+
+    class Handle:
+        def registerTimer(self, at):  # noqa: N802
+            calls.append(at)
+
+    stalls = _Stalls(10)
+    stalls.handle, stalls.seen, stalls.done = Handle(), State(), State()
+    stalls.handleInputRows(("a",), iter([pd.DataFrame({"at_ms": range(1000, 2000, 5), "final": False}), pd.DataFrame({"at_ms": [3000], "final": [True]})]), None)
+    assert calls == [201, 2005]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,8 +15,9 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 class _Stalls(StatefulProcessor):
-    """Holds a job's activity behind the last timer.  Each event sets a timer at its time plus the limit; when that is behind the
-    watermark, all that could have come in between is there, so what is found doesn't depend on the order of arrival."""
+    """Holds a job's activity and one timer at a time or few: at the limit behind the first event that no other follows within the limit.
+    When that is behind the watermark, all that could have come in between is there, so what is found doesn't depend on the
+    order of arrival.  A batch of a job costs a few calls to the state store, however many events it has."""
 
     def __init__(self, limit_ms: int) -> None:
         self.limit = limit_ms
@@ -25,26 +27,30 @@ class _Stalls(StatefulProcessor):
         self.seen = handle.getListState("seen", "at long, final boolean")
         self.done = handle.getValueState("done", "done boolean")
 
+    def _quiet(self, times: list[int]) -> int:
+        """The first of the sorted times that none follows within the limit."""
+        return next((a for a, b in itertools.pairwise(times) if b - a >= self.limit), times[-1])
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if not self.done.exists():
-            for batch in rows:
-                for at, final in zip(batch["at_ms"], batch["final"], strict=True):
-                    self.seen.appendValue((int(at), bool(final)))
-                    self.handle.registerTimer(int(at) + self.limit)
+            events = [(int(at), bool(final)) for batch in rows for at, final in zip(batch["at_ms"], batch["final"], strict=True)]
+            if events:
+                self.seen.appendList(events)
+                self.handle.registerTimer(self._quiet(sorted({at for at, _ in events})) + self.limit)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         if self.done.exists():
             return
-        at = expiredTimerInfo.getExpiryTimeInMs() - self.limit
-        events = list(self.seen.get())
-        if any(final and then <= at for then, final in events):
-            self._finish()
-        elif not any(at < then < at + self.limit for then, _ in events):
-            self._finish()
+        events, past = list(self.seen.get()), expiredTimerInfo.getExpiryTimeInMs() - self.limit
+        at = self._quiet(sorted({then for then, _ in events}))
+        if at > past and at + self.limit > timerValues.getCurrentWatermarkInMs():  # the silence was filled: wait for the next one
+            self.seen.put([e for e in events if e[1] or e[0] > past])
+            self.handle.registerTimer(at + self.limit)
+            return
+        self._finish()
+        if not any(final and then <= at for then, final in events):
             yield pd.DataFrame({"job": [key[0]], "last_ms": [at], "stalled_ms": [at + self.limit]})
-        else:
-            self.seen.put([e for e in events if e[0] > at])
 
     def _finish(self) -> None:
         self.done.update((True,))
