@@ -452,6 +452,28 @@ def test_samples_follow_the_lattice_without_replacement():
     assert abs(np.mean(weights) - 1) < 0.02
 
 
+def test_only_bytes_of_longer_characters_are_decoded_as_bytes(monkeypatch):
+    lat = sampling.lattices(PIECES)
+    ids = [lat.byte[10], *(lat.pieces[c][0] for c in "then"), lat.byte[0xC3], lat.byte[0xA9]]
+    assert lat.decode(np.array(ids)) == "\nthen\u00e9"
+    monkeypatch.setattr(lat, "spelt", None)
+    assert lat.decode(np.array(ids[:5])) == "\nthen"
+
+
+def test_units_are_numbered_once_and_built_apart_from_their_order():
+    lat = sampling.Lattices(PIECES)
+    texts = [lat.model.normalize(x) for x in ("a\n\u0000b the", "the \u65e5\u672c a b\n", "zz the")]
+    first = lat.starts(texts)
+    known = len(lat.index)
+    again = lat.starts(texts)
+    assert not lat.index.new and len(lat.index) == known and all((a == b).all() for a, b in zip(first, again, strict=True))
+    other = sampling.Lattices(PIECES)
+    key = np.arange(1, 4, dtype=np.uint64)
+    drawn = [sampling.sample_paths(x, x.starts(order), k, 2) for x, order, k in ((lat, texts, key), (other, texts[::-1], key[::-1]))]
+    ids = [[[x.piece[p.edges].tolist() for p in paths] for paths, _ in found] for x, found in zip((lat, other), drawn, strict=True)]
+    assert ids[0] == ids[1][::-1]
+
+
 def test_encoding_decodes_and_does_not_depend_on_partitions(spark, awkward):
     frame = docs(spark, [*awkward, (80, "  tabs\tand ² 😀 日本\r\n x"), (81, "a")])
     rows = sampling.sample(frame, PIECES).collect()

@@ -41,18 +41,29 @@ _SPACE = "▁"
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
+def _mixed(x: np.ndarray, k: int, part) -> np.ndarray:
+    """The hash x with an integer as its k-th part."""
+    x = (x ^ (np.asarray(part).astype(np.uint64) + _C[k])) * _C[k]
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _fraction(x: np.ndarray) -> np.ndarray:
+    """In (0, 1), from a hash."""
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
 def _uniform(key: np.ndarray, *parts) -> np.ndarray:
     """In (0, 1), from the key and integers."""
-    x = key.copy()
-    for c, p in zip(_C, parts, strict=False):
-        x = (x ^ (np.asarray(p).astype(np.uint64) + c)) * c
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(32)
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    for k, p in enumerate(parts):
+        key = _mixed(key, k, p)
+    return _fraction(key)
 
 
 def _grown(a: np.ndarray, need: int) -> np.ndarray:
-    return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, len(a) + len(a) // 4) - len(a), a.dtype)))
+    return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, len(a) + len(a) // 2) - len(a), a.dtype)))
 
 
 def shown(normalized: str) -> str:
@@ -61,6 +72,18 @@ def shown(normalized: str) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+class _Numbers(dict):
+    """Numbers of units in the order in which they are met; new lists those whose lattices are not built."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        self.new.append(unit)
+        return n
+
+
 class Lattices:
     """The lattices of units seen so far, as flat arrays of nodes and edges."""
 
@@ -74,6 +97,8 @@ class Lattices:
         self.byte = {int(names[k][1:-1], 16): k for k in special if self.model.is_byte(k)}
         self.bytes = [bytes([int(names[k][1:-1], 16)]) if self.model.is_byte(k) else b"" if k in special else names[k].encode() for k in range(size)]
         first = min(set(range(size)) - special)
+        self.whole = [x.decode().replace(_SPACE, " ") if x.isascii() or k not in special else "" for k, x in enumerate(self.bytes)]
+        self.partial = np.array([not x.isascii() and k in special for k, x in enumerate(self.bytes)])  # a byte of a longer character
         self.pieces = {names[k]: (k, -np.log(2.0 + k - first)) for k in range(size) if k not in special}
         self.rare = -float(np.log(2.0 + size))
         self.longest = max(map(len, self.pieces))
@@ -116,35 +141,33 @@ class Lattices:
                 self.ends[k] = found[0] if found else -1
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Numbers()
+        self.node = np.zeros(1 << 16, np.int32)
         self.nodes = self.edges = 0
         self.first, self.many = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
         self.total, self.share = np.zeros(1 << 17, np.float32), np.zeros(1 << 17)
         self.to, self.piece = np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
 
-    def _build(self, units: list[str]) -> None:
+    def _build(self, units: list[str], numbers: np.ndarray) -> None:
         """Adds the units' lattices; units of plain characters, each a piece of its own, go through the prefix tree all at once."""
-        plain, other = [], []
-        for u in units:
-            (plain if "\0" not in u and "\n" not in u and max(u if _SPACE not in u else u.replace(_SPACE, "")  or "a") < "\u0100" else other).append(u)
-        if plain:
-            text = np.frombuffer("\n".join(plain).replace(_SPACE, "\0").encode("latin-1") + b"\n", np.uint8)
+        joined, odd = "\n".join(units), np.zeros(len(units), bool)
+        if "\0" in joined or joined.count("\n") >= len(units):
+            odd |= ["\0" in u or "\n" in u for u in units]
+        if not odd.any():
+            text = np.frombuffer((joined.replace(_SPACE, "\0") + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+            plain = text.astype(np.uint8)
             stop = text == 10
-            at = np.flatnonzero(~stop)
-            state = self.move[1, text[at]]
-            whole = np.ones(len(plain), bool)
-            last = np.flatnonzero(stop)
-            whole[np.searchsorted(last, at[self.ends[state] < 0])] = False
-            if not whole.all():
-                other += [u for u, ok in zip(plain, whole, strict=True) if not ok]
-                plain = [u for u, ok in zip(plain, whole, strict=True) if ok]
-                self._build(plain)
-            else:
-                self._matched(plain, text, at, state, last)
-        if other:
-            self._looked_up(other)
-
-    def _matched(self, units: list[str], text: np.ndarray, at: np.ndarray, state: np.ndarray, last: np.ndarray) -> None:
+            at, last = np.flatnonzero(~stop), np.flatnonzero(stop)
+            state = self.move[1, plain[at]]
+            odd[np.searchsorted(last, at[(self.ends[state] < 0) | (text[at] > 255)])] = True
+            if not odd.any():
+                self._matched(numbers, plain, at, state, last)
+                return
+        self._looked_up([units[k] for k in np.flatnonzero(odd)], numbers[odd])
+        if not odd.all():
+            self._build([units[k] for k in np.flatnonzero(~odd)], numbers[~odd])
+
+    def _matched(self, numbers: np.ndarray, text: np.ndarray, at: np.ndarray, state: np.ndarray, last: np.ndarray) -> None:
         base, found, length = self.nodes, [], 1
         while len(at):
             piece = self.ends[state]
@@ -157,15 +180,15 @@ class Lattices:
         order = np.argsort(source, kind="stable")  # presorted runs; the longest, likeliest pieces come first
         source, step, piece = source[order] + base, step[order], piece[order]
         first = np.concatenate(([0], last[:-1] + 1)) + base
-        self.index.update(zip(units, first.tolist(), strict=True))
+        self.node[numbers] = first
         self._added(source, source + step, source + step, piece, self.weight[piece], last + base, base + len(text), [])
 
-    def _looked_up(self, units: list[str]) -> None:
+    def _looked_up(self, units: list[str], numbers: np.ndarray) -> None:
         base, get, most = self.nodes, self.prefixes.get, self.longest
         packed, ends, chains = [], [], []  # packed: node, length and piece of an edge
         node = base
-        for unit in units:
-            self.index[unit] = node
+        for unit, number in zip(units, numbers.tolist(), strict=True):
+            self.node[number] = node
             n = len(unit)
             for i in range(n):
                 k = get(unit[i])
@@ -233,10 +256,13 @@ class Lattices:
 
     def starts(self, texts: list[str]) -> list[np.ndarray]:
         """First nodes of the units of each normalised text."""
-        units = [self.cut.findall(t) for t in texts]
-        if new := set().union(*units).difference(self.index):
-            self._build(sorted(new))
-        return [np.array(list(map(self.index.__getitem__, x)), np.int32) for x in units]
+        number = self.index.__getitem__
+        units = [np.fromiter(map(number, found), np.int32, len(found)) for found in map(self.cut.findall, texts)]
+        if new := self.index.new:
+            self.node = _grown(self.node, len(self.index))
+            self._build(new, np.arange(len(self.index) - len(new), len(self.index)))
+            self.index.new = []
+        return [self.node[x] for x in units]
 
     def spelt(self, ids: np.ndarray) -> bytes:
         """The normalised text of the pieces."""
@@ -244,16 +270,19 @@ class Lattices:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the pieces, the leading space of the encoding taken off."""
-        return shown(self.spelt(ids).decode("utf-8", "surrogatepass"))
+        if self.partial[ids].any():
+            return shown(self.spelt(ids).decode("utf-8", "surrogatepass"))
+        return shown("".join(map(self.whole.__getitem__, ids.tolist())))
 
     def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """From each node to the end of its unit: (edges, their nodes) of all walks in order, and each walk's length."""
         occ, edge, source = [], [], []
+        own = _mixed(_mixed(key, 0, np.full(1, sample)), 1, place)
         active, cur, step = np.arange(len(node)), node, 0
         live = self.many[cur] > 0
         active, cur = active[live], cur[live]
         while len(active):
-            u = _uniform(key[active], np.full(1, sample), place[active], np.full(1, step))
+            u = _fraction(_mixed(own[active], 2, np.full(1, step)))
             e = self.first[cur]
             more = np.flatnonzero(self.total[e] < u)
             while len(more):
