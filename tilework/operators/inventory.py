@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import written
 from . import grids as G
 from . import tiles
 
@@ -14,16 +15,17 @@ MIN_AREA, MAX_DISPERSION, MIN_PLANAR, MIN_RECTANGULAR, MIN_COMPACT, MAX_VEGETATI
 CANDIDATE = ["tile", "family", "id", "status", "area", "height_cm", "reasons"]
 
 
+_SIDES = {f"_u{k}": step for k, step in enumerate(G.FOUR)}
+
+
 def _shapes(members: DataFrame) -> DataFrame:
-    """Per component: area, height percentiles, planar share, rectangularity, compactness, vegetation share."""
-    flat = tiles.windows(members, "hag", 1, {"_top": "max", "_low": "min"})
-    sides = G.boundary_edges(members).groupBy("tile", "r", "c").agg(F.count("*").alias("_sides"))
-    rows = flat.join(sides, ["tile", "r", "c"], "left")
+    """Per component of members with _top and _low around them and their neighbours (_SIDES): area, height percentiles, planar share, rectangularity, compactness, vegetation share."""
+    sides = F.sum(sum(F.col(u).isNull().cast("int") for u in _SIDES))
     box = (F.max("r") - F.min("r") + 1) * (F.max("c") - F.min("c") + 1)
-    found = rows.groupBy("tile", "component").agg(
+    found = members.groupBy("tile", "component").agg(
         F.count("*").alias("area"), G.nearest_rank("hag", 0.1).alias("p10"), G.nearest_rank("hag", 0.9).alias("p90"), G.nearest_rank("hag", 0.95).alias("p95"),
         (F.count_if(F.col("_top") - F.col("_low") <= 75) / F.count("*")).alias("planar"), (F.count("*") / box).alias("rectangular"),
-        (4 * F.pi() * F.count("*") / F.nullif(F.sum("_sides") * F.sum("_sides"), F.lit(0))).alias("compact"), (F.count_if(F.col("vegetation")) / F.count("*")).alias("green"),
+        (4 * F.pi() * F.count("*") / F.nullif(sides * sides, F.lit(0))).alias("compact"), (F.count_if(F.col("vegetation")) / F.count("*")).alias("green"),
     )
     return found
 
@@ -38,7 +40,8 @@ def buildings_from_components(cells: DataFrame) -> DataFrame:
     cells: tile, r, c, hag, vegetation, footprint (id or null).  A component that one footprint alone confirms,
     with a quarter of the component under it, is valid.
     """
-    tall = G.labelled_components(cells.filter(F.col("hag") >= TALL_CM).select("tile", "r", "c", "hag", "vegetation", "footprint"), G.FOUR)
+    high = cells.filter(F.col("hag") >= TALL_CM).select("tile", "r", "c", "hag", "vegetation", "footprint")
+    tall = written(tiles.together(high, tiles.component_pass(G.FOUR), tiles.window_pass("hag", 1, {"_top": "max", "_low": "min"}), tiles.around_pass(high, "hag", _SIDES)))
     shape = _shapes(tall)
     under = tall.filter("footprint is not null").groupBy("component", "footprint").agg(F.count("*").alias("n"))
     confirm = under.groupBy("component").agg(F.count("*").alias("footprints"), F.max("n").alias("covered"))
@@ -82,6 +85,7 @@ def placement_inventory(cells: DataFrame, profile: str = "v2", on_bad_grid: str
         rows = rows.filter(F.when(bad, F.raise_error(F.concat(F.lit("grid of tile "), F.col("tile").cast("string"), F.lit(": "), F.col("verdict")))).otherwise(F.lit(True)))
     surface = F.when(bad, F.col("mnt_mm")).otherwise(F.col("mns_mm"))
     rows = rows.select("tile", "r", "c", G.height_cm(F.col("mnt_mm"), surface).alias("hag"), "vegetation", F.when(~bad, F.col("footprint")).alias("footprint"))
+    rows = written(rows)
     houses = (buildings_from_components if profile == "v1" else buildings_from_footprints)(rows)
     return houses.select(CANDIDATE).unionByName(trees(rows.filter("footprint is null")).select(CANDIDATE))
 
