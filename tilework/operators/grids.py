@@ -157,23 +157,10 @@ def arrival_over_tiles(cells: DataFrame, sources: DataFrame, cost: Column, side:
 
 
 def nearest_valid_fill(cells: DataFrame, value: str, valid: Column, reach: int) -> DataFrame:
-    """cells whose value is not valid take that of the nearest valid cell, ties by (r, c); rings grow until none is left or reach is met."""
-    marked = cells.withColumn("_ok", valid)
-    good = marked.filter("_ok").select("tile", F.col("r").alias("nr"), F.col("c").alias("nc"), F.col(value).alias("_v"))
-    rest = written(marked.filter("not _ok").select("tile", "r", "c"))
-    filled, ring = None, 1
-    while True:
-        span = F.sequence(F.lit(-ring), F.lit(ring))
-        near = rest.withColumn("dr", F.explode(span)).withColumn("nr", F.col("r") + F.col("dr")).withColumn("dc", F.explode(span)).withColumn("nc", F.col("c") + F.col("dc"))
-        d2 = F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")
-        found = near.filter(d2 <= ring * ring).join(good, ["tile", "nr", "nc"]).groupBy("tile", "r", "c").agg(F.min(F.struct(d2.alias("d2"), "nr", "nc", F.col("_v").alias("v"))).alias("_b"))
-        found = written(found.select("tile", "r", "c", F.col("_b.v").alias("filled"), F.col("_b.d2").cast("long").alias("d2")))
-        filled = found if filled is None else filled.union(found)
-        rest = written(rest.join(found, ["tile", "r", "c"], "left_anti"))
-        if ring >= reach or not rest.limit(1).count():
-            break
-        ring = min(2 * ring, reach)
-    return marked.join(filled, ["tile", "r", "c"], "left").withColumn("filled", F.when(F.col("_ok"), F.col(value)).otherwise(F.col("filled"))).withColumn("d2", F.when(F.col("_ok"), F.lit(0).cast("long")).otherwise(F.col("d2"))).drop("_ok")
+    """cells whose value is not valid take that of the nearest valid cell, ties by (r, c), within reach."""
+    found = tiles.nearest(cells.withColumn("_ok", valid), value, "_ok", reach)
+    own = found.withColumn("filled", F.when(F.col("_ok"), F.col(value)).otherwise(F.col("filled"))).withColumn("d2", F.when(F.col("_ok"), F.lit(0).cast("long")).otherwise(F.col("d2")))
+    return own.drop("_ok")
 
 
 #: Sub-cells of a cell's side, and the occupancy from which one is kept, in ninths (0.42 of the whole and above).
