@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..checkpoints import written
+from ..checkpoints import dealt, written
 from . import tiles
 
 #: Height limits of the grid gate in mm and cm, and the share of outliers it bears.
@@ -171,10 +171,11 @@ def refined_occupancy(members: DataFrame, rows: int, columns: int) -> DataFrame:
     """(tile, r, c, ninths) of the sub-cells, three to a cell's side, that stay: occupancy is the bilinear mean of the cells around a
     sub-cell's centre, 1 where one is a member and 0 elsewhere, also beyond the grid's rows and columns.
 
-    Along one axis a member weighs 1, 2, 3, 2, 1 thirds on the five sub-cells around it, so members are spread and summed.
+    Along one axis a member weighs 1, 2, 3, 2, 1 thirds on the five sub-cells around it, so members are spread and summed, by tile
+    in tasks of a bounded number of rows.
     """
     near = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(3 - abs(d)).alias("w")) for d in range(-2, 3)))
-    spread = members.select("tile", "r", "c").withColumn("y", F.explode(near)).withColumn("x", F.explode(near))
+    spread = dealt(members.select("tile", "r", "c"), 25, "tile").withColumn("y", F.explode(near)).withColumn("x", F.explode(near))
     at = lambda cell, axis: (F.col(cell) * FINE + 1 + F.col(f"{axis}.d")).alias(cell)
     fine = spread.select("tile", at("r", "y"), at("c", "x"), (F.col("y.w") * F.col("x.w")).alias("w")).filter(F.col("r").between(0, rows * FINE - 1) & F.col("c").between(0, columns * FINE - 1))
     return fine.groupBy("tile", "r", "c").agg(F.sum("w").alias("ninths")).filter(F.col("ninths") >= KEPT_NINTHS)
