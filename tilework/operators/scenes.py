@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import grids as G
+from . import tiles
 
 
 def projected(points: DataFrame, camera: tuple[float, float, float], forward: tuple[Column, Column, Column], right: tuple[Column, Column, Column], up: tuple[Column, Column, Column], focal: float, aperture: float, width: int, height: int) -> DataFrame:
@@ -45,14 +46,13 @@ def merged_pairs(boxes: DataFrame, group: list[str], order: str, same: Column) -
 def burn_states(arrival: DataFrame, moments: DataFrame, cell_m: int) -> DataFrame:
     """Per tile and moment (state, t): burned area, and length of the front.
 
-    A side of a cell is on the front from the cell's arrival until its neighbour's, so cells and sides are counted
-    as intervals; states are not multiplied by pairs of cells.
+    A side of a cell is on the front from the cell's arrival until its neighbour's; neighbours are found in one pass over the
+    tiles, so neither cells nor states are multiplied by sides.
     """
-    near = G.neighbours(arrival.select("tile", "r", "c", "arrival"), G.FOUR).join(arrival.select("tile", F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("arrival").alias("until")), ["tile", "nr", "nc"], "left")
-    sides = near.select("tile", F.col("arrival").alias("begin"), F.col("until"))
-    burned = arrival.join(F.broadcast(moments), F.col("arrival") <= F.col("t")).groupBy("tile", "state").agg((F.count("*") * cell_m * cell_m).alias("area_m2"))
-    front = sides.join(F.broadcast(moments), (F.col("begin") <= F.col("t")) & (F.col("until").isNull() | (F.col("until") > F.col("t")))).groupBy("tile", "state").agg((F.count("*") * cell_m).alias("front_m"))
-    return burned.join(front, ["tile", "state"], "left").withColumn("front_m", F.coalesce("front_m", F.lit(0)))
+    sides = {f"_u{k}": step for k, step in enumerate(G.FOUR)}
+    burned = tiles.around(arrival.select("tile", "r", "c", "arrival"), "arrival", sides).join(F.broadcast(moments), F.col("arrival") <= F.col("t"))
+    front = sum((F.col(u).isNull() | (F.col(u) > F.col("t"))).cast("int") for u in sides)
+    return burned.groupBy("tile", "state").agg((F.count("*") * cell_m * cell_m).alias("area_m2"), (F.sum(front) * cell_m).alias("front_m"))
 
 
 def offset_points(vertices: DataFrame, offset: Column, limit: float = 2.0) -> DataFrame:
