@@ -120,40 +120,40 @@ def _step_costs(cells: DataFrame, cost: Column) -> tuple[DataFrame, str]:
     return cells.withColumns({c: F.col(c).cast(kind) for c in _COSTS}), kind
 
 
+def _begun(places: DataFrame, kind: str) -> DataFrame:
+    """Offers of ways that begin at the places."""
+    return places.withColumns({"k": F.lit(None).cast("int"), "at": F.lit(0).cast(kind)})
+
+
 def least_cost_arrival(cells: DataFrame, sources: DataFrame, cost: Column) -> DataFrame:
     """(tile, r, c, arrival): the least summed cost from the sources over eight-neighbour steps inside each tile, of the cells that are reached.
 
     cost is an expression over the entered cell's columns and the step's dr, dc, not below 0; where it is null a cell can't be entered.
     """
     costs, kind = _step_costs(cells, cost)
-    start = sources.select("tile", "r", "c").distinct().withColumn("start", F.lit(0).cast(kind))
-    rows = costs.select("tile", "r", "c", *_COSTS).join(start, ["tile", "r", "c"], "left").withColumn("held", F.lit(None).cast(kind))
-    return tiles.arrivals(rows, EIGHT, _COSTS, kind).filter("arrival is not null").select("tile", "r", "c", "arrival")
+    rows = costs.select("tile", "r", "c", *_COSTS).withColumn("held", F.lit(None).cast(kind))
+    return tiles.arrivals(rows, _begun(sources.select("tile", "r", "c"), kind), EIGHT, _COSTS, kind).filter("arrival is not null").select("tile", "r", "c", "arrival")
 
 
 def arrival_over_tiles(cells: DataFrame, sources: DataFrame, cost: Column, side: int) -> DataFrame:
     """(r, c, arrival) over a grid (r, c) of any extent, cut into tiles of so many cells a side.
 
-    A round settles the tiles that were entered, each by itself; then only the cells at their edges that became better are offered to
-    the neighbouring tiles.  Rounds grow with the tiles that a way crosses, not with its cells.
+    A round is one pass over the tiles with what their neighbours offer: cells at edges that became better offer themselves across.
+    Rounds grow with the tiles that a way crosses, not with its cells.
     """
     tile = F.concat_ws(":", F.floor(F.col("r") / side), F.floor(F.col("c") / side))
     found, kind = _step_costs(cells, cost)
-    costs = written(found.select(tile.alias("tile"), "r", "c", *_COSTS))
-    seeds = written(sources.select("r", "c").distinct().withColumn("start", F.lit(0).cast(kind)).join(costs.select("tile", "r", "c"), ["r", "c"]).select("tile", "r", "c", "start"))
-    known = costs.select("tile", "r", "c", F.lit(None).cast(kind).alias("held")).limit(0)
+    state = found.select(tile.alias("tile"), "r", "c", *_COSTS, F.lit(None).cast(kind).alias("held"))
+    offers = _begun(sources.select(tile.alias("tile"), "r", "c"), kind)
     moves = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(a).alias("dr"), F.lit(b).alias("dc")) for k, (a, b) in enumerate(EIGHT)))
-    while seeds.limit(1).count():
-        entered = seeds.select("tile").distinct()
-        rows = costs.join(entered, "tile", "left_semi").join(seeds, ["tile", "r", "c"], "left").join(known, ["tile", "r", "c"], "left")
-        new = written(tiles.arrivals(rows, EIGHT, _COSTS, kind).select("tile", "r", "c", F.col("arrival").alias("held"), "better"))
-        known = written(known.join(entered, "tile", "left_anti").union(new.filter("held is not null").select(*known.columns)))
-        edge = (F.pmod("r", F.lit(side)).isin(0, side - 1)) | (F.pmod("c", F.lit(side)).isin(0, side - 1))
-        offers = new.filter(F.col("better") & edge).withColumn("m", F.explode(moves)).select(F.col("tile").alias("own"), (F.col("r") + F.col("m.dr")).alias("r"), (F.col("c") + F.col("m.dc")).alias("c"), "m.k", "held")
-        reached = offers.withColumn("tile", tile).filter("tile <> own").join(costs, ["tile", "r", "c"]).withColumn("at", F.col("held") + F.get(F.array(*_COSTS), F.col("k")))
-        least = reached.groupBy("tile", "r", "c").agg(F.min("at").alias("start")).join(known, ["tile", "r", "c"], "left")
-        seeds = written(least.filter("start is not null and (held is null or start < held)").select("tile", "r", "c", "start"))
-    return known.select("r", "c", F.col("held").alias("arrival"))
+    edge = (F.pmod("r", F.lit(side)).isin(0, side - 1)) | (F.pmod("c", F.lit(side)).isin(0, side - 1))
+    while True:
+        new = written(tiles.arrivals(state, offers, EIGHT, _COSTS, kind).withColumn("held", F.col("arrival")).drop("arrival"))
+        state, crossing = new.drop("better"), new.filter(F.col("better") & edge)
+        if not crossing.limit(1).count():
+            return state.filter("held is not null").select("r", "c", F.col("held").alias("arrival"))
+        moved = crossing.withColumn("m", F.explode(moves)).select(F.col("tile").alias("own"), (F.col("r") + F.col("m.dr")).alias("r"), (F.col("c") + F.col("m.dc")).alias("c"), "m.k", F.col("held").alias("at"))
+        offers = moved.withColumn("tile", tile).filter("tile <> own").drop("own")
 
 
 def nearest_valid_fill(cells: DataFrame, value: str, valid: Column, reach: int) -> DataFrame:
