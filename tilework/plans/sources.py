@@ -25,9 +25,9 @@ def collections(rows: DataFrame, file: Column, feature: Column, matched: int | N
 
 
 def documents(rows: DataFrame) -> str:
-    """rows (file, value) as one text file each; returns where they are."""
+    """rows (file, value), one a file, as one text file each, written by the tasks that made them; returns where they are."""
     path = new_path(rows.sparkSession)
-    rows.repartition("file").write.partitionBy("file").text(path)
+    rows.write.partitionBy("file").text(path)
     return path
 
 

@@ -11,6 +11,17 @@ FEATURE = "type string, id string, geometry struct<type:string,coordinates:strin
 COLLECTION = f"type string, numberMatched long, crs struct<properties:struct<name:string>>, features array<struct<{FEATURE.replace(' string', ':string').replace(' struct', ':struct').replace(' map', ':map')}>>"
 
 
+def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row a document of files (UTF-8) that hold one, or an array of them; an unreadable one is a row of nulls.
+
+    The JSON source reads a file anew at the place of each value that is kept as text but is none (coordinates, numbers), so such
+    values cost an opened file each.  Here a file is read once, as text, and parsed in memory; such values come as JSON written anew
+    (1.10 as 1.1, no white space), which is the same number or structure, but not always the same text.
+    """
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^\ufeff", "").alias("value")).filter(r"value rlike '\\S'")
+    many = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", f"array<struct<{schema}>>"))
+    return text.select(F.explode(F.coalesce(many, F.array(F.from_json("value", schema)))).alias("document")).select("document.*")
+
 
 def _parts(df: DataFrame, kinds: tuple[str, str], depths: tuple[str, str]) -> DataFrame:
     """One row per part: single geometries are multi ones of one part."""
@@ -27,7 +38,7 @@ GEOMETRIES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon",
 def _read(spark: SparkSession, path: str) -> DataFrame:
     """The features of files that are a collection, one feature or a bare geometry each; a file of any other type fails the plan."""
     alone = "id string, geometry struct<type:string,coordinates:string>, properties map<string,string>, coordinates string"
-    raw = spark.read.schema(f"{COLLECTION}, {alone}").option("multiLine", True).json(path)
+    raw = _documents(spark, path, f"{COLLECTION}, {alone}")
     one = lambda key, geometry, props: F.array(F.struct(F.lit("Feature").alias("type"), key.alias("id"), geometry.alias("geometry"), props.alias("properties")))
     bare = F.struct(F.col("type"), F.col("coordinates"))
     no_id, no_props = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
@@ -67,7 +78,7 @@ def _bounded(df: DataFrame, points: Column) -> DataFrame:
 
 def paged_layer(spark: SparkSession, path: str) -> DataFrame:
     """Features of landed pages; fails if an id repeats, numberMatched moves, or the rows are not as many as matched."""
-    raw = spark.read.schema(COLLECTION).option("multiLine", True).json(path)
+    raw = _documents(spark, path, COLLECTION)
     rows = raw.select("numberMatched", F.explode("features").alias("f")).select("numberMatched", "f.id", "f.geometry", "f.properties")
     pages = raw.agg(F.min("numberMatched").alias("low"), F.max("numberMatched").alias("high"))
     gate = rows.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).crossJoin(pages)  # one row by one row
@@ -85,7 +96,7 @@ def layer_in_bounds(layer: DataFrame, bounds: tuple[float, float, float, float],
 def timeline_frames(spark: SparkSession, path: str) -> DataFrame:
     """dataset, frame id, valid_from, valid_to, kind, and faults of each frame; field aliases in order, zone required."""
     frame = "struct<id:string,timestamp:string,observed_at:string,valid_from:string,valid_to:string,affected:string,active:string>"
-    raw = spark.read.schema(f"id string, name string, timeline array<{frame}>").option("multiLine", True).json(path)
+    raw = _documents(spark, path, f"id string, name string, timeline array<{frame}>")
     rows = raw.select(F.col("id").alias("dataset"), F.explode("timeline").alias("f"))
     zone = r"(Z|[+-][0-9]{2}:[0-9]{2})$"
     moment = lambda c: F.when(c.rlike(zone), F.try_to_timestamp(c))
