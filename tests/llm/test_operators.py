@@ -474,6 +474,36 @@ def test_units_are_numbered_once_and_built_apart_from_their_order():
     assert ids[0] == ids[1][::-1]
 
 
+def test_equal_units_of_texts_are_looked_up_once():
+    class Counted(type(sampling.lattices(PIECES).index)):
+        asked = 0
+
+        def __getitem__(self, unit):
+            self.asked += 1
+            return super().__getitem__(unit)
+
+    lat = sampling.Lattices(PIECES)
+    lat.index = Counted()
+    text = lat.model.normalize("then, we\n" * 500)
+    found = lat.starts([text, text])
+    assert lat.index.asked <= 10 and len(lat.index) <= 5
+    assert [len(x) for x in found] == [len(lat.cut.findall(text))] * 2
+
+
+def test_units_are_those_of_the_pattern():
+    lat = sampling.Lattices(PIECES)
+    parts = [*"ab Z09_,.'\u00b2\u00e9\u00df\n\t\0\u2581\u65e5\u0301\ud800\uffff", "\U0001f600", "\U00010400", "\U00020000", "\n\n", "\u2581\u2581", "eightlet", "nineletter", "tenletters", "\u2581eightlet", " eightlet", "........."]
+    rng = np.random.default_rng(1)
+    texts = ["", *("".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000)), "", ""]
+    for lo in range(0, len(texts), 700):
+        some = texts[lo : lo + 700]
+        named = {n: u for u, n in lat.index.items()}
+        numbers = lat._numbered(some)
+        named |= {n: u for u, n in lat.index.items()}
+        assert [[named[n] for n in x.tolist()] for x in numbers] == [lat.cut.findall(t) for t in some]
+    assert [len(x) for x in lat._numbered(["", ""])] == [0, 0]
+
+
 def test_encoding_decodes_and_does_not_depend_on_partitions(spark, awkward):
     frame = docs(spark, [*awkward, (80, "  tabs\tand ² 😀 日本\r\n x"), (81, "a")])
     rows = sampling.sample(frame, PIECES).collect()

@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -62,8 +63,13 @@ def _uniform(key: np.ndarray, *parts) -> np.ndarray:
     return _fraction(key)
 
 
-def _grown(a: np.ndarray, need: int) -> np.ndarray:
-    return a if need <= len(a) else np.concatenate((a, np.zeros(max(need, len(a) + len(a) // 2) - len(a), a.dtype)))
+def _grown(a: np.ndarray, used: int, need: int) -> np.ndarray:
+    """a, or its used part in a larger array; what follows that is not set."""
+    if need <= len(a):
+        return a
+    whole = np.empty(max(need, 2 * len(a)), a.dtype)
+    whole[:used] = a[:used]
+    return whole
 
 
 def shown(normalized: str) -> str:
@@ -104,8 +110,14 @@ class Lattices:
         self.longest = max(map(len, self.pieces))
         self.weight = np.array([self.pieces.get(names[k], (k, self.rare))[1] for k in range(size)])
         self.prefixes = {p[:k]: -1 for p in self.pieces for k in range(1, len(p))} | {p: k for p, (k, _) in self.pieces.items()}
+        self.letter, self.kinds = None, None
         self.cut = self._units()
+        if self.letter:
+            self._kinds()
         self._trie()
+        self.node, self.first, self.many = (np.empty(1 << 16, np.int32) for _ in range(3))
+        self.total, self.share = np.empty(1 << 17, np.float32), np.empty(1 << 17)
+        self.to, self.piece, self.next = (np.empty(1 << 17, np.int32) for _ in range(3))
         self.clear()
 
     def _units(self) -> re.Pattern:
@@ -117,6 +129,7 @@ class Lattices:
             found = re.compile(rf"{_SPACE}*{letter}+|{_SPACE}*(?:(?![{_SPACE}\n])[\W\d_{mixed}])+|{_SPACE}+|\n")
             crossing = [p for p in self.pieces if len(found.findall(p)) > 1]
             if not crossing:
+                self.letter = re.compile(letter)
                 return found
             odd |= {c for p in crossing for c in p if re.fullmatch(letter, c)}
         found = re.compile(rf"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+|\n")
@@ -124,6 +137,14 @@ class Lattices:
             found = re.compile(r".+", re.S)
         return found
 
+    def _kinds(self) -> None:
+        """Of the first 65,536 characters the kind (0: space mark, 1: letter, 2: other, 3: line end) and, if plain, seven bits, not 0."""
+        self.kinds, self.code = np.full(1 << 16, 2, np.uint8), np.zeros(1 << 16, np.uint64)
+        self.kinds[[m.start() for m in self.letter.finditer("".join(map(chr, range(1 << 16))))]] = 1
+        self.kinds[[ord(_SPACE), 10]] = 0, 3
+        self.code[1:128] = np.arange(1, 128)
+        self.code[[ord(_SPACE), 32]] = 32, 0
+
     def _trie(self) -> None:
         """Transitions of the pieces' prefix tree over characters below 256 (the space mark is 0): state 0 is dead, 1 the root."""
         states = {"": 1}
@@ -141,12 +162,9 @@ class Lattices:
                 self.ends[k] = found[0] if found else -1
 
     def clear(self) -> None:
-        self.index = _Numbers()
-        self.node = np.zeros(1 << 16, np.int32)
+        """Forgets the units; the arrays keep their size.  next: the first edge of an edge's target, -1 at a unit's end."""
+        self.index, self.packed = _Numbers(), {}
         self.nodes = self.edges = 0
-        self.first, self.many = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
-        self.total, self.share = np.zeros(1 << 17, np.float32), np.zeros(1 << 17)
-        self.to, self.piece = np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
 
     def _build(self, units: list[str], numbers: np.ndarray) -> None:
         """Adds the units' lattices; units of plain characters, each a piece of its own, go through the prefix tree all at once."""
@@ -245,25 +263,66 @@ class Lattices:
         total = np.cumsum(odds)
         total -= np.repeat(total[begin] - odds[begin], many)
         total[begin + many - 1] = 2.0
-        self.first, self.many = _grown(self.first, end), _grown(self.many, end)
-        self.first[base:end], self.many[base:end] = 0, 0
+        self.first, self.many = _grown(self.first, base, end), _grown(self.many, base, end)
+        self.first[base:end], self.many[base:end] = -1, 0
         self.first[source[begin]], self.many[source[begin]] = self.edges + begin, many
-        for name, new in (("total", total), ("share", share), ("to", to), ("piece", piece)):
-            whole = _grown(getattr(self, name), self.edges + len(new))
+        for name, new in (("total", total), ("share", share), ("to", to), ("piece", piece), ("next", self.first[to])):
+            whole = _grown(getattr(self, name), self.edges, self.edges + len(new))
             whole[self.edges : self.edges + len(new)] = new
             setattr(self, name, whole)
         self.nodes, self.edges = end, self.edges + len(source)
 
     def starts(self, texts: list[str]) -> list[np.ndarray]:
         """First nodes of the units of each normalised text."""
-        number = self.index.__getitem__
-        units = [np.fromiter(map(number, found), np.int32, len(found)) for found in map(self.cut.findall, texts)]
+        if self.kinds is None:
+            units = [np.array([self.index[u] for u in self.cut.findall(text)], np.int32) for text in texts]
+        else:
+            units = self._numbered(texts)
         if new := self.index.new:
-            self.node = _grown(self.node, len(self.index))
+            self.node = _grown(self.node, len(self.index) - len(new), len(self.index))
             self._build(new, np.arange(len(self.index) - len(new), len(self.index)))
             self.index.new = []
         return [self.node[x] for x in units]
 
+    def _numbered(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the units that cut finds in each text: bounds by kinds of characters, for all texts at once.  A unit of
+        at most nine plain characters is looked up by these, packed into one integer, once for all that are equal; others by text."""
+        joined = "".join(texts)
+        if not joined:
+            return [np.zeros(0, np.int32) for _ in texts]
+        text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        low = np.minimum(text, 0xFFFF)
+        kind = self.kinds[low]
+        if len(far := np.flatnonzero(text > 0xFFFF)):
+            kind[far] = [1 if self.letter.match(joined[i]) else 2 for i in far.tolist()]
+        ends = np.cumsum(list(map(len, texts)))
+        last, this = kind[:-1], kind[1:]
+        opens = np.ones(len(text) + 1, bool)
+        opens[1:-1] = (last != this) & (last != 0) | (this == 3)
+        opens[ends] = True
+        begin = np.flatnonzero(opens)
+        size = np.diff(begin)
+        begin = begin[:-1]
+        place = np.arange(len(text)) - np.repeat(begin, size)
+        code = self.code[low]
+        key = np.bitwise_or.reduceat(code << (np.minimum(place, 8) * 7).astype(np.uint64), begin)
+        key[size > 9] = 0
+        key[np.searchsorted(begin, np.flatnonzero(code == 0), "right") - 1] = 0
+        number = np.empty(len(begin), np.int32)
+        short = np.flatnonzero(key)
+        of, keys = pd.factorize(key[short])
+        first = np.empty(len(keys), np.int64)
+        first[of[::-1]] = short[::-1]
+        get = self.packed.get
+        found = [get(k) for k in keys.tolist()]
+        for k in [k for k, n in enumerate(found) if n is None]:
+            at = int(begin[first[k]])
+            found[k] = self.packed[int(keys[k])] = self.index[joined[at : at + int(size[first[k]])]]
+        number[short] = np.array(found, np.int32)[of]
+        rest = np.flatnonzero(key == 0)
+        number[rest] = [self.index[joined[a:b]] for a, b in zip(begin[rest].tolist(), (begin[rest] + size[rest]).tolist(), strict=True)]
+        return np.split(number, np.searchsorted(begin, ends[:-1]))
+
     def spelt(self, ids: np.ndarray) -> bytes:
         """The normalised text of the pieces."""
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
@@ -272,36 +331,34 @@ class Lattices:
         """The text of the pieces, the leading space of the encoding taken off."""
         if self.partial[ids].any():
             return shown(self.spelt(ids).decode("utf-8", "surrogatepass"))
-        return shown("".join(map(self.whole.__getitem__, ids.tolist())))
-
-    def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """From each node to the end of its unit: (edges, their nodes) of all walks in order, and each walk's length."""
-        occ, edge, source = [], [], []
-        own = _mixed(_mixed(key, 0, np.full(1, sample)), 1, place)
-        active, cur, step = np.arange(len(node)), node, 0
-        live = self.many[cur] > 0
-        active, cur = active[live], cur[live]
+        many = ids.tolist()
+        return shown("".join(itemgetter(*many)(self.whole) if len(many) > 1 else [self.whole[k] for k in many]))
+
+    def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From each node to the end of its unit: the edges of all walks in order, and each walk's length; key: hashes of row and sample."""
+        own = _mixed(key, 1, place)
+        occ, edge, e = [], [], self.first[node]
+        active = np.flatnonzero(e >= 0)
+        e, own = e[active], own[active]
         while len(active):
-            u = _fraction(_mixed(own[active], 2, np.full(1, step)))
-            e = self.first[cur]
+            u = _fraction(_mixed(own, 2, np.full(1, len(occ))))
             more = np.flatnonzero(self.total[e] < u)
             while len(more):
                 e[more] += 1
                 more = more[self.total[e[more]] < u[more]]
             occ.append(active)
             edge.append(e)
-            source.append(cur)
-            cur = self.to[e]
-            live = self.many[cur] > 0
-            active, cur, step = active[live], cur[live], step + 1
+            e = self.next[e]
+            live = np.flatnonzero(e >= 0)
+            active, e, own = active[live], e[live], own[live]
         length = np.zeros(len(node), np.int64)
         for k, o in enumerate(occ):
             length[o] = k + 1
         begin = np.cumsum(length) - length
-        edges, sources = np.zeros(length.sum(), np.int32), np.zeros(length.sum(), np.int32)
-        for k, o in enumerate(occ):
-            edges[begin[o] + k], sources[begin[o] + k] = edge[k], source[k]
-        return edges, sources, length
+        edges = np.empty(length.sum(), np.int32)
+        for k, (o, e) in enumerate(zip(occ, edge, strict=True)):
+            edges[begin[o] + k] = e
+        return edges, length
 
 
 def lattices(path: str) -> Lattices:
@@ -309,32 +366,40 @@ def lattices(path: str) -> Lattices:
 
 
 class _Path:
-    """A sampled path: edges, their source nodes, the unit of each, and log probability before each."""
+    """A sampled path: its edges and their log probabilities, its log bound; of its first places, as far as branches off them can
+    matter (DEEPEST), the unit of each, its node, and log probability before it."""
 
-    def __init__(self, edges, sources, units, before, bound) -> None:
-        self.edges, self.sources, self.units, self.before, self.bound = edges, sources, units, before, bound
+    def __init__(self, edges, share, bound, units, sources, before) -> None:
+        self.edges, self.share, self.bound, self.units, self.sources, self.before = edges, share, bound, units, sources, before
+
+
+def _shallow(share: np.ndarray) -> np.ndarray:
+    """Log probability before each of the first places, until it falls to DEEPEST."""
+    size = 128
+    while True:
+        part = share[:size]
+        before = np.cumsum(part) - part
+        n = int(np.searchsorted(-before, -DEEPEST))
+        if n < len(part) or len(part) == len(share):
+            return before[:n]
+        size *= 4
 
 
 def _branches(lat: Lattices, paths: list[tuple[int, _Path, int]], keys: np.ndarray, sample: int, keep: int) -> dict[int, list[tuple[float, int, int, int]]]:
     """For each text the keep best branches off its path after a place: (log bound, sample, place, edge), best first."""
-    text, place, before, source, taken, parent = [], [], [], [], [], []
-    for k, path, start in paths:
-        n = start + int(np.searchsorted(-path.before[start:], -DEEPEST))
-        at = np.arange(start, n)
-        text.append(np.full(len(at), k))
-        place.append(at)
-        before.append(path.before[at])
-        source.append(path.sources[at])
-        taken.append(path.edges[at])
-        parent.append(np.full(len(at), path.bound))
-    text, place, before, source, taken, parent = map(np.concatenate, (text, place, before, source, taken, parent))
+    ns = np.array([max(len(path.before) - start, 0) for _, path, start in paths])
+    text, parent = (np.repeat(np.array(x), ns) for x in ([k for k, _, _ in paths], [path.bound for _, path, _ in paths]))
+    place = np.concatenate([np.arange(start, start + n) for (_, _, start), n in zip(paths, ns.tolist(), strict=True)])
+    before, source = (np.concatenate([getattr(path, x)[start:] for _, path, start in paths]) for x in ("before", "sources"))
+    taken = np.concatenate([path.edges[start : len(path.before)] for _, path, start in paths])
     n = lat.many[source]
     row = np.repeat(np.arange(len(source)), n)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     edge = lat.first[source][row] + offset
     other = edge != taken[row]
     row, edge, offset = row[other], edge[other], offset[other]
-    gap = -np.log(_uniform(keys[text[row]], np.full(1, 1_000 + sample), place[row], offset)) / np.exp(lat.share[edge])
+    own = _mixed(_mixed(keys[text], 0, np.full(1, 1_000 + sample)), 1, place)  # a hash a place, not one a branch
+    gap = -np.log(_fraction(_mixed(own[row], 2, offset))) / np.exp(lat.share[edge])
     bound = np.logaddexp(parent[row], np.log(gap) - before[row])
     of, out = text[row], {}
     if not len(of):
@@ -354,39 +419,51 @@ def sample_paths(lat: Lattices, starts: list[np.ndarray], keys: np.ndarray, samp
     """For each text its sampled paths, best first, and the log bound of the next one (inf if there is none)."""
     done: list[list[_Path]] = [[] for _ in starts]
     queue: list[list[tuple[float, int, int, int]]] = [[] for _ in starts]
-    begins = [(-1, 0, 0, np.log(-np.log(_uniform(keys[k : k + 1], np.full(1, 999))[0]))) for k in range(len(starts))]
+    begins = np.log(-np.log(_uniform(keys, np.full(1, 999)))).tolist()
     live = list(range(len(starts)))
     for s in range(samples):
-        nodes, units, spans = [], [], []
+        nodes, firsts, spans = [], [], []
         for k in live:
             if s == 0:
                 nodes.append(starts[k])
-                units.append(np.arange(len(starts[k])))
-                spans.append((None, 0, begins[k][3], None))
+                firsts.append(0)
+                spans.append((None, 0, begins[k], None))
             else:
                 bound, of, place, edge = queue[k].pop(0)
                 path = done[k][of]
-                unit = path.units[place]
-                nodes.append(np.concatenate(([lat.to[edge]], starts[k][unit + 1 :])).astype(np.int32))
-                units.append(np.arange(unit, len(starts[k])))
+                unit = int(path.units[place])
+                nodes.append(np.concatenate((lat.to[edge : edge + 1], starts[k][unit + 1 :])))
+                firsts.append(unit)
                 spans.append((path, place, bound, edge))
         if not live:
             break
-        sizes = [len(x) for x in nodes]
-        key = np.repeat(keys[live], sizes)
-        edges, sources, length = lat.walk(np.concatenate(nodes), key, np.concatenate(units), s)
-        which = np.repeat(np.concatenate(units), length)
-        cuts = np.concatenate(([0], np.cumsum([length[a : a + n].sum() for a, n in zip(np.cumsum([0, *sizes[:-1]]), sizes, strict=True)])))
+        sizes = np.array([len(x) for x in nodes])
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1]) + np.repeat(np.array(firsts) - (ends - sizes), sizes)
+        edges, length = lat.walk(np.concatenate(nodes), np.repeat(_mixed(keys[live], 0, np.full(1, s)), sizes), place)
+        share = lat.share[edges]
+        cuts = np.append(0, np.cumsum(length))[np.append(0, ends)].tolist()
         found = []
-        for k, lo, hi, (path, place, bound, edge) in zip(live, cuts[:-1], cuts[1:], spans, strict=True):
-            e, src, un = edges[lo:hi], sources[lo:hi], which[lo:hi]
+        for k, own, a, first, lo, hi, (path, place, bound, edge) in zip(live, nodes, (ends - sizes).tolist(), firsts, cuts[:-1], cuts[1:], spans, strict=True):
+            e, odds = edges[lo:hi], share[lo:hi]
+            if path is not None:
+                e = np.concatenate((path.edges[:place], np.array([edge], np.int32), e))
+                odds = np.concatenate((path.share[:place], lat.share[edge : edge + 1], odds))
+            before = _shallow(odds)
+            start = 0 if path is None else place + 1
+            n = max(len(before) - start, 0)  # new places; each unit gives one, but for an end that the branch may reach
+            many = length[a : a + min(n + 1, len(own))]
+            unit = np.repeat(np.arange(first, first + len(many)), many)[:n]
+            source = np.empty(n, np.int32)
+            source[1:] = lat.to[e[start : start + n - 1]] if n else []
+            opens = np.cumsum(many) - many
+            opens = opens[keep := (many > 0) & (opens < n)]
+            source[opens] = own[: len(many)][keep]
             if path is not None:
-                e = np.concatenate((path.edges[:place], [edge], e)).astype(np.int32)
-                src = np.concatenate((path.sources[: place + 1], src))
-                un = np.concatenate((path.units[: place + 1], un))
-            before = np.cumsum(lat.share[e]) - lat.share[e]
-            done[k].append(_Path(e, src, un, before, bound))
-            found.append((k, done[k][-1], 0 if path is None else place + 1))
+                unit = np.concatenate((path.units[: place + 1], unit))
+                source = np.concatenate((path.sources[: place + 1], source))
+            done[k].append(_Path(e, odds, bound, unit, source, before))
+            found.append((k, done[k][-1], start))
         for k, more in _branches(lat, found, keys, s, samples - s).items():
             queue[k] = sorted(queue[k] + more)[: samples - s]
         live = [k for k in live if queue[k]]
@@ -413,7 +490,7 @@ def _encoded(model: str, samples: int, ids: bool):
                     wanted = shown(text)
                     for rank, path in enumerate(paths, 1):
                         found = lat.piece[path.edges].astype("<u4")
-                        value = float(lat.share[path.edges].sum())
+                        value = float(path.share.sum())
                         row = (doc, rank, len(found), zlib.crc32(found.tobytes()), value, -float(path.bound), float(-np.expm1(-np.exp(value + next_bound))) if next_bound < 700 - value else 1.0, lat.decode(found) == wanted)
                         rows.append((*row, found.astype(np.int32)) if ids else row)
                 names = [x.split()[0] for x in SAMPLE.split(", ")]
