@@ -243,7 +243,7 @@ class Lattices:
     def _added(self, source, to, reach, piece, weight, last, end, chained) -> None:
         """Path sums from the units' ends, one distance for all units at once, then the flat arrays; edges come by source."""
         base = self.nodes
-        left = last[np.searchsorted(last, source)] - source
+        left = np.repeat(last, np.diff(last, prepend=base - 1))[source - base] - source
         value = np.zeros(end - base)
         order = np.argsort(left.astype(np.uint16), kind="stable") if left.max(initial=0) < 1 << 16 else np.argsort(left, kind="stable")
         of, w, goal = source[order] - base, weight[order], reach[order] - base
@@ -291,7 +291,7 @@ class Lattices:
         if not joined:
             return [np.zeros(0, np.int32) for _ in texts]
         text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        low = np.minimum(text, 0xFFFF)
+        low = np.minimum(text, 0xFFFF).astype(np.intp)
         kind = self.kinds[low]
         if len(far := np.flatnonzero(text > 0xFFFF)):
             kind[far] = [1 if self.letter.match(joined[i]) else 2 for i in far.tolist()]
@@ -303,9 +303,9 @@ class Lattices:
         begin = np.flatnonzero(opens)
         size = np.diff(begin)
         begin = begin[:-1]
-        place = np.arange(len(text)) - np.repeat(begin, size)
+        place = np.arange(len(text), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
         code = self.code[low]
-        key = np.bitwise_or.reduceat(code << (np.minimum(place, 8) * 7).astype(np.uint64), begin)
+        key = np.bitwise_or.reduceat(code << (np.minimum(place, 8).astype(np.uint8) * np.uint8(7)), begin)
         key[size > 9] = 0
         key[np.searchsorted(begin, np.flatnonzero(code == 0), "right") - 1] = 0
         number = np.empty(len(begin), np.int32)
