@@ -504,6 +504,39 @@ def test_units_are_those_of_the_pattern():
     assert [len(x) for x in lat._numbered(["", ""])] == [0, 0]
 
 
+def test_the_best_branches_are_found_without_the_bounds_of_most(monkeypatch):
+    lat = sampling.Lattices(PIECES)
+    texts = [lat.model.normalize(x) for x in ("then, we were in the house of the other people " * 20, "a", "then, we")]
+    keys = np.arange(1, 4, dtype=np.uint64) * sampling._C[0]
+    paths = [(k, found[0], 0) for k, (found, _) in enumerate(sampling.sample_paths(lat, lat.starts(texts), keys, 1))]
+    every = {}
+    for k, path, _ in paths:
+        every[k] = []
+        for place, (source, before) in enumerate(zip(path.sources.tolist(), path.before.tolist(), strict=True)):
+            for offset in range(lat.many[source]):
+                if (edge := int(lat.first[source]) + offset) != path.edges[place]:
+                    noise = -np.log(sampling._uniform(keys[k : k + 1], *([x] for x in (1_000, place, offset))))[0]
+                    every[k].append((float(np.logaddexp(path.bound, np.log(noise / np.exp(lat.share[edge])) - before)), 0, place, edge))
+        every[k].sort()
+    bounded, plain = [], np.logaddexp
+    monkeypatch.setattr(np, "logaddexp", lambda a, b: bounded.append(np.size(b)) or plain(a, b))
+    for keep in (1, 2):
+        found = sampling._branches(lat, paths, keys, 0, keep, [np.inf] * 3)
+        assert all(sorted(found.get(k, []))[:keep] == every[k][:keep] for k in every)
+    assert sum(bounded) < sum(map(len, every.values())) / 2
+    limits = [x[min(3, len(x) - 1)][0] if x else np.inf for x in every.values()]
+    found = sampling._branches(lat, paths, keys, 0, 4, limits)
+    assert all(sorted(found.get(k, []))[:4] == every[k][:4] for k in every)
+
+
+def test_samples_leave_the_worker_as_arrow_arrays_with_whole_ids(spark):
+    frame = docs(spark, [(2**60 + 1, "then, we"), (None, "then, we"), (2**60 + 3, None)]).coalesce(1)
+    found = sampling.sample(frame, PIECES)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] or 0 for r in found.collect()) == [0, 0, 2**60 + 1, 2**60 + 1, 2**60 + 3]
+    assert found.dtypes[-1] == ("ids", "array<int>")
+
+
 def test_encoding_decodes_and_does_not_depend_on_partitions(spark, awkward):
     frame = docs(spark, [*awkward, (80, "  tabs\tand ² 😀 日本\r\n x"), (81, "a")])
     rows = sampling.sample(frame, PIECES).collect()

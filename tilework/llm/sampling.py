@@ -21,10 +21,10 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +37,15 @@ CHUNK = 250_000
 #: Below this log-probability of a prefix no branch can matter: the least gap is e^-38, so its bound is above
 #: e^7, while the first places with a choice, whose prefixes are likely, give the kept bounds of about one.
 DEEPEST = -45.0
+#: The first places of a path whose branches are compared at once: those with prefixes likelier than that.
+LIKELY = -4.0
 SAMPLE = "doc_id long, rank int, n_pieces long, ids_crc32 long, log_prob double, perturbed double, inclusion double, decoded boolean"
 _SPACE = "▁"
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
+#: The first 0 to 8 bytes of a word.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 
 def _mixed(x: np.ndarray, k: int, part) -> np.ndarray:
     """The hash x with an integer as its k-th part."""
@@ -103,7 +108,7 @@ class Lattices:
         self.byte = {int(names[k][1:-1], 16): k for k in special if self.model.is_byte(k)}
         self.bytes = [bytes([int(names[k][1:-1], 16)]) if self.model.is_byte(k) else b"" if k in special else names[k].encode() for k in range(size)]
         first = min(set(range(size)) - special)
-        self.whole = [x.decode().replace(_SPACE, " ") if x.isascii() or k not in special else "" for k, x in enumerate(self.bytes)]
+        self.whole = np.array([x.decode().replace(_SPACE, " ") if x.isascii() or k not in special else "" for k, x in enumerate(self.bytes)], object)
         self.partial = np.array([not x.isascii() and k in special for k, x in enumerate(self.bytes)])  # a byte of a longer character
         self.pieces = {names[k]: (k, -np.log(2.0 + k - first)) for k in range(size) if k not in special}
         self.rare = -float(np.log(2.0 + size))
@@ -138,12 +143,12 @@ class Lattices:
         return found
 
     def _kinds(self) -> None:
-        """Of the first 65,536 characters the kind (0: space mark, 1: letter, 2: other, 3: line end) and, if plain, seven bits, not 0."""
-        self.kinds, self.code = np.full(1 << 16, 2, np.uint8), np.zeros(1 << 16, np.uint64)
-        self.kinds[[m.start() for m in self.letter.finditer("".join(map(chr, range(1 << 16))))]] = 1
-        self.kinds[[ord(_SPACE), 10]] = 0, 3
-        self.code[1:128] = np.arange(1, 128)
-        self.code[[ord(_SPACE), 32]] = 32, 0
+        """Of the first 65,536 characters the kind (0: space mark, 1: letter, 2: other, 3: line end), above eight bits of its own (0 if it isn't plain)."""
+        self.kinds = np.full(1 << 16, 2 << 8, np.uint16)
+        self.kinds[[m.start() for m in self.letter.finditer("".join(map(chr, range(1 << 16))))]] = 1 << 8
+        self.kinds[[ord(_SPACE), 10]] = 32, 3 << 8
+        self.kinds[1:256] |= np.arange(1, 256, dtype=np.uint16)
+        self.kinds[32] &= 0xFF00
 
     def _trie(self) -> None:
         """Transitions of the pieces' prefix tree over characters below 256 (the space mark is 0): state 0 is dead, 1 the root."""
@@ -286,13 +291,17 @@ class Lattices:
 
     def _numbered(self, texts: list[str]) -> list[np.ndarray]:
         """The numbers of the units that cut finds in each text: bounds by kinds of characters, for all texts at once.  A unit of
-        at most nine plain characters is looked up by these, packed into one integer, once for all that are equal; others by text."""
+        at most eight plain characters is looked up by these, as one integer, once for all that are equal; others by text."""
         joined = "".join(texts)
         if not joined:
             return [np.zeros(0, np.int32) for _ in texts]
-        text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        low = np.minimum(text, 0xFFFF).astype(np.intp)
-        kind = self.kinds[low]
+        text = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), np.uint16)
+        if len(text) > len(joined):
+            text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        both = self.kinds[np.minimum(text, 0xFFFF)]
+        kind = (both >> 8).astype(np.uint8)
+        code = np.zeros((len(text) // 8 + 2) * 8, np.uint8)
+        code[: len(text)] = both & 0xFF
         if len(far := np.flatnonzero(text > 0xFFFF)):
             kind[far] = [1 if self.letter.match(joined[i]) else 2 for i in far.tolist()]
         ends = np.cumsum(list(map(len, texts)))
@@ -303,21 +312,21 @@ class Lattices:
         begin = np.flatnonzero(opens)
         size = np.diff(begin)
         begin = begin[:-1]
-        place = np.arange(len(text), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
-        code = self.code[low]
-        key = np.bitwise_or.reduceat(code << (np.minimum(place, 8).astype(np.uint8) * np.uint8(7)), begin)
-        key[size > 9] = 0
-        key[np.searchsorted(begin, np.flatnonzero(code == 0), "right") - 1] = 0
+        words, at, turn = code.view("<u8"), begin >> 3, (begin & 7).astype(np.uint64) << np.uint64(3)
+        key = words[at] >> turn | words[at + 1] << np.uint64(1) << (np.uint64(63) - turn)
+        key &= _FIRST[np.minimum(size, 8)]
+        key[size > 8] = 0
+        key[np.searchsorted(begin, np.flatnonzero(code[: len(text)] == 0), "right") - 1] = 0
         number = np.empty(len(begin), np.int32)
         short = np.flatnonzero(key)
         of, keys = pd.factorize(key[short])
         first = np.empty(len(keys), np.int64)
         first[of[::-1]] = short[::-1]
-        get = self.packed.get
-        found = [get(k) for k in keys.tolist()]
+        names = keys.tolist()
+        found = list(map(self.packed.get, names))
         for k in [k for k, n in enumerate(found) if n is None]:
             at = int(begin[first[k]])
-            found[k] = self.packed[int(keys[k])] = self.index[joined[at : at + int(size[first[k]])]]
+            found[k] = self.packed[names[k]] = self.index[joined[at : at + int(size[first[k]])]]
         number[short] = np.array(found, np.int32)[of]
         rest = np.flatnonzero(key == 0)
         number[rest] = [self.index[joined[a:b]] for a, b in zip(begin[rest].tolist(), (begin[rest] + size[rest]).tolist(), strict=True)]
@@ -331,8 +340,7 @@ class Lattices:
         """The text of the pieces, the leading space of the encoding taken off."""
         if self.partial[ids].any():
             return shown(self.spelt(ids).decode("utf-8", "surrogatepass"))
-        many = ids.tolist()
-        return shown("".join(itemgetter(*many)(self.whole) if len(many) > 1 else [self.whole[k] for k in many]))
+        return shown("".join(self.whole[ids].tolist()))
 
     def walk(self, node: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """From each node to the end of its unit: the edges of all walks in order, and each walk's length; key: hashes of row and sample."""
@@ -375,7 +383,7 @@ class _Path:
 
 def _shallow(share: np.ndarray) -> np.ndarray:
     """Log probability before each of the first places, until it falls to DEEPEST."""
-    size = 128
+    size = 512
     while True:
         part = share[:size]
         before = np.cumsum(part) - part
@@ -385,33 +393,59 @@ def _shallow(share: np.ndarray) -> np.ndarray:
         size *= 4
 
 
-def _branches(lat: Lattices, paths: list[tuple[int, _Path, int]], keys: np.ndarray, sample: int, keep: int) -> dict[int, list[tuple[float, int, int, int]]]:
-    """For each text the keep best branches off its path after a place: (log bound, sample, place, edge), best first."""
+def _branches(lat: Lattices, paths: list[tuple[int, _Path, int]], keys: np.ndarray, sample: int, keep: int, limits: list[float]) -> dict[int, list[tuple[float, int, int, int]]]:
+    """For each text the branches off its path after a place, all that are among the keep best and not above its limit: (log bound, sample,
+    place, edge).  Where there is no limit yet, the likely first places give one; elsewhere a branch whose noise alone is above it is passed over."""
     ns = np.array([max(len(path.before) - start, 0) for _, path, start in paths])
-    text, parent = (np.repeat(np.array(x), ns) for x in ([k for k, _, _ in paths], [path.bound for _, path, _ in paths]))
+    text, order, parent = (np.repeat(np.array(x), ns) for x in ([k for k, _, _ in paths], range(len(paths)), [path.bound for _, path, _ in paths]))
     place = np.concatenate([np.arange(start, start + n) for (_, _, start), n in zip(paths, ns.tolist(), strict=True)])
     before, source = (np.concatenate([getattr(path, x)[start:] for _, path, start in paths]) for x in ("before", "sources"))
     taken = np.concatenate([path.edges[start : len(path.before)] for _, path, start in paths])
-    n = lat.many[source]
-    row = np.repeat(np.arange(len(source)), n)
-    offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    edge = lat.first[source][row] + offset
-    other = edge != taken[row]
-    row, edge, offset = row[other], edge[other], offset[other]
+    choice = np.flatnonzero(lat.many[source] > 1)
+    text, order, parent, place, before, source, taken = (x[choice] for x in (text, order, parent, place, before, source, taken))
     own = _mixed(_mixed(keys[text], 0, np.full(1, 1_000 + sample)), 1, place)  # a hash a place, not one a branch
-    gap = -np.log(_fraction(_mixed(own[row], 2, offset))) / np.exp(lat.share[edge])
-    bound = np.logaddexp(parent[row], np.log(gap) - before[row])
-    of, out = text[row], {}
-    if not len(of):
+    first, many, limit = lat.first[source], lat.many[source], np.array(limits)
+    out: dict[int, list[tuple[float, int, int, int]]] = {}
+
+    def bounded(row: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edge = first[row] + offset
+        other = edge != taken[row]
+        row, edge, offset = row[other], edge[other], offset[other]
+        gap = -np.log(_fraction(_mixed(own[row], 2, offset))) / np.exp(lat.share[edge])
+        bound = np.logaddexp(parent[row], np.log(gap) - before[row])
+        finite = np.isfinite(bound)
+        return row[finite], edge[finite], bound[finite]
+
+    def found(row: np.ndarray, edge: np.ndarray, bound: np.ndarray) -> None:
+        for k, b, p, e in zip(text[row].tolist(), bound.tolist(), place[row].tolist(), edge.tolist(), strict=True):
+            out.setdefault(k, []).append((b, sample, p, e))
+
+    if not len(choice):
         return out
-    begin = np.flatnonzero(np.diff(of, prepend=-1))  # texts come in order
-    many = np.diff(np.append(begin, len(of)))
-    for _ in range(keep):
-        hit = np.flatnonzero((bound == np.repeat(np.minimum.reduceat(bound, begin), many)) & np.isfinite(bound))
-        hit = hit[np.unique(of[hit], return_index=True)[1]]
-        for i in hit.tolist():
-            out.setdefault(int(of[i]), []).append((float(bound[i]), sample, int(place[row[i]]), int(edge[i])))
-        bound[hit] = np.inf
+    opening = np.zeros(len(paths))
+    begin = np.flatnonzero(np.diff(order, prepend=-1))
+    opening[order[begin]] = before[begin]
+    near = np.isinf(limit)[order] & (before > opening[order] + LIKELY)
+    at = np.flatnonzero(near)
+    if len(at):
+        n = many[at]
+        row, edge, bound = bounded(np.repeat(at, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        best = np.lexsort((bound, order[row]))
+        of = order[row[best]]
+        begin = np.flatnonzero(np.diff(of, prepend=-1))
+        n = np.diff(np.append(begin, len(of)))
+        limit[of[begin[n >= keep]]] = bound[best[begin[n >= keep] + keep - 1]]
+        best = best[np.arange(len(of)) - np.repeat(begin, n) < keep]
+        found(row[best], edge[best], bound[best])
+    least = np.exp(-np.exp(np.minimum(limit[order] + before, 700.0))) - 1e-12  # of the noise; less by more than its rounding
+    at, rows, offsets, k = np.flatnonzero(~near), [], [], 0
+    while len(at):
+        rows.append(at[_fraction(_mixed(own[at], 2, np.full(1, k))) >= least[at]])
+        offsets.append(np.full(len(rows[-1]), k))
+        k += 1
+        at = at[many[at] > k]
+    if rows:
+        found(*bounded(np.concatenate(rows), np.concatenate(offsets)))
     return out
 
 
@@ -440,31 +474,30 @@ def sample_paths(lat: Lattices, starts: list[np.ndarray], keys: np.ndarray, samp
         sizes = np.array([len(x) for x in nodes])
         ends = np.cumsum(sizes)
         place = np.arange(ends[-1]) + np.repeat(np.array(firsts) - (ends - sizes), sizes)
-        edges, length = lat.walk(np.concatenate(nodes), np.repeat(_mixed(keys[live], 0, np.full(1, s)), sizes), place)
-        share = lat.share[edges]
+        opening = np.concatenate(nodes)
+        edges, length = lat.walk(opening, np.repeat(_mixed(keys[live], 0, np.full(1, s)), sizes), place)
+        share, units, sources = lat.share[edges], np.repeat(place.astype(np.int32), length), np.empty(len(edges), np.int32)
+        sources[1:] = lat.to[edges[:-1]]
+        sources[(np.cumsum(length) - length)[length > 0]] = opening[length > 0]
         cuts = np.append(0, np.cumsum(length))[np.append(0, ends)].tolist()
         found = []
-        for k, own, a, first, lo, hi, (path, place, bound, edge) in zip(live, nodes, (ends - sizes).tolist(), firsts, cuts[:-1], cuts[1:], spans, strict=True):
+        for k, lo, hi, (path, place, bound, edge) in zip(live, cuts[:-1], cuts[1:], spans, strict=True):
             e, odds = edges[lo:hi], share[lo:hi]
             if path is not None:
                 e = np.concatenate((path.edges[:place], np.array([edge], np.int32), e))
                 odds = np.concatenate((path.share[:place], lat.share[edge : edge + 1], odds))
             before = _shallow(odds)
             start = 0 if path is None else place + 1
-            n = max(len(before) - start, 0)  # new places; each unit gives one, but for an end that the branch may reach
-            many = length[a : a + min(n + 1, len(own))]
-            unit = np.repeat(np.arange(first, first + len(many)), many)[:n]
-            source = np.empty(n, np.int32)
-            source[1:] = lat.to[e[start : start + n - 1]] if n else []
-            opens = np.cumsum(many) - many
-            opens = opens[keep := (many > 0) & (opens < n)]
-            source[opens] = own[: len(many)][keep]
+            new = lo + max(len(before) - start, 0)
+            unit, source = units[lo:new], sources[lo:new]
             if path is not None:
                 unit = np.concatenate((path.units[: place + 1], unit))
                 source = np.concatenate((path.sources[: place + 1], source))
             done[k].append(_Path(e, odds, bound, unit, source, before))
             found.append((k, done[k][-1], start))
-        for k, more in _branches(lat, found, keys, s, samples - s).items():
+        keep = samples - s
+        limits = [queue[k][keep - 1][0] if len(queue[k]) >= keep else np.inf for k in live]
+        for k, more in _branches(lat, found, keys, s, keep, limits).items():
             queue[k] = sorted(queue[k] + more)[: samples - s]
         live = [k for k in live if queue[k]]
     return [(done[k], queue[k][0][0] if queue[k] else np.inf) for k in range(len(starts))]
@@ -485,24 +518,39 @@ def _encoded(model: str, samples: int, ids: bool):
                     at += 1
                 starts = lat.starts(plain)
                 keys = np.array([0 if pd.isna(d) else int(d) & (1 << 64) - 1 for d in docs[lo:at]], np.uint64) * _C[0]
-                rows = []
+                rows, owners = [], []
                 for doc, text, (paths, next_bound) in zip(docs[lo:at], plain, sample_paths(lat, starts, keys, samples), strict=True):
                     wanted = shown(text)
                     for rank, path in enumerate(paths, 1):
-                        found = lat.piece[path.edges].astype("<u4")
+                        found = lat.piece[path.edges]
                         value = float(path.share.sum())
-                        row = (doc, rank, len(found), zlib.crc32(found.tobytes()), value, -float(path.bound), float(-np.expm1(-np.exp(value + next_bound))) if next_bound < 700 - value else 1.0, lat.decode(found) == wanted)
-                        rows.append((*row, found.astype(np.int32)) if ids else row)
-                names = [x.split()[0] for x in SAMPLE.split(", ")]
-                yield pd.DataFrame(rows, columns=[*names, "ids"] if ids else names).astype({"doc_id": "Int64"})
+                        row = (rank, len(found), zlib.crc32(found.astype("<u4").tobytes()), value, -float(path.bound), float(-np.expm1(-np.exp(value + next_bound))) if next_bound < 700 - value else 1.0, lat.decode(found) == wanted)
+                        rows.append((*row, found) if ids else row)
+                        owners.append(doc)
+                names = [x.split()[0] for x in SAMPLE.split(", ")][1:]
+                out = pd.DataFrame(rows, columns=[*names, "ids"] if ids else names)
+                out.insert(0, "doc_id", pd.array(owners, "Int64"))
+                yield out
 
     return encode
 
 
+def _in_arrow(encode, ids: bool):
+    """encode over Arrow batches: its arrays of ids go over whole, not a number at a time as lists, and a null doc_id leaves the others whole numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+        schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, SAMPLE.split(", "))] + ([("ids", pa.list_(pa.int32()))] if ids else []))
+        for out in encode(x.to_pandas(integer_object_nulls=True) for x in batches):
+            yield pa.RecordBatch.from_pandas(out, schema, preserve_index=False)
+
+    return run
+
+
 def sample(docs: DataFrame, model: str, samples: int = SAMPLES, ids: bool = True) -> DataFrame:
     """One row per text and sample, best first; ids: also the piece ids.  decoded: whether decode gives the normalised text back."""
     own = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return own.mapInPandas(lean(_encoded(model, samples, ids), ("sampling", model)), SAMPLE + (", ids array<int>" if ids else ""))
+    return own.mapInArrow(lean(_in_arrow(_encoded(model, samples, ids), ids), ("sampling", model)), SAMPLE + (", ids array<int>" if ids else ""))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
